@@ -43,7 +43,8 @@ def latest_per_key(feed: DataFrame, key: str, order_first: str) -> DataFrame:
 def capture_changes(feed: DataFrame, current: DataFrame, params: RunParams,
                     key: str = S.CUSTOMER_ID, surrogate: str = S.CUSTOMER_KEY,
                     attributes: list[str] | None = None,
-                    existing_key: str = "EXISTING_CUST_KEY") -> DataFrame:
+                    existing_key: str = "EXISTING_CUST_KEY",
+                    current_rows: int | None = None) -> DataFrame:
     attributes = attributes or S.TRACKED_ATTRIBUTES
     before = current.select(
         F.col(key), F.col(surrogate).alias(existing_key),
@@ -55,7 +56,7 @@ def capture_changes(feed: DataFrame, current: DataFrame, params: RunParams,
         joined = after.withColumn("_in_feed", F.lit(True)).join(before, key, "full_outer")
         found_after = F.col("_in_feed").isNotNull()
     else:
-        joined = lookup_join(after, before, key, "left", params)
+        joined = lookup_join(after, before, key, "left", params, current_rows)
         found_after = F.lit(True)
 
     differs = any_differs([(F.col(a), F.col(BEFORE + a)) for a in attributes], params.null_safe_compare)

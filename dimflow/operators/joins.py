@@ -75,12 +75,27 @@ def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str, hot:
     return big_salted.join(lookup_salted, [*on, SALT], how).drop(SALT)
 
 
+def fits_broadcast(lookup: DataFrame, params: RunParams, lookup_rows: int | None = None) -> bool:
+    """Whether ``lookup`` is provably at most ``broadcast_max_rows`` rows.
+
+    ``lookup_rows`` is what the caller already proved: an upper bound (e.g. a
+    table count plus a checkpointed delta), or any value above the cap when the
+    side is known to be larger. Without it, a bounded count decides.
+    """
+    if lookup_rows is not None:
+        return lookup_rows <= params.broadcast_max_rows
+    return bounded_count(lookup, params.broadcast_max_rows) is not None
+
+
 def lookup_join(big: DataFrame, lookup: DataFrame, on: str | list[str], how: str,
-                params: RunParams) -> DataFrame:
-    """``big JOIN lookup USING (on)`` for ``how`` in inner / left / left_anti / left_semi."""
+                params: RunParams, lookup_rows: int | None = None) -> DataFrame:
+    """``big JOIN lookup USING (on)`` for ``how`` in inner / left / left_anti / left_semi.
+
+    ``lookup_rows`` — optional proven upper bound on the lookup side's rows.
+    """
     on = [on] if isinstance(on, str) else list(on)
     cap = params.broadcast_max_rows
-    if bounded_count(lookup, cap) is not None:
+    if fits_broadcast(lookup, params, lookup_rows):
         return big.join(F.broadcast(lookup), on, how)
     big_keys = big.select(*on).dropna()
     if bounded_count(big_keys, cap) is not None:

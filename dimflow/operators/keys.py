@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from dimflow.operators.joins import bounded_count
 from dimflow.params import RunParams
-from dimflow.session import ensure_checkpoint_dir
+from dimflow.session import materialize
 
 POS = "_dimflow_pos"
 SEQ = "_dimflow_seq"
@@ -50,17 +50,15 @@ def positions_window(df: DataFrame, order_by: list[str]) -> DataFrame:
 
 def positions_distributed(df: DataFrame, order_by: list[str], num_partitions: int | None = None) -> DataFrame:
     """1-based dense position without a single-partition step (same numbers as the window)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stable = df.checkpoint(eager=True).withColumn(SEQ, F.monotonically_increasing_id())
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stable = materialize(df).withColumn(SEQ, F.monotonically_increasing_id())
     local = (
         stable.repartitionByRange(n, *_ordered(order_by), F.col(SEQ))
         .sortWithinPartitions(*_ordered(order_by), F.col(SEQ))
         .withColumn(PID, F.spark_partition_id())
         .withColumn(IDX, F.monotonically_increasing_id().bitwiseAND(F.lit(LOCAL_INDEX_MASK)))
-        .checkpoint(eager=True)
     )
+    local = materialize(local)
     sizes = local.groupBy(PID).agg(F.count(F.lit(1)).alias("_n"))  # one row per partition
     before = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -71,11 +69,16 @@ def positions_distributed(df: DataFrame, order_by: list[str], num_partitions: in
     )
 
 
-def assign_keys(df: DataFrame, order_by: list[str], base: int, key: str, params: RunParams) -> DataFrame:
-    """Add ``key = base + position - 1`` (int; ANSI mode raises on overflow)."""
+def assign_keys(df: DataFrame, order_by: list[str], base: int, key: str, params: RunParams,
+                n_rows: int | None = None) -> DataFrame:
+    """Add ``key = base + position - 1`` (int; ANSI mode raises on overflow).
+
+    ``n_rows`` — a known upper bound on the rows, which spares the size check.
+    """
     strategy = params.key_strategy
     if strategy == "auto":
-        small = bounded_count(df, params.window_key_max_rows) is not None
+        small = (n_rows <= params.window_key_max_rows if n_rows is not None
+                 else bounded_count(df, params.window_key_max_rows) is not None)
         strategy = "window" if small else "distributed"
     numbered = positions_window(df, order_by) if strategy == "window" else positions_distributed(df, order_by)
     return numbered.withColumn(key, (F.lit(base) + F.col(POS) - F.lit(1)).cast("int")).drop(POS)

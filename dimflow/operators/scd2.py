@@ -40,9 +40,10 @@ def key_order(attributes: list[str] | None = None) -> list[str]:
     return [S.CUSTOMER_ID, *(attributes or S.TRACKED_ATTRIBUTES), EXISTING_KEY]
 
 
-def new_versions(changes: DataFrame, base_key: int, params: RunParams) -> DataFrame:
+def new_versions(changes: DataFrame, base_key: int, params: RunParams,
+                 change_rows: int | None = None) -> DataFrame:
     needs_key = changes.filter(F.col("CHANGE_CODE").isin(S.INSERT, S.EDIT))
-    keyed = assign_keys(needs_key, key_order(), base_key, S.CUSTOMER_KEY, params)
+    keyed = assign_keys(needs_key, key_order(), base_key, S.CUSTOMER_KEY, params, change_rows)
     return keyed.select(
         S.CUSTOMER_KEY, S.CUSTOMER_ID, *S.TRACKED_ATTRIBUTES, EXISTING_KEY,
         F.lit(S.CURRENT_FLAG).alias("CURR_FLAG"),
@@ -51,7 +52,8 @@ def new_versions(changes: DataFrame, base_key: int, params: RunParams) -> DataFr
     )
 
 
-def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, params: RunParams) -> DataFrame:
+def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, params: RunParams,
+                       expired_rows: int | None = None) -> DataFrame:
     """Dimension after the run: expired versions closed, new versions appended.
 
     Updating the same key twice is idempotent in the original, so the expire set
@@ -60,7 +62,7 @@ def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, param
     closing = expired.select(
         S.CUSTOMER_KEY, F.col("CURR_FLAG").alias("_new_flag"), F.col("EXP_DATE").alias("_new_exp")).distinct()
     updated = (
-        lookup_join(dim.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left", params)
+        lookup_join(dim.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left", params, expired_rows)
         .withColumn("CURR_FLAG", F.coalesce("_new_flag", "CURR_FLAG"))
         .withColumn("EXP_DATE", F.coalesce("_new_exp", "EXP_DATE"))
         .select(*DIM_COLUMNS)
@@ -68,19 +70,22 @@ def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, param
     return updated.unionByName(new.select(*DIM_COLUMNS))
 
 
-def newly_expired(dim_current: DataFrame, expired: DataFrame, params: RunParams) -> DataFrame:
+def newly_expired(dim_current: DataFrame, expired: DataFrame, params: RunParams,
+                  expired_rows: int | None = None) -> DataFrame:
     """Current versions closed by this run, with their new flag and end date."""
     closing = expired.select(S.CUSTOMER_KEY).distinct()
     return (
-        lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_semi", params)
+        lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_semi", params, expired_rows)
         .withColumn("CURR_FLAG", F.lit(S.EXPIRED_FLAG))
         .withColumn("EXP_DATE", day_before(params.run_date))
         .select(*DIM_COLUMNS)
     )
 
 
-def current_after(dim_current: DataFrame, expired: DataFrame, new: DataFrame, params: RunParams) -> DataFrame:
+def current_after(dim_current: DataFrame, expired: DataFrame, new: DataFrame, params: RunParams,
+                  expired_rows: int | None = None) -> DataFrame:
     """Current rows after the run: untouched current rows plus the new versions."""
     closing = expired.select(S.CUSTOMER_KEY).distinct()
-    kept = lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_anti", params)
+    kept = lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_anti", params,
+                       expired_rows)
     return kept.unionByName(new.select(*DIM_COLUMNS))

@@ -1,7 +1,8 @@
 """The whole daily run as one side-effect-free plan, then one publish step.
 
-``plan`` only declares DataFrames (two small scalar actions aside: the next free
-surrogate key and, above a size bound, the key-assignment checkpoints). Every
+``plan`` declares DataFrames; its only actions are small: a bounded size check
+of the current dimension, the next free surrogate key, and checkpoints of the
+one-day change set and its keyed versions (which cut their lineage). Every
 output is built from the others inside the DAG — in particular the post-load
 snapshot used for the fact lookup is the plan's own ``current_after``, never a
 re-read of a table being written. ``publish`` writes each output once.
@@ -17,8 +18,10 @@ from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.operators import changes, errors, facts, keys, quality, scd2
+from dimflow.operators.joins import bounded_count
 from dimflow.operators.lookup import lookup_with_rejects
 from dimflow.params import RunParams
+from dimflow.session import materialize
 from dimflow.sinks import writers
 from dimflow.sources.dimension import DimensionStore, current_rows
 
@@ -57,19 +60,30 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     if params.dedupe_feed:
         feed = changes.latest_per_key(feed, S.CUSTOMER_ID, "EFF_DATE")
 
-    change_set = changes.capture_changes(feed, dim_current, params)
+    # Size facts proven once and reused by every broadcast decision below.
+    cap = params.broadcast_max_rows
+    counted = bounded_count(dim_current.select(S.CUSTOMER_ID), cap)
+    current_bound = cap + 1 if counted is None else counted
+
+    # The change set and its keyed versions are small (one business day) and feed
+    # several outputs: checkpoint them once so keys are computed exactly once.
+    change_set = materialize(changes.capture_changes(feed, dim_current, params, current_rows=current_bound))
+    n_changes = change_set.count()
     base = keys.key_base(inputs.dimension, S.CUSTOMER_KEY)
     expired = scd2.expire(change_set, params)
-    new = scd2.new_versions(change_set, base, params)
-    dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params)
-    closed = scd2.newly_expired(dim_current, expired, params)
-    cur_after = scd2.current_after(dim_current, expired, new, params)
-
-    lookup_dim = cur_after if params.snapshot == "post_load" else dim_current
+    new = materialize(scd2.new_versions(change_set, base, params, change_rows=n_changes))
+    dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_rows=n_changes)
+    closed = scd2.newly_expired(dim_current, expired, params, expired_rows=n_changes)
+    cur_after = scd2.current_after(dim_current, expired, new, params, expired_rows=n_changes)
+
+    if params.snapshot == "post_load":
+        lookup_dim, lookup_rows = cur_after, current_bound + n_changes
+    else:
+        lookup_dim, lookup_rows = dim_current, current_bound
     lookup_dim = lookup_dim.select(S.CUSTOMER_ID, *[c for c in S.names(S.CUSTOMER_DIM) if c != S.CUSTOMER_ID])
     enriched, lookup_rejects = lookup_with_rejects(
         inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, S.CUSTOMER_NOT_FOUND, params,
-        id_columns=["TXN_ID", "CUST_ID"])
+        id_columns=["TXN_ID", "CUST_ID"], ref_rows=lookup_rows)
     rules = quality.sales_rules()
     dq_pass, dq_rejects = quality.split(enriched, rules, ["TXN_ID", "CUST_ID"])
     fact = facts.summarise(dq_pass)

@@ -7,11 +7,10 @@ do we pick a fresh local folder and register it as the checkpoint dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -58,20 +57,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/dimflow-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Spark's own file source (works for any Hadoop FS)."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    try:
-        spark.read.format("binaryFile").load(path).limit(1).count()
-        return True
-    except Exception:  # noqa: BLE001 - missing path surfaces as an analysis error
-        return False
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared folder: cuts lineage, survives lost executors."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -1,9 +1,10 @@
 """Writers for the three outputs, each written once per run.
 
-* Dimension — a new ``current`` version beside the old one, the versions closed
-  by this run into the append-only history (its own partition, overwritten on a
-  re-run), then the commit marker. Nothing that is being read is overwritten,
-  and a run that dies before the marker leaves the previous version live.
+* Dimension — under a fresh attempt id: the new ``current`` rows beside the old
+  ones and the versions closed by this run into the append-only history, then
+  the commit marker naming the attempt. Nothing that is being read is
+  overwritten, and a run that dies before the marker leaves the previous
+  version live (its files are never read).
 * Fact — Parquet partitioned by ``LOAD_DATE``. ``append`` matches the original
   (a re-run appends again); ``replace_run`` overwrites only this run's partition
   (dynamic partition overwrite), which makes re-runs idempotent.
@@ -14,6 +15,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,16 +39,16 @@ def write_dimension_version(store: DimensionStore, current: DataFrame, closed: D
     """Publish one run's dimension: new current version, closed versions, marker."""
     spark = current.sparkSession
     tag = run_date.isoformat()
+    attempt = "a" + uuid.uuid4().hex[:16]
     cur, cur_obs = _counted(current.select(*S.names(S.CUSTOMER_DIM)), "dim_current")
-    cur.write.mode("overwrite").parquet(store.current_path(tag))
+    cur.write.mode("errorifexists").parquet(store.current_path(tag, attempt))
 
-    hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)).withColumn("EXPIRED_ON", F.lit(run_date)),
-                              "dim_closed")
-    (hist.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("EXPIRED_ON").parquet(store.history_dir))
+    hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)), "dim_closed")
+    hist.write.mode("errorifexists").parquet(f"{store.history_dir}/EXPIRED_ON={tag}/attempt={attempt}")
 
-    marker = spark.createDataFrame([(tag,)], "version string").withColumn("committed_at", F.current_timestamp())
-    marker.coalesce(1).write.mode("overwrite").parquet(f"{store.versions_dir}/v={tag}")
+    marker = spark.createDataFrame([(tag, attempt)], "version string, attempt string") \
+        .withColumn("committed_at", F.current_timestamp())
+    marker.coalesce(1).write.mode("overwrite").parquet(store.marker_path(tag))
     return {"dim_current": cur_obs.get["rows"], "dim_closed": hist_obs.get["rows"]}
 
 

@@ -1,20 +1,25 @@
 """Customer dimension reads: current rows, full history, empty-target bootstrap.
 
 A dimension kept on a file system uses a versioned layout so a run never
-overwrites the files it reads and a failed run leaves the previous version live:
-
-* ``<root>/current/v=<run_date>/``      current rows (``CURR_FLAG='Y'``) as of a run
-* ``<root>/history/EXPIRED_ON=<date>/`` versions closed by the run of that date (append-only)
-* ``<root>/_versions/v=<run_date>/``    commit marker, written last
-
-The live version is the newest committed marker. Scanning the current rows
-touches one ``current`` version only; closed history is never read for lookups.
+overwrites files anyone reads, and a failed or retried run leaves the previous
+version live:
+
+* ``<root>/current/v=<run_date>/attempt=<id>/``      current rows (``CURR_FLAG='Y'``) after a run
+* ``<root>/history/EXPIRED_ON=<date>/attempt=<id>/`` versions closed by that run (append-only)
+* ``<root>/_versions/v=<run_date>/``                 commit marker naming the attempt, written last
+
+Every run writes under a fresh attempt id; the marker is the switch. Readers
+take the newest marker and only the attempts markers name, so files of a failed
+attempt are never read and a re-run of a date deletes nothing a reader uses.
+Scanning the current rows touches one ``current`` attempt only; closed history
+is never read for lookups.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,8 +29,10 @@ from pyspark.sql import types as T
 from dimflow import schemas as S
 
 
-HISTORY_SCHEMA = T.StructType([*S.CUSTOMER_DIM.fields, T.StructField("EXPIRED_ON", T.DateType())])
+HISTORY_SCHEMA = T.StructType([*S.CUSTOMER_DIM.fields, T.StructField("EXPIRED_ON", T.DateType()),
+                               T.StructField("attempt", T.StringType())])
 MARKER_SCHEMA = T.StructType([T.StructField("version", T.StringType()),
+                              T.StructField("attempt", T.StringType()),
                               T.StructField("committed_at", T.TimestampType())])
 
 
@@ -62,16 +69,22 @@ class DimensionStore:
     def versions_dir(self) -> str:
         return f"{self.root.rstrip('/')}/_versions"
 
-    def current_path(self, version: str) -> str:
-        return f"{self.current_dir}/v={version}"
+    def current_path(self, version: str, attempt: str) -> str:
+        return f"{self.current_dir}/v={version}/attempt={attempt}"
 
-    def committed_versions(self, spark: SparkSession) -> list[str]:
-        """Committed version tags, oldest first (one tiny marker row per run)."""
+    def marker_path(self, version: str) -> str:
+        return f"{self.versions_dir}/v={version}"
+
+    def commits(self, spark: SparkSession) -> dict[str, str]:
+        """Committed ``{version: attempt}`` — one tiny marker row per run date."""
         try:
             markers = spark.read.schema(MARKER_SCHEMA).parquet(self.versions_dir)
         except AnalysisException:
-            return []
-        return sorted(r["version"] for r in markers.select("version").distinct().collect())
+            return {}
+        return {r["version"]: r["attempt"] for r in markers.select("version", "attempt").collect()}
+
+    def committed_versions(self, spark: SparkSession) -> list[str]:
+        return sorted(self.commits(spark))
 
     def base_version(self, spark: SparkSession, run_date: dt.date) -> str | None:
         """The version a run of ``run_date`` builds on: newest committed before it."""
@@ -88,17 +101,24 @@ class DimensionStore:
     def read_current(self, spark: SparkSession, version: str | None) -> DataFrame:
         if version is None:
             return empty_dimension(spark)
-        return current_rows(spark.read.schema(S.CUSTOMER_DIM).parquet(self.current_path(version)))
+        attempt = self.commits(spark)[version]
+        return current_rows(spark.read.schema(S.CUSTOMER_DIM).parquet(self.current_path(version, attempt)))
 
     def read_history(self, spark: SparkSession, before: dt.date | None = None) -> DataFrame:
-        """Closed versions, optionally only those closed by runs before ``before``."""
+        """Closed versions of committed runs, optionally only runs before ``before``."""
+        commits = self.commits(spark)
+        if before is not None:
+            commits = {v: a for v, a in commits.items() if v < before.isoformat()}
+        if not commits:
+            return empty_dimension(spark)
         try:
             hist = spark.read.schema(HISTORY_SCHEMA).parquet(self.history_dir)
         except AnalysisException:
             return empty_dimension(spark)
-        if before is not None:
-            hist = hist.filter(F.col("EXPIRED_ON") < F.lit(before))
-        return hist.select(*S.names(S.CUSTOMER_DIM))
+        # Partition filters: only committed (date, attempt) directories are listed and read.
+        committed = [(F.col("EXPIRED_ON") == F.lit(dt.date.fromisoformat(v))) & (F.col("attempt") == F.lit(a))
+                     for v, a in commits.items()]
+        return hist.filter(reduce(lambda x, y: x | y, committed)).select(*S.names(S.CUSTOMER_DIM))
 
     def read_all(self, spark: SparkSession, version: str | None = None) -> DataFrame:
         """Full dimension (history + current) as of ``version`` (default: live)."""

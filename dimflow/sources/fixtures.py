@@ -2,7 +2,7 @@
 
 Each adapter is a plain DataFrame plan over the given parquet tables, so its work
 grows with them. The same definitions, written in SQL, are the oracle's CTEs
-(:mod:`dimflow.oracle`). Row drops by modulus make every branch of the job
+(:mod:`dimflow.plans.oracle_sql`). Row drops by modulus make every branch of the job
 non-empty: customers with ``c_custkey % 10 = 0`` are missing from the dimension,
 ``% 4 = 1`` are absent from the feed, ``% 20 = 0`` absent everywhere, ``% 7 = 0``
 are edited, ``% 13`` / ``% 17`` carry NULL transitions.
@@ -26,6 +26,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A single-row-group file is read by one task whatever the split size, and
+    everything fused with the scan runs there too. Input made of many files or
+    row groups already has enough splits, and then nothing changes.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _txt(c: Column | str) -> Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
@@ -47,8 +58,8 @@ def _address(key: Column, null_every: int) -> Column:
 
 def sales_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales feed: one transaction per line item, with planted defects."""
-    l = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    l = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     ok = F.col("l_orderkey")

@@ -1,0 +1,238 @@
+"""Operator tests on hand-made frames: NULLs, duplicates, empty input, boundaries."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from dimflow import schemas as S
+from dimflow.operators import (
+    apply_to_dimension,
+    assign_keys,
+    capture_changes,
+    current_after,
+    enrich,
+    expire,
+    funnel,
+    key_base,
+    latest_per_key,
+    new_versions,
+    passed,
+    rejected,
+    sales_rules,
+    summarise,
+    unclassified,
+    unmatched,
+)
+from dimflow.params import RunParams
+
+P = RunParams(run_date=dt.date(2026, 7, 28), run_ts="2026-07-28 00:00:00")
+D = dt.date
+
+
+def sales(spark, data):
+    return spark.createDataFrame(data, S.SALES_TXN)
+
+
+def dim(spark, data):
+    return spark.createDataFrame(data, S.CUSTOMER_DIM)
+
+
+def feed(spark, data):
+    return spark.createDataFrame(data, S.CUSTOMER_DELTA)
+
+
+def srow(txn, cust, amount=Decimal("10.00"), qty=1, txn_date=D(2026, 7, 1), store="S1", price=Decimal("10.00"),
+         product="P1"):
+    return (txn, cust, product, store, "WEB", txn_date, qty, price, amount)
+
+
+def drow(key, cust, name="N", addr="A", city="C", state="ST", zip_="01234", seg="SMB", flag="Y",
+         eff=D(2026, 1, 1), exp=D(9999, 12, 31)):
+    return (key, cust, name, addr, city, state, zip_, seg, eff, exp, flag)
+
+
+def frow(cust, name="N", addr="A", city="C", state="ST", zip_="01234", seg="SMB", src="CRM", eff=D(2026, 7, 1)):
+    return (cust, name, addr, city, state, zip_, seg, src, eff)
+
+
+# ---- data quality -------------------------------------------------------------------------------
+
+def test_quality_three_valued_routing(spark):
+    df = sales(spark, [
+        srow("t1", "c1"),                                        # pass
+        srow("t2", None),                                        # missing cust
+        srow("t3", "c1", amount=Decimal("0.00")),                # zero amount
+        srow("t4", "c1", amount=Decimal("-1.00"), qty=0),        # amount wins over qty
+        srow("t5", "c1", qty=-2),                                # qty
+        srow("t6", "c1", txn_date=None),                         # date
+        srow("t7", "c1", amount=None),                           # NULL amount only: neither stream
+        srow("t8", "c1", qty=None, amount=Decimal("-3.00")),     # NULL qty, bad amount: reject
+        srow("t9", None, amount=None),                           # missing cust wins
+    ])
+    rules = sales_rules()
+    assert rows(passed(df, rules), "TXN_ID") == [("t1",)]
+    assert rows(rejected(df, rules, ["TXN_ID", "CUST_ID"]), "TXN_ID", "ERROR_REASON") == [
+        ("t2", "MISSING_CUST_ID"), ("t3", "NON_POSITIVE_AMOUNT"), ("t4", "NON_POSITIVE_AMOUNT"),
+        ("t5", "NON_POSITIVE_QTY"), ("t6", "MISSING_TXN_DATE"), ("t8", "NON_POSITIVE_AMOUNT"),
+        ("t9", "MISSING_CUST_ID"),
+    ]
+    assert rows(unclassified(df, rules), "TXN_ID") == [("t7",)]
+
+
+def test_quality_empty_input(spark):
+    df = sales(spark, [])
+    assert passed(df, sales_rules()).count() == 0
+    assert rejected(df, sales_rules(), ["TXN_ID", "CUST_ID"]).columns == ["TXN_ID", "CUST_ID", "ERROR_REASON"]
+
+
+# ---- lookup ------------------------------------------------------------------------------------
+
+def test_lookup_null_key_and_fan_out(spark):
+    s = sales(spark, [srow("t1", "c1"), srow("t2", None), srow("t3", "c9"), srow("t4", "c2")])
+    d = dim(spark, [drow(1, "c1"), drow(2, "c2"), drow(3, "c2")])  # c2 has two current rows
+    got = enrich(s, d, "CUST_ID", P)
+    assert rows(got, "TXN_ID", "CUST_KEY") == [("t1", 1), ("t4", 2), ("t4", 3)]
+    assert got.columns[:9] == S.names(S.SALES_TXN)
+    rej = unmatched(s, d, "CUST_ID", S.CUSTOMER_NOT_FOUND, P, ["TXN_ID", "CUST_ID"])
+    assert rows(rej) == [("t2", None, S.CUSTOMER_NOT_FOUND), ("t3", "c9", S.CUSTOMER_NOT_FOUND)]
+
+
+@pytest.mark.parametrize("cap", [0, 1, 1000])
+def test_lookup_same_result_on_every_join_path(spark, cap):
+    # cap 0 forces the salted shuffle join, 1 the semi-join reduction, 1000 a broadcast.
+    data = [srow(f"t{i}", "hot" if i % 3 else f"c{i % 7}") for i in range(300)] + [srow("tn", None)]
+    s = sales(spark, data)
+    d = dim(spark, [drow(1, "hot"), drow(2, "c0"), drow(3, "c3")])
+    params = P.with_(broadcast_max_rows=cap, hot_key_share=0.05, skew_sample_fraction=1.0, salt_buckets=4)
+    base = P.with_(broadcast_max_rows=10_000)
+    assert rows(enrich(s, d, "CUST_ID", params)) == rows(enrich(s, d, "CUST_ID", base))
+    assert rows(unmatched(s, d, "CUST_ID", "X", params, ["TXN_ID", "CUST_ID"])) == \
+        rows(unmatched(s, d, "CUST_ID", "X", base, ["TXN_ID", "CUST_ID"]))
+
+
+# ---- change capture ------------------------------------------------------------------------------
+
+def test_change_codes_and_null_semantics(spark):
+    cur = dim(spark, [
+        drow(1, "c1"),                      # unchanged -> copy, dropped
+        drow(2, "c2", seg="SMB"),           # edited segment
+        drow(3, "c3", addr=None),           # NULL -> value: not an edit by default
+        drow(4, "c4"),                      # value -> NULL: not an edit by default
+        drow(5, "c5"),                      # absent from feed: kept, not emitted
+    ])
+    f = feed(spark, [frow("c1"), frow("c2", seg="ENT"), frow("c3"), frow("c4", addr=None), frow("c6"),
+                     frow(None)])
+    got = capture_changes(f, cur, P)
+    assert got.columns == S.names(S.CHANGE_SET)
+    assert rows(got, "CUST_ID", "CHANGE_CODE", "EXISTING_CUST_KEY") == [("c2", 3, 2), ("c6", 1, None)]
+    ns = capture_changes(f, cur, P.with_(null_safe_compare=True))
+    assert rows(ns, "CUST_ID", "CHANGE_CODE") == [("c2", 3), ("c3", 3), ("c4", 3), ("c6", 1)]
+    dl = capture_changes(f, cur, P.with_(detect_deletes=True))
+    assert rows(dl, "CUST_ID", "CHANGE_CODE", "EXISTING_CUST_KEY") == [("c2", 3, 2), ("c5", 2, 5), ("c6", 1, None)]
+
+
+def test_change_capture_keeps_duplicate_feed_keys(spark):
+    cur = dim(spark, [drow(1, "c1")])
+    f = feed(spark, [frow("c1", seg="A"), frow("c1", seg="B"), frow("c1")])
+    got = capture_changes(f, cur, P)
+    assert rows(got, "CUST_ID", "SEGMENT", "CHANGE_CODE") == [("c1", "A", 3), ("c1", "B", 3)]
+
+
+def test_latest_per_key_dedupes_feed(spark):
+    f = feed(spark, [frow("c1", seg="OLD", eff=D(2026, 7, 1)), frow("c1", seg="NEW", eff=D(2026, 7, 5)),
+                     frow("c2")])
+    got = latest_per_key(f, "CUST_ID", "EFF_DATE")
+    assert got.columns == f.columns
+    assert rows(got, "CUST_ID", "SEGMENT") == [("c1", "NEW"), ("c2", "SMB")]
+
+
+def test_every_row_a_copy_gives_empty_change_set(spark):
+    cur = dim(spark, [drow(1, "c1"), drow(2, "c2")])
+    assert capture_changes(feed(spark, [frow("c1"), frow("c2")]), cur, P).count() == 0
+    assert capture_changes(feed(spark, []), cur, P).count() == 0
+
+
+# ---- keys ----------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_distributed_keys_equal_window_keys(spark, partitions):
+    data = [(f"c{i % 37:03d}", f"n{i % 5}", i % 4) for i in range(500)]  # many ties and exact duplicates
+    df = spark.createDataFrame(data, "CUST_ID string, NAME string, X int").repartition(partitions)
+    order = ["CUST_ID", "NAME", "X"]
+    w = assign_keys(df, order, 100, "K", P.with_(key_strategy="window"))
+    d = assign_keys(df, order, 100, "K", P.with_(key_strategy="distributed"))
+    assert rows(w) == rows(d)
+    keys = [r.K for r in d.select("K").collect()]
+    assert sorted(keys) == list(range(100, 600))
+
+
+def test_key_base_and_overflow(spark):
+    assert key_base(dim(spark, []), "CUST_KEY") == 1
+    assert key_base(dim(spark, [drow(7, "a", flag="N"), drow(3, "b")]), "CUST_KEY") == 8
+    df = spark.createDataFrame([("a",), ("b",)], "CUST_ID string")
+    with pytest.raises(Exception):
+        assign_keys(df, ["CUST_ID"], 2**31 - 1, "K", P.with_(key_strategy="window")).collect()
+
+
+# ---- SCD2 ----------------------------------------------------------------------------------------
+
+def test_scd2_first_of_month_and_versions(spark):
+    params = P.with_(run_date=D(2026, 8, 1))
+    cur = dim(spark, [drow(10, "c1", seg="A"), drow(11, "c2")])
+    changes = capture_changes(feed(spark, [frow("c1", seg="B"), frow("c3"), frow("c0")]), cur, params)
+    exp = expire(changes, params)
+    assert rows(exp) == [(10, "N", D(2026, 7, 31))]
+    new = new_versions(changes, 12, params)
+    assert rows(new, "CUST_KEY", "CUST_ID", "EXISTING_CUST_KEY", "CURR_FLAG", "EFF_DATE", "EXP_DATE") == [
+        (12, "c0", None, "Y", D(2026, 8, 1), D(9999, 12, 31)),
+        (13, "c1", 10, "Y", D(2026, 8, 1), D(9999, 12, 31)),
+        (14, "c3", None, "Y", D(2026, 8, 1), D(9999, 12, 31)),
+    ]
+    after = apply_to_dimension(cur, exp, new, params)
+    assert after.count() == 5
+    assert rows(after.filter("CURR_FLAG = 'Y'"), "CUST_ID", "CUST_KEY") == [
+        ("c0", 12), ("c1", 13), ("c2", 11), ("c3", 14)]
+    assert rows(current_after(cur, exp, new, params), "CUST_KEY") == [(11,), (12,), (13,), (14,)]
+
+
+def test_duplicate_expire_keys_do_not_multiply_rows(spark):
+    cur = dim(spark, [drow(1, "c1")])
+    changes = capture_changes(feed(spark, [frow("c1", seg="A"), frow("c1", seg="B")]), cur, P)
+    exp = expire(changes, P)
+    assert exp.count() == 2
+    after = apply_to_dimension(cur, exp, new_versions(changes, 2, P), P)
+    assert rows(after, "CUST_KEY", "CURR_FLAG") == [(1, "N"), (2, "Y"), (3, "Y")]
+
+
+# ---- facts and errors ----------------------------------------------------------------------------
+
+def test_summarise_types_nulls_and_rounding(spark):
+    df = sales(spark, [
+        srow("t1", "c1", qty=1, amount=Decimal("1.00"), price=Decimal("0.01")),
+        srow("t2", "c1", qty=2, amount=Decimal("2.00"), price=Decimal("0.02")),   # avg 0.015 -> 0.02
+        srow("t3", "c1", qty=3, amount=Decimal("3.50"), store=None),
+        srow(None, "c1", qty=4, amount=Decimal("4.00"), store=None),             # NULL txn id not counted
+    ]).withColumn("CUST_KEY", F.lit(7))
+    got = summarise(df)
+    assert [f.dataType.simpleString() for f in got.schema.fields[4:]] == \
+        ["int", "decimal(15,2)", "int", "decimal(12,2)"]
+    assert rows(got, "STORE_ID", "TOTAL_QTY", "TOTAL_AMOUNT", "TXN_COUNT", "AVG_UNIT_PRICE") == [
+        ("S1", 3, Decimal("3.00"), 2, Decimal("0.02")),
+        (None, 7, Decimal("7.50"), 1, Decimal("10.00")),
+    ]
+
+
+def test_funnel_columns(spark):
+    a = spark.createDataFrame([("t1", "c1", "R1")], "TXN_ID string, CUST_ID string, ERROR_REASON string")
+    b = spark.createDataFrame([("c2", "t2", "R2")], "CUST_ID string, TXN_ID string, ERROR_REASON string")
+    got = funnel(a, b, params=P)
+    assert got.columns == S.names(S.ERROR_LOG)
+    assert rows(got) == [
+        ("t1", "c1", "R1", dt.datetime(2026, 7, 28), D(2026, 7, 28)),
+        ("t2", "c2", "R2", dt.datetime(2026, 7, 28), D(2026, 7, 28)),
+    ]
