@@ -1,7 +1,7 @@
 """DataFrame operators of the mart load; each takes column names as arguments."""
 
 from dimflow.operators.changes import capture_changes, latest_per_key
-from dimflow.operators.errors import funnel
+from dimflow.operators.errors import funnel, rejects_in_one_pass
 from dimflow.operators.facts import sort_for_output, summarise
 from dimflow.operators.joins import bounded_count, heavy_keys, lookup_join, salted_join
 from dimflow.operators.keys import assign_keys, key_base, positions_distributed, positions_window
@@ -30,6 +30,7 @@ __all__ = [
     "positions_distributed",
     "positions_window",
     "rejected",
+    "rejects_in_one_pass",
     "salted_join",
     "sales_rules",
     "sort_for_output",

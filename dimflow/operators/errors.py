@@ -5,9 +5,12 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.functions import audit_timestamp, date_lit
+from dimflow.operators.joins import lookup_join
+from dimflow.operators.quality import Rule, reason, reject_predicate
 from dimflow.params import RunParams
 
 
@@ -20,3 +23,22 @@ def funnel(*rejects: DataFrame, params: RunParams) -> DataFrame:
         audit_timestamp(params.run_ts).alias("ERROR_TIMESTAMP"),
         date_lit(params.run_date).alias("RUN_DATE"),
     )
+
+
+def rejects_in_one_pass(df: DataFrame, ref: DataFrame, on: str, key: str, not_found: str, rules: list[Rule],
+                        params: RunParams, id_columns: list[str] | None = None,
+                        ref_rows: int | None = None) -> DataFrame:
+    """Lookup rejects and data-quality rejects from a single left join.
+
+    A row whose key finds no reference row is rejected with ``not_found``; a
+    matched row (once per matching reference row, like the enriched stream) is
+    rejected when a rule fires. Same rows as ``unmatched`` UNION ALL
+    ``rejected(enrich(...))`` but the input is scanned and joined once.
+    """
+    ids = id_columns or S.REJECT_COLUMNS[:2]
+    joined = lookup_join(df, ref.select(on, key), on, "left", params, ref_rows)
+    missing = F.col(key).isNull()
+    return (
+        joined.filter(missing | F.coalesce(reject_predicate(rules), F.lit(False)))
+        .select(*ids, F.when(missing, F.lit(not_found)).otherwise(reason(rules)).alias("ERROR_REASON"))
+    )

@@ -87,7 +87,11 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     rules = quality.sales_rules()
     dq_pass, dq_rejects = quality.split(enriched, rules, ["TXN_ID", "CUST_ID"])
     fact = facts.summarise(dq_pass)
-    error_log = errors.funnel(lookup_rejects, dq_rejects, params=params)
+    # One scan and one join of the sales for the whole error log.
+    error_log = errors.funnel(
+        errors.rejects_in_one_pass(inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, S.CUSTOMER_KEY,
+                                   S.CUSTOMER_NOT_FOUND, rules, params, ref_rows=lookup_rows),
+        params=params)
     return Outputs(
         key_base=base, changes=change_set, expired=expired, new_versions=new,
         dimension_after=dim_after, dimension_closed=closed, current_after=cur_after,

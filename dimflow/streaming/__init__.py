@@ -1,0 +1,5 @@
+"""Incremental driver: one daily run per newly arrived feed date (no new operators)."""
+
+from dimflow.streaming.feed_runner import FeedRunner
+
+__all__ = ["FeedRunner"]

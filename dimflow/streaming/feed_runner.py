@@ -1,0 +1,70 @@
+"""Run the daily load for every newly arrived sales feed, exactly once.
+
+The original job is a one-shot batch per business date. This runner is only a
+driver for it: a file-source stream watches the feed folder, and each
+micro-batch (``foreachBatch``) runs the same :func:`dimflow.plans.plan` /
+:func:`dimflow.plans.publish` once per business date it contains, oldest first.
+Structured Streaming's checkpoint records which files were processed; a batch
+replayed after a failure re-runs its dates, which the versioned dimension store
+and ``replace_run`` fact writes make idempotent.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dimflow import schemas as S
+from dimflow.params import RunParams
+from dimflow.plans.daily_run import Targets, inputs_from_store, plan, publish
+from dimflow.sources.dimension import DimensionStore
+from dimflow.sources.feeds import FEED_OPTIONS, read_customer_delta
+
+RUN_DATE_COL = "_feed_date"
+# Business date from the feed file name: ``sales_txn_<yyyy-MM-dd>.dat``.
+FEED_DATE_PATTERN = r"sales_txn_(\d{4}-\d{2}-\d{2})\.dat"
+
+
+@dataclass(frozen=True)
+class FeedRunner:
+    src_dir: str
+    targets: Targets
+    checkpoint_dir: str
+    params: RunParams = RunParams()
+
+    def sales_stream(self, spark: SparkSession) -> DataFrame:
+        return (
+            spark.readStream.schema(S.SALES_TXN).options(**FEED_OPTIONS)
+            .option("pathGlobFilter", "sales_txn_*.dat")
+            .csv(self.src_dir)
+            .withColumn(RUN_DATE_COL, F.to_date(F.regexp_extract(F.col("_metadata.file_path"),
+                                                                 FEED_DATE_PATTERN, 1)))
+        )
+
+    def run_dates(self, batch: DataFrame) -> list[dt.date]:
+        """Business dates in a micro-batch (one per arrived feed file, a handful at most)."""
+        return sorted(r[RUN_DATE_COL] for r in batch.select(RUN_DATE_COL).distinct().collect()
+                      if r[RUN_DATE_COL] is not None)
+
+    def process_batch(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        store = DimensionStore(self.targets.dimension_root)
+        for run_date in self.run_dates(batch):
+            params = self.params.with_(run_date=run_date)
+            sales = batch.filter(F.col(RUN_DATE_COL) == F.lit(run_date)).drop(RUN_DATE_COL)
+            customers = read_customer_delta(spark, self.src_dir, run_date)
+            publish(plan(inputs_from_store(customers, sales, store, params), params), self.targets, params)
+
+    def run_available(self, spark: SparkSession) -> None:
+        """Process every feed not seen before, then stop (``availableNow``)."""
+        query = (
+            self.sales_stream(spark).writeStream
+            .foreachBatch(self.process_batch)
+            .option("checkpointLocation", self.checkpoint_dir)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()

@@ -236,3 +236,20 @@ def test_funnel_columns(spark):
         ("t1", "c1", "R1", dt.datetime(2026, 7, 28), D(2026, 7, 28)),
         ("t2", "c2", "R2", dt.datetime(2026, 7, 28), D(2026, 7, 28)),
     ]
+
+
+@pytest.mark.parametrize("cap", [0, 1000])
+def test_rejects_in_one_pass_equals_two_streams(spark, cap):
+    from dimflow.operators import rejects_in_one_pass
+
+    s = sales(spark, [srow("t1", "c1"), srow("t2", None), srow("t3", "c9"), srow("t4", "c2", qty=0),
+                      srow("t5", "c2", amount=None), srow("t6", "c1", txn_date=None)])
+    d = dim(spark, [drow(1, "c1"), drow(2, "c2"), drow(3, "c2")])
+    params = P.with_(broadcast_max_rows=cap, skew_sample_fraction=1.0)
+    ids = ["TXN_ID", "CUST_ID"]
+    two = unmatched(s, d, "CUST_ID", "NF", params, ids).unionByName(
+        rejected(enrich(s, d, "CUST_ID", params), sales_rules(), ids))
+    one = rejects_in_one_pass(s, d, "CUST_ID", "CUST_KEY", "NF", sales_rules(), params, ids)
+    assert rows(one) == rows(two) == [
+        ("t2", None, "NF"), ("t3", "c9", "NF"), ("t4", "c2", "NON_POSITIVE_QTY"), ("t4", "c2", "NON_POSITIVE_QTY"),
+        ("t6", "c1", "MISSING_TXN_DATE")]

@@ -1,0 +1,38 @@
+"""The incremental runner processes each arrived feed date once, in date order."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+from test_sources_sinks import CUSTOMERS, _stage
+
+from dimflow.params import RunParams
+from dimflow.plans import Targets
+from dimflow.sinks import read_error_log, read_fact
+from dimflow.sources import DimensionStore
+from dimflow.streaming import FeedRunner
+
+D = dt.date
+
+
+def test_feed_runner_runs_each_new_date_once(spark, workdir):
+    day1, day2 = D(2026, 7, 28), D(2026, 7, 29)
+    src = _stage(workdir, day1)
+    _stage(workdir, day2, CUSTOMERS.replace("K-13,Dogwood Inc", "K-13,Dogwood Corp"))
+    targets = Targets(dimension_root=os.path.join(workdir, "dim"), fact_path=os.path.join(workdir, "fact"),
+                      error_dir=os.path.join(workdir, "err"), fact_mode="replace_run")
+    runner = FeedRunner(src, targets, os.path.join(workdir, "stream_ckpt"), RunParams(run_ts="2026-07-28 00:00:00"))
+    runner.run_available(spark)
+
+    store = DimensionStore(targets.dimension_root)
+    assert store.committed_versions(spark) == ["2026-07-28", "2026-07-29"]
+    dim = store.read_all(spark)
+    assert dim.count() == 6 and dim.filter("CURR_FLAG = 'N'").count() == 1
+    assert read_fact(spark, targets.fact_path, day1).count() == 8
+    assert read_fact(spark, targets.fact_path, day2).count() == 8
+    assert read_error_log(spark, targets.error_dir, day2).count() == 0
+
+    runner.run_available(spark)  # nothing new: no further version, no duplicate facts
+    assert store.committed_versions(spark) == ["2026-07-28", "2026-07-29"]
+    assert read_fact(spark, targets.fact_path).count() == 16
