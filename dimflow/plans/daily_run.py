@@ -32,11 +32,13 @@ class Inputs:
     sales_txn: DataFrame
     dimension: DataFrame                 # every version before the run (may hold only current rows)
     dimension_current: DataFrame | None = None  # current rows, when the store keeps them apart
+    key_base: int | None = None          # next free surrogate key, when the store records it
 
 
 @dataclass(frozen=True)
 class Outputs:
     key_base: int
+    next_key: int
     changes: DataFrame
     expired: DataFrame
     new_versions: DataFrame
@@ -69,9 +71,10 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     # several outputs: checkpoint them once so keys are computed exactly once.
     change_set = materialize(changes.capture_changes(feed, dim_current, params, current_rows=current_bound))
     n_changes = change_set.count()
-    base = keys.key_base(inputs.dimension, S.CUSTOMER_KEY)
+    base = inputs.key_base if inputs.key_base is not None else keys.key_base(inputs.dimension, S.CUSTOMER_KEY)
     expired = scd2.expire(change_set, params)
     new = materialize(scd2.new_versions(change_set, base, params, change_rows=n_changes))
+    next_key = base + new.count()  # keys are dense: base .. base + n - 1
     dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_rows=n_changes)
     closed = scd2.newly_expired(dim_current, expired, params, expired_rows=n_changes)
     cur_after = scd2.current_after(dim_current, expired, new, params, expired_rows=n_changes)
@@ -93,7 +96,7 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
                                    S.CUSTOMER_NOT_FOUND, rules, params, ref_rows=lookup_rows),
         params=params)
     return Outputs(
-        key_base=base, changes=change_set, expired=expired, new_versions=new,
+        key_base=base, next_key=next_key, changes=change_set, expired=expired, new_versions=new,
         dimension_after=dim_after, dimension_closed=closed, current_after=cur_after,
         lookup_dimension=lookup_dim, enriched=enriched, lookup_rejects=lookup_rejects,
         dq_pass=dq_pass, dq_rejects=dq_rejects, dq_unclassified=quality.unclassified(enriched, rules),
@@ -135,14 +138,15 @@ def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: Di
     current = store.read_current(spark, base)
     history = store.read_history(spark, before=params.run_date)
     return Inputs(customer_delta=customer_delta, sales_txn=sales_txn,
-                  dimension=history.unionByName(current), dimension_current=current)
+                  dimension=history.unionByName(current), dimension_current=current,
+                  key_base=store.next_key(spark, base))
 
 
 def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:
     """Write dimension, fact and error log once each; return the observed row counts."""
     store = DimensionStore(targets.dimension_root)
     counts = writers.write_dimension_version(store, outputs.current_after, outputs.dimension_closed,
-                                             params.run_date)
+                                             params.run_date, outputs.next_key)
     counts["fact"] = writers.write_fact(outputs.fact, targets.fact_path, params.run_date, targets.fact_mode)
     counts["errors"] = writers.write_error_log(outputs.errors, targets.error_dir, params.run_date)
     return counts

@@ -182,6 +182,14 @@ change_del AS (
 )"""
 
 CHANGE_COLS = ", ".join(["CHANGE_CODE", "CUST_ID", *ATTRS, "EXISTING_CUST_KEY"])
+FEED_COLS = ["CUST_ID", *ATTRS, "SOURCE_SYSTEM", "EFF_DATE"]
+LATEST = f"""
+SELECT {", ".join(FEED_COLS)} FROM (
+  SELECT *, row_number() OVER (
+           PARTITION BY CUST_ID
+           ORDER BY {", ".join(f"{c} DESC NULLS LAST" for c in ["EFF_DATE", *ATTRS, "SOURCE_SYSTEM"])}) AS rn
+  FROM customer_delta)
+WHERE rn = 1"""
 
 ORACLE: dict[str, str] = {
     "scan_customer_delta_csv": _with(ADAPTERS) + "\nSELECT * FROM customer_delta",
@@ -199,6 +207,7 @@ ORACLE: dict[str, str] = {
     "change_capture_null_safe": _with(ADAPTERS, _changes_cte(NULL_SAFE_COMPARE)) + "\nSELECT * FROM changes",
     "change_capture_with_deletes": _with(ADAPTERS, DELETES)
     + f"\nSELECT {CHANGE_COLS} FROM change_del WHERE CHANGE_CODE <> 0 AND CUST_ID IS NOT NULL",
+    "feed_latest_per_key": _with(ADAPTERS) + LATEST,
     "surrogate_keys": _on_full(f"SELECT {CHANGE_COLS}, CUST_KEY FROM keyed"),
     "surrogate_keys_distributed": _on_full(f"SELECT {CHANGE_COLS}, CUST_KEY FROM keyed"),
     "scd2_expire": _on_full("SELECT * FROM expire"),

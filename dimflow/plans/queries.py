@@ -142,7 +142,7 @@ def dq_unclassified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unclassified(_enriched_pre_load(spark, sf_dir), quality.sales_rules())
 
 
-# ---- change capture, keys, SCD2 (C1-C4, W1, K1, K2, T1-T3, E2, E4) --------------------------------
+# ---- change capture, keys, SCD2 (C1-C4, W1, K1, K2, T1-T3, E2-E4) --------------------------------
 
 @query("change_capture")
 def change_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +159,12 @@ def change_capture_with_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _change_set(spark, sf_dir, PARAMS.with_(detect_deletes=True))
 
 
+@query("feed_latest_per_key")
+def feed_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep-latest dedupe of the customer feed by business key (option ``dedupe_feed``)."""
+    return changes.latest_per_key(fx.customer_delta(spark, sf_dir), S.CUSTOMER_ID, "EFF_DATE")
+
+
 @query("surrogate_keys")
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _keyed_changes(spark, sf_dir, "window")
@@ -190,7 +196,8 @@ def dim_versioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Seed a versioned store with the current dimension, run the day from it, read it back."""
     store = DimensionStore(scratch_path(spark, "dim_store"))
     seed = fx.dim_current(spark, sf_dir)
-    writers.write_dimension_version(store, seed, empty_dimension(spark), fx.DIM_EFF_DATE)
+    writers.write_dimension_version(store, seed, empty_dimension(spark), fx.DIM_EFF_DATE,
+                                    keys.key_base(seed, S.CUSTOMER_KEY))
     inputs = inputs_from_store(fx.customer_delta(spark, sf_dir), fx.sales_txn(spark, sf_dir), store, PARAMS)
     publish(plan(inputs, PARAMS), _targets(spark, store), PARAMS)
     return store.read_all(spark)

@@ -38,6 +38,28 @@ def local_session(cores: int | str = "*", app: str = "dimflow", shuffle_partitio
     return spark
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of input.
+
+    Splits and shuffle partitions of about ``partition_bytes`` keep every task's
+    working set in executor memory; AQE coalesces small shuffle partitions and
+    splits skewed join partitions at run time. Broadcasts chosen by the job are
+    decided by proven row bounds (``RunParams.broadcast_max_rows``), not by
+    these settings.
+    """
+    shuffle_partitions = max(200, min(200_000, input_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.ansi.enabled": "true",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, creating a local one only if unset."""
     sc = spark.sparkContext

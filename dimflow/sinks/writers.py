@@ -35,8 +35,12 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def write_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
-                            run_date: dt.date) -> dict[str, int]:
-    """Publish one run's dimension: new current version, closed versions, marker."""
+                            run_date: dt.date, next_key: int) -> dict[str, int]:
+    """Publish one run's dimension: new current version, closed versions, marker.
+
+    ``next_key`` — first surrogate key the next run may use; kept in the marker so
+    later runs need not scan the dimension for its maximum key.
+    """
     spark = current.sparkSession
     tag = run_date.isoformat()
     attempt = "a" + uuid.uuid4().hex[:16]
@@ -46,7 +50,7 @@ def write_dimension_version(store: DimensionStore, current: DataFrame, closed: D
     hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)), "dim_closed")
     hist.write.mode("errorifexists").parquet(f"{store.history_dir}/EXPIRED_ON={tag}/attempt={attempt}")
 
-    marker = spark.createDataFrame([(tag, attempt)], "version string, attempt string") \
+    marker = spark.createDataFrame([(tag, attempt, int(next_key))], "version string, attempt string, next_key long") \
         .withColumn("committed_at", F.current_timestamp())
     marker.coalesce(1).write.mode("overwrite").parquet(store.marker_path(tag))
     return {"dim_current": cur_obs.get["rows"], "dim_closed": hist_obs.get["rows"]}

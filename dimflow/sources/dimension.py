@@ -33,6 +33,7 @@ HISTORY_SCHEMA = T.StructType([*S.CUSTOMER_DIM.fields, T.StructField("EXPIRED_ON
                                T.StructField("attempt", T.StringType())])
 MARKER_SCHEMA = T.StructType([T.StructField("version", T.StringType()),
                               T.StructField("attempt", T.StringType()),
+                              T.StructField("next_key", T.LongType()),
                               T.StructField("committed_at", T.TimestampType())])
 
 
@@ -75,13 +76,23 @@ class DimensionStore:
     def marker_path(self, version: str) -> str:
         return f"{self.versions_dir}/v={version}"
 
-    def commits(self, spark: SparkSession) -> dict[str, str]:
-        """Committed ``{version: attempt}`` — one tiny marker row per run date."""
+    def markers(self, spark: SparkSession) -> dict[str, dict]:
+        """Committed ``{version: marker}`` — one tiny marker row per run date."""
         try:
-            markers = spark.read.schema(MARKER_SCHEMA).parquet(self.versions_dir)
+            rows = spark.read.schema(MARKER_SCHEMA).parquet(self.versions_dir).collect()
         except AnalysisException:
             return {}
-        return {r["version"]: r["attempt"] for r in markers.select("version", "attempt").collect()}
+        return {r["version"]: r.asDict() for r in rows}
+
+    def commits(self, spark: SparkSession) -> dict[str, str]:
+        """Committed ``{version: attempt}``."""
+        return {v: m["attempt"] for v, m in self.markers(spark).items()}
+
+    def next_key(self, spark: SparkSession, version: str | None) -> int:
+        """First free surrogate key after ``version`` (1 for an empty store), kept in its marker."""
+        if version is None:
+            return 1
+        return int(self.markers(spark)[version]["next_key"])
 
     def committed_versions(self, spark: SparkSession) -> list[str]:
         return sorted(self.commits(spark))
