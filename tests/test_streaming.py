@@ -36,3 +36,14 @@ def test_feed_runner_runs_each_new_date_once(spark, workdir):
     runner.run_available(spark)  # nothing new: no further version, no duplicate facts
     assert store.committed_versions(spark) == ["2026-07-28", "2026-07-29"]
     assert read_fact(spark, targets.fact_path).count() == 16
+
+
+def test_command_line_run(spark, workdir):
+    from dimflow.__main__ import main
+
+    src = _stage(workdir, D(2026, 7, 28))
+    args = ["--run-date", "2026-07-28", "--src-dir", src, "--err-dir", os.path.join(workdir, "err"),
+            "--dim-root", os.path.join(workdir, "dim"), "--fact-path", os.path.join(workdir, "fact")]
+    counts = main(args)
+    assert counts["fact"] == 8 and counts["dim_current"] == 5 and counts["errors"] == 0
+    assert main(args[:1] + ["2026-07-29"] + args[2:])["changes"] == 0  # same feed file name date differs
