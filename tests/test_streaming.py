@@ -46,4 +46,5 @@ def test_command_line_run(spark, workdir):
             "--dim-root", os.path.join(workdir, "dim"), "--fact-path", os.path.join(workdir, "fact")]
     counts = main(args)
     assert counts["fact"] == 8 and counts["dim_current"] == 5 and counts["errors"] == 0
-    assert main(args[:1] + ["2026-07-29"] + args[2:])["changes"] == 0  # same feed file name date differs
+    _stage(workdir, D(2026, 7, 29))  # the same feeds again, filed under the next date
+    assert main(args[:1] + ["2026-07-29"] + args[2:])["changes"] == 0
