@@ -3,14 +3,18 @@
 from dimflow.operators.changes import capture_changes, latest_per_key
 from dimflow.operators.errors import funnel, rejects_in_one_pass
 from dimflow.operators.facts import sort_for_output, summarise
-from dimflow.operators.joins import bounded_count, heavy_keys, lookup_join, salted_join
+from dimflow.operators.joins import (
+    LookupPlan, Size, bounded_count, fits_broadcast, heavy_keys, lookup_join, measure, plan_lookup, salted_join,
+)
 from dimflow.operators.keys import assign_keys, key_base, positions_distributed, positions_window
 from dimflow.operators.lookup import enrich, lookup_with_rejects, unmatched
 from dimflow.operators.quality import Rule, passed, rejected, sales_rules, split, unclassified
 from dimflow.operators.scd2 import apply_to_dimension, current_after, expire, new_versions, newly_expired
 
 __all__ = [
+    "LookupPlan",
     "Rule",
+    "Size",
     "apply_to_dimension",
     "assign_keys",
     "bounded_count",
@@ -18,15 +22,18 @@ __all__ = [
     "current_after",
     "enrich",
     "expire",
+    "fits_broadcast",
     "funnel",
     "heavy_keys",
     "key_base",
     "latest_per_key",
     "lookup_with_rejects",
     "lookup_join",
+    "measure",
     "new_versions",
     "newly_expired",
     "passed",
+    "plan_lookup",
     "positions_distributed",
     "positions_window",
     "rejected",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.functions import any_differs
-from dimflow.operators.joins import lookup_join
+from dimflow.operators.joins import Size, lookup_join
 from dimflow.params import RunParams
 
 BEFORE = "_before_"
@@ -44,7 +44,8 @@ def capture_changes(feed: DataFrame, current: DataFrame, params: RunParams,
                     key: str = S.CUSTOMER_ID, surrogate: str = S.CUSTOMER_KEY,
                     attributes: list[str] | None = None,
                     existing_key: str = "EXISTING_CUST_KEY",
-                    current_rows: int | None = None) -> DataFrame:
+                    current_size: Size | None = None) -> DataFrame:
+    """``current_size`` — proven bound on ``current`` (any projection of it is no larger)."""
     attributes = attributes or S.TRACKED_ATTRIBUTES
     before = current.select(
         F.col(key), F.col(surrogate).alias(existing_key),
@@ -56,7 +57,7 @@ def capture_changes(feed: DataFrame, current: DataFrame, params: RunParams,
         joined = after.withColumn("_in_feed", F.lit(True)).join(before, key, "full_outer")
         found_after = F.col("_in_feed").isNotNull()
     else:
-        joined = lookup_join(after, before, key, "left", params, current_rows)
+        joined = lookup_join(after, before, key, "left", params, current_size)
         found_after = F.lit(True)
 
     differs = any_differs([(F.col(a), F.col(BEFORE + a)) for a in attributes], params.null_safe_compare)

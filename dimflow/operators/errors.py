@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.functions import audit_timestamp, date_lit
-from dimflow.operators.joins import lookup_join
+from dimflow.operators.joins import LookupPlan, plan_lookup
 from dimflow.operators.quality import Rule, reason, reject_predicate
 from dimflow.params import RunParams
 
@@ -27,7 +27,7 @@ def funnel(*rejects: DataFrame, params: RunParams) -> DataFrame:
 
 def rejects_in_one_pass(df: DataFrame, ref: DataFrame, on: str, key: str, not_found: str, rules: list[Rule],
                         params: RunParams, id_columns: list[str] | None = None,
-                        ref_rows: int | None = None) -> DataFrame:
+                        plan: LookupPlan | None = None) -> DataFrame:
     """Lookup rejects and data-quality rejects from a single left join.
 
     A row whose key finds no reference row is rejected with ``not_found``; a
@@ -36,7 +36,8 @@ def rejects_in_one_pass(df: DataFrame, ref: DataFrame, on: str, key: str, not_fo
     ``rejected(enrich(...))`` but the input is scanned and joined once.
     """
     ids = id_columns or S.REJECT_COLUMNS[:2]
-    joined = lookup_join(df, ref.select(on, key), on, "left", params, ref_rows)
+    plan = plan or plan_lookup(df, ref, on, params)
+    joined = plan.join(df, "left", [key])
     missing = F.col(key).isNull()
     return (
         joined.filter(missing | F.coalesce(reject_predicate(rules), F.lit(False)))

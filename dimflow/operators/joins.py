@@ -1,36 +1,103 @@
 """Joins that stay safe at scale: proven-size broadcasts and salted shuffles.
 
-``lookup_join`` joins a big frame with a lookup frame:
-
-1. If a bounded count proves the lookup side has at most ``broadcast_max_rows``
-   rows, it is broadcast: the big side is never shuffled.
-2. Else, if the *big* side's key set is provably small (e.g. a daily change
-   feed against a large dimension), the lookup side is first reduced to those
-   keys by a broadcast semi-join, and broadcast if the reduced side is bounded.
-3. Else a shuffle join on the key, salted against skew: keys that hold at least
-   ``hot_key_share`` of a seeded sample of the big side (at most
+A lookup join is *planned* once (:func:`plan_lookup`) and the plan is shared by
+every join of the same big frame against the same lookup frame, so size checks
+and skew sampling run once per lookup, not once per output:
+
+1. ``broadcast`` — a measured size (rows and UnsafeRow bytes, one aggregate
+   pass, one partial row per task) proves the lookup side is within
+   ``broadcast_max_rows`` and ``broadcast_max_bytes``: the big side is never
+   shuffled.
+2. ``reduced`` — the big side has few distinct keys (a HyperLogLog estimate
+   first, then an exact distinct count), e.g. a daily change feed against a
+   large dimension: the lookup side is cut to those keys by a broadcast
+   semi-join, checkpointed, and broadcast once its measured size is within
+   bounds. The large side is scanned once and never shuffled.
+3. ``salted`` — a shuffle join on the key, salted against skew: keys holding at
+   least ``hot_key_share`` of a seeded sample of the big side (at most
    ``1 / hot_key_share`` keys by construction), and NULL keys, are spread over
    ``salt_buckets`` tasks; the lookup rows of hot keys are replicated once per
    bucket. Every row still meets exactly the lookup rows it would meet unsalted.
+
+Sizes are never proven with ``limit(n).count()``: that plan funnels up to ``n``
+rows of every partition through one task. An exact count aggregates partially
+and moves one row per task.
 """
 
 from __future__ import annotations
 
+import sys
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimflow.functions import any_of
 from dimflow.params import RunParams
+from dimflow.session import materialize
 
 SALT = "_dimflow_salt"
 HOT = "_dimflow_hot"
 SAMPLE_SEED = 20260728
 MIN_SAMPLED_HITS = 8
+# HyperLogLog relative error used to skip the exact distinct count when it cannot pass.
+KEY_ESTIMATE_RSD = 0.05
+STRATEGIES = ("broadcast", "reduced", "salted")
+
+
+@dataclass(frozen=True)
+class Size:
+    """Measured rows and bytes (UnsafeRow footprint) of a frame."""
+
+    rows: int
+    bytes: int
+
+    def __add__(self, other: Size) -> Size:
+        return Size(self.rows + other.rows, self.bytes + other.bytes)
+
+
+UNBOUNDED = Size(sys.maxsize, sys.maxsize)
+
+
+def _round8(n: Column) -> Column:
+    return F.shiftleft(F.shiftright(n + F.lit(7), 3), 3)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes one row takes as an UnsafeRow: null bits, one 8-byte slot per field,
+    plus the 8-byte-aligned payload of variable-length fields."""
+    fields = df.schema.fields
+    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
+    payload = []
+    for f in fields:
+        c, t = F.col(f"`{f.name}`"), f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            payload.append(_round8(F.octet_length(c)))
+        elif isinstance(t, T.DecimalType) and t.precision > 18:
+            payload.append(F.when(c.isNotNull(), F.lit(16)))
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            payload.append(_round8(F.octet_length(F.to_json(c))))
+    total = F.lit(fixed).cast("long")
+    for p in payload:
+        total = total + F.coalesce(p.cast("long"), F.lit(0).cast("long"))
+    return total
+
+
+def measure(df: DataFrame) -> Size:
+    """Exact rows and bytes of ``df`` in one aggregate pass (partial per task)."""
+    row = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_bytes(df)).alias("bytes")).first()
+    return Size(int(row["rows"]), int(row["bytes"] or 0))
+
+
+def fits_broadcast(size: Size, params: RunParams) -> bool:
+    """Whether a side of ``size`` is within both broadcast bounds."""
+    return size.rows <= params.broadcast_max_rows and size.bytes <= params.broadcast_max_bytes
 
 
 def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else ``None``; reads at most ``max_rows + 1`` rows."""
-    n = df.limit(max_rows + 1).count()
+    """Row count if it is at most ``max_rows``, else ``None`` (exact, partial aggregation)."""
+    n = df.count()
     return n if n <= max_rows else None
 
 
@@ -75,31 +142,66 @@ def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str, hot:
     return big_salted.join(lookup_salted, [*on, SALT], how).drop(SALT)
 
 
-def fits_broadcast(lookup: DataFrame, params: RunParams, lookup_rows: int | None = None) -> bool:
-    """Whether ``lookup`` is provably at most ``broadcast_max_rows`` rows.
+@dataclass(frozen=True)
+class LookupPlan:
+    """How a big frame is joined with a lookup frame; shared by all joins of the pair.
 
-    ``lookup_rows`` is what the caller already proved: an upper bound (e.g. a
-    table count plus a checkpointed delta), or any value above the cap when the
-    side is known to be larger. Without it, a bounded count decides.
+    A ``reduced`` plan holds the lookup rows of the big frame's keys only, so it
+    serves joins of that big frame (or of any frame whose keys are a subset).
     """
-    if lookup_rows is not None:
-        return lookup_rows <= params.broadcast_max_rows
-    return bounded_count(lookup, params.broadcast_max_rows) is not None
-
 
-def lookup_join(big: DataFrame, lookup: DataFrame, on: str | list[str], how: str,
-                params: RunParams, lookup_rows: int | None = None) -> DataFrame:
-    """``big JOIN lookup USING (on)`` for ``how`` in inner / left / left_anti / left_semi.
-
-    ``lookup_rows`` — optional proven upper bound on the lookup side's rows.
+    lookup: DataFrame
+    on: tuple[str, ...]
+    strategy: str
+    hot: DataFrame | None = None
+    buckets: int = 1
+
+    def side(self, columns: list[str] | None = None) -> DataFrame:
+        if columns is None:
+            return self.lookup
+        return self.lookup.select(*self.on, *[c for c in columns if c not in self.on])
+
+    def join(self, big: DataFrame, how: str, columns: list[str] | None = None) -> DataFrame:
+        """``big JOIN lookup USING (on)``; ``columns`` — lookup columns to bring (default all)."""
+        side = self.side(columns)
+        if self.strategy == "salted":
+            return salted_join(big, side, list(self.on), how, self.hot, self.buckets)
+        return big.join(F.broadcast(side), list(self.on), how)
+
+
+def _reduce_to_keys(big: DataFrame, lookup: DataFrame, on: list[str], params: RunParams) -> DataFrame | None:
+    """Lookup rows of ``big``'s keys, checkpointed, if they provably fit a broadcast; else ``None``."""
+    keys = big.select(*on).dropna()
+    key = F.col(on[0]) if len(on) == 1 else F.struct(*[F.col(c) for c in on])
+    estimate = keys.agg(F.approx_count_distinct(key, rsd=KEY_ESTIMATE_RSD).alias("n")).first()["n"]
+    if estimate > params.broadcast_max_rows * (1 + 3 * KEY_ESTIMATE_RSD):
+        return None  # far above the cap: an exact distinct count would shuffle every key for nothing
+    distinct = materialize(keys.distinct())
+    if not fits_broadcast(measure(distinct), params):
+        return None
+    reduced = materialize(lookup.join(F.broadcast(distinct), on, "left_semi"))
+    return reduced if fits_broadcast(measure(reduced), params) else None
+
+
+def plan_lookup(big: DataFrame, lookup: DataFrame, on: str | list[str], params: RunParams,
+                lookup_size: Size | None = None) -> LookupPlan:
+    """Decide once how ``big`` is joined with ``lookup`` (see the module notes).
+
+    ``lookup_size`` — what the caller already proved: an upper bound on the
+    lookup side (e.g. a measured table plus a checkpointed delta), or
+    :data:`UNBOUNDED` when it is known to be large. Without it, one pass measures.
     """
     on = [on] if isinstance(on, str) else list(on)
-    cap = params.broadcast_max_rows
-    if fits_broadcast(lookup, params, lookup_rows):
-        return big.join(F.broadcast(lookup), on, how)
-    big_keys = big.select(*on).dropna()
-    if bounded_count(big_keys, cap) is not None:
-        reduced = lookup.join(F.broadcast(big_keys.distinct()), on, "left_semi")
-        if bounded_count(reduced, cap) is not None:
-            return big.join(F.broadcast(reduced), on, how)
-    return salted_join(big, lookup, on, how, heavy_keys(big, on, params), params.salt_buckets)
+    size = lookup_size if lookup_size is not None else measure(lookup)
+    if fits_broadcast(size, params):
+        return LookupPlan(lookup, tuple(on), "broadcast")
+    reduced = _reduce_to_keys(big, lookup, on, params)
+    if reduced is not None:
+        return LookupPlan(reduced, tuple(on), "reduced")
+    return LookupPlan(lookup, tuple(on), "salted", heavy_keys(big, on, params), params.salt_buckets)
+
+
+def lookup_join(big: DataFrame, lookup: DataFrame, on: str | list[str], how: str,
+                params: RunParams, lookup_size: Size | None = None) -> DataFrame:
+    """``big JOIN lookup USING (on)`` for ``how`` in inner / left / left_anti / left_semi."""
+    return plan_lookup(big, lookup, on, params, lookup_size).join(big, how)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimflow.operators.joins import bounded_count
+from dimflow.operators.joins import measure
 from dimflow.params import RunParams
 from dimflow.session import materialize
 
@@ -78,7 +78,7 @@ def assign_keys(df: DataFrame, order_by: list[str], base: int, key: str, params:
     strategy = params.key_strategy
     if strategy == "auto":
         small = (n_rows <= params.window_key_max_rows if n_rows is not None
-                 else bounded_count(df, params.window_key_max_rows) is not None)
+                 else measure(df).rows <= params.window_key_max_rows)
         strategy = "window" if small else "distributed"
     numbered = positions_window(df, order_by) if strategy == "window" else positions_distributed(df, order_by)
     return numbered.withColumn(key, (F.lit(base) + F.col(POS) - F.lit(1)).cast("int")).drop(POS)

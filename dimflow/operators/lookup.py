@@ -3,8 +3,8 @@
 ``enrich`` keeps rows whose key finds a reference row and appends the reference
 columns: an inner join, so a NULL key never matches and a key with several
 reference rows fans out. ``unmatched`` is the reject stream: a left anti join,
-tagged with a reason. Both go through :func:`lookup_join`, which broadcasts the
-reference only under a proven size bound.
+tagged with a reason. Both use one :class:`LookupPlan`, which broadcasts the
+reference only under a proven size bound and is decided once for the pair.
 """
 
 from __future__ import annotations
@@ -12,36 +12,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.operators.joins import bounded_count, lookup_join
+from dimflow.operators.joins import LookupPlan, plan_lookup
 from dimflow.params import RunParams
 
 
 def enrich(df: DataFrame, ref: DataFrame, on: str, params: RunParams,
-           ref_columns: list[str] | None = None, ref_rows: int | None = None) -> DataFrame:
+           ref_columns: list[str] | None = None, plan: LookupPlan | None = None) -> DataFrame:
     """Matched rows: ``df`` columns followed by the reference columns (key once)."""
     cols = [c for c in (ref_columns or ref.columns) if c != on]
-    return (lookup_join(df, ref.select(on, *cols), on, "inner", params, ref_rows)
-            .select(*df.columns, *cols))
+    plan = plan or plan_lookup(df, ref, on, params)
+    return plan.join(df, "inner", cols).select(*df.columns, *cols)
 
 
 def unmatched(df: DataFrame, ref: DataFrame, on: str, reason: str, params: RunParams,
-              id_columns: list[str] | None = None, ref_rows: int | None = None) -> DataFrame:
+              id_columns: list[str] | None = None, plan: LookupPlan | None = None) -> DataFrame:
     """Rows whose key has no reference row, projected to ids plus ``ERROR_REASON``."""
     ids = id_columns or df.columns
-    return (lookup_join(df, ref.select(on).dropna(), on, "left_anti", params, ref_rows)
-            .select(*ids, F.lit(reason).alias("ERROR_REASON")))
+    plan = plan or plan_lookup(df, ref, on, params)
+    return plan.join(df, "left_anti", []).select(*ids, F.lit(reason).alias("ERROR_REASON"))
 
 
 def lookup_with_rejects(df: DataFrame, ref: DataFrame, on: str, reason: str, params: RunParams,
                         ref_columns: list[str] | None = None,
                         id_columns: list[str] | None = None,
-                        ref_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+                        plan: LookupPlan | None = None) -> tuple[DataFrame, DataFrame]:
     """``(matched, rejected)`` — the pair the original lookup stage returns.
 
-    The broadcast decision is taken once and shared by both outputs.
+    The join strategy is decided once and shared by both outputs.
     """
-    if ref_rows is None:
-        counted = bounded_count(ref.select(on), params.broadcast_max_rows)
-        ref_rows = params.broadcast_max_rows + 1 if counted is None else counted
-    return (enrich(df, ref, on, params, ref_columns, ref_rows),
-            unmatched(df, ref, on, reason, params, id_columns, ref_rows))
+    plan = plan or plan_lookup(df, ref, on, params)
+    return (enrich(df, ref, on, params, ref_columns, plan),
+            unmatched(df, ref, on, reason, params, id_columns, plan))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.functions import date_lit, day_before
-from dimflow.operators.joins import lookup_join
+from dimflow.operators.joins import Size, lookup_join
 from dimflow.operators.keys import assign_keys
 from dimflow.params import RunParams
 
@@ -53,7 +53,7 @@ def new_versions(changes: DataFrame, base_key: int, params: RunParams,
 
 
 def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, params: RunParams,
-                       expired_rows: int | None = None) -> DataFrame:
+                       expired_size: Size | None = None) -> DataFrame:
     """Dimension after the run: expired versions closed, new versions appended.
 
     Updating the same key twice is idempotent in the original, so the expire set
@@ -62,7 +62,7 @@ def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, param
     closing = expired.select(
         S.CUSTOMER_KEY, F.col("CURR_FLAG").alias("_new_flag"), F.col("EXP_DATE").alias("_new_exp")).distinct()
     updated = (
-        lookup_join(dim.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left", params, expired_rows)
+        lookup_join(dim.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left", params, expired_size)
         .withColumn("CURR_FLAG", F.coalesce("_new_flag", "CURR_FLAG"))
         .withColumn("EXP_DATE", F.coalesce("_new_exp", "EXP_DATE"))
         .select(*DIM_COLUMNS)
@@ -71,11 +71,11 @@ def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, param
 
 
 def newly_expired(dim_current: DataFrame, expired: DataFrame, params: RunParams,
-                  expired_rows: int | None = None) -> DataFrame:
+                  expired_size: Size | None = None) -> DataFrame:
     """Current versions closed by this run, with their new flag and end date."""
     closing = expired.select(S.CUSTOMER_KEY).distinct()
     return (
-        lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_semi", params, expired_rows)
+        lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_semi", params, expired_size)
         .withColumn("CURR_FLAG", F.lit(S.EXPIRED_FLAG))
         .withColumn("EXP_DATE", day_before(params.run_date))
         .select(*DIM_COLUMNS)
@@ -83,9 +83,9 @@ def newly_expired(dim_current: DataFrame, expired: DataFrame, params: RunParams,
 
 
 def current_after(dim_current: DataFrame, expired: DataFrame, new: DataFrame, params: RunParams,
-                  expired_rows: int | None = None) -> DataFrame:
+                  expired_size: Size | None = None) -> DataFrame:
     """Current rows after the run: untouched current rows plus the new versions."""
     closing = expired.select(S.CUSTOMER_KEY).distinct()
     kept = lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_anti", params,
-                       expired_rows)
+                       expired_size)
     return kept.unionByName(new.select(*DIM_COLUMNS))

@@ -31,8 +31,11 @@ class RunParams:
 
     Join and key-assignment knobs:
 
-    * ``broadcast_max_rows`` — a lookup side is broadcast only after a bounded
-      count proves it has at most this many rows; otherwise a shuffle join is used.
+    * ``broadcast_max_rows`` / ``broadcast_max_bytes`` — a lookup side is
+      broadcast only after a measurement (or a bound derived from measured
+      inputs) proves it has at most this many rows *and* bytes (UnsafeRow
+      footprint, what the driver collects and ships); otherwise it is first
+      reduced to the big side's keys, or joined by a salted shuffle.
     * ``hot_key_share`` / ``skew_sample_fraction`` / ``salt_buckets`` — on the
       shuffle path, keys holding at least ``hot_key_share`` of a sampled big side
       are spread over ``salt_buckets`` tasks (at most ``1 / hot_key_share`` such keys).
@@ -50,6 +53,7 @@ class RunParams:
     dedupe_feed: bool = False
     detect_deletes: bool = False
     broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 256 << 20
     hot_key_share: float = 1e-4
     skew_sample_fraction: float = 0.01
     salt_buckets: int = 32
@@ -65,6 +69,8 @@ class RunParams:
             raise ValueError(f"key_strategy must be one of {KEY_STRATEGIES}, got {self.key_strategy!r}")
         if not 0 < self.hot_key_share <= 1:
             raise ValueError("hot_key_share must be in (0, 1]")
+        if self.broadcast_max_rows < 0 or self.broadcast_max_bytes < 0:
+            raise ValueError("broadcast bounds must be >= 0")
         if self.salt_buckets < 1:
             raise ValueError("salt_buckets must be >= 1")
 

@@ -1,11 +1,13 @@
 """The whole daily run as one side-effect-free plan, then one publish step.
 
-``plan`` declares DataFrames; its only actions are small: a bounded size check
-of the current dimension, the next free surrogate key, and checkpoints of the
-one-day change set and its keyed versions (which cut their lineage). Every
-output is built from the others inside the DAG — in particular the post-load
-snapshot used for the fact lookup is the plan's own ``current_after``, never a
-re-read of a table being written. ``publish`` writes each output once.
+``plan`` declares DataFrames; its only actions are small: one aggregate pass for
+the size of the current dimension and the next free surrogate key (none when
+the store's commit marker records both), checkpoints of the one-day change set
+and its keyed versions (which cut their lineage), and the sales lookup's join
+decision. Every output is built from the others inside the DAG — in particular
+the post-load snapshot used for the fact lookup is the plan's own
+``current_after``, never a re-read of a table being written. ``publish``
+writes each output once.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.operators import changes, errors, facts, keys, quality, scd2
-from dimflow.operators.joins import bounded_count
+from dimflow.operators.joins import LookupPlan, Size, measure, plan_lookup, row_bytes
 from dimflow.operators.lookup import lookup_with_rejects
 from dimflow.params import RunParams
 from dimflow.session import materialize
@@ -33,6 +35,7 @@ class Inputs:
     dimension: DataFrame                 # every version before the run (may hold only current rows)
     dimension_current: DataFrame | None = None  # current rows, when the store keeps them apart
     key_base: int | None = None          # next free surrogate key, when the store records it
+    current_size: Size | None = None     # measured size of the current rows, when the store records it
 
 
 @dataclass(frozen=True)
@@ -46,6 +49,7 @@ class Outputs:
     dimension_closed: DataFrame
     current_after: DataFrame
     lookup_dimension: DataFrame
+    lookup_plan: LookupPlan
     enriched: DataFrame
     lookup_rejects: DataFrame
     dq_pass: DataFrame
@@ -55,6 +59,28 @@ class Outputs:
     errors: DataFrame
 
 
+def dimension_facts(inputs: Inputs, dim_current: DataFrame) -> tuple[Size, int]:
+    """Size of the current rows and the next free surrogate key.
+
+    Taken from the store when it records them (no scan at all); otherwise both
+    come from one aggregate pass over the dimension (partial per task).
+    """
+    if inputs.current_size is not None and inputs.key_base is not None:
+        return inputs.current_size, inputs.key_base
+    if inputs.dimension_current is not None:
+        size = inputs.current_size or measure(dim_current)
+        base = inputs.key_base if inputs.key_base is not None else keys.key_base(inputs.dimension, S.CUSTOMER_KEY)
+        return size, base
+    dim = inputs.dimension.select(*S.names(S.CUSTOMER_DIM))
+    current = F.col("CURR_FLAG") == F.lit(S.CURRENT_FLAG)
+    row = dim.agg(F.count_if(current).alias("rows"),
+                  F.sum(F.when(current, row_bytes(dim))).alias("bytes"),
+                  F.max(S.CUSTOMER_KEY).alias("top")).first()
+    size = Size(int(row["rows"]), int(row["bytes"] or 0))
+    base = inputs.key_base if inputs.key_base is not None else (1 if row["top"] is None else int(row["top"]) + 1)
+    return size, base
+
+
 def plan(inputs: Inputs, params: RunParams) -> Outputs:
     dim_current = inputs.dimension_current if inputs.dimension_current is not None \
         else current_rows(inputs.dimension)
@@ -63,42 +89,43 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
         feed = changes.latest_per_key(feed, S.CUSTOMER_ID, "EFF_DATE")
 
     # Size facts proven once and reused by every broadcast decision below.
-    cap = params.broadcast_max_rows
-    counted = bounded_count(dim_current.select(S.CUSTOMER_ID), cap)
-    current_bound = cap + 1 if counted is None else counted
+    current_size, base = dimension_facts(inputs, dim_current)
 
     # The change set and its keyed versions are small (one business day) and feed
     # several outputs: checkpoint them once so keys are computed exactly once.
-    change_set = materialize(changes.capture_changes(feed, dim_current, params, current_rows=current_bound))
-    n_changes = change_set.count()
-    base = inputs.key_base if inputs.key_base is not None else keys.key_base(inputs.dimension, S.CUSTOMER_KEY)
+    change_set = materialize(changes.capture_changes(feed, dim_current, params, current_size=current_size))
+    change_size = measure(change_set)
     expired = scd2.expire(change_set, params)
-    new = materialize(scd2.new_versions(change_set, base, params, change_rows=n_changes))
-    next_key = base + new.count()  # keys are dense: base .. base + n - 1
-    dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_rows=n_changes)
-    closed = scd2.newly_expired(dim_current, expired, params, expired_rows=n_changes)
-    cur_after = scd2.current_after(dim_current, expired, new, params, expired_rows=n_changes)
+    new = materialize(scd2.new_versions(change_set, base, params, change_rows=change_size.rows))
+    new_size = measure(new)
+    next_key = base + new_size.rows  # keys are dense: base .. base + n - 1
+    # An expire row (key, flag, date) is no wider than the change row it comes from.
+    dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_size=change_size)
+    closed = scd2.newly_expired(dim_current, expired, params, expired_size=change_size)
+    cur_after = scd2.current_after(dim_current, expired, new, params, expired_size=change_size)
 
     if params.snapshot == "post_load":
-        lookup_dim, lookup_rows = cur_after, current_bound + n_changes
+        lookup_dim, lookup_size = cur_after, current_size + new_size
     else:
-        lookup_dim, lookup_rows = dim_current, current_bound
+        lookup_dim, lookup_size = dim_current, current_size
     lookup_dim = lookup_dim.select(S.CUSTOMER_ID, *[c for c in S.names(S.CUSTOMER_DIM) if c != S.CUSTOMER_ID])
+    # One join decision for every output that looks the sales up.
+    lookup_plan = plan_lookup(inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, params, lookup_size)
     enriched, lookup_rejects = lookup_with_rejects(
         inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, S.CUSTOMER_NOT_FOUND, params,
-        id_columns=["TXN_ID", "CUST_ID"], ref_rows=lookup_rows)
+        id_columns=["TXN_ID", "CUST_ID"], plan=lookup_plan)
     rules = quality.sales_rules()
     dq_pass, dq_rejects = quality.split(enriched, rules, ["TXN_ID", "CUST_ID"])
     fact = facts.summarise(dq_pass)
     # One scan and one join of the sales for the whole error log.
     error_log = errors.funnel(
         errors.rejects_in_one_pass(inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, S.CUSTOMER_KEY,
-                                   S.CUSTOMER_NOT_FOUND, rules, params, ref_rows=lookup_rows),
+                                   S.CUSTOMER_NOT_FOUND, rules, params, plan=lookup_plan),
         params=params)
     return Outputs(
         key_base=base, next_key=next_key, changes=change_set, expired=expired, new_versions=new,
         dimension_after=dim_after, dimension_closed=closed, current_after=cur_after,
-        lookup_dimension=lookup_dim, enriched=enriched, lookup_rejects=lookup_rejects,
+        lookup_dimension=lookup_dim, lookup_plan=lookup_plan, enriched=enriched, lookup_rejects=lookup_rejects,
         dq_pass=dq_pass, dq_rejects=dq_rejects, dq_unclassified=quality.unclassified(enriched, rules),
         fact=fact, errors=error_log,
     )
@@ -106,10 +133,42 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
 
 AUDITED = ("customer_delta", "sales_txn", "dimension_current", "changes", "expired", "new_versions",
            "dimension_after", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
+# Counts that all come from one left join of the sales with the lookup dimension.
+SALES_SIDE = ("lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "errors")
+
+
+def _count(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("ROW_COUNT")).select(F.lit(name).alias("OUTPUT"), "ROW_COUNT")
+
+
+def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
+    """Rows of every sales-derived output from a single scan and join of the sales.
+
+    A sales row meets each of its lookup rows once (the enriched stream's fan-out)
+    or none (a lookup reject); the quality streams are conditional counts over
+    the matched rows, and the error log is lookup rejects plus quality rejects.
+    """
+    rules = quality.sales_rules()
+    joined = outputs.lookup_plan.join(sales, "left", [S.CUSTOMER_KEY])
+    matched = F.col(S.CUSTOMER_KEY).isNotNull()
+    passed = F.coalesce(quality.pass_predicate(rules), F.lit(False))
+    rejected = F.coalesce(quality.reject_predicate(rules), F.lit(False))
+    wide = joined.agg(
+        F.count_if(~matched).alias("lookup_rejects"),
+        F.count_if(matched & passed).alias("dq_pass"),
+        F.count_if(matched & rejected).alias("dq_rejects"),
+        F.count_if(matched & ~passed & ~rejected).alias("dq_unclassified"),
+    ).withColumn("errors", F.col("lookup_rejects") + F.col("dq_rejects"))
+    return wide.unpivot([], list(SALES_SIDE), "OUTPUT", "ROW_COUNT")
 
 
 def audit(inputs: Inputs, outputs: Outputs) -> DataFrame:
-    """One row per input/output: ``(OUTPUT, ROW_COUNT)`` — the run's verification counts."""
+    """One row per input/output: ``(OUTPUT, ROW_COUNT)`` — the run's verification counts.
+
+    The sales are scanned twice in all: once for the sales-side counts, once for
+    the fact (its row count is its number of groups); every other count reads a
+    feed, the dimension or a checkpointed change set.
+    """
     frames = {
         "customer_delta": inputs.customer_delta,
         "sales_txn": inputs.sales_txn,
@@ -117,8 +176,8 @@ def audit(inputs: Inputs, outputs: Outputs) -> DataFrame:
         else current_rows(inputs.dimension),
     }
     frames.update({name: getattr(outputs, name) for name in AUDITED if name not in frames})
-    counts = [frames[name].agg(F.count(F.lit(1)).alias("ROW_COUNT")).select(
-        F.lit(name).alias("OUTPUT"), "ROW_COUNT") for name in AUDITED]
+    counts = [_count(frames[name], name) for name in AUDITED if name not in SALES_SIDE]
+    counts.append(sales_side_counts(inputs.sales_txn, outputs))
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
@@ -139,7 +198,7 @@ def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: Di
     history = store.read_history(spark, before=params.run_date)
     return Inputs(customer_delta=customer_delta, sales_txn=sales_txn,
                   dimension=history.unionByName(current), dimension_current=current,
-                  key_base=store.next_key(spark, base))
+                  key_base=store.next_key(spark, base), current_size=store.current_size(spark, base))
 
 
 def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow import schemas as S
-from dimflow.sources.dimension import DimensionStore
+from dimflow.operators.joins import row_bytes
+from dimflow.sources.dimension import MARKER_SCHEMA, DimensionStore
 from dimflow.sources.feeds import read_feed
 
 LOAD_DATE = "LOAD_DATE"
@@ -29,9 +30,10 @@ FACT_MODES = ("append", "replace_run")
 
 
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Attach a row counter that is filled while the write runs (no extra pass)."""
+    """Attach row and byte counters that are filled while the write runs (no extra pass)."""
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      F.coalesce(F.sum(row_bytes(df)), F.lit(0).cast("long")).alias("bytes")), obs
 
 
 def write_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
@@ -39,7 +41,9 @@ def write_dimension_version(store: DimensionStore, current: DataFrame, closed: D
     """Publish one run's dimension: new current version, closed versions, marker.
 
     ``next_key`` — first surrogate key the next run may use; kept in the marker so
-    later runs need not scan the dimension for its maximum key.
+    later runs need not scan the dimension for its maximum key. The measured
+    size of the current rows goes there too: the next run's broadcast decisions
+    need no scan of the dimension either.
     """
     spark = current.sparkSession
     tag = run_date.isoformat()
@@ -50,10 +54,12 @@ def write_dimension_version(store: DimensionStore, current: DataFrame, closed: D
     hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)), "dim_closed")
     hist.write.mode("errorifexists").parquet(f"{store.history_dir}/EXPIRED_ON={tag}/attempt={attempt}")
 
-    marker = spark.createDataFrame([(tag, attempt, int(next_key))], "version string, attempt string, next_key long") \
-        .withColumn("committed_at", F.current_timestamp())
+    cur_rows, cur_bytes = int(cur_obs.get["rows"]), int(cur_obs.get["bytes"])
+    marker = spark.createDataFrame(
+        [(tag, attempt, int(next_key), None, cur_rows, cur_bytes)], MARKER_SCHEMA) \
+        .withColumn("committed_at", F.current_timestamp()).select(*MARKER_SCHEMA.names)
     marker.coalesce(1).write.mode("overwrite").parquet(store.marker_path(tag))
-    return {"dim_current": cur_obs.get["rows"], "dim_closed": hist_obs.get["rows"]}
+    return {"dim_current": cur_rows, "dim_closed": hist_obs.get["rows"]}
 
 
 def write_fact(fact: DataFrame, path: str, run_date: dt.date, mode: str = "append") -> int:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimflow import schemas as S
+from dimflow.operators.joins import Size
 
 
 HISTORY_SCHEMA = T.StructType([*S.CUSTOMER_DIM.fields, T.StructField("EXPIRED_ON", T.DateType()),
@@ -34,7 +35,9 @@ HISTORY_SCHEMA = T.StructType([*S.CUSTOMER_DIM.fields, T.StructField("EXPIRED_ON
 MARKER_SCHEMA = T.StructType([T.StructField("version", T.StringType()),
                               T.StructField("attempt", T.StringType()),
                               T.StructField("next_key", T.LongType()),
-                              T.StructField("committed_at", T.TimestampType())])
+                              T.StructField("committed_at", T.TimestampType()),
+                              T.StructField("current_rows", T.LongType()),
+                              T.StructField("current_bytes", T.LongType())])
 
 
 def current_rows(dim: DataFrame, flag_col: str = "CURR_FLAG", columns: list[str] | None = None) -> DataFrame:
@@ -94,6 +97,15 @@ class DimensionStore:
             return 1
         return int(self.markers(spark)[version]["next_key"])
 
+    def current_size(self, spark: SparkSession, version: str | None) -> Size | None:
+        """Measured size of ``version``'s current rows, kept in its marker (``None`` if not recorded)."""
+        if version is None:
+            return Size(0, 0)
+        marker = self.markers(spark)[version]
+        if marker.get("current_rows") is None or marker.get("current_bytes") is None:
+            return None
+        return Size(int(marker["current_rows"]), int(marker["current_bytes"]))
+
     def committed_versions(self, spark: SparkSession) -> list[str]:
         return sorted(self.commits(spark))
 

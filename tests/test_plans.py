@@ -7,7 +7,7 @@ import io
 
 from conftest import SF_SMALL
 
-from dimflow.operators import lookup_join
+from dimflow.operators import lookup_join, plan_lookup
 from dimflow.plans import plan
 from dimflow.plans.queries import PARAMS, fixture_inputs
 from dimflow.session import scratch_path
@@ -39,10 +39,25 @@ def test_unbounded_lookup_uses_salted_shuffle_join(spark):
 
 
 def test_semi_join_reduction_when_big_side_keys_are_few(spark):
-    big = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    big = spark.createDataFrame([("a", 1), ("b", 2), ("7", 3), (None, 4)], "k string, v int")
     lookup = spark.range(50).selectExpr("cast(id as string) as k", "id as w")
-    text = physical(lookup_join(big, lookup, "k", "left", PARAMS.with_(broadcast_max_rows=10)))
-    assert "LeftSemi" in text and "SortMergeJoin" not in text
+    params = PARAMS.with_(broadcast_max_rows=10)
+    plan = plan_lookup(big, lookup, "k", params)
+    assert plan.strategy == "reduced" and plan.lookup.count() == 1   # only key '7' survives
+    joined = plan.join(big, "left")
+    text = physical(joined)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert sorted((r.k, r.w) for r in joined.collect() if r.k is not None) == [("7", 7), ("a", None), ("b", None)]
+    assert joined.count() == 4
+
+
+def test_byte_bound_blocks_a_wide_broadcast(spark):
+    lookup = spark.range(20).selectExpr("cast(id as string) as k", "repeat('x', 1000) as wide")
+    params = PARAMS.with_(broadcast_max_bytes=10_000)
+    big = spark.range(100).selectExpr("cast(id % 40 as string) as k")
+    assert plan_lookup(big, lookup, "k", params).strategy == "salted"   # 40 keys > 20k bytes of lookup
+    assert plan_lookup(big, lookup, "k", PARAMS).strategy == "broadcast"
+    assert lookup_join(big, lookup, "k", "inner", params).count() == 60   # keys 0-19, three ids each
 
 
 def test_current_scan_prunes_flag_partition(spark):
