@@ -29,7 +29,7 @@ from __future__ import annotations
 import sys
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,6 +90,16 @@ def measure(df: DataFrame) -> Size:
     return Size(int(row["rows"]), int(row["bytes"] or 0))
 
 
+def materialize_measured(df: DataFrame) -> tuple[DataFrame, Size]:
+    """Reliable checkpoint of ``df`` and its exact size, observed by the checkpoint job itself."""
+    obs = Observation(f"size_{id(df):x}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                          F.coalesce(F.sum(row_bytes(df)), F.lit(0).cast("long")).alias("bytes"))
+    ckpt = materialize(observed)
+    got = obs.get
+    return ckpt, Size(int(got["rows"]), int(got["bytes"]))
+
+
 def fits_broadcast(size: Size, params: RunParams) -> bool:
     """Whether a side of ``size`` is within both broadcast bounds."""
     return size.rows <= params.broadcast_max_rows and size.bytes <= params.broadcast_max_bytes
@@ -110,10 +120,14 @@ def heavy_keys(df: DataFrame, on: list[str], params: RunParams) -> DataFrame:
     """
     sampled = (df.select(*on).dropna()
                .sample(fraction=params.skew_sample_fraction, seed=SAMPLE_SEED)
-               .groupBy(*on).count())
-    total = sampled.agg(F.sum("count").alias("n")).first()["n"] or 0
+               .groupBy(*on).agg(F.count(F.lit(1)).alias("_hits")))
+    # One scan of the big side: the sampled counts are checkpointed and their
+    # total is observed by that same job.
+    obs = Observation(f"sample_{id(df):x}")
+    pinned = materialize(sampled.observe(obs, F.sum("_hits").alias("n")))
+    total = obs.get["n"] or 0
     threshold = max(params.hot_key_share * total, MIN_SAMPLED_HITS)
-    hot = sampled.filter(F.col("count") >= F.lit(threshold)).select(*on)
+    hot = pinned.filter(F.col("_hits") >= F.lit(threshold)).select(*on)
     # Pin the (bounded) key list so both join sides see the very same hot set,
     # even if the sample were recomputed on another partitioning.
     return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
@@ -176,11 +190,11 @@ def _reduce_to_keys(big: DataFrame, lookup: DataFrame, on: list[str], params: Ru
     estimate = keys.agg(F.approx_count_distinct(key, rsd=KEY_ESTIMATE_RSD).alias("n")).first()["n"]
     if estimate > params.broadcast_max_rows * (1 + 3 * KEY_ESTIMATE_RSD):
         return None  # far above the cap: an exact distinct count would shuffle every key for nothing
-    distinct = materialize(keys.distinct())
-    if not fits_broadcast(measure(distinct), params):
+    distinct, distinct_size = materialize_measured(keys.distinct())
+    if not fits_broadcast(distinct_size, params):
         return None
-    reduced = materialize(lookup.join(F.broadcast(distinct), on, "left_semi"))
-    return reduced if fits_broadcast(measure(reduced), params) else None
+    reduced, reduced_size = materialize_measured(lookup.join(F.broadcast(distinct), on, "left_semi"))
+    return reduced if fits_broadcast(reduced_size, params) else None
 
 
 def plan_lookup(big: DataFrame, lookup: DataFrame, on: str | list[str], params: RunParams,

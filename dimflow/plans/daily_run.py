@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.operators import changes, errors, facts, keys, quality, scd2
-from dimflow.operators.joins import LookupPlan, Size, measure, plan_lookup, row_bytes
+from dimflow.operators.joins import LookupPlan, Size, materialize_measured, measure, plan_lookup, row_bytes
 from dimflow.operators.lookup import lookup_with_rejects
 from dimflow.params import RunParams
 from dimflow.session import materialize
@@ -93,11 +93,11 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
 
     # The change set and its keyed versions are small (one business day) and feed
     # several outputs: checkpoint them once so keys are computed exactly once.
-    change_set = materialize(changes.capture_changes(feed, dim_current, params, current_size=current_size))
-    change_size = measure(change_set)
+    # Their sizes are observed by the checkpoint jobs themselves.
+    change_set, change_size = materialize_measured(
+        changes.capture_changes(feed, dim_current, params, current_size=current_size))
     expired = scd2.expire(change_set, params)
-    new = materialize(scd2.new_versions(change_set, base, params, change_rows=change_size.rows))
-    new_size = measure(new)
+    new, new_size = materialize_measured(scd2.new_versions(change_set, base, params, change_rows=change_size.rows))
     next_key = base + new_size.rows  # keys are dense: base .. base + n - 1
     # An expire row (key, flag, date) is no wider than the change row it comes from.
     dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_size=change_size)

@@ -34,15 +34,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition a scan that yields fewer splits than the cluster has cores.
 
     A single-row-group file is read by one task whatever the split size, and
     everything fused with the scan runs there too. Input made of many files or
-    row groups already has enough splits, and then nothing changes.
+    row groups already has enough splits, and then nothing changes. Hashing on
+    the row's key is deterministic on retry without the sort a round-robin
+    repartition needs for that.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
 
 
 def _txt(c: Column | str) -> Column:
@@ -67,7 +69,8 @@ def _address(key: Column, null_every: int) -> Column:
 def sales_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales feed: one transaction per line item, with planted defects."""
     l = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"),
+        "l_orderkey", "l_linenumber")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     ok = F.col("l_orderkey")

@@ -65,3 +65,14 @@ def test_registered_queries_match_oracle(spark):
     report = compare(spark, SF_SMALL)
     bad = {k: v for k, v in report.items() if v.get("hash_ok") is not True}
     assert not bad, bad
+
+
+def test_audit_counts_equal_each_output(spark, run):
+    from dimflow.plans.daily_run import AUDITED, audit
+
+    inputs, out = run
+    got = {r.OUTPUT: r.ROW_COUNT for r in audit(inputs, out).collect()}
+    frames = {"customer_delta": inputs.customer_delta, "sales_txn": inputs.sales_txn,
+              "dimension_current": inputs.dimension.filter("CURR_FLAG = 'Y'")}
+    want = {name: (frames[name] if name in frames else getattr(out, name)).count() for name in AUDITED}
+    assert got == want

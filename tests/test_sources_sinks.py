@@ -138,6 +138,10 @@ def test_two_day_replay_and_rerun(spark, workdir):
     p2 = P.with_(run_date=day2)
     store, out, counts = _run_day(spark, workdir, src2, p2)
     assert out.key_base == 6
+    # Day 2 planned from day 1's marker: the current dimension's size was recorded, not scanned.
+    base = store.base_version(spark, day2)
+    assert base == RUN.isoformat()
+    assert store.current_size(spark, base).rows == 5
     assert rows(out.changes, "CUST_ID", "CHANGE_CODE") == [("K-11", 3), ("K-15", 1)]
     dim = rows(store.read_all(spark))
     assert [(r[0], r[1], r[10], r[8], r[9]) for r in dim] == [
