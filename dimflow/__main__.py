@@ -37,13 +37,14 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--fact-mode", choices=["append", "replace_run"], default="append")
     ap.add_argument("--snapshot", choices=["post_load", "pre_load"], default="post_load")
     ap.add_argument("--broadcast-max-rows", type=int, default=RunParams.broadcast_max_rows)
+    ap.add_argument("--broadcast-max-bytes", type=int, default=RunParams.broadcast_max_bytes)
     return ap.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> dict[str, int]:
     args = parse_args(sys.argv[1:] if argv is None else argv)
     params = RunParams(run_date=args.run_date, high_date=args.high_date, snapshot=args.snapshot,
-                       broadcast_max_rows=args.broadcast_max_rows)
+                       broadcast_max_rows=args.broadcast_max_rows, broadcast_max_bytes=args.broadcast_max_bytes)
     spark = SparkSession.builder.appName(f"dimflow-{params.run_tag}").getOrCreate()
     store = DimensionStore(args.dim_root)
     inputs = inputs_from_store(read_customer_delta(spark, args.src_dir, params.run_date),

@@ -27,6 +27,7 @@ and moves one row per task.
 from __future__ import annotations
 
 import sys
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -92,7 +93,7 @@ def measure(df: DataFrame) -> Size:
 
 def materialize_measured(df: DataFrame) -> tuple[DataFrame, Size]:
     """Reliable checkpoint of ``df`` and its exact size, observed by the checkpoint job itself."""
-    obs = Observation(f"size_{id(df):x}")
+    obs = Observation(f"size_{uuid.uuid4().hex}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
                           F.coalesce(F.sum(row_bytes(df)), F.lit(0).cast("long")).alias("bytes"))
     ckpt = materialize(observed)
@@ -123,7 +124,7 @@ def heavy_keys(df: DataFrame, on: list[str], params: RunParams) -> DataFrame:
                .groupBy(*on).agg(F.count(F.lit(1)).alias("_hits")))
     # One scan of the big side: the sampled counts are checkpointed and their
     # total is observed by that same job.
-    obs = Observation(f"sample_{id(df):x}")
+    obs = Observation(f"sample_{uuid.uuid4().hex}")
     pinned = materialize(sampled.observe(obs, F.sum("_hits").alias("n")))
     total = obs.get["n"] or 0
     threshold = max(params.hot_key_share * total, MIN_SAMPLED_HITS)
