@@ -61,13 +61,21 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, creating a local one only if unset."""
+    """Return the session's shared checkpoint folder.
+
+    A local folder is created only for a ``local[...]`` master with none
+    configured (tests); a cluster session without ``spark.checkpoint.dir`` is an
+    error, since a machine-local folder would not survive a lost executor.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. a distributed file system path) "
+                               "before running dimflow on a cluster")
         configured = tempfile.mkdtemp(prefix="dimflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

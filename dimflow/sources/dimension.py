@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -138,10 +137,11 @@ class DimensionStore:
             hist = spark.read.schema(HISTORY_SCHEMA).parquet(self.history_dir)
         except AnalysisException:
             return empty_dimension(spark)
-        # Partition filters: only committed (date, attempt) directories are listed and read.
-        committed = [(F.col("EXPIRED_ON") == F.lit(dt.date.fromisoformat(v))) & (F.col("attempt") == F.lit(a))
-                     for v, a in commits.items()]
-        return hist.filter(reduce(lambda x, y: x | y, committed)).select(*S.names(S.CUSTOMER_DIM))
+        # A partition filter (one IN set, however many runs): only committed
+        # (date, attempt) directories are listed and read.
+        directory = F.concat_ws("/", F.col("EXPIRED_ON").cast("string"), F.col("attempt"))
+        committed = [f"{v}/{a}" for v, a in sorted(commits.items())]
+        return hist.filter(directory.isin(committed)).select(*S.names(S.CUSTOMER_DIM))
 
     def read_all(self, spark: SparkSession, version: str | None = None) -> DataFrame:
         """Full dimension (history + current) as of ``version`` (default: live)."""
