@@ -61,28 +61,23 @@ class Size:
 UNBOUNDED = Size(sys.maxsize, sys.maxsize)
 
 
-def _round8(n: Column) -> Column:
-    return F.shiftleft(F.shiftright(n + F.lit(7), 3), 3)
-
-
 def row_bytes(df: DataFrame) -> Column:
     """Bytes one row takes as an UnsafeRow: null bits, one 8-byte slot per field,
-    plus the 8-byte-aligned payload of variable-length fields."""
+    plus the 8-byte-aligned payload of variable-length fields.
+
+    Built as one SQL expression (one call into the JVM, not one per field).
+    """
     fields = df.schema.fields
-    fixed = 8 * ((len(fields) + 63) // 64) + 8 * len(fields)
-    payload = []
+    terms = [f"CAST({8 * ((len(fields) + 63) // 64) + 8 * len(fields)} AS BIGINT)"]
     for f in fields:
-        c, t = F.col(f"`{f.name}`"), f.dataType
+        c, t = "`" + f.name.replace("`", "``") + "`", f.dataType
         if isinstance(t, (T.StringType, T.BinaryType)):
-            payload.append(_round8(F.octet_length(c)))
+            terms.append(f"coalesce(((CAST(octet_length({c}) AS BIGINT) + 7) >> 3) << 3, 0)")
         elif isinstance(t, T.DecimalType) and t.precision > 18:
-            payload.append(F.when(c.isNotNull(), F.lit(16)))
+            terms.append(f"if({c} IS NULL, 0, 16)")
         elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
-            payload.append(_round8(F.octet_length(F.to_json(c))))
-    total = F.lit(fixed).cast("long")
-    for p in payload:
-        total = total + F.coalesce(p.cast("long"), F.lit(0).cast("long"))
-    return total
+            terms.append(f"coalesce(((CAST(octet_length(to_json({c})) AS BIGINT) + 7) >> 3) << 3, 0)")
+    return F.expr(f"CAST({' + '.join(terms)} AS BIGINT)")
 
 
 def measure(df: DataFrame) -> Size:
