@@ -58,7 +58,7 @@ def write_dimension_version(store: DimensionStore, current: DataFrame, closed: D
     marker = spark.createDataFrame(
         [(tag, attempt, int(next_key), None, cur_rows, cur_bytes)], MARKER_SCHEMA) \
         .withColumn("committed_at", F.current_timestamp()).select(*MARKER_SCHEMA.names)
-    marker.coalesce(1).write.mode("overwrite").parquet(store.marker_path(tag))
+    marker.coalesce(1).write.mode("errorifexists").parquet(store.marker_path(tag, attempt))
     return {"dim_current": cur_rows, "dim_closed": hist_obs.get["rows"]}
 
 

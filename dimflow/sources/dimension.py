@@ -6,11 +6,13 @@ version live:
 
 * ``<root>/current/v=<run_date>/attempt=<id>/``      current rows (``CURR_FLAG='Y'``) after a run
 * ``<root>/history/EXPIRED_ON=<date>/attempt=<id>/`` versions closed by that run (append-only)
-* ``<root>/_versions/v=<run_date>/``                 commit marker naming the attempt, written last
+* ``<root>/_versions/v=<run_date>/a=<id>/``          commit marker naming the attempt, written last
 
-Every run writes under a fresh attempt id; the marker is the switch. Readers
-take the newest marker and only the attempts markers name, so files of a failed
-attempt are never read and a re-run of a date deletes nothing a reader uses.
+Every run writes under a fresh attempt id; the marker is the switch. Markers are
+append-only too: a re-run of a date adds a newer marker instead of replacing
+the old one, so a re-run that dies mid-commit leaves the earlier commit live.
+Readers take the newest marker per date and only the attempts markers name, so
+files of a failed attempt are never read and a re-run deletes nothing.
 Scanning the current rows touches one ``current`` attempt only; closed history
 is never read for lookups.
 """
@@ -75,16 +77,20 @@ class DimensionStore:
     def current_path(self, version: str, attempt: str) -> str:
         return f"{self.current_dir}/v={version}/attempt={attempt}"
 
-    def marker_path(self, version: str) -> str:
-        return f"{self.versions_dir}/v={version}"
+    def marker_path(self, version: str, attempt: str) -> str:
+        return f"{self.versions_dir}/v={version}/a={attempt}"
 
     def markers(self, spark: SparkSession) -> dict[str, dict]:
-        """Committed ``{version: marker}`` — one tiny marker row per run date."""
+        """Committed ``{version: marker}``: the newest marker of each run date (a few tiny rows per date)."""
         try:
-            rows = spark.read.schema(MARKER_SCHEMA).parquet(self.versions_dir).collect()
+            rows = (spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true")
+                    .parquet(self.versions_dir).collect())
         except AnalysisException:
             return {}
-        return {r["version"]: r.asDict() for r in rows}
+        newest: dict[str, dict] = {}
+        for r in sorted(rows, key=lambda r: (r["committed_at"], r["attempt"])):
+            newest[r["version"]] = r.asDict()
+        return newest
 
     def commits(self, spark: SparkSession) -> dict[str, str]:
         """Committed ``{version: attempt}``."""

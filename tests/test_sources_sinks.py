@@ -201,3 +201,20 @@ def test_jdbc_option_maps():
     assert "password" not in repr(t)
     with pytest.raises(ValueError):
         t.current_dim_read_options("T", num_partitions=2)
+
+
+def test_rerun_adds_a_marker_and_a_dead_attempt_is_never_read(spark, workdir):
+    src = _stage(workdir, RUN)
+    store, _, _ = _run_day(spark, workdir, src, P)
+    first = store.commits(spark)[RUN.isoformat()]
+    before = rows(store.read_all(spark))
+    store, _, _ = _run_day(spark, workdir, src, P)             # a successful re-run of the date
+    second = store.commits(spark)[RUN.isoformat()]
+    assert second != first
+    assert sorted(os.listdir(os.path.join(store.versions_dir, f"v={RUN.isoformat()}"))) == sorted(
+        [f"a={first}", f"a={second}"])                          # the earlier commit is still there
+    # A re-run that dies after writing its data but before its marker changes nothing.
+    dead = "a" + "0" * 16
+    store.read_current(spark, RUN.isoformat()).write.parquet(store.current_path(RUN.isoformat(), dead))
+    assert store.commits(spark)[RUN.isoformat()] == second
+    assert rows(store.read_all(spark)) == before
