@@ -8,8 +8,11 @@ Each feed row is compared with the current row(s) of its business key:
 * code 0 (copy)   — otherwise; copies are dropped.
 
 Current rows absent from the feed are kept as they are (no deletes), so the
-compare join is a left join from the feed. With ``detect_deletes`` it becomes a
-full outer join and a current row missing from the feed yields code 2.
+compare join is a left join from the feed. With ``detect_deletes`` the result is
+that of a full outer join: a current row missing from the feed yields code 2.
+It is built as the left join plus an anti join of the current rows with the
+feed's distinct keys, so a hot feed key is salted like any lookup and a large
+dimension is scanned, not shuffled.
 
 Output: CHANGE_CODE, key, the feed's attribute values, EXISTING_CUST_KEY.
 """
@@ -52,27 +55,25 @@ def capture_changes(feed: DataFrame, current: DataFrame, params: RunParams,
         *[F.col(a).alias(BEFORE + a) for a in attributes])
     after = feed.select(key, *attributes)
 
-    if params.detect_deletes:
-        # Both sides' unmatched rows matter, so no side can be a broadcast build side.
-        joined = after.withColumn("_in_feed", F.lit(True)).join(before, key, "full_outer")
-        found_after = F.col("_in_feed").isNotNull()
-    else:
-        joined = lookup_join(after, before, key, "left", params, current_size)
-        found_after = F.lit(True)
-
+    joined = lookup_join(after, before, key, "left", params, current_size)
     differs = any_differs([(F.col(a), F.col(BEFORE + a)) for a in attributes], params.null_safe_compare)
     code = (
         F.when(F.col(existing_key).isNull(), F.lit(S.INSERT))
-        .when(~found_after, F.lit(S.DELETE))
         .when(differs, F.lit(S.EDIT))
         .otherwise(F.lit(S.COPY))
     )
-    values = [
-        (F.when(found_after, F.col(a)).otherwise(F.col(BEFORE + a)) if params.detect_deletes else F.col(a)).alias(a)
-        for a in attributes
-    ]
+    changed = joined.select(code.alias("CHANGE_CODE"), F.col(key), *[F.col(a) for a in attributes],
+                            F.col(existing_key))
+    if params.detect_deletes:
+        # The rows a full outer join adds to the left join: current rows whose key
+        # is not in the feed. An anti join with the feed's distinct keys (a small
+        # side, de-duplicated map-side) finds them without shuffling the dimension.
+        feed_keys = after.select(key).dropna().distinct()
+        gone = lookup_join(before, feed_keys, key, "left_anti", params)
+        changed = changed.unionByName(gone.select(
+            F.when(F.col(existing_key).isNull(), F.lit(S.INSERT)).otherwise(F.lit(S.DELETE)).alias("CHANGE_CODE"),
+            F.col(key), *[F.col(BEFORE + a).alias(a) for a in attributes], F.col(existing_key)))
     return (
-        joined.select(code.alias("CHANGE_CODE"), F.col(key), *values, F.col(existing_key))
-        .filter(F.col("CHANGE_CODE") != F.lit(S.COPY))
+        changed.filter(F.col("CHANGE_CODE") != F.lit(S.COPY))
         .filter(F.col(key).isNotNull())
     )

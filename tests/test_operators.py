@@ -253,3 +253,19 @@ def test_rejects_in_one_pass_equals_two_streams(spark, cap):
     assert rows(one) == rows(two) == [
         ("t2", None, "NF"), ("t3", "c9", "NF"), ("t4", "c2", "NON_POSITIVE_QTY"), ("t4", "c2", "NON_POSITIVE_QTY"),
         ("t6", "c1", "MISSING_TXN_DATE")]
+
+
+@pytest.mark.parametrize("cap", [0, 1, 1000])
+def test_deletes_same_result_on_every_join_path(spark, cap):
+    # A feed key holding a third of the feed, several changed and unchanged keys, and
+    # current rows absent from the feed (deletes), one of them with a NULL key.
+    rows_in = [frow("hot", seg="X")] * 30 + [frow(f"c{i}", seg="A" if i % 2 else None) for i in range(60)]
+    f = feed(spark, rows_in + [frow(None)])
+    cur = dim(spark, [drow(1, "hot")] + [drow(10 + i, f"c{i}") for i in range(0, 80, 3)] + [drow(99, None)])
+    params = P.with_(detect_deletes=True, broadcast_max_rows=cap, hot_key_share=0.05, skew_sample_fraction=1.0,
+                     salt_buckets=4)
+    got = rows(capture_changes(f, cur, params))
+    assert got == rows(capture_changes(f, cur, P.with_(detect_deletes=True, broadcast_max_rows=10_000)))
+    codes = [r[0] for r in got]
+    assert codes.count(2) == len([i for i in range(0, 80, 3) if i >= 60])   # c60 .. c78 are deletes
+    assert codes.count(3) == 30 + len([i for i in range(1, 60, 2) if i % 3 == 0])
