@@ -12,10 +12,10 @@ writes each output once.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dimflow import schemas as S
@@ -133,8 +133,10 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
 
 AUDITED = ("customer_delta", "sales_txn", "dimension_current", "changes", "expired", "new_versions",
            "dimension_after", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
-# Counts that all come from one left join of the sales with the lookup dimension.
-SALES_SIDE = ("lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "errors")
+# Counts that all come from one scan and one join of the sales.
+SALES_SIDE = ("sales_txn", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
+FIRST = "_dimflow_first"
+CLASS = "_dimflow_class"
 
 
 def _count(df: DataFrame, name: str) -> DataFrame:
@@ -142,22 +144,38 @@ def _count(df: DataFrame, name: str) -> DataFrame:
 
 
 def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
-    """Rows of every sales-derived output from a single scan and join of the sales.
-
-    A sales row meets each of its lookup rows once (the enriched stream's fan-out)
-    or none (a lookup reject); the quality streams are conditional counts over
-    the matched rows, and the error log is lookup rejects plus quality rejects.
+    """Rows of the sales feed and of every output derived from it, from one scan and join of the sales.
+
+    A sales row meets each of its lookup rows once (the enriched stream's
+    fan-out) or none (a lookup reject). Exactly one lookup row per key is
+    flagged, so each sales row is also counted once. Every joined row gets a
+    class (lookup reject, pass, reject, unclassified); grouping by the class
+    and the fact grain — kept for passing rows only, so the other classes
+    collapse to one group each — yields the fact's row count as the number of
+    passing groups, at the cost of the fact's own partial aggregate.
     """
     rules = quality.sales_rules()
-    joined = outputs.lookup_plan.join(sales, "left", [S.CUSTOMER_KEY])
+    plan = outputs.lookup_plan
+    first = F.row_number().over(Window.partitionBy(*plan.on).orderBy(F.col(S.CUSTOMER_KEY).asc_nulls_last())) == 1
+    flagged = replace(plan, lookup=plan.side([S.CUSTOMER_KEY]).withColumn(FIRST, first))
+    joined = flagged.join(sales, "left", [S.CUSTOMER_KEY, FIRST])
     matched = F.col(S.CUSTOMER_KEY).isNotNull()
-    passed = F.coalesce(quality.pass_predicate(rules), F.lit(False))
-    rejected = F.coalesce(quality.reject_predicate(rules), F.lit(False))
-    wide = joined.agg(
-        F.count_if(~matched).alias("lookup_rejects"),
-        F.count_if(matched & passed).alias("dq_pass"),
-        F.count_if(matched & rejected).alias("dq_rejects"),
-        F.count_if(matched & ~passed & ~rejected).alias("dq_unclassified"),
+    klass = (F.when(~matched, F.lit("lookup_rejects"))
+             .when(F.coalesce(quality.pass_predicate(rules), F.lit(False)), F.lit("dq_pass"))
+             .when(F.coalesce(quality.reject_predicate(rules), F.lit(False)), F.lit("dq_rejects"))
+             .otherwise(F.lit("dq_unclassified")))
+    grain = [F.when(F.col(CLASS) == "dq_pass", F.col(c)).alias(c) for c in S.FACT_GRAIN]
+    groups = (joined.withColumn(CLASS, klass)
+              .groupBy(F.col(CLASS), *grain)
+              .agg(F.count(F.lit(1)).alias("_rows"), F.count_if(~matched | F.col(FIRST)).alias("_sales")))
+
+    def rows_of(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(CLASS) == name, F.col("_rows"))), F.lit(0).cast("long"))
+
+    wide = groups.agg(
+        F.coalesce(F.sum("_sales"), F.lit(0).cast("long")).alias("sales_txn"),
+        *[rows_of(name).alias(name) for name in ("lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified")],
+        F.count_if(F.col(CLASS) == "dq_pass").alias("fact"),
     ).withColumn("errors", F.col("lookup_rejects") + F.col("dq_rejects"))
     return wide.unpivot([], list(SALES_SIDE), "OUTPUT", "ROW_COUNT")
 
@@ -165,17 +183,16 @@ def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
 def audit(inputs: Inputs, outputs: Outputs) -> DataFrame:
     """One row per input/output: ``(OUTPUT, ROW_COUNT)`` — the run's verification counts.
 
-    The sales are scanned twice in all: once for the sales-side counts, once for
-    the fact (its row count is its number of groups); every other count reads a
-    feed, the dimension or a checkpointed change set.
+    The sales are scanned once, for all sales-side counts including the fact's;
+    every other count reads the customer feed, the dimension or a checkpointed
+    change set.
     """
     frames = {
         "customer_delta": inputs.customer_delta,
-        "sales_txn": inputs.sales_txn,
         "dimension_current": inputs.dimension_current if inputs.dimension_current is not None
         else current_rows(inputs.dimension),
     }
-    frames.update({name: getattr(outputs, name) for name in AUDITED if name not in frames})
+    frames.update({name: getattr(outputs, name) for name in AUDITED if name not in frames and name not in SALES_SIDE})
     counts = [_count(frames[name], name) for name in AUDITED if name not in SALES_SIDE]
     counts.append(sales_side_counts(inputs.sales_txn, outputs))
     return reduce(lambda a, b: a.unionByName(b), counts)

@@ -269,3 +269,22 @@ def test_deletes_same_result_on_every_join_path(spark, cap):
     codes = [r[0] for r in got]
     assert codes.count(2) == len([i for i in range(0, 80, 3) if i >= 60])   # c60 .. c78 are deletes
     assert codes.count(3) == 30 + len([i for i in range(1, 60, 2) if i % 3 == 0])
+
+
+@pytest.mark.parametrize("cap", [0, 1000])
+def test_audit_counts_with_fan_out_and_every_class(spark, cap):
+    from dimflow.plans import Inputs, plan
+    from dimflow.plans.daily_run import AUDITED, audit
+
+    s = sales(spark, [srow("t1", "c1"), srow("t2", "c2"), srow("t3", "c9"), srow("t4", None),
+                      srow("t5", "c2", amount=Decimal("-1.00")), srow("t6", "c2", amount=None),
+                      srow("t7", "c1", store=None), srow("t8", "c1", store=None), srow("t9", "c3", qty=0)])
+    d = dim(spark, [drow(1, "c1"), drow(2, "c2"), drow(3, "c2"), drow(4, "c3")])   # c2 has two current rows
+    f = feed(spark, [frow("c1", seg="NEW"), frow("c5")])
+    inputs = Inputs(customer_delta=f, sales_txn=s, dimension=d)
+    out = plan(inputs, P.with_(broadcast_max_rows=cap, skew_sample_fraction=1.0))
+    got = {r.OUTPUT: r.ROW_COUNT for r in audit(inputs, out).collect()}
+    frames = {"customer_delta": f, "sales_txn": s, "dimension_current": d}
+    want = {name: (frames[name] if name in frames else getattr(out, name)).count() for name in AUDITED}
+    assert got == want
+    assert got["sales_txn"] == 9 and got["lookup_rejects"] == 2 and got["dq_unclassified"] == 2

@@ -66,3 +66,12 @@ def test_current_scan_prunes_flag_partition(spark):
     text = physical(current_rows(spark.read.parquet(path)).select("CUST_ID", "CUST_KEY"))
     assert "PartitionFilters: [isnotnull(CURR_FLAG" in text and "(CURR_FLAG#" in text
     assert "ReadSchema: struct<CUST_KEY:int,CUST_ID:string>" in text
+
+
+def test_load_audit_scans_the_sales_once(spark):
+    from dimflow.plans.daily_run import audit
+
+    inputs = fixture_inputs(spark, SF_SMALL)
+    text = physical(audit(inputs, plan(inputs, PARAMS)))
+    scans = [line for line in text.splitlines() if line.startswith("Location:") and "lineitem.parquet" in line]
+    assert len(scans) == 1
