@@ -12,6 +12,7 @@ writes each output once.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -23,7 +24,6 @@ from dimflow.operators import changes, errors, facts, keys, quality, scd2
 from dimflow.operators.joins import LookupPlan, Size, materialize_measured, measure, plan_lookup, row_bytes
 from dimflow.operators.lookup import lookup_with_rejects
 from dimflow.params import RunParams
-from dimflow.session import materialize
 from dimflow.sinks import writers
 from dimflow.sources.dimension import DimensionStore, current_rows
 
@@ -219,10 +219,21 @@ def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: Di
 
 
 def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:
-    """Write dimension, fact and error log once each; return the observed row counts."""
+    """Write dimension, fact and error log once each; return the observed row counts.
+
+    The three writes are independent jobs and are submitted together, so the
+    cluster overlaps them instead of idling through each job's tail. The
+    dimension version is committed (its marker written) only after all three
+    succeeded: a run that fails anywhere leaves the previous dimension live.
+    """
+    spark = outputs.fact.sparkSession
     store = DimensionStore(targets.dimension_root)
-    counts = writers.write_dimension_version(store, outputs.current_after, outputs.dimension_closed,
-                                             params.run_date, outputs.next_key)
-    counts["fact"] = writers.write_fact(outputs.fact, targets.fact_path, params.run_date, targets.fact_mode)
-    counts["errors"] = writers.write_error_log(outputs.errors, targets.error_dir, params.run_date)
+    with ThreadPoolExecutor(max_workers=3, thread_name_prefix="dimflow-publish") as pool:
+        staged = pool.submit(writers.stage_dimension_version, store, outputs.current_after,
+                             outputs.dimension_closed, params.run_date)
+        fact = pool.submit(writers.write_fact, outputs.fact, targets.fact_path, params.run_date, targets.fact_mode)
+        errs = pool.submit(writers.write_error_log, outputs.errors, targets.error_dir, params.run_date)
+        staged_version, n_fact, n_errors = staged.result(), fact.result(), errs.result()
+    counts = writers.commit_dimension_version(spark, store, staged_version, outputs.next_key)
+    counts.update({"fact": n_fact, "errors": n_errors})
     return counts

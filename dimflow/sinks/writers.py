@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -36,30 +37,54 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
                       F.coalesce(F.sum(row_bytes(df)), F.lit(0).cast("long")).alias("bytes")), obs
 
 
-def write_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
-                            run_date: dt.date, next_key: int) -> dict[str, int]:
-    """Publish one run's dimension: new current version, closed versions, marker.
+@dataclass(frozen=True)
+class StagedVersion:
+    """Data files of one run's dimension version, written but not yet committed."""
 
-    ``next_key`` — first surrogate key the next run may use; kept in the marker so
-    later runs need not scan the dimension for its maximum key. The measured
-    size of the current rows goes there too: the next run's broadcast decisions
-    need no scan of the dimension either.
+    version: str
+    attempt: str
+    current_rows: int
+    current_bytes: int
+    closed_rows: int
+
+
+def stage_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
+                            run_date: dt.date) -> StagedVersion:
+    """Write the new current rows and the versions this run closes under a fresh attempt id.
+
+    Nothing reads them until :func:`commit_dimension_version` writes the marker.
     """
-    spark = current.sparkSession
     tag = run_date.isoformat()
     attempt = "a" + uuid.uuid4().hex[:16]
     cur, cur_obs = _counted(current.select(*S.names(S.CUSTOMER_DIM)), "dim_current")
     cur.write.mode("errorifexists").parquet(store.current_path(tag, attempt))
-
     hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)), "dim_closed")
     hist.write.mode("errorifexists").parquet(f"{store.history_dir}/EXPIRED_ON={tag}/attempt={attempt}")
+    return StagedVersion(tag, attempt, int(cur_obs.get["rows"]), int(cur_obs.get["bytes"]),
+                         int(hist_obs.get["rows"]))
+
 
-    cur_rows, cur_bytes = int(cur_obs.get["rows"]), int(cur_obs.get["bytes"])
+def commit_dimension_version(spark: SparkSession, store: DimensionStore, staged: StagedVersion,
+                             next_key: int) -> dict[str, int]:
+    """Write the commit marker: from now on readers see the staged version.
+
+    ``next_key`` — first surrogate key the next run may use; kept in the marker so
+    later runs need not scan the dimension for its maximum key. The measured
+    size of the current rows goes there too: the next run's broadcast decisions
+    need no scan of the dimension either.
+    """
     marker = spark.createDataFrame(
-        [(tag, attempt, int(next_key), None, cur_rows, cur_bytes)], MARKER_SCHEMA) \
-        .withColumn("committed_at", F.current_timestamp()).select(*MARKER_SCHEMA.names)
-    marker.coalesce(1).write.mode("errorifexists").parquet(store.marker_path(tag, attempt))
-    return {"dim_current": cur_rows, "dim_closed": hist_obs.get["rows"]}
+        [(staged.version, staged.attempt, int(next_key), None, staged.current_rows, staged.current_bytes)],
+        MARKER_SCHEMA).withColumn("committed_at", F.current_timestamp()).select(*MARKER_SCHEMA.names)
+    marker.coalesce(1).write.mode("errorifexists").parquet(store.marker_path(staged.version, staged.attempt))
+    return {"dim_current": staged.current_rows, "dim_closed": staged.closed_rows}
+
+
+def write_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
+                            run_date: dt.date, next_key: int) -> dict[str, int]:
+    """Publish one run's dimension: new current version, closed versions, then the marker."""
+    staged = stage_dimension_version(store, current, closed, run_date)
+    return commit_dimension_version(current.sparkSession, store, staged, next_key)
 
 
 def write_fact(fact: DataFrame, path: str, run_date: dt.date, mode: str = "append") -> int:
