@@ -58,7 +58,9 @@ def stage_dimension_version(store: DimensionStore, current: DataFrame, closed: D
     attempt = "a" + uuid.uuid4().hex[:16]
     cur, cur_obs = _counted(current.select(*S.names(S.CUSTOMER_DIM)), "dim_current")
     cur.write.mode("errorifexists").parquet(store.current_path(tag, attempt))
-    hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)), "dim_closed")
+    # Closed versions are a few rows spread over every split of the dimension:
+    # rebalance them (AQE sizes the partitions) instead of writing one tiny file per split.
+    hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)).hint("rebalance"), "dim_closed")
     hist.write.mode("errorifexists").parquet(f"{store.history_dir}/EXPIRED_ON={tag}/attempt={attempt}")
     return StagedVersion(tag, attempt, int(cur_obs.get["rows"]), int(cur_obs.get["bytes"]),
                          int(hist_obs.get["rows"]))
@@ -111,7 +113,9 @@ def error_log_path(err_dir: str, run_date: dt.date) -> str:
 
 
 def write_error_log(errors: DataFrame, err_dir: str, run_date: dt.date) -> int:
-    out, obs = _counted(errors.select(*S.names(S.ERROR_LOG)), "errors")
+    # Rejects are a thin filter over every split of the sales: only they are
+    # rebalanced, so the log is a few files of the advisory size, not one per split.
+    out, obs = _counted(errors.select(*S.names(S.ERROR_LOG)).hint("rebalance"), "errors")
     (out.write.mode("overwrite")
      .option("header", "true").option("nullValue", "NULL").option("dateFormat", "yyyy-MM-dd")
      .csv(error_log_path(err_dir, run_date)))
