@@ -210,12 +210,13 @@ def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: Di
                       params: RunParams) -> Inputs:
     """Inputs of a run against a versioned dimension store (empty store = first load)."""
     spark = sales_txn.sparkSession
-    base = store.base_version(spark, params.run_date)
-    current = store.read_current(spark, base)
-    history = store.read_history(spark, before=params.run_date)
+    known = store.markers(spark)  # one read of the commit markers serves every lookup below
+    base = store.base_version(spark, params.run_date, known)
+    current = store.read_current(spark, base, known)
+    history = store.read_history(spark, before=params.run_date, known=known)
     return Inputs(customer_delta=customer_delta, sales_txn=sales_txn,
                   dimension=history.unionByName(current), dimension_current=current,
-                  key_base=store.next_key(spark, base), current_size=store.current_size(spark, base))
+                  key_base=store.next_key(spark, base, known), current_size=store.current_size(spark, base, known))
 
 
 def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:

@@ -92,32 +92,38 @@ class DimensionStore:
             newest[r["version"]] = r.asDict()
         return newest
 
-    def commits(self, spark: SparkSession) -> dict[str, str]:
+    def _markers(self, spark: SparkSession, known: dict[str, dict] | None) -> dict[str, dict]:
+        """``known`` — markers already read in this run (one read serves every lookup below)."""
+        return known if known is not None else self.markers(spark)
+
+    def commits(self, spark: SparkSession, known: dict[str, dict] | None = None) -> dict[str, str]:
         """Committed ``{version: attempt}``."""
-        return {v: m["attempt"] for v, m in self.markers(spark).items()}
+        return {v: m["attempt"] for v, m in self._markers(spark, known).items()}
 
-    def next_key(self, spark: SparkSession, version: str | None) -> int:
+    def next_key(self, spark: SparkSession, version: str | None, known: dict[str, dict] | None = None) -> int:
         """First free surrogate key after ``version`` (1 for an empty store), kept in its marker."""
         if version is None:
             return 1
-        return int(self.markers(spark)[version]["next_key"])
+        return int(self._markers(spark, known)[version]["next_key"])
 
-    def current_size(self, spark: SparkSession, version: str | None) -> Size | None:
+    def current_size(self, spark: SparkSession, version: str | None,
+                     known: dict[str, dict] | None = None) -> Size | None:
         """Measured size of ``version``'s current rows, kept in its marker (``None`` if not recorded)."""
         if version is None:
             return Size(0, 0)
-        marker = self.markers(spark)[version]
+        marker = self._markers(spark, known)[version]
         if marker.get("current_rows") is None or marker.get("current_bytes") is None:
             return None
         return Size(int(marker["current_rows"]), int(marker["current_bytes"]))
 
-    def committed_versions(self, spark: SparkSession) -> list[str]:
-        return sorted(self.commits(spark))
+    def committed_versions(self, spark: SparkSession, known: dict[str, dict] | None = None) -> list[str]:
+        return sorted(self.commits(spark, known))
 
-    def base_version(self, spark: SparkSession, run_date: dt.date) -> str | None:
+    def base_version(self, spark: SparkSession, run_date: dt.date,
+                     known: dict[str, dict] | None = None) -> str | None:
         """The version a run of ``run_date`` builds on: newest committed before it."""
         tag = run_date.isoformat()
-        versions = self.committed_versions(spark)
+        versions = self.committed_versions(spark, known)
         later = [v for v in versions if v > tag]
         if later:
             raise ValueError(
@@ -126,15 +132,17 @@ class DimensionStore:
         earlier = [v for v in versions if v < tag]
         return earlier[-1] if earlier else None
 
-    def read_current(self, spark: SparkSession, version: str | None) -> DataFrame:
+    def read_current(self, spark: SparkSession, version: str | None,
+                     known: dict[str, dict] | None = None) -> DataFrame:
         if version is None:
             return empty_dimension(spark)
-        attempt = self.commits(spark)[version]
+        attempt = self.commits(spark, known)[version]
         return current_rows(spark.read.schema(S.CUSTOMER_DIM).parquet(self.current_path(version, attempt)))
 
-    def read_history(self, spark: SparkSession, before: dt.date | None = None) -> DataFrame:
+    def read_history(self, spark: SparkSession, before: dt.date | None = None,
+                     known: dict[str, dict] | None = None) -> DataFrame:
         """Closed versions of committed runs, optionally only runs before ``before``."""
-        commits = self.commits(spark)
+        commits = self.commits(spark, known)
         if before is not None:
             commits = {v: a for v, a in commits.items() if v < before.isoformat()}
         if not commits:
