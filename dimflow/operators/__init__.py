@@ -4,7 +4,7 @@ from dimflow.operators.changes import capture_changes, latest_per_key
 from dimflow.operators.errors import funnel, rejects_in_one_pass
 from dimflow.operators.facts import sort_for_output, summarise
 from dimflow.operators.joins import (
-    LookupPlan, Size, bounded_count, fits_broadcast, heavy_keys, lookup_join, measure, plan_lookup, salted_join,
+    LookupPlan, Size, fits_broadcast, heavy_keys, lookup_join, measure, plan_lookup, salted_join,
 )
 from dimflow.operators.keys import assign_keys, key_base, positions_distributed, positions_window
 from dimflow.operators.lookup import enrich, lookup_with_rejects, unmatched
@@ -17,7 +17,6 @@ __all__ = [
     "Size",
     "apply_to_dimension",
     "assign_keys",
-    "bounded_count",
     "capture_changes",
     "current_after",
     "enrich",

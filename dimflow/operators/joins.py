@@ -101,12 +101,6 @@ def fits_broadcast(size: Size, params: RunParams) -> bool:
     return size.rows <= params.broadcast_max_rows and size.bytes <= params.broadcast_max_bytes
 
 
-def bounded_count(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else ``None`` (exact, partial aggregation)."""
-    n = df.count()
-    return n if n <= max_rows else None
-
-
 def heavy_keys(df: DataFrame, on: list[str], params: RunParams) -> DataFrame:
     """Keys with at least ``hot_key_share`` of a seeded sample of ``df``.
 
@@ -166,6 +160,12 @@ class LookupPlan:
     hot: DataFrame | None = None
     buckets: int = 1
 
+    def __post_init__(self) -> None:
+        if self.strategy not in STRATEGIES:
+            raise ValueError(f"strategy must be one of {STRATEGIES}, got {self.strategy!r}")
+        if self.strategy == "salted" and self.hot is None:
+            raise ValueError("a salted plan needs its hot-key list")
+
     def side(self, columns: list[str] | None = None) -> DataFrame:
         if columns is None:
             return self.lookup
