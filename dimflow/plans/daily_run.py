@@ -16,7 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow import schemas as S
@@ -137,6 +137,8 @@ AUDITED = ("customer_delta", "sales_txn", "dimension_current", "changes", "expir
 SALES_SIDE = ("sales_txn", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
 FIRST = "_dimflow_first"
 CLASS = "_dimflow_class"
+MULT = "_dimflow_mult"
+LEAST = "_dimflow_least"
 
 
 def _count(df: DataFrame, name: str) -> DataFrame:
@@ -146,20 +148,28 @@ def _count(df: DataFrame, name: str) -> DataFrame:
 def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
     """Rows of the sales feed and of every output derived from it, from one scan and join of the sales.
 
-    A sales row meets each of its lookup rows once (the enriched stream's
-    fan-out) or none (a lookup reject). Exactly one lookup row per key is
-    flagged, so each sales row is also counted once. Every joined row gets a
-    class (lookup reject, pass, reject, unclassified); grouping by the class
-    and the fact grain — kept for passing rows only, so the other classes
-    collapse to one group each — yields the fact's row count as the number of
-    passing groups, at the cost of the fact's own partial aggregate.
+    The lookup side is reduced to its distinct (key, surrogate) pairs with their
+    multiplicity, and the pair holding each key's least surrogate is flagged:
+    all partial aggregations, so a key that holds a large share of the lookup
+    never sorts in one task. A sales row then meets each pair once (weighted by
+    the multiplicity, the enriched stream's fan-out) or none (a lookup reject),
+    and is counted once through its flagged pair. Every joined row gets a class
+    (lookup reject, pass, reject, unclassified); grouping by the class and the
+    fact grain — kept for passing rows only, so the other classes collapse to
+    one group each — yields the fact's row count as the number of passing
+    groups, at the cost of the fact's own partial aggregate.
     """
     rules = quality.sales_rules()
     plan = outputs.lookup_plan
-    first = F.row_number().over(Window.partitionBy(*plan.on).orderBy(F.col(S.CUSTOMER_KEY).asc_nulls_last())) == 1
-    flagged = replace(plan, lookup=plan.side([S.CUSTOMER_KEY]).withColumn(FIRST, first))
-    joined = flagged.join(sales, "left", [S.CUSTOMER_KEY, FIRST])
-    matched = F.col(S.CUSTOMER_KEY).isNotNull()
+    on = list(plan.on)
+    pairs = plan.side([S.CUSTOMER_KEY]).groupBy(*on, S.CUSTOMER_KEY).agg(F.count(F.lit(1)).alias(MULT))
+    least = pairs.groupBy(*on).agg(F.min(S.CUSTOMER_KEY).alias(LEAST))
+    # Bounded by the plan's own size proof unless salted; there AQE splits a hot key's partition.
+    least = least if plan.strategy == "salted" else F.broadcast(least)
+    flagged = (pairs.join(least, on)
+               .withColumn(FIRST, F.col(S.CUSTOMER_KEY).eqNullSafe(F.col(LEAST))).drop(LEAST))
+    joined = replace(plan, lookup=flagged).join(sales, "left", [S.CUSTOMER_KEY, MULT, FIRST])
+    matched = F.col(MULT).isNotNull()
     klass = (F.when(~matched, F.lit("lookup_rejects"))
              .when(F.coalesce(quality.pass_predicate(rules), F.lit(False)), F.lit("dq_pass"))
              .when(F.coalesce(quality.reject_predicate(rules), F.lit(False)), F.lit("dq_rejects"))
@@ -167,7 +177,8 @@ def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
     grain = [F.when(F.col(CLASS) == "dq_pass", F.col(c)).alias(c) for c in S.FACT_GRAIN]
     groups = (joined.withColumn(CLASS, klass)
               .groupBy(F.col(CLASS), *grain)
-              .agg(F.count(F.lit(1)).alias("_rows"), F.count_if(~matched | F.col(FIRST)).alias("_sales")))
+              .agg(F.sum(F.coalesce(F.col(MULT), F.lit(1).cast("long"))).alias("_rows"),
+                   F.count_if(~matched | F.col(FIRST)).alias("_sales")))
 
     def rows_of(name: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col(CLASS) == name, F.col("_rows"))), F.lit(0).cast("long"))

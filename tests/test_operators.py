@@ -288,3 +288,19 @@ def test_audit_counts_with_fan_out_and_every_class(spark, cap):
     want = {name: (frames[name] if name in frames else getattr(out, name)).count() for name in AUDITED}
     assert got == want
     assert got["sales_txn"] == 9 and got["lookup_rejects"] == 2 and got["dq_unclassified"] == 2
+
+
+@pytest.mark.parametrize("cap", [0, 1000])
+def test_audit_counts_with_duplicate_lookup_rows(spark, cap):
+    from dimflow.plans import Inputs, plan
+    from dimflow.plans.daily_run import AUDITED, audit
+
+    s = sales(spark, [srow(f"t{i}", "c1" if i % 3 else "c2", qty=i % 4) for i in range(30)] + [srow("tx", "c7")])
+    d = dim(spark, [drow(1, "c1"), drow(1, "c1"), drow(5, "c1"), drow(2, "c2")])   # (c1, 1) twice, c1 three rows
+    f = feed(spark, [frow("c2")])
+    inputs = Inputs(customer_delta=f, sales_txn=s, dimension=d)
+    out = plan(inputs, P.with_(broadcast_max_rows=cap, skew_sample_fraction=1.0))
+    got = {r.OUTPUT: r.ROW_COUNT for r in audit(inputs, out).collect()}
+    frames = {"customer_delta": f, "sales_txn": s, "dimension_current": d}
+    want = {name: (frames[name] if name in frames else getattr(out, name)).count() for name in AUDITED}
+    assert got == want and got["sales_txn"] == 31
