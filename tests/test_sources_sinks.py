@@ -218,3 +218,17 @@ def test_rerun_adds_a_marker_and_a_dead_attempt_is_never_read(spark, workdir):
     store.read_current(spark, RUN.isoformat()).write.parquet(store.current_path(RUN.isoformat(), dead))
     assert store.commits(spark)[RUN.isoformat()] == second
     assert rows(store.read_all(spark)) == before
+
+
+@pytest.mark.parametrize("cap", [0, 2_000_000])
+def test_empty_day_publishes_empty_outputs(spark, workdir, cap):
+    src = _stage(workdir, RUN)
+    _run_day(spark, workdir, src, P)
+    day2 = D(2026, 7, 29)
+    header_c, header_s = CUSTOMERS.splitlines()[0] + "\n", SALES.splitlines()[0] + "\n"
+    src2 = _stage(workdir, day2, header_c, header_s)
+    store, out, counts = _run_day(spark, workdir, src2, P.with_(run_date=day2, broadcast_max_rows=cap))
+    assert counts == {"dim_current": 5, "dim_closed": 0, "fact": 0, "errors": 0}
+    assert out.changes.count() == 0 and out.next_key == out.key_base == 6
+    assert store.committed_versions(spark) == [RUN.isoformat(), day2.isoformat()]
+    assert read_error_log(spark, _targets(workdir).error_dir, day2).count() == 0
