@@ -4,7 +4,7 @@ from dimflow.operators.changes import capture_changes, latest_per_key
 from dimflow.operators.errors import funnel, rejects_in_one_pass
 from dimflow.operators.facts import sort_for_output, summarise
 from dimflow.operators.joins import (
-    LookupPlan, Size, fits_broadcast, heavy_keys, lookup_join, measure, plan_lookup, salted_join,
+    KeyProfile, LookupPlan, Size, fits_broadcast, heavy_keys, hot_keys, profile_keys, lookup_join, measure, plan_lookup, salted_join,
 )
 from dimflow.operators.keys import assign_keys, key_base, positions_distributed, positions_window
 from dimflow.operators.lookup import enrich, lookup_with_rejects, unmatched
@@ -12,6 +12,7 @@ from dimflow.operators.quality import Rule, passed, rejected, sales_rules, split
 from dimflow.operators.scd2 import apply_to_dimension, current_after, expire, new_versions, newly_expired
 
 __all__ = [
+    "KeyProfile",
     "LookupPlan",
     "Rule",
     "Size",
@@ -24,6 +25,7 @@ __all__ = [
     "fits_broadcast",
     "funnel",
     "heavy_keys",
+    "hot_keys",
     "key_base",
     "latest_per_key",
     "lookup_with_rejects",
@@ -33,6 +35,7 @@ __all__ = [
     "newly_expired",
     "passed",
     "plan_lookup",
+    "profile_keys",
     "positions_distributed",
     "positions_window",
     "rejected",

@@ -8,7 +8,7 @@ and skew sampling run once per lookup, not once per output:
    pass, one partial row per task) proves the lookup side is within
    ``broadcast_max_rows`` and ``broadcast_max_bytes``: the big side is never
    shuffled.
-2. ``reduced`` — the big side has few distinct keys (a HyperLogLog estimate
+2. ``reduced`` — the big side has few distinct keys (a HyperLogLog sketch
    first, then an exact distinct count), e.g. a daily change feed against a
    large dimension: the lookup side is cut to those keys by a broadcast
    semi-join, checkpointed, and broadcast once its measured size is within
@@ -19,6 +19,8 @@ and skew sampling run once per lookup, not once per output:
    ``salt_buckets`` tasks; the lookup rows of hot keys are replicated once per
    bucket. Every row still meets exactly the lookup rows it would meet unsalted.
 
+The sketch and the skew sample come from one scan of the big side's key column.
+
 Sizes are never proven with ``limit(n).count()``: that plan funnels up to ``n``
 rows of every partition through one task. An exact count aggregates partially
 and moves one row per task.
@@ -101,26 +103,54 @@ def fits_broadcast(size: Size, params: RunParams) -> bool:
     return size.rows <= params.broadcast_max_rows and size.bytes <= params.broadcast_max_bytes
 
 
-def heavy_keys(df: DataFrame, on: list[str], params: RunParams) -> DataFrame:
-    """Keys with at least ``hot_key_share`` of a seeded sample of ``df``.
+@dataclass(frozen=True)
+class KeyProfile:
+    """What one scan of a big side's key column tells the join planner."""
+
+    distinct_estimate: int   # HyperLogLog estimate of the distinct non-NULL keys
+    sampled: DataFrame       # checkpointed ``(key..., _hits)`` of a seeded sample
+    sampled_rows: int
+
+
+def profile_keys(df: DataFrame, on: list[str], params: RunParams) -> KeyProfile:
+    """One scan of ``df``'s keys: a distinct-count sketch over all of them and a seeded sample's key counts.
+
+    The sketch is observed in the same job that checkpoints the sampled counts
+    (merging a sketch twice changes nothing, so a retried task cannot skew it).
+    An empty sample lets adaptive execution drop the whole plan, sketch
+    included; that only happens to tiny inputs, and then the sketch is a
+    separate (tiny) pass.
+    """
+    keys = df.select(*on).dropna()
+    key = F.col(on[0]) if len(on) == 1 else F.struct(*[F.col(c) for c in on])
+    estimate = F.approx_count_distinct(key, rsd=KEY_ESTIMATE_RSD).alias("n")
+    sketch, total = Observation(f"keys_{uuid.uuid4().hex}"), Observation(f"sample_{uuid.uuid4().hex}")
+    sampled = (keys.observe(sketch, estimate)
+               .sample(fraction=params.skew_sample_fraction, seed=SAMPLE_SEED)
+               .groupBy(*on).agg(F.count(F.lit(1)).alias("_hits")))
+    pinned = materialize(sampled.observe(total, F.coalesce(F.sum("_hits"), F.lit(0).cast("long")).alias("n")))
+    sampled_rows = int(total.get["n"])
+    distinct = int(sketch.get["n"]) if sampled_rows else int(keys.agg(estimate).first()["n"])
+    return KeyProfile(distinct, pinned, sampled_rows)
+
+
+def hot_keys(profile: KeyProfile, on: list[str], params: RunParams) -> DataFrame:
+    """Keys with at least ``hot_key_share`` of the sample.
 
     At most ``1 / hot_key_share`` rows come back (each hot key holds at least that
     share of the sample), so the list is safe to pass through the driver and to
     broadcast. Detection only routes rows; results never depend on it.
     """
-    sampled = (df.select(*on).dropna()
-               .sample(fraction=params.skew_sample_fraction, seed=SAMPLE_SEED)
-               .groupBy(*on).agg(F.count(F.lit(1)).alias("_hits")))
-    # One scan of the big side: the sampled counts are checkpointed and their
-    # total is observed by that same job.
-    obs = Observation(f"sample_{uuid.uuid4().hex}")
-    pinned = materialize(sampled.observe(obs, F.sum("_hits").alias("n")))
-    total = obs.get["n"] or 0
-    threshold = max(params.hot_key_share * total, MIN_SAMPLED_HITS)
-    hot = pinned.filter(F.col("_hits") >= F.lit(threshold)).select(*on)
+    threshold = max(params.hot_key_share * profile.sampled_rows, MIN_SAMPLED_HITS)
+    hot = profile.sampled.filter(F.col("_hits") >= F.lit(threshold)).select(*on)
     # Pin the (bounded) key list so both join sides see the very same hot set,
     # even if the sample were recomputed on another partitioning.
-    return df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    return profile.sampled.sparkSession.createDataFrame(hot.collect(), hot.schema)
+
+
+def heavy_keys(df: DataFrame, on: list[str], params: RunParams) -> DataFrame:
+    """Hot keys of ``df`` (see :func:`hot_keys`), from one scan of its key column."""
+    return hot_keys(profile_keys(df, on, params), on, params)
 
 
 def _any_null(on: list[str]) -> Column:
@@ -181,12 +211,7 @@ class LookupPlan:
 
 def _reduce_to_keys(big: DataFrame, lookup: DataFrame, on: list[str], params: RunParams) -> DataFrame | None:
     """Lookup rows of ``big``'s keys, checkpointed, if they provably fit a broadcast; else ``None``."""
-    keys = big.select(*on).dropna()
-    key = F.col(on[0]) if len(on) == 1 else F.struct(*[F.col(c) for c in on])
-    estimate = keys.agg(F.approx_count_distinct(key, rsd=KEY_ESTIMATE_RSD).alias("n")).first()["n"]
-    if estimate > params.broadcast_max_rows * (1 + 3 * KEY_ESTIMATE_RSD):
-        return None  # far above the cap: an exact distinct count would shuffle every key for nothing
-    distinct, distinct_size = materialize_measured(keys.distinct())
+    distinct, distinct_size = materialize_measured(big.select(*on).dropna().distinct())
     if not fits_broadcast(distinct_size, params):
         return None
     reduced, reduced_size = materialize_measured(lookup.join(F.broadcast(distinct), on, "left_semi"))
@@ -205,10 +230,13 @@ def plan_lookup(big: DataFrame, lookup: DataFrame, on: str | list[str], params:
     size = lookup_size if lookup_size is not None else measure(lookup)
     if fits_broadcast(size, params):
         return LookupPlan(lookup, tuple(on), "broadcast")
-    reduced = _reduce_to_keys(big, lookup, on, params)
-    if reduced is not None:
-        return LookupPlan(reduced, tuple(on), "reduced")
-    return LookupPlan(lookup, tuple(on), "salted", heavy_keys(big, on, params), params.salt_buckets)
+    profile = profile_keys(big, on, params)  # one scan of the big side's keys serves both checks below
+    # Far above the cap, an exact distinct count would shuffle every key for nothing.
+    if profile.distinct_estimate <= params.broadcast_max_rows * (1 + 3 * KEY_ESTIMATE_RSD):
+        reduced = _reduce_to_keys(big, lookup, on, params)
+        if reduced is not None:
+            return LookupPlan(reduced, tuple(on), "reduced")
+    return LookupPlan(lookup, tuple(on), "salted", hot_keys(profile, on, params), params.salt_buckets)
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, on: str | list[str], how: str,

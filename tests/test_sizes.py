@@ -54,3 +54,17 @@ def test_salted_plan_is_shared_by_its_joins(spark):
     assert plan.join(big, "inner").count() == 5000
     assert plan.join(big, "left_anti").count() == 0
     assert plan.join(big, "left", []).count() == 5000
+
+
+def test_key_profile_from_one_scan(spark):
+    from dimflow.operators import hot_keys, profile_keys
+
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+                                    .otherwise((F.col("id") % 4_000).cast("string")).alias("k"))
+    params = RunParams(skew_sample_fraction=0.1, hot_key_share=0.05)
+    prof = profile_keys(df, ["k"], params)
+    assert abs(prof.distinct_estimate - 4_001) < 4_001 * 0.15
+    assert prof.sampled_rows == prof.sampled.agg(F.sum("_hits")).first()[0] > 0
+    assert [r.k for r in hot_keys(prof, ["k"], params).collect()] == ["HOT"]
+    tiny = profile_keys(df.limit(5), ["k"], RunParams(skew_sample_fraction=0.0001))   # empty sample
+    assert tiny.sampled_rows == 0 and 1 <= tiny.distinct_estimate <= 6
