@@ -9,7 +9,7 @@ from dimflow.operators.joins import (
 from dimflow.operators.keys import assign_keys, key_base, positions_distributed, positions_window
 from dimflow.operators.lookup import enrich, lookup_with_rejects, unmatched
 from dimflow.operators.quality import Rule, passed, rejected, sales_rules, split, unclassified
-from dimflow.operators.scd2 import apply_to_dimension, current_after, expire, new_versions, newly_expired
+from dimflow.operators.scd2 import apply_to_dimension, closing_plan, current_after, expire, new_versions, newly_expired
 
 __all__ = [
     "KeyProfile",
@@ -19,6 +19,7 @@ __all__ = [
     "apply_to_dimension",
     "assign_keys",
     "capture_changes",
+    "closing_plan",
     "current_after",
     "enrich",
     "expire",

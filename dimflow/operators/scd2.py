@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.functions import date_lit, day_before
-from dimflow.operators.joins import Size, lookup_join
+from dimflow.operators.joins import LookupPlan, Size, lookup_join, plan_lookup
 from dimflow.operators.keys import assign_keys
 from dimflow.params import RunParams
 
@@ -70,12 +70,20 @@ def apply_to_dimension(dim: DataFrame, expired: DataFrame, new: DataFrame, param
     return updated.unionByName(new.select(*DIM_COLUMNS))
 
 
+def closing_plan(dim_current: DataFrame, expired: DataFrame, params: RunParams,
+                 expired_size: Size | None = None) -> LookupPlan:
+    """One join plan of the current rows with the keys this run closes, shared by
+    :func:`newly_expired` and :func:`current_after`."""
+    closing = expired.select(S.CUSTOMER_KEY).distinct()
+    return plan_lookup(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, params, expired_size)
+
+
 def newly_expired(dim_current: DataFrame, expired: DataFrame, params: RunParams,
-                  expired_size: Size | None = None) -> DataFrame:
+                  expired_size: Size | None = None, plan: LookupPlan | None = None) -> DataFrame:
     """Current versions closed by this run, with their new flag and end date."""
-    closing = expired.select(S.CUSTOMER_KEY).distinct()
+    plan = plan or closing_plan(dim_current, expired, params, expired_size)
     return (
-        lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_semi", params, expired_size)
+        plan.join(dim_current.select(*DIM_COLUMNS), "left_semi", [])
         .withColumn("CURR_FLAG", F.lit(S.EXPIRED_FLAG))
         .withColumn("EXP_DATE", day_before(params.run_date))
         .select(*DIM_COLUMNS)
@@ -83,9 +91,8 @@ def newly_expired(dim_current: DataFrame, expired: DataFrame, params: RunParams,
 
 
 def current_after(dim_current: DataFrame, expired: DataFrame, new: DataFrame, params: RunParams,
-                  expired_size: Size | None = None) -> DataFrame:
+                  expired_size: Size | None = None, plan: LookupPlan | None = None) -> DataFrame:
     """Current rows after the run: untouched current rows plus the new versions."""
-    closing = expired.select(S.CUSTOMER_KEY).distinct()
-    kept = lookup_join(dim_current.select(*DIM_COLUMNS), closing, S.CUSTOMER_KEY, "left_anti", params,
-                       expired_size)
+    plan = plan or closing_plan(dim_current, expired, params, expired_size)
+    kept = plan.join(dim_current.select(*DIM_COLUMNS), "left_anti", [])
     return kept.unionByName(new.select(*DIM_COLUMNS))

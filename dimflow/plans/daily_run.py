@@ -101,8 +101,9 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     next_key = base + new_size.rows  # keys are dense: base .. base + n - 1
     # An expire row (key, flag, date) is no wider than the change row it comes from.
     dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_size=change_size)
-    closed = scd2.newly_expired(dim_current, expired, params, expired_size=change_size)
-    cur_after = scd2.current_after(dim_current, expired, new, params, expired_size=change_size)
+    closing = scd2.closing_plan(dim_current, expired, params, expired_size=change_size)
+    closed = scd2.newly_expired(dim_current, expired, params, plan=closing)
+    cur_after = scd2.current_after(dim_current, expired, new, params, plan=closing)
 
     if params.snapshot == "post_load":
         lookup_dim, lookup_size = cur_after, current_size + new_size
