@@ -3,15 +3,19 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is built and then fully executed with a ``noop`` write (no driver
-collect). Plan-time work (bounded size checks, key base, checkpoints) counts.
-One untimed warm-up run of the flagship comes first. ``full_run_publish`` is
-the whole daily run: dimension, fact and error log written once each.
+collect). Plan-time work (size checks, key base, checkpoints) counts. One
+untimed warm-up run of the flagship comes first. ``full_run_publish`` is the
+whole daily run: dimension, fact and error log written once each (to fresh
+folders every time). Every query runs ``BENCH_RUNS`` times (default 3) and its
+median is reported, so one slow outlier on a shared machine does not decide
+the number.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -43,21 +47,25 @@ def _run_noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    runs = max(1, int(os.environ.get("BENCH_RUNS", "3")))
     spark = local_session(cpus, app="dimflow-bench", shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16)
 
     _run_noop(REGISTRY["sales_fact_post_load"](spark, sf_dir))  # warm-up, untimed
 
-    timings: dict[str, float] = {}
-    for name in HEADLINE:
-        t0 = time.perf_counter()
-        _run_noop(REGISTRY[name](spark, sf_dir))
-        timings[name] = round(time.perf_counter() - t0, 3)
-
-    t0 = time.perf_counter()
-    targets = Targets(dimension_root=scratch_path(spark, "bench_dim"), fact_path=scratch_path(spark, "bench_fact"),
-                      error_dir=scratch_path(spark, "bench_err"))
-    publish(plan(fixture_inputs(spark, sf_dir), PARAMS), targets, PARAMS)
-    timings["full_run_publish"] = round(time.perf_counter() - t0, 3)
+    def full_run() -> None:
+        targets = Targets(dimension_root=scratch_path(spark, "bench_dim"),
+                          fact_path=scratch_path(spark, "bench_fact"), error_dir=scratch_path(spark, "bench_err"))
+        publish(plan(fixture_inputs(spark, sf_dir), PARAMS), targets, PARAMS)
+
+    jobs = {name: (lambda name=name: _run_noop(REGISTRY[name](spark, sf_dir))) for name in HEADLINE}
+    jobs["full_run_publish"] = full_run
+    samples: dict[str, list[float]] = {name: [] for name in jobs}
+    for _ in range(runs):
+        for name, job in jobs.items():
+            t0 = time.perf_counter()
+            job()
+            samples[name].append(time.perf_counter() - t0)
+    timings = {name: round(statistics.median(ts), 3) for name, ts in samples.items()}
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
@@ -67,6 +75,8 @@ def main() -> None:
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
+        "runs": runs,
+        "stat": "median",
     }))
     spark.stop()
 
