@@ -35,9 +35,14 @@ def rejects_in_one_pass(df: DataFrame, ref: DataFrame, on: str, key: str, not_fo
     rejected when a rule fires. Same rows as ``unmatched`` UNION ALL
     ``rejected(enrich(...))`` but the input is scanned and joined once.
     """
-    ids = id_columns or S.REJECT_COLUMNS[:2]
     plan = plan or plan_lookup(df, ref, on, params)
-    joined = plan.join(df, "left", [key])
+    return rejects_from_joined(plan.join(df, "left", [key]), key, not_found, rules, id_columns)
+
+
+def rejects_from_joined(joined: DataFrame, key: str, not_found: str, rules: list[Rule],
+                        id_columns: list[str] | None = None) -> DataFrame:
+    """The rejects of :func:`rejects_in_one_pass` from an existing left join that carries ``key``."""
+    ids = id_columns or S.REJECT_COLUMNS[:2]
     missing = F.col(key).isNull()
     return (
         joined.filter(missing | F.coalesce(reject_predicate(rules), F.lit(False)))

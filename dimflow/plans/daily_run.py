@@ -16,18 +16,26 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimflow import schemas as S
 from dimflow.operators import changes, errors, facts, keys, quality, scd2
 from dimflow.operators.joins import LookupPlan, Size, materialize_measured, measure, plan_lookup, row_bytes
-from dimflow.operators.lookup import lookup_with_rejects
 from dimflow.params import RunParams
 from dimflow.sinks import writers
 from dimflow.sources.dimension import DimensionStore, current_rows
 
 
+# Helper columns of the plan and the audit.
+MATCHED = "_dimflow_matched"
+FIRST = "_dimflow_first"
+CLASS = "_dimflow_class"
+MULT = "_dimflow_mult"
+LEAST = "_dimflow_least"
+
+
 @dataclass(frozen=True)
 class Inputs:
     customer_delta: DataFrame
@@ -50,6 +58,7 @@ class Outputs:
     current_after: DataFrame
     lookup_dimension: DataFrame
     lookup_plan: LookupPlan
+    tagged_sales: DataFrame      # the one left join of the sales with the lookup dimension
     enriched: DataFrame
     lookup_rejects: DataFrame
     dq_pass: DataFrame
@@ -110,23 +119,30 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     else:
         lookup_dim, lookup_size = dim_current, current_size
     lookup_dim = lookup_dim.select(S.CUSTOMER_ID, *[c for c in S.names(S.CUSTOMER_DIM) if c != S.CUSTOMER_ID])
-    # One join decision for every output that looks the sales up.
+    # One join decision for every output that looks the sales up, and one narrow
+    # left join of the sales (their columns, the surrogate key, a match flag) for
+    # the two that are written: the fact and the error log, plus the lookup rejects.
+    # The enriched stream (every dimension attribute) is its own inner join.
     lookup_plan = plan_lookup(inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, params, lookup_size)
-    enriched, lookup_rejects = lookup_with_rejects(
-        inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, S.CUSTOMER_NOT_FOUND, params,
-        id_columns=["TXN_ID", "CUST_ID"], plan=lookup_plan)
+    dim_columns = [c for c in lookup_dim.columns if c != S.CUSTOMER_ID]
+    flagged = replace(lookup_plan, lookup=lookup_plan.lookup.withColumn(MATCHED, F.lit(True)))
+    tagged = flagged.join(inputs.sales_txn, "left", [S.CUSTOMER_KEY, MATCHED])
+    matched = F.col(MATCHED).isNotNull()
+    enriched = lookup_plan.join(inputs.sales_txn, "inner", dim_columns).select(*inputs.sales_txn.columns,
+                                                                                 *dim_columns)
+    lookup_rejects = tagged.filter(~matched).select(
+        "TXN_ID", "CUST_ID", F.lit(S.CUSTOMER_NOT_FOUND).alias("ERROR_REASON"))
     rules = quality.sales_rules()
     dq_pass, dq_rejects = quality.split(enriched, rules, ["TXN_ID", "CUST_ID"])
-    fact = facts.summarise(dq_pass)
-    # One scan and one join of the sales for the whole error log.
+    fact = facts.summarise(quality.passed(tagged.filter(matched), rules))
     error_log = errors.funnel(
-        errors.rejects_in_one_pass(inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, S.CUSTOMER_KEY,
-                                   S.CUSTOMER_NOT_FOUND, rules, params, plan=lookup_plan),
+        errors.rejects_from_joined(tagged, S.CUSTOMER_KEY, S.CUSTOMER_NOT_FOUND, rules, ["TXN_ID", "CUST_ID"]),
         params=params)
     return Outputs(
         key_base=base, next_key=next_key, changes=change_set, expired=expired, new_versions=new,
         dimension_after=dim_after, dimension_closed=closed, current_after=cur_after,
-        lookup_dimension=lookup_dim, lookup_plan=lookup_plan, enriched=enriched, lookup_rejects=lookup_rejects,
+        lookup_dimension=lookup_dim, lookup_plan=lookup_plan, tagged_sales=tagged, enriched=enriched,
+        lookup_rejects=lookup_rejects,
         dq_pass=dq_pass, dq_rejects=dq_rejects, dq_unclassified=quality.unclassified(enriched, rules),
         fact=fact, errors=error_log,
     )
@@ -136,10 +152,6 @@ AUDITED = ("customer_delta", "sales_txn", "dimension_current", "changes", "expir
            "dimension_after", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
 # Counts that all come from one scan and one join of the sales.
 SALES_SIDE = ("sales_txn", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
-FIRST = "_dimflow_first"
-CLASS = "_dimflow_class"
-MULT = "_dimflow_mult"
-LEAST = "_dimflow_least"
 
 
 def _count(df: DataFrame, name: str) -> DataFrame:
@@ -234,19 +246,40 @@ def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: Di
 def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:
     """Write dimension, fact and error log once each; return the observed row counts.
 
-    The three writes are independent jobs and are submitted together, so the
-    cluster overlaps them instead of idling through each job's tail. The
-    dimension version is committed (its marker written) only after all three
-    succeeded: a run that fails anywhere leaves the previous dimension live.
+    The writes are independent jobs and are submitted together, so the cluster
+    overlaps them instead of idling through each job's tail. When the sales
+    lookup is a salted shuffle join, the fact and the error log share that one
+    join: it is persisted to executor disks (lost blocks are recomputed from
+    lineage) and the two writes run one after the other over it, so the sales
+    are shuffled once, not twice. The dimension version is committed (its
+    marker written) only after all writes succeeded: a run that fails anywhere
+    leaves the previous dimension live.
     """
     spark = outputs.fact.sparkSession
     store = DimensionStore(targets.dimension_root)
-    with ThreadPoolExecutor(max_workers=3, thread_name_prefix="dimflow-publish") as pool:
-        staged = pool.submit(writers.stage_dimension_version, store, outputs.current_after,
-                             outputs.dimension_closed, params.run_date)
-        fact = pool.submit(writers.write_fact, outputs.fact, targets.fact_path, params.run_date, targets.fact_mode)
-        errs = pool.submit(writers.write_error_log, outputs.errors, targets.error_dir, params.run_date)
-        staged_version, n_fact, n_errors = staged.result(), fact.result(), errs.result()
+    share_join = outputs.lookup_plan.strategy == "salted"
+
+    def fact() -> int:
+        return writers.write_fact(outputs.fact, targets.fact_path, params.run_date, targets.fact_mode)
+
+    def error_log() -> int:
+        return writers.write_error_log(outputs.errors, targets.error_dir, params.run_date)
+
+    if share_join:
+        outputs.tagged_sales.persist(StorageLevel.DISK_ONLY)
+    try:
+        with ThreadPoolExecutor(max_workers=3, thread_name_prefix="dimflow-publish") as pool:
+            staged = pool.submit(writers.stage_dimension_version, store, outputs.current_after,
+                                 outputs.dimension_closed, params.run_date)
+            if share_join:
+                both = pool.submit(lambda: (fact(), error_log()))
+                staged_version, (n_fact, n_errors) = staged.result(), both.result()
+            else:
+                f, e = pool.submit(fact), pool.submit(error_log)
+                staged_version, n_fact, n_errors = staged.result(), f.result(), e.result()
+    finally:
+        if share_join:
+            outputs.tagged_sales.unpersist()
     counts = writers.commit_dimension_version(spark, store, staged_version, outputs.next_key)
     counts.update({"fact": n_fact, "errors": n_errors})
     return counts

@@ -75,3 +75,35 @@ def test_load_audit_scans_the_sales_once(spark):
     text = physical(audit(inputs, plan(inputs, PARAMS)))
     scans = [line for line in text.splitlines() if line.startswith("Location:") and "lineitem.parquet" in line]
     assert len(scans) == 1
+
+
+def test_salted_fact_and_error_log_share_one_persisted_join(spark):
+    from pyspark import StorageLevel
+
+    out = plan(fixture_inputs(spark, SF_SMALL), PARAMS.with_(broadcast_max_rows=0, skew_sample_fraction=0.5))
+    assert out.lookup_plan.strategy == "salted"
+    out.tagged_sales.persist(StorageLevel.DISK_ONLY)
+    try:
+        for df in (out.fact, out.errors):
+            text = physical(df)
+            above_cache = text.split("InMemoryRelation")[0]      # below it: how the cache is built, once
+            assert "InMemoryTableScan" in above_cache and "SortMergeJoin" not in above_cache
+    finally:
+        out.tagged_sales.unpersist()
+
+
+def test_salted_publish_writes_the_same_outputs(spark):
+    from dimflow.plans import Targets, publish
+    from dimflow.sinks import read_error_log, read_fact
+
+    inputs = fixture_inputs(spark, SF_SMALL)
+    counts = {}
+    for name, params in (("broadcast", PARAMS), ("salted", PARAMS.with_(broadcast_max_rows=0))):
+        out = plan(inputs, params)
+        assert out.lookup_plan.strategy == name
+        t = Targets(scratch_path(spark, "dim"), scratch_path(spark, "fact"), scratch_path(spark, "err"))
+        c = publish(out, t, params)
+        fact = read_fact(spark, t.fact_path, params.run_date)
+        errs = read_error_log(spark, t.error_dir, params.run_date).drop("ERROR_TIMESTAMP")
+        counts[name] = (c, sorted(map(tuple, fact.collect()), key=str), sorted(map(tuple, errs.collect()), key=str))
+    assert counts["broadcast"] == counts["salted"]
