@@ -48,10 +48,16 @@ def positions_window(df: DataFrame, order_by: list[str]) -> DataFrame:
     return df.withColumn(POS, F.row_number().over(Window.orderBy(*_ordered(order_by))).cast("long"))
 
 
-def positions_distributed(df: DataFrame, order_by: list[str], num_partitions: int | None = None) -> DataFrame:
-    """1-based dense position without a single-partition step (same numbers as the window)."""
+def positions_distributed(df: DataFrame, order_by: list[str], num_partitions: int | None = None,
+                          stable_input: bool = False) -> DataFrame:
+    """1-based dense position without a single-partition step (same numbers as the window).
+
+    ``stable_input`` — ``df`` already reads a checkpoint (or another fixed table),
+    so recomputing it yields the same partitions in the same order and it need
+    not be checkpointed again.
+    """
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    stable = materialize(df).withColumn(SEQ, F.monotonically_increasing_id())
+    stable = (df if stable_input else materialize(df)).withColumn(SEQ, F.monotonically_increasing_id())
     local = (
         stable.repartitionByRange(n, *_ordered(order_by), F.col(SEQ))
         .sortWithinPartitions(*_ordered(order_by), F.col(SEQ))
@@ -70,15 +76,17 @@ def positions_distributed(df: DataFrame, order_by: list[str], num_partitions: in
 
 
 def assign_keys(df: DataFrame, order_by: list[str], base: int, key: str, params: RunParams,
-                n_rows: int | None = None) -> DataFrame:
+                n_rows: int | None = None, stable_input: bool = False) -> DataFrame:
     """Add ``key = base + position - 1`` (int; ANSI mode raises on overflow).
 
     ``n_rows`` — a known upper bound on the rows, which spares the size check.
+    ``stable_input`` — ``df`` reads a checkpoint; see :func:`positions_distributed`.
     """
     strategy = params.key_strategy
     if strategy == "auto":
         small = (n_rows <= params.window_key_max_rows if n_rows is not None
                  else measure(df).rows <= params.window_key_max_rows)
         strategy = "window" if small else "distributed"
-    numbered = positions_window(df, order_by) if strategy == "window" else positions_distributed(df, order_by)
+    numbered = (positions_window(df, order_by) if strategy == "window"
+                else positions_distributed(df, order_by, stable_input=stable_input))
     return numbered.withColumn(key, (F.lit(base) + F.col(POS) - F.lit(1)).cast("int")).drop(POS)

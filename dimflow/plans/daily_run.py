@@ -106,7 +106,8 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     change_set, change_size = materialize_measured(
         changes.capture_changes(feed, dim_current, params, current_size=current_size))
     expired = scd2.expire(change_set, params)
-    new, new_size = materialize_measured(scd2.new_versions(change_set, base, params, change_rows=change_size.rows))
+    new, new_size = materialize_measured(
+        scd2.new_versions(change_set, base, params, change_rows=change_size.rows, stable_input=True))
     next_key = base + new_size.rows  # keys are dense: base .. base + n - 1
     # An expire row (key, flag, date) is no wider than the change row it comes from.
     dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_size=change_size)

@@ -98,3 +98,10 @@ def test_every_join_strategy_gives_the_same_run(spark, run):
         assert other.lookup_plan.strategy == strategy
         for name in ("fact", "errors", "dimension_after", "current_after", "dimension_closed", "dq_unclassified"):
             assert _bag(getattr(other, name)) == _bag(getattr(out, name)), (strategy, name)
+
+
+def test_distributed_keys_over_the_checkpointed_change_set(spark, run):
+    inputs, out = run
+    other = plan(inputs, PARAMS.with_(key_strategy="distributed"))
+    assert _bag(other.new_versions) == _bag(out.new_versions)
+    assert _bag(other.current_after) == _bag(out.current_after)
