@@ -107,3 +107,14 @@ def test_salted_publish_writes_the_same_outputs(spark):
         errs = read_error_log(spark, t.error_dir, params.run_date).drop("ERROR_TIMESTAMP")
         counts[name] = (c, sorted(map(tuple, fact.collect()), key=str), sorted(map(tuple, errs.collect()), key=str))
     assert counts["broadcast"] == counts["salted"]
+
+
+def test_salted_publish_releases_the_shared_join(spark):
+    from dimflow.plans import Targets, publish
+
+    params = PARAMS.with_(broadcast_max_rows=0)
+    out = plan(fixture_inputs(spark, SF_SMALL), params)
+    t = Targets(scratch_path(spark, "dim"), scratch_path(spark, "fact"), scratch_path(spark, "err"))
+    counts = publish(out, t, params)
+    assert counts["fact"] > 0 and counts["errors"] > 0
+    assert not out.tagged_sales.is_cached
