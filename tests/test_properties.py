@@ -53,3 +53,23 @@ def test_join_paths_agree(spark, data, cap):
     two = unmatched(s, d, "CUST_ID", "NF", ref, ids).unionByName(
         rejected(enrich(s, d, "CUST_ID", ref), sales_rules(), ids))
     assert rows(rejects_in_one_pass(s, d, "CUST_ID", "CUST_KEY", "NF", sales_rules(), p, ids)) == rows(two)
+
+
+dim_row = st.tuples(st.integers(1, 6), maybe(st.sampled_from(["c1", "c2", "c3"])))        # CUST_KEY, CUST_ID
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(sales_row, max_size=20), st.lists(dim_row, max_size=6), st.sampled_from([0, 1000]))
+def test_one_pass_audit_equals_every_output_count(spark, data, dim_rows, cap):
+    from dimflow.plans import Inputs, plan
+    from dimflow.plans.daily_run import AUDITED, audit
+
+    s = spark.createDataFrame(data, S.SALES_TXN)
+    d = spark.createDataFrame([(k, c, "n", None, None, None, None, None, dt.date(2026, 1, 1),
+                                dt.date(9999, 12, 31), "Y") for k, c in dim_rows], S.CUSTOMER_DIM)
+    f = spark.createDataFrame([("c1", "n", None, None, None, None, "X", None, None)], S.CUSTOMER_DELTA)
+    inputs = Inputs(customer_delta=f, sales_txn=s, dimension=d)
+    out = plan(inputs, P.with_(broadcast_max_rows=cap, skew_sample_fraction=1.0, hot_key_share=0.2))
+    got = {r.OUTPUT: r.ROW_COUNT for r in audit(inputs, out).collect()}
+    frames = {"customer_delta": f, "sales_txn": s, "dimension_current": d}
+    assert got == {name: (frames[name] if name in frames else getattr(out, name)).count() for name in AUDITED}
