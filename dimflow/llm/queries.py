@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, exact, mixing, pii, secret_scan
+from dimflow.llm import bpe, exact, jaccard, lm, mixing, pii, quality, secret_scan, wrappers
 from dimflow.llm.common import read_table
 from dimflow.llm.spans import as_text
 
@@ -17,12 +17,22 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select("doc_id", "__quality.*")
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact.exact_groups(read_table(spark, sf_dir, "documents"), digest_all=True)
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(read_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
 def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
@@ -35,6 +45,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2(as_text(spans), 256).alias("base_sha256"), as_text(spans).alias("spans"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_classes(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(read_table(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -58,8 +76,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Query] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_html_extraction": op4_html_extraction,
     "op5_secret_scan": op5_secret_scan,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_byte_bpe": op10_byte_bpe,
