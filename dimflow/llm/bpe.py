@@ -184,7 +184,8 @@ def _encoder(key: tuple, ranks, pattern: str) -> Encoder:
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            with_ids: bool = False) -> DataFrame:
-    """One row per row of ``docs``: ``id, n_tokens, ids_sha256, decoded_sha256`` and, on request, ``ids``.
+    """One row per row of ``docs``: ``id, n_tokens, ids_sha256, decoded_sha256`` and, on request, ``ids``
+    (little-endian unsigned 32-bit integers).
 
     The decoded bytes come from the ids alone. A null text is the empty text,
     with no tokens; repeated rows and null ids keep their rows. The vocabulary
@@ -195,7 +196,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
     key = (vocabulary, pattern)
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
-    kinds = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int64())] * with_ids
+    kinds = [pa.int64(), pa.string(), pa.string()] + [pa.binary()] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(key, ranks, pattern)
@@ -206,14 +207,14 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
                 values = [len(packed) // 4, hashlib.sha256(packed).hexdigest(),
                           hashlib.sha256(encoder.decode(packed)).hexdigest()]
                 if with_ids:
-                    values.append(memoryview(packed).cast("I").tolist())
+                    values.append(packed)
                 for column, value in zip(columns, values):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["id", *names])
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    sql_kinds = ["long", "string", "string"] + ["array<long>"] * with_ids
+    sql_kinds = ["long", "string", "string"] + ["binary"] * with_ids
     schema = ", ".join([f"id {rows.schema['id'].dataType.simpleString()}"]
                        + [f"{n} {k}" for n, k in zip(names, sql_kinds)])
     return rows.mapInArrow(run, schema)

@@ -70,16 +70,24 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: in
     while first < len(starts):
         base = starts[first]
         last = max(first + 1, int(np.searchsorted(ends, base + limit, "right")))
-        block = data[base:ends[last - 1]]
-        up, down = _powers(len(block) + 1)
-        sums = np.zeros(len(block) + 1, np.uint64)
-        np.cumsum(_BYTE[block] * up[:len(block)], out=sums[1:])
-        s, e = starts[first:last] - base, ends[first:last] - base
-        out[first:last] = mix((sums[e] - sums[s]) * down[s])
+        sums = prefix_sums(data[base:ends[last - 1]])
+        out[first:last] = hash_of(sums, starts[first:last] - base, ends[first:last] - base)
         first = last
     return out
 
 
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """What :func:`hash_of` needs to hash any span of ``data``."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(len(data) + 1)[0][:len(data)], out=sums[1:])
+    return sums
+
+
+def hash_of(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans, in any order; they may overlap."""
+    return mix((sums[ends] - sums[starts]) * _powers(len(sums))[1][starts])
+
+
 def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the index of each text's first word (with the end)."""
     inside = ~SEPARATOR[data]

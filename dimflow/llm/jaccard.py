@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import BITS_PER_CHUNK, bitmap_of, ship_package, staged, text_of
+from dimflow.llm.common import BITS_PER_CHUNK, bitmap_of, flag_members, ship_package, staged, text_of
 from dimflow.llm.components import components
 from dimflow.llm.hashing import mix, rolling, slices, word_hashes
 
@@ -94,7 +94,7 @@ def frequencies(texts: DataFrame, width: int) -> np.ndarray:
 
 
 def _signatures(rows: DataFrame, cells: np.ndarray, width: int, percent: int) -> DataFrame:
-    """``id, n, set_key, group_key, prefix`` of every document; keys are sums of mixed hashes over set and prefix."""
+    """``id, text_key, n, set_key, group_key, prefix`` of every document; keys are sums of mixed hashes over set and prefix."""
     shared = rows.sparkSession.sparkContext.broadcast(cells)  # of a fixed size
     id_type = rows.schema["id"].dataType.simpleString()
 
@@ -116,10 +116,12 @@ def _signatures(rows: DataFrame, cells: np.ndarray, width: int, percent: int) ->
                     pa.array(np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)),
                     pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(set_keys, pa.int64()),
-                     pa.array(group_keys, pa.int64()), lists], names=["id", "n", "set_key", "group_key", "prefix"])
+                    [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(set_keys, pa.int64()),
+                     pa.array(group_keys, pa.int64()), lists],
+                    names=["id", "text_key", "n", "set_key", "group_key", "prefix"])
 
-    return rows.mapInArrow(run, f"id {id_type}, n long, set_key long, group_key long, prefix array<long>")
+    return rows.mapInArrow(run, f"id {id_type}, text_key long, n long, set_key long, group_key long, "
+                                "prefix array<long>")
 
 
 def _key(shingles: np.ndarray) -> np.int64:
@@ -177,32 +179,36 @@ def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> Da
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                  percent: int = THRESHOLD) -> DataFrame:
-    """One row per row of ``docs``: ``id, n_shingles, component_id``.
+    """One row per row of ``docs``: ``id, n_shingles, component_id, text_key, kept``.
 
     ``component_id`` is the smallest id reachable by links, the document's own
     included. A null or empty text has no shingles and is linked with nothing.
     Rows that repeat a text are in one component whatever their ids; null ids
-    keep their rows and are never the smallest unless all are null.
+    keep their rows and are never the smallest unless all are null. ``kept``
+    marks one text of each component, that of the smallest id (null last, then
+    by ``text_key``, a hash of the text), and every row without shingles.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     cells = frequencies(rows.select("text"), width)
-    signed = staged(_signatures(rows, cells, width, percent), "jaccard_rows")
+    signed = staged(_signatures(rows.withColumn("text_key", F.xxhash64("text")), cells, width, percent),
+                    "jaccard_rows")
+    first_row = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")
     classes = staged(signed.where("n > 0").groupBy("set_key").agg(
-        F.min("id").alias("least"), F.first("n").alias("n"), F.first("group_key").alias("group_key")),
+        F.min(first_row).alias("least"), F.first("n").alias("n"), F.first("group_key").alias("group_key")),
         "jaccard_classes")
 
     # Shingles in the prefixes of two groups or more.
     entries = signed.where("n > 0").select("group_key", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    shared = (entries.groupBy("shingle").agg(F.min("group_key").alias("lo"), F.max("group_key").alias("hi"))
-              .where("lo < hi").select("shingle"))
+    shared = staged(entries.groupBy("shingle").agg(F.min("group_key").alias("lo"), F.max("group_key").alias("hi"))
+                    .where("lo < hi").select("shingle"), "jaccard_shared")
     postings = staged(entries.join(shared, "shingle").select("shingle", "group_key", "n", "pos").distinct(),
                       "jaccard_postings")
 
     # Round 1: every group meets the hub of each of its shingles, every class the hub of its group.
     draw = F.struct(F.xxhash64("group_key", "shingle").alias("draw"), F.col("group_key").alias("hub"),
                     F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
-    hubs = postings.groupBy("shingle").agg(F.min(draw).alias("h")).select("shingle", "h.*")
+    hubs = staged(postings.groupBy("shingle").agg(F.min(draw).alias("h")).select("shingle", "h.*"), "jaccard_hubs")
     met = (postings.join(hubs, "shingle").where((F.col("group_key") != F.col("hub")) & _may_link(
         F.col("n"), F.col("hub_n"), F.col("pos") + F.col("hub_pos"), percent))
         .select(F.least("group_key", "hub").alias("g1"), F.greatest("group_key", "hub").alias("g2")).distinct())
@@ -238,9 +244,30 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     roots = components(links).withColumnRenamed("node", "set_key")
 
     rooted = classes.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = staged(rooted.join(least, "root").select("set_key", "component_id"), "jaccard_named")
-    plain = signed.select("id", F.col("n").alias("n_shingles"), "set_key")
-    linked = plain.where("n_shingles > 0").join(named, "set_key").select("id", "n_shingles", "component_id")
-    return linked.unionByName(plain.where("n_shingles = 0").select("id", "n_shingles",
-                                                                   F.col("id").alias("component_id")))
+    least = staged(rooted.groupBy("root").agg(F.min("least").alias("first")), "jaccard_least")
+    named = staged(rooted.join(least, "root").select("set_key", "first"), "jaccard_named")
+    plain = signed.select("id", F.col("n").alias("n_shingles"), "set_key", "text_key")
+    linked = plain.where("n_shingles > 0").join(named, "set_key").select(
+        "id", "n_shingles", F.col("first.id").alias("component_id"), "text_key",
+        (F.col("first") == first_row).alias("kept"))
+    return linked.unionByName(plain.where("n_shingles = 0").select(
+        "id", "n_shingles", F.col("id").alias("component_id"), "text_key", F.lit(True).alias("kept")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
+             percent: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` (same columns) that :func:`link_classes` keeps.
+
+    Rows that agree in id and text stay or go together. Only rows whose key may
+    be among those to drop are shuffled; the others pass through the scan.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    classes = link_classes(docs, id_col, text_col, width, percent)
+    dropped = staged(classes.where("not kept").select(F.col("id").alias("__id"), F.col("text_key").alias("__text"))
+                     .distinct(), "jaccard_dropped")
+    key = F.xxhash64(F.col(f"`{id_col}`"), F.xxhash64(text_of(text_col)))
+    bitmap = bitmap_of(dropped.select(F.xxhash64("__id", "__text").alias("key")), FILTER_BITS)
+    flagged = flag_members(docs, key, bitmap, FILTER_BITS, "__drop")
+    same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.xxhash64(text_of(text_col)) == F.col("__text"))
+    doubtful = flagged.where("__drop").join(dropped, same, "left_anti")
+    return flagged.where("not __drop").select(*columns).unionByName(doubtful.select(*columns))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, exact, jaccard, lm, mixing, pii, quality, secret_scan, wrappers
+from dimflow.llm import bpe, exact, jaccard, lm, mixing, pii, quality, secret_scan, suffixes, wrappers
 from dimflow.llm.common import read_table
 from dimflow.llm.spans import as_text
 
@@ -29,6 +29,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return left.drop("kept").withColumnRenamed("id", "doc_id")
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(read_table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
@@ -46,7 +51,8 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.link_classes(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    classes = jaccard.link_classes(read_table(spark, sf_dir, "documents"))
+    return classes.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +84,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_html_extraction": op4_html_extraction,
     "op5_secret_scan": op5_secret_scan,
     "op6_jaccard_join": op6_jaccard_join,
