@@ -1,0 +1,34 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import types as T
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from tests_llm_data import CLASHING, EDGE_ROWS, SMALL  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def schema():
+    fields = [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
+              T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
+              T.StructField("n_chars", T.LongType())]
+    return T.StructType(fields + [T.StructField(name, T.StringType()) for name in CLASHING])
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark, schema):
+    return spark.createDataFrame([(*row, *["clash"] * len(CLASHING)) for row in EDGE_ROWS], schema)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark, schema):
+    return spark.createDataFrame([], schema)
+
+
+@pytest.fixture(scope="session")
+def small_docs(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source").cache()
