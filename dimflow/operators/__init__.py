@@ -4,10 +4,10 @@ from dimflow.operators.changes import capture_changes, latest_per_key
 from dimflow.operators.errors import funnel, rejects_in_one_pass
 from dimflow.operators.facts import sort_for_output, summarise
 from dimflow.operators.joins import (
-    KeyProfile, LookupPlan, Size, fits_broadcast, heavy_keys, hot_keys, profile_keys, lookup_join, measure, plan_lookup, salted_join,
+    KeyProfile, LookupPlan, Size, fits_broadcast, hot_keys, profile_keys, lookup_join, measure, plan_lookup, salted_join,
 )
-from dimflow.operators.keys import assign_keys, key_base, positions_distributed, positions_window
-from dimflow.operators.lookup import enrich, lookup_with_rejects, unmatched
+from dimflow.operators.keys import assign_keys, key_base, positions_distributed
+from dimflow.operators.lookup import enrich, unmatched
 from dimflow.operators.quality import Rule, passed, rejected, sales_rules, split, unclassified
 from dimflow.operators.scd2 import apply_to_dimension, closing_plan, current_after, expire, new_versions, newly_expired
 
@@ -25,11 +25,9 @@ __all__ = [
     "expire",
     "fits_broadcast",
     "funnel",
-    "heavy_keys",
     "hot_keys",
     "key_base",
     "latest_per_key",
-    "lookup_with_rejects",
     "lookup_join",
     "measure",
     "new_versions",
@@ -38,7 +36,6 @@ __all__ = [
     "plan_lookup",
     "profile_keys",
     "positions_distributed",
-    "positions_window",
     "rejected",
     "rejects_in_one_pass",
     "salted_join",

@@ -15,9 +15,10 @@ and skew sampling run once per lookup, not once per output:
    bounds. The large side is scanned once and never shuffled.
 3. ``salted`` — a shuffle join on the key, salted against skew: keys holding at
    least ``hot_key_share`` of a seeded sample of the big side (at most
-   ``1 / hot_key_share`` keys by construction), and NULL keys, are spread over
-   ``salt_buckets`` tasks; the lookup rows of hot keys are replicated once per
-   bucket. Every row still meets exactly the lookup rows it would meet unsalted.
+   ``1 / hot_key_share`` keys by construction) are spread over as many tasks as
+   their share of the shuffle partitions, NULL keys over all of them; the lookup
+   rows of a hot key are replicated once per bucket of that key. Every row still
+   meets exactly the lookup rows it would meet unsalted.
 
 The sketch and the skew sample come from one scan of the big side's key column.
 
@@ -41,9 +42,10 @@ from dimflow.params import RunParams
 from dimflow.session import materialize
 
 SALT = "_dimflow_salt"
-HOT = "_dimflow_hot"
+BUCKETS = "_dimflow_buckets"
+BUCKETS_PER_TASK = 8  # buckets fall on tasks by hash; several for each even out
+HITS = "_hits"
 SAMPLE_SEED = 20260728
-MIN_SAMPLED_HITS = 8
 # HyperLogLog relative error used to skip the exact distinct count when it cannot pass.
 KEY_ESTIMATE_RSD = 0.05
 STRATEGIES = ("broadcast", "reduced", "salted")
@@ -88,14 +90,15 @@ def measure(df: DataFrame) -> Size:
     return Size(int(row["rows"]), int(row["bytes"] or 0))
 
 
-def materialize_measured(df: DataFrame) -> tuple[DataFrame, Size]:
-    """Reliable checkpoint of ``df`` and its exact size, observed by the checkpoint job itself."""
+def materialize_measured(df: DataFrame, **counts: Column) -> tuple[DataFrame, Size, dict]:
+    """Reliable checkpoint of ``df``, its exact size and further ``counts``, observed by the checkpoint job itself."""
     obs = Observation(f"size_{uuid.uuid4().hex}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"),
-                          F.coalesce(F.sum(row_bytes(df)), F.lit(0).cast("long")).alias("bytes"))
+                          F.coalesce(F.sum(row_bytes(df)), F.lit(0).cast("long")).alias("bytes"),
+                          *[c.alias(name) for name, c in counts.items()])
     ckpt = materialize(observed)
     got = obs.get
-    return ckpt, Size(int(got["rows"]), int(got["bytes"]))
+    return ckpt, Size(int(got["rows"]), int(got["bytes"])), got
 
 
 def fits_broadcast(size: Size, params: RunParams) -> bool:
@@ -108,7 +111,7 @@ class KeyProfile:
     """What one scan of a big side's key column tells the join planner."""
 
     distinct_estimate: int   # HyperLogLog estimate of the distinct non-NULL keys
-    sampled: DataFrame       # checkpointed ``(key..., _hits)`` of a seeded sample
+    sampled: DataFrame       # checkpointed ``(key..., _hits)`` of the keys with enough hits in a seeded sample
     sampled_rows: int
 
 
@@ -117,9 +120,9 @@ def profile_keys(df: DataFrame, on: list[str], params: RunParams) -> KeyProfile:
 
     The sketch is observed in the same job that checkpoints the sampled counts
     (merging a sketch twice changes nothing, so a retried task cannot skew it).
-    An empty sample lets adaptive execution drop the whole plan, sketch
-    included; that only happens to tiny inputs, and then the sketch is a
-    separate (tiny) pass.
+    Only keys with ``hot_key_hits`` hits or more are written. An empty sample lets
+    adaptive execution drop the whole plan, sketch included; that only happens to
+    tiny inputs, and then the sketch is a separate (tiny) pass.
     """
     keys = df.select(*on).dropna()
     key = F.col(on[0]) if len(on) == 1 else F.struct(*[F.col(c) for c in on])
@@ -127,51 +130,57 @@ def profile_keys(df: DataFrame, on: list[str], params: RunParams) -> KeyProfile:
     sketch, total = Observation(f"keys_{uuid.uuid4().hex}"), Observation(f"sample_{uuid.uuid4().hex}")
     sampled = (keys.observe(sketch, estimate)
                .sample(fraction=params.skew_sample_fraction, seed=SAMPLE_SEED)
-               .groupBy(*on).agg(F.count(F.lit(1)).alias("_hits")))
-    pinned = materialize(sampled.observe(total, F.coalesce(F.sum("_hits"), F.lit(0).cast("long")).alias("n")))
+               .groupBy(*on).agg(F.count(F.lit(1)).alias(HITS))
+               .observe(total, F.coalesce(F.sum(HITS), F.lit(0).cast("long")).alias("n")))
+    pinned = materialize(sampled.filter(F.col(HITS) >= F.lit(params.hot_key_hits)))
     sampled_rows = int(total.get["n"])
     distinct = int(sketch.get["n"]) if sampled_rows else int(keys.agg(estimate).first()["n"])
     return KeyProfile(distinct, pinned, sampled_rows)
 
 
-def hot_keys(profile: KeyProfile, on: list[str], params: RunParams) -> DataFrame:
-    """Keys with at least ``hot_key_share`` of the sample.
+def hot_keys(profile: KeyProfile, on: list[str], params: RunParams, partitions: int) -> DataFrame:
+    """Keys with at least ``hot_key_share`` of the sample and their buckets: ``BUCKETS_PER_TASK`` for each partition
+    that their share of the rows would fill, rounded up to a power of two.
 
     At most ``1 / hot_key_share`` rows come back (each hot key holds at least that
     share of the sample), so the list is safe to pass through the driver and to
     broadcast. Detection only routes rows; results never depend on it.
     """
-    threshold = max(params.hot_key_share * profile.sampled_rows, MIN_SAMPLED_HITS)
-    hot = profile.sampled.filter(F.col("_hits") >= F.lit(threshold)).select(*on)
+    threshold = max(params.hot_key_share * profile.sampled_rows, params.hot_key_hits)
+    share = F.col(HITS) / F.lit(float(max(1, profile.sampled_rows)))
+    wanted = share * F.lit(float(BUCKETS_PER_TASK * partitions))
+    buckets = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(wanted, F.lit(1.0))))).cast("int")
+    hot = profile.sampled.filter(F.col(HITS) >= F.lit(threshold)).select(*on, buckets.alias(BUCKETS))
     # Pin the (bounded) key list so both join sides see the very same hot set,
     # even if the sample were recomputed on another partitioning.
     return profile.sampled.sparkSession.createDataFrame(hot.collect(), hot.schema)
 
 
-def heavy_keys(df: DataFrame, on: list[str], params: RunParams) -> DataFrame:
-    """Hot keys of ``df`` (see :func:`hot_keys`), from one scan of its key column."""
-    return hot_keys(profile_keys(df, on, params), on, params)
-
-
 def _any_null(on: list[str]) -> Column:
     return any_of(*[F.col(c).isNull() for c in on])
 
 
 def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str, hot: DataFrame,
-                buckets: int) -> DataFrame:
-    """Shuffle join on ``on`` + salt; hot and NULL keys of ``big`` spread over ``buckets``."""
-    flags = F.broadcast(hot.withColumn(HOT, F.lit(True)))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(buckets)).cast("int")
+                null_buckets: int) -> DataFrame:
+    """Shuffle join on ``on`` + salt; hot keys of ``big`` are spread over their buckets, NULL keys over ``null_buckets``.
+
+    The salt takes a row's place in its input as well as its values, so rows that
+    are equal in every column are spread too. The place is stable when a task is
+    retried: it is taken where the row is scanned or read from its shuffle, before
+    this join's own shuffle.
+    """
+    flags = F.broadcast(hot)
+    place = F.xxhash64(F.monotonically_increasing_id(), *[F.col(c) for c in big.columns])
+    buckets = F.coalesce(F.col(BUCKETS), F.when(_any_null(on), F.lit(null_buckets)), F.lit(1))
     big_salted = (
-        big.join(flags, on, "left")
-        .withColumn(SALT, F.when(F.coalesce(F.col(HOT), _any_null(on)), spread).otherwise(F.lit(0)))
-        .drop(HOT)
+        big.withColumn(SALT, place).join(flags, on, "left")
+        .withColumn(SALT, F.pmod(F.col(SALT), buckets).cast("int"))
+        .drop(BUCKETS)
     )
     lookup_salted = (
         lookup.join(flags, on, "left")
-        .withColumn(SALT, F.explode(
-            F.when(F.col(HOT), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))))
-        .drop(HOT)
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(BUCKETS), F.lit(1)) - 1)))
+        .drop(BUCKETS)
     )
     return big_salted.join(lookup_salted, [*on, SALT], how).drop(SALT)
 
@@ -211,10 +220,10 @@ class LookupPlan:
 
 def _reduce_to_keys(big: DataFrame, lookup: DataFrame, on: list[str], params: RunParams) -> DataFrame | None:
     """Lookup rows of ``big``'s keys, checkpointed, if they provably fit a broadcast; else ``None``."""
-    distinct, distinct_size = materialize_measured(big.select(*on).dropna().distinct())
+    distinct, distinct_size, _ = materialize_measured(big.select(*on).dropna().distinct())
     if not fits_broadcast(distinct_size, params):
         return None
-    reduced, reduced_size = materialize_measured(lookup.join(F.broadcast(distinct), on, "left_semi"))
+    reduced, reduced_size, _ = materialize_measured(lookup.join(F.broadcast(distinct), on, "left_semi"))
     return reduced if fits_broadcast(reduced_size, params) else None
 
 
@@ -236,7 +245,9 @@ def plan_lookup(big: DataFrame, lookup: DataFrame, on: str | list[str], params:
         reduced = _reduce_to_keys(big, lookup, on, params)
         if reduced is not None:
             return LookupPlan(reduced, tuple(on), "reduced")
-    return LookupPlan(lookup, tuple(on), "salted", hot_keys(profile, on, params), params.salt_buckets)
+    partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return LookupPlan(lookup, tuple(on), "salted", hot_keys(profile, on, params, partitions),
+                      BUCKETS_PER_TASK * partitions)
 
 
 def lookup_join(big: DataFrame, lookup: DataFrame, on: str | list[str], how: str,

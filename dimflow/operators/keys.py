@@ -1,14 +1,11 @@
 """Dense surrogate keys: ``base + position - 1`` over a total order.
 
-Two ways to compute the same numbers:
-
-* ``window`` — one ``row_number()`` over a global order. Spark must move every
-  row into a single partition (``Exchange SinglePartition``): fine for a daily
-  change set, not for a first load of a large customer base.
-* ``distributed`` — range-partition on the order, sort inside partitions, count
-  rows per partition (one small row per partition), prefix-sum those counts and
-  add each row's index inside its partition. The input is checkpointed first so
-  a recomputed partition cannot get different boundaries or positions.
+Rows are range-partitioned on the order and sorted inside partitions; the rows
+per partition are counted (one small row per partition), and a prefix sum of
+those counts plus a row's index inside its partition is its position. The
+numbers are those of a global ``row_number``, without its single partition. The
+input is checkpointed first so a recomputed partition cannot get different
+boundaries or positions.
 
 The order must be total for results not to depend on partitioning: callers pass
 the business key followed by tie-breaker columns. Rows identical in all order
@@ -21,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimflow.operators.joins import measure
-from dimflow.params import RunParams
 from dimflow.session import materialize
 
 POS = "_dimflow_pos"
@@ -43,11 +38,6 @@ def key_base(dim: DataFrame, key: str) -> int:
     return 1 if top is None else int(top) + 1
 
 
-def positions_window(df: DataFrame, order_by: list[str]) -> DataFrame:
-    """1-based dense position over the whole frame with a global window."""
-    return df.withColumn(POS, F.row_number().over(Window.orderBy(*_ordered(order_by))).cast("long"))
-
-
 def positions_distributed(df: DataFrame, order_by: list[str], num_partitions: int | None = None,
                           stable_input: bool = False) -> DataFrame:
     """1-based dense position without a single-partition step (same numbers as the window).
@@ -75,18 +65,10 @@ def positions_distributed(df: DataFrame, order_by: list[str], num_partitions: in
     )
 
 
-def assign_keys(df: DataFrame, order_by: list[str], base: int, key: str, params: RunParams,
-                n_rows: int | None = None, stable_input: bool = False) -> DataFrame:
+def assign_keys(df: DataFrame, order_by: list[str], base: int, key: str, stable_input: bool = False) -> DataFrame:
     """Add ``key = base + position - 1`` (int; ANSI mode raises on overflow).
 
-    ``n_rows`` — a known upper bound on the rows, which spares the size check.
     ``stable_input`` — ``df`` reads a checkpoint; see :func:`positions_distributed`.
     """
-    strategy = params.key_strategy
-    if strategy == "auto":
-        small = (n_rows <= params.window_key_max_rows if n_rows is not None
-                 else measure(df).rows <= params.window_key_max_rows)
-        strategy = "window" if small else "distributed"
-    numbered = (positions_window(df, order_by) if strategy == "window"
-                else positions_distributed(df, order_by, stable_input=stable_input))
+    numbered = positions_distributed(df, order_by, stable_input=stable_input)
     return numbered.withColumn(key, (F.lit(base) + F.col(POS) - F.lit(1)).cast("int")).drop(POS)

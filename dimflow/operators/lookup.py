@@ -30,16 +30,3 @@ def unmatched(df: DataFrame, ref: DataFrame, on: str, reason: str, params: RunPa
     ids = id_columns or df.columns
     plan = plan or plan_lookup(df, ref, on, params)
     return plan.join(df, "left_anti", []).select(*ids, F.lit(reason).alias("ERROR_REASON"))
-
-
-def lookup_with_rejects(df: DataFrame, ref: DataFrame, on: str, reason: str, params: RunParams,
-                        ref_columns: list[str] | None = None,
-                        id_columns: list[str] | None = None,
-                        plan: LookupPlan | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(matched, rejected)`` — the pair the original lookup stage returns.
-
-    The join strategy is decided once and shared by both outputs.
-    """
-    plan = plan or plan_lookup(df, ref, on, params)
-    return (enrich(df, ref, on, params, ref_columns, plan),
-            unmatched(df, ref, on, reason, params, id_columns, plan))

@@ -40,11 +40,10 @@ def key_order(attributes: list[str] | None = None) -> list[str]:
     return [S.CUSTOMER_ID, *(attributes or S.TRACKED_ATTRIBUTES), EXISTING_KEY]
 
 
-def new_versions(changes: DataFrame, base_key: int, params: RunParams,
-                 change_rows: int | None = None, stable_input: bool = False) -> DataFrame:
+def new_versions(changes: DataFrame, base_key: int, params: RunParams, stable_input: bool = False) -> DataFrame:
     """``stable_input`` — ``changes`` reads a checkpoint (as in the daily run)."""
     needs_key = changes.filter(F.col("CHANGE_CODE").isin(S.INSERT, S.EDIT))
-    keyed = assign_keys(needs_key, key_order(), base_key, S.CUSTOMER_KEY, params, change_rows, stable_input)
+    keyed = assign_keys(needs_key, key_order(), base_key, S.CUSTOMER_KEY, stable_input)
     return keyed.select(
         S.CUSTOMER_KEY, S.CUSTOMER_ID, *S.TRACKED_ATTRIBUTES, EXISTING_KEY,
         F.lit(S.CURRENT_FLAG).alias("CURR_FLAG"),

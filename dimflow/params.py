@@ -5,8 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, replace
 
+MIN_HOT_KEY_SHARE = 1e-5  # at most 100,000 hot keys pass through the driver
 SNAPSHOTS = ("post_load", "pre_load")
-KEY_STRATEGIES = ("auto", "window", "distributed")
 
 
 def _as_date(value: dt.date | str) -> dt.date:
@@ -36,13 +36,13 @@ class RunParams:
       inputs) proves it has at most this many rows *and* bytes (UnsafeRow
       footprint, what the driver collects and ships); otherwise it is first
       reduced to the big side's keys, or joined by a salted shuffle.
-    * ``hot_key_share`` / ``skew_sample_fraction`` / ``salt_buckets`` — on the
+    * ``hot_key_share`` / ``skew_sample_fraction`` / ``hot_key_hits`` — on the
       shuffle path, keys holding at least ``hot_key_share`` of a sampled big side
-      are spread over ``salt_buckets`` tasks (at most ``1 / hot_key_share`` such keys).
-    * ``key_strategy`` — ``window`` numbers rows with one global ``row_number``
-      (single partition), ``distributed`` uses range partitions plus a prefix sum
-      over partition sizes, ``auto`` picks ``distributed`` above
-      ``window_key_max_rows`` rows.
+      (at most ``1 / hot_key_share`` keys, and at least ``hot_key_hits`` rows of the
+      sample) are spread over tasks, each over as many as its share of the shuffle
+      partitions. Sampling routes rows, it drops none.
+    * ``compact_every`` — after so many daily deltas the dimension store writes a
+      whole set of current rows again.
     """
 
     run_date: dt.date = dt.date(2026, 7, 28)
@@ -56,23 +56,20 @@ class RunParams:
     broadcast_max_bytes: int = 256 << 20
     hot_key_share: float = 1e-4
     skew_sample_fraction: float = 0.01
-    salt_buckets: int = 32
-    key_strategy: str = "auto"
-    window_key_max_rows: int = 1_000_000
+    hot_key_hits: int = 8
+    compact_every: int = 16
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "run_date", _as_date(self.run_date))
         object.__setattr__(self, "high_date", _as_date(self.high_date))
         if self.snapshot not in SNAPSHOTS:
             raise ValueError(f"snapshot must be one of {SNAPSHOTS}, got {self.snapshot!r}")
-        if self.key_strategy not in KEY_STRATEGIES:
-            raise ValueError(f"key_strategy must be one of {KEY_STRATEGIES}, got {self.key_strategy!r}")
-        if not 0 < self.hot_key_share <= 1:
-            raise ValueError("hot_key_share must be in (0, 1]")
+        if not MIN_HOT_KEY_SHARE <= self.hot_key_share <= 1:
+            raise ValueError(f"hot_key_share must be in [{MIN_HOT_KEY_SHARE}, 1]: it bounds the list of hot keys")
         if self.broadcast_max_rows < 0 or self.broadcast_max_bytes < 0:
             raise ValueError("broadcast bounds must be >= 0")
-        if self.salt_buckets < 1:
-            raise ValueError("salt_buckets must be >= 1")
+        if self.hot_key_hits < 1 or self.compact_every < 1:
+            raise ValueError("hot_key_hits and compact_every must be >= 1")
 
     @property
     def expiry_date(self) -> dt.date:

@@ -14,9 +14,8 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +23,10 @@ from dimflow import schemas as S
 from dimflow.operators import changes, errors, facts, keys, quality, scd2
 from dimflow.operators.joins import LookupPlan, Size, materialize_measured, measure, plan_lookup, row_bytes
 from dimflow.params import RunParams
+from dimflow.session import drop_scratch, materialize, scratch_path
 from dimflow.sinks import writers
 from dimflow.sources.dimension import DimensionStore, current_rows
+from dimflow.sources.jdbc import JdbcTarget
 
 
 # Helper columns of the plan and the audit.
@@ -34,6 +35,9 @@ FIRST = "_dimflow_first"
 CLASS = "_dimflow_class"
 MULT = "_dimflow_mult"
 LEAST = "_dimflow_least"
+# What the fact and the error log need of a joined sales row.
+TAGGED_COLUMNS = ("TXN_ID", "CUST_ID", "PRODUCT_ID", "STORE_ID", "TXN_DATE", "QTY", "UNIT_PRICE", "AMOUNT",
+                  S.CUSTOMER_KEY, MATCHED)
 
 
 @dataclass(frozen=True)
@@ -44,16 +48,21 @@ class Inputs:
     dimension_current: DataFrame | None = None  # current rows, when the store keeps them apart
     key_base: int | None = None          # next free surrogate key, when the store records it
     current_size: Size | None = None     # measured size of the current rows, when the store records it
+    base_version: str | None = None      # the store's version these inputs were read from
 
 
 @dataclass(frozen=True)
 class Outputs:
     key_base: int
     next_key: int
+    base_version: str | None
+    change_rows: int             # observed while the change set was written
+    expired_rows: int
+    new_rows: int
     changes: DataFrame
     expired: DataFrame
     new_versions: DataFrame
-    dimension_after: DataFrame
+    dimension_before: DataFrame
     dimension_closed: DataFrame
     current_after: DataFrame
     lookup_dimension: DataFrame
@@ -66,6 +75,15 @@ class Outputs:
     dq_unclassified: DataFrame
     fact: DataFrame
     errors: DataFrame
+    params: RunParams
+
+    @cached_property
+    def dimension_after(self) -> DataFrame:
+        """The whole dimension after the run; planned only when asked for, since publishing does not write it."""
+        return scd2.apply_to_dimension(self.dimension_before, self.expired, self.new_versions, self.params,
+                                       expired_size=self.closing_size)
+
+    closing_size: Size | None = None
 
 
 def dimension_facts(inputs: Inputs, dim_current: DataFrame) -> tuple[Size, int]:
@@ -103,15 +121,15 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     # The change set and its keyed versions are small (one business day) and feed
     # several outputs: checkpoint them once so keys are computed exactly once.
     # Their sizes are observed by the checkpoint jobs themselves.
-    change_set, change_size = materialize_measured(
-        changes.capture_changes(feed, dim_current, params, current_size=current_size))
+    closing_rows = F.count_if(F.col("CHANGE_CODE").isin(S.EDIT, S.DELETE))
+    change_set, change_size, observed = materialize_measured(
+        changes.capture_changes(feed, dim_current, params, current_size=current_size), closing=closing_rows)
     expired = scd2.expire(change_set, params)
-    new, new_size = materialize_measured(
-        scd2.new_versions(change_set, base, params, change_rows=change_size.rows, stable_input=True))
+    new, new_size, _ = materialize_measured(scd2.new_versions(change_set, base, params, stable_input=True))
     next_key = base + new_size.rows  # keys are dense: base .. base + n - 1
-    # An expire row (key, flag, date) is no wider than the change row it comes from.
-    dim_after = scd2.apply_to_dimension(inputs.dimension, expired, new, params, expired_size=change_size)
-    closing = scd2.closing_plan(dim_current, expired, params, expired_size=change_size)
+    # Exactly the edits and deletes; an expire row (key, flag, date) is no wider than the change row it comes from.
+    closing_size = Size(int(observed["closing"]), change_size.bytes)
+    closing = scd2.closing_plan(dim_current, expired, params, expired_size=closing_size)
     closed = scd2.newly_expired(dim_current, expired, params, plan=closing)
     cur_after = scd2.current_after(dim_current, expired, new, params, plan=closing)
 
@@ -135,30 +153,34 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
         "TXN_ID", "CUST_ID", F.lit(S.CUSTOMER_NOT_FOUND).alias("ERROR_REASON"))
     rules = quality.sales_rules()
     dq_pass, dq_rejects = quality.split(enriched, rules, ["TXN_ID", "CUST_ID"])
-    fact = facts.summarise(quality.passed(tagged.filter(matched), rules))
-    error_log = errors.funnel(
-        errors.rejects_from_joined(tagged, S.CUSTOMER_KEY, S.CUSTOMER_NOT_FOUND, rules, ["TXN_ID", "CUST_ID"]),
-        params=params)
     return Outputs(
-        key_base=base, next_key=next_key, changes=change_set, expired=expired, new_versions=new,
-        dimension_after=dim_after, dimension_closed=closed, current_after=cur_after,
+        key_base=base, next_key=next_key, base_version=inputs.base_version, change_rows=change_size.rows,
+        expired_rows=closing_size.rows, new_rows=new_size.rows, changes=change_set, expired=expired, new_versions=new,
+        dimension_before=inputs.dimension, closing_size=closing_size, params=params, dimension_closed=closed, current_after=cur_after,
         lookup_dimension=lookup_dim, lookup_plan=lookup_plan, tagged_sales=tagged, enriched=enriched,
         lookup_rejects=lookup_rejects,
         dq_pass=dq_pass, dq_rejects=dq_rejects, dq_unclassified=quality.unclassified(enriched, rules),
-        fact=fact, errors=error_log,
+        fact=fact_of(tagged), errors=errors_of(tagged, params),
     )
 
 
+def fact_of(tagged: DataFrame) -> DataFrame:
+    """The fact, from the tagged sales."""
+    return facts.summarise(quality.passed(tagged.filter(F.col(MATCHED).isNotNull()), quality.sales_rules()))
+
+
+def errors_of(tagged: DataFrame, params: RunParams) -> DataFrame:
+    """The error log, from the tagged sales."""
+    return errors.funnel(errors.rejects_from_joined(tagged, S.CUSTOMER_KEY, S.CUSTOMER_NOT_FOUND,
+                                                    quality.sales_rules(), ["TXN_ID", "CUST_ID"]), params=params)
+
+
 AUDITED = ("customer_delta", "sales_txn", "dimension_current", "changes", "expired", "new_versions",
            "dimension_after", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
 # Counts that all come from one scan and one join of the sales.
 SALES_SIDE = ("sales_txn", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
 
 
-def _count(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("ROW_COUNT")).select(F.lit(name).alias("OUTPUT"), "ROW_COUNT")
-
-
 def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
     """Rows of the sales feed and of every output derived from it, from one scan and join of the sales.
 
@@ -209,18 +231,23 @@ def audit(inputs: Inputs, outputs: Outputs) -> DataFrame:
     """One row per input/output: ``(OUTPUT, ROW_COUNT)`` — the run's verification counts.
 
     The sales are scanned once, for all sales-side counts including the fact's;
-    every other count reads the customer feed, the dimension or a checkpointed
-    change set.
+    the feed and the dimension once each. The change set's counts were observed
+    when it was written.
     """
-    frames = {
-        "customer_delta": inputs.customer_delta,
-        "dimension_current": inputs.dimension_current if inputs.dimension_current is not None
-        else current_rows(inputs.dimension),
-    }
-    frames.update({name: getattr(outputs, name) for name in AUDITED if name not in frames and name not in SALES_SIDE})
-    counts = [_count(frames[name], name) for name in AUDITED if name not in SALES_SIDE]
-    counts.append(sales_side_counts(inputs.sales_txn, outputs))
-    return reduce(lambda a, b: a.unionByName(b), counts)
+    feed = inputs.customer_delta.agg(F.count(F.lit(1)).alias("customer_delta")).unpivot(
+        [], ["customer_delta"], "OUTPUT", "ROW_COUNT")
+    n_new = F.lit(outputs.new_rows).cast("long")
+    all_rows = F.count(F.lit(1))
+    if inputs.dimension_current is not None and inputs.current_size is not None:
+        current = F.lit(inputs.current_size.rows).cast("long")
+    else:
+        current = F.count_if(F.col("CURR_FLAG") == F.lit(S.CURRENT_FLAG))
+    dimension = inputs.dimension.agg(
+        current.alias("dimension_current"), F.lit(outputs.change_rows).cast("long").alias("changes"),
+        F.lit(outputs.expired_rows).cast("long").alias("expired"), n_new.alias("new_versions"),
+        (all_rows + n_new).alias("dimension_after")).unpivot(
+        [], ["dimension_current", "changes", "expired", "new_versions", "dimension_after"], "OUTPUT", "ROW_COUNT")
+    return feed.unionByName(dimension).unionByName(sales_side_counts(inputs.sales_txn, outputs))
 
 
 @dataclass(frozen=True)
@@ -241,46 +268,77 @@ def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: Di
     history = store.read_history(spark, before=params.run_date, known=known)
     return Inputs(customer_delta=customer_delta, sales_txn=sales_txn,
                   dimension=history.unionByName(current), dimension_current=current,
-                  key_base=store.next_key(spark, base, known), current_size=store.current_size(spark, base, known))
+                  key_base=store.next_key(spark, base, known), current_size=store.current_size(spark, base, known),
+                  base_version=base)
 
 
 def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:
     """Write dimension, fact and error log once each; return the observed row counts.
 
-    The writes are independent jobs and are submitted together, so the cluster
-    overlaps them instead of idling through each job's tail. When the sales
-    lookup is a salted shuffle join, the fact and the error log share that one
-    join: it is persisted to executor disks (lost blocks are recomputed from
-    lineage) and the two writes run one after the other over it, so the sales
-    are shuffled once, not twice. The dimension version is committed (its
-    marker written) only after all writes succeeded: a run that fails anywhere
-    leaves the previous dimension live.
+    The narrow tagged sales (the one scan and join of the feed) are written once
+    to the shared folder; fact and error log are both made from there, so the
+    feed's text is parsed once and a lost executor repeats neither. The writes
+    are independent jobs and overlap. The dimension version is committed only
+    after all writes succeeded, then the fact: a run that fails anywhere leaves
+    the previous dimension live and no fact rows of its own, and its date can be
+    run again.
     """
     spark = outputs.fact.sparkSession
     store = DimensionStore(targets.dimension_root)
-    share_join = outputs.lookup_plan.strategy == "salted"
-
-    def fact() -> int:
-        return writers.write_fact(outputs.fact, targets.fact_path, params.run_date, targets.fact_mode)
-
-    def error_log() -> int:
-        return writers.write_error_log(outputs.errors, targets.error_dir, params.run_date)
-
-    if share_join:
-        outputs.tagged_sales.persist(StorageLevel.DISK_ONLY)
-    try:
-        with ThreadPoolExecutor(max_workers=3, thread_name_prefix="dimflow-publish") as pool:
-            staged = pool.submit(writers.stage_dimension_version, store, outputs.current_after,
-                                 outputs.dimension_closed, params.run_date)
-            if share_join:
-                both = pool.submit(lambda: (fact(), error_log()))
-                staged_version, (n_fact, n_errors) = staged.result(), both.result()
-            else:
-                f, e = pool.submit(fact), pool.submit(error_log)
-                staged_version, n_fact, n_errors = staged.result(), f.result(), e.result()
-    finally:
-        if share_join:
-            outputs.tagged_sales.unpersist()
+    base = store.markers(spark).get(outputs.base_version) if outputs.base_version else None
+
+    def dimension() -> writers.StagedVersion:
+        if base and len(base["parts"]) <= params.compact_every:
+            return writers.stage_dimension_delta(store, base, outputs.new_versions, outputs.dimension_closed,
+                                                 params.run_date, bool(outputs.new_rows), bool(outputs.expired_rows))
+        return writers.stage_dimension_version(store, outputs.current_after, outputs.dimension_closed, params.run_date)
+
+    path = scratch_path(spark, "tagged_sales")
+    with ThreadPoolExecutor(max_workers=3, thread_name_prefix="dimflow-publish") as pool:
+        staged = pool.submit(dimension)
+        narrow = outputs.tagged_sales.select(*TAGGED_COLUMNS)
+        narrow.write.parquet(path)
+        tagged = spark.read.schema(narrow.schema).parquet(path)
+        fact = pool.submit(writers.stage_fact, fact_of(tagged), targets.fact_path, params.run_date)
+        error_log = pool.submit(writers.write_error_log, errors_of(tagged, params), targets.error_dir, params.run_date)
+        staged_version, staged_fact, n_errors = staged.result(), fact.result(), error_log.result()
     counts = writers.commit_dimension_version(spark, store, staged_version, outputs.next_key)
-    counts.update({"fact": n_fact, "errors": n_errors})
+    counts.update({"fact": writers.commit_fact(spark, targets.fact_path, staged_fact, targets.fact_mode),
+                   "errors": n_errors})
+    drop_scratch(spark, path)
     return counts
+
+
+@dataclass(frozen=True)
+class JdbcTables:
+    """Tables of a relational mart; ``next_key`` is the first free surrogate key, kept by the caller."""
+
+    target: JdbcTarget
+    dimension: str
+    expire: str
+    fact: str
+    next_key: int
+    partitions: int
+
+
+def inputs_from_jdbc(customer_delta: DataFrame, sales_txn: DataFrame, tables: JdbcTables) -> Inputs:
+    """Inputs of a run against a relational dimension, read in ranges of the keys given out so far."""
+    current = tables.target.read_current_dim(sales_txn.sparkSession, tables.dimension, 1, max(1, tables.next_key - 1),
+                                             tables.partitions)
+    return Inputs(customer_delta=customer_delta, sales_txn=sales_txn, dimension=current, dimension_current=current,
+                  key_base=tables.next_key)
+
+
+def publish_jdbc(outputs: Outputs, tables: JdbcTables, error_dir: str, params: RunParams) -> dict[str, int]:
+    """Append the new versions and the fact, replace the expire table, write the error log; nothing for zero rows."""
+    target, fact = tables.target, materialize(outputs.fact)
+    n_fact = fact.count()
+    if outputs.expired_rows:
+        target.replace(outputs.expired, tables.expire)
+    if outputs.new_rows:
+        target.append(outputs.new_versions.select(*S.names(S.CUSTOMER_DIM)), tables.dimension)
+    if n_fact:
+        target.append(fact, tables.fact)
+    return {"dim_new": outputs.new_rows, "dim_expire": outputs.expired_rows, "fact": n_fact,
+            "errors": writers.write_error_log(outputs.errors, error_dir, params.run_date),
+            "next_key": outputs.next_key}

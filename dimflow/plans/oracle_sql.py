@@ -16,7 +16,8 @@ ADAPTERS = """
 sales_txn AS (
   SELECT concat('TXN-', CAST(l.l_orderkey AS VARCHAR), '-', CAST(l.l_linenumber AS VARCHAR), '-',
                 CAST(l.l_partkey AS VARCHAR)) AS TXN_ID,
-         concat('CUST', CAST(o.o_custkey AS VARCHAR)) AS CUST_ID,
+         CASE WHEN NOT (o.o_orderstatus = 'P' AND o.o_orderpriority = '5-LOW')
+              THEN concat('CUST', CAST(o.o_custkey AS VARCHAR)) END AS CUST_ID,
          concat('PROD-', CAST(l.l_partkey % 3 AS VARCHAR)) AS PRODUCT_ID,
          CASE WHEN l.l_suppkey % 5 = 0 THEN NULL
               ELSE concat('STORE-', CAST(l.l_suppkey % 10 AS VARCHAR)) END AS STORE_ID,
@@ -31,26 +32,39 @@ sales_txn AS (
               ELSE CAST(l.l_extendedprice AS DECIMAL(14,2)) END AS AMOUNT
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
 ),
-dim_current AS (
-  SELECT CAST(c.c_custkey + 1 AS INTEGER) AS CUST_KEY, concat('CUST', CAST(c.c_custkey AS VARCHAR)) AS CUST_ID,
-         c.c_name AS CUST_NAME,
-         CASE WHEN c.c_custkey % 13 = 0 THEN NULL
-              ELSE concat(CAST(c.c_custkey AS VARCHAR), ' Main St') END AS ADDRESS,
-         n.n_name AS CITY, r.r_name AS STATE, CAST(10000 + c.c_custkey % 90000 AS VARCHAR) AS ZIP,
-         c.c_mktsegment AS SEGMENT, DATE '2026-01-01' AS EFF_DATE, DATE '9999-12-31' AS EXP_DATE,
-         'Y' AS CURR_FLAG
+customers AS (
+  SELECT c.c_custkey, c.c_name, c.c_acctbal, c.c_mktsegment, n.n_name, r.r_name, o.urgent,
+         coalesce(o.first_seen < DATE '1996-01-01', TRUE) AS known,
+         coalesce(o.last_seen >= DATE '2001-01-01', FALSE) AS active
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_custkey % 10 <> 0
+  LEFT JOIN (SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS first_seen, max(CAST(o_orderdate AS DATE)) AS last_seen,
+                    bool_or(o_orderpriority = '1-URGENT' AND CAST(o_orderdate AS DATE) >= DATE '2001-01-01') AS urgent
+             FROM orders GROUP BY o_custkey) o ON c.c_custkey = o.o_custkey
 ),
+dimension AS (
+  SELECT CAST(3 * c_custkey + v AS INTEGER) AS CUST_KEY, concat('CUST', CAST(c_custkey AS VARCHAR)) AS CUST_ID,
+         CASE WHEN v = 2 THEN concat(c_name, ' (2)') ELSE c_name END AS CUST_NAME,
+         CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE concat(CAST(c_custkey AS VARCHAR), ' Main St') END AS ADDRESS,
+         n_name AS CITY, r_name AS STATE, CAST(10000 + c_custkey % 90000 AS VARCHAR) AS ZIP,
+         CASE WHEN v = 3 THEN 'FORMER' ELSE c_mktsegment END AS SEGMENT,
+         CASE WHEN v = 3 THEN DATE '2025-01-01' ELSE DATE '2026-01-01' END AS EFF_DATE,
+         CASE WHEN v = 3 THEN DATE '2025-12-31' ELSE DATE '9999-12-31' END AS EXP_DATE,
+         CASE WHEN v = 3 THEN 'N' ELSE 'Y' END AS CURR_FLAG
+  FROM customers CROSS JOIN (VALUES (1), (2), (3)) AS versions(v)
+  WHERE known AND (v = 1 OR (v = 2 AND c_acctbal < 0) OR (v = 3 AND c_mktsegment = 'MACHINERY'))
+),
+dim_current AS (SELECT * FROM dimension WHERE CURR_FLAG = 'Y'),
 customer_delta AS (
-  SELECT concat('CUST', CAST(c.c_custkey AS VARCHAR)) AS CUST_ID, c.c_name AS CUST_NAME,
-         CASE WHEN c.c_custkey % 17 = 0 THEN NULL
-              ELSE concat(CAST(c.c_custkey AS VARCHAR), ' Main St') END AS ADDRESS,
-         n.n_name AS CITY, r.r_name AS STATE, CAST(10000 + c.c_custkey % 90000 AS VARCHAR) AS ZIP,
-         CASE WHEN c.c_custkey % 7 = 0 THEN 'CHANGED' ELSE c.c_mktsegment END AS SEGMENT,
-         'CRM' AS SOURCE_SYSTEM, DATE '2026-07-01' AS EFF_DATE
-  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
-  WHERE c.c_custkey % 4 <> 1 AND c.c_custkey % 20 <> 0
+  SELECT concat('CUST', CAST(c_custkey AS VARCHAR)) AS CUST_ID, c_name AS CUST_NAME,
+         CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE concat(CAST(c_custkey AS VARCHAR), ' Main St') END AS ADDRESS,
+         n_name AS CITY, r_name AS STATE, CAST(10000 + c_custkey % 90000 AS VARCHAR) AS ZIP,
+         CASE WHEN c_custkey % 7 = 0 THEN 'CHANGED' WHEN sys = 'WEB' AND c_custkey % 5 = 0 THEN 'ONLINE'
+              ELSE c_mktsegment END AS SEGMENT,
+         sys AS SOURCE_SYSTEM, CASE WHEN sys = 'WEB' THEN DATE '2026-06-24' ELSE DATE '2026-07-01' END AS EFF_DATE
+  FROM customers CROSS JOIN (VALUES ('CRM'), ('WEB')) AS systems(sys)
+  WHERE (active OR NOT known) AND (sys = 'CRM' OR urgent)
+  UNION ALL
+  SELECT NULL, s_name, NULL, NULL, NULL, NULL, 'SUPPLIER', 'ERP', DATE '2026-07-01' FROM supplier
 )"""
 
 ATTRS = ["CUST_NAME", "ADDRESS", "CITY", "STATE", "ZIP", "SEGMENT"]
@@ -83,7 +97,7 @@ expire AS (
   SELECT EXISTING_CUST_KEY AS CUST_KEY, 'N' AS CURR_FLAG, {EXPIRY_DATE} AS EXP_DATE FROM changes WHERE CHANGE_CODE = 3
 ),
 keyed AS (
-  SELECT *, CAST((SELECT max(CUST_KEY) FROM dim_current) + row_number() OVER (ORDER BY {KEY_ORDER}) AS INTEGER)
+  SELECT *, CAST((SELECT max(CUST_KEY) FROM dimension) + row_number() OVER (ORDER BY {KEY_ORDER}) AS INTEGER)
            AS CUST_KEY
   FROM changes WHERE CHANGE_CODE IN (1, 3)
 ),
@@ -95,7 +109,7 @@ new_versions AS (
 dim_after AS (
   SELECT d.CUST_KEY, d.CUST_ID, {", ".join("d." + c for c in ATTRS)}, d.EFF_DATE,
          COALESCE(e.EXP_DATE, d.EXP_DATE) AS EXP_DATE, COALESCE(e.CURR_FLAG, d.CURR_FLAG) AS CURR_FLAG
-  FROM dim_current d LEFT JOIN (SELECT DISTINCT * FROM expire) e ON d.CUST_KEY = e.CUST_KEY
+  FROM dimension d LEFT JOIN (SELECT DISTINCT * FROM expire) e ON d.CUST_KEY = e.CUST_KEY
   UNION ALL
   SELECT {", ".join(DIM_COLS)} FROM new_versions
 ),
@@ -191,6 +205,40 @@ SELECT {", ".join(FEED_COLS)} FROM (
   FROM customer_delta)
 WHERE rn = 1"""
 
+
+
+def _replay_day(day: int, run_date: str, expiry: str, segment: str, before: str) -> str:
+    """One day of a replay: the latest feed row of each customer against the current rows of ``before``."""
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ["EFF_DATE", *ATTRS, "SOURCE_SYSTEM"])
+    attrs = ", ".join("a." + c for c in ATTRS)
+    differs = " OR ".join(PLAIN_COMPARE.format(c=c) for c in ATTRS)
+    return f"""
+feed{day} AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY CUST_ID ORDER BY {order}) AS rn
+                 FROM (SELECT * REPLACE ({segment} AS SEGMENT) FROM customer_delta)) WHERE rn = 1 AND CUST_ID IS NOT NULL
+),
+edit{day} AS (
+  SELECT a.CUST_ID, {attrs}, b.CUST_KEY AS EXISTING_CUST_KEY
+  FROM feed{day} a LEFT JOIN (SELECT * FROM {before} WHERE CURR_FLAG = 'Y') b ON a.CUST_ID = b.CUST_ID
+  WHERE b.CUST_KEY IS NULL OR {differs}
+),
+day{day} AS (
+  SELECT CUST_KEY, CUST_ID, {", ".join(ATTRS)}, EFF_DATE,
+         CASE WHEN CUST_KEY IN (SELECT EXISTING_CUST_KEY FROM edit{day} WHERE EXISTING_CUST_KEY IS NOT NULL)
+              THEN {expiry} ELSE EXP_DATE END AS EXP_DATE,
+         CASE WHEN CUST_KEY IN (SELECT EXISTING_CUST_KEY FROM edit{day} WHERE EXISTING_CUST_KEY IS NOT NULL)
+              THEN 'N' ELSE CURR_FLAG END AS CURR_FLAG
+  FROM {before}
+  UNION ALL
+  SELECT CAST((SELECT max(CUST_KEY) FROM {before}) + row_number() OVER (ORDER BY {KEY_ORDER}) AS INTEGER),
+         CUST_ID, {", ".join(ATTRS)}, {run_date}, {HIGH_DATE}, 'Y' FROM edit{day}
+)"""
+
+
+TWO_DAYS = _with(ADAPTERS, _replay_day(1, RUN_DATE, EXPIRY_DATE, "SEGMENT", "dimension"),
+                 _replay_day(2, "DATE '2026-07-29'", RUN_DATE, "CASE WHEN CUST_ID LIKE '%5' THEN 'RAISED' ELSE SEGMENT END",
+                             "day1")) + "\nSELECT * FROM day2"
+
 ORACLE: dict[str, str] = {
     "scan_customer_delta_csv": _with(ADAPTERS) + "\nSELECT * FROM customer_delta",
     "scan_sales_csv": _with(ADAPTERS) + "\nSELECT * FROM sales_txn",
@@ -203,6 +251,11 @@ ORACLE: dict[str, str] = {
     "dq_pass": _on_full("SELECT * FROM dq_pass_pre"),
     "dq_reject": _on_full("SELECT * FROM dq_reject_pre"),
     "dq_unclassified": _on_full("SELECT * FROM dq_unclassified_pre"),
+    "dq_reject_unjoined": _with(ADAPTERS) + """
+SELECT TXN_ID, CUST_ID,
+       CASE WHEN CUST_ID IS NULL THEN 'MISSING_CUST_ID' WHEN AMOUNT <= 0 THEN 'NON_POSITIVE_AMOUNT'
+            WHEN QTY <= 0 THEN 'NON_POSITIVE_QTY' ELSE 'MISSING_TXN_DATE' END AS ERROR_REASON
+FROM sales_txn WHERE CUST_ID IS NULL OR AMOUNT <= 0 OR QTY <= 0 OR TXN_DATE IS NULL""",
     "change_capture": _on_full("SELECT * FROM changes"),
     "change_capture_null_safe": _with(ADAPTERS, _changes_cte(NULL_SAFE_COMPARE)) + "\nSELECT * FROM changes",
     "change_capture_with_deletes": _with(ADAPTERS, DELETES)
@@ -213,6 +266,7 @@ ORACLE: dict[str, str] = {
     "scd2_expire": _on_full("SELECT * FROM expire"),
     "scd2_new_versions": _on_full("SELECT * FROM new_versions"),
     "dim_after_load": _on_full("SELECT * FROM dim_after"),
+    "dim_two_day": TWO_DAYS,
     "dim_versioned_roundtrip": _on_full("SELECT * FROM dim_after"),
     "sales_fact_aggregate": _on_full("SELECT * FROM fact_pre"),
     "sales_sorted": _on_full("SELECT * FROM dq_pass_pre ORDER BY CUST_KEY, PRODUCT_ID, STORE_ID"),

@@ -1,7 +1,8 @@
 """Named queries over the test tables: one per operator / composite job.
 
 Every query reads the whole given tables through the adapters in
-:mod:`dimflow.sources.fixtures` and returns a DataFrame. Sink round-trips write
+:mod:`dimflow.sources.fixtures`, which keep or drop customers by the dates of
+their orders only, and returns a DataFrame. Sink round-trips write
 to a fresh folder under the session's shared checkpoint folder and read back.
 """
 
@@ -16,7 +17,7 @@ from dimflow import schemas as S
 from dimflow.operators import changes, facts, keys, lookup, quality, scd2
 from dimflow.params import RunParams
 from dimflow.plans.daily_run import Inputs, Outputs, Targets, audit, inputs_from_store, plan, publish
-from dimflow.session import scratch_path
+from dimflow.session import materialize, scratch_path
 from dimflow.sinks import writers
 from dimflow.sources import feeds
 from dimflow.sources import fixtures as fx
@@ -41,7 +42,7 @@ def query(name: str) -> Callable[[Query], Query]:
 
 def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return Inputs(customer_delta=fx.customer_delta(spark, sf_dir), sales_txn=fx.sales_txn(spark, sf_dir),
-                  dimension=fx.dim_current(spark, sf_dir))
+                  dimension=fx.dimension(spark, sf_dir))
 
 
 def run(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) -> Outputs:
@@ -61,12 +62,11 @@ def _change_set(spark: SparkSession, sf_dir: str, params: RunParams = PARAMS) ->
     return changes.capture_changes(fx.customer_delta(spark, sf_dir), fx.dim_current(spark, sf_dir), params)
 
 
-def _keyed_changes(spark: SparkSession, sf_dir: str, strategy: str) -> DataFrame:
+def _keyed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     change_set = _change_set(spark, sf_dir)
-    base = keys.key_base(fx.dim_current(spark, sf_dir), S.CUSTOMER_KEY)
+    base = keys.key_base(fx.dimension(spark, sf_dir), S.CUSTOMER_KEY)
     needs_key = change_set.filter(change_set.CHANGE_CODE.isin(S.INSERT, S.EDIT))
-    return keys.assign_keys(needs_key, scd2.key_order(), base, S.CUSTOMER_KEY,
-                            PARAMS.with_(key_strategy=strategy))
+    return keys.assign_keys(needs_key, scd2.key_order(), base, S.CUSTOMER_KEY)
 
 
 # ---- sources (S1-S5) -----------------------------------------------------------------------------
@@ -137,6 +137,12 @@ def dq_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rejected(_enriched_pre_load(spark, sf_dir), quality.sales_rules(), IDS)
 
 
+@query("dq_reject_unjoined")
+def dq_reject_unjoined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules on the sales themselves, before any lookup: rows without a customer id are rejected for that."""
+    return quality.rejected(fx.sales_txn(spark, sf_dir), quality.sales_rules(), IDS)
+
+
 @query("dq_unclassified")
 def dq_unclassified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unclassified(_enriched_pre_load(spark, sf_dir), quality.sales_rules())
@@ -167,12 +173,16 @@ def feed_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("surrogate_keys")
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed_changes(spark, sf_dir, "window")
+    return _keyed_changes(spark, sf_dir)
 
 
 @query("surrogate_keys_distributed")
 def surrogate_keys_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _keyed_changes(spark, sf_dir, "distributed")
+    """The same numbers from the checkpointed change set, as the daily run assigns them."""
+    base = keys.key_base(fx.dimension(spark, sf_dir), S.CUSTOMER_KEY)
+    change_set = materialize(_change_set(spark, sf_dir))
+    return keys.assign_keys(change_set.filter(change_set.CHANGE_CODE.isin(S.INSERT, S.EDIT)), scd2.key_order(), base,
+                            S.CUSTOMER_KEY, stable_input=True)
 
 
 @query("scd2_expire")
@@ -182,7 +192,7 @@ def scd2_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scd2_new_versions")
 def scd2_new_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = keys.key_base(fx.dim_current(spark, sf_dir), S.CUSTOMER_KEY)
+    base = keys.key_base(fx.dimension(spark, sf_dir), S.CUSTOMER_KEY)
     return scd2.new_versions(_change_set(spark, sf_dir), base, PARAMS)
 
 
@@ -191,18 +201,35 @@ def dim_after_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir).dimension_after
 
 
+def _seeded_store(spark: SparkSession, sf_dir: str) -> DimensionStore:
+    """A versioned store that holds the dimension before the run."""
+    store = DimensionStore(scratch_path(spark, "dim_store"))
+    rows = fx.dimension(spark, sf_dir)
+    writers.write_dimension_version(store, current_rows(rows), rows.filter(rows.CURR_FLAG == S.EXPIRED_FLAG),
+                                    fx.DIM_EFF_DATE, keys.key_base(rows, S.CUSTOMER_KEY))
+    return store
+
+
 @query("dim_versioned_roundtrip")
 def dim_versioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seed a versioned store with the current dimension, run the day from it, read it back."""
-    store = DimensionStore(scratch_path(spark, "dim_store"))
-    seed = fx.dim_current(spark, sf_dir)
-    writers.write_dimension_version(store, seed, empty_dimension(spark), fx.DIM_EFF_DATE,
-                                    keys.key_base(seed, S.CUSTOMER_KEY))
+    """Seed a versioned store with the dimension, run the day from it, read it back."""
+    store = _seeded_store(spark, sf_dir)
     inputs = inputs_from_store(fx.customer_delta(spark, sf_dir), fx.sales_txn(spark, sf_dir), store, PARAMS)
     publish(plan(inputs, PARAMS), _targets(spark, store), PARAMS)
     return store.read_all(spark)
 
 
+@query("dim_two_day")
+def dim_two_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days in a row from a seeded store, the latest feed row of each customer: expiry dates, keys carried on."""
+    store = _seeded_store(spark, sf_dir)
+    for day, feed in ((PARAMS.run_date, fx.customer_delta), (PARAMS.run_date + dt.timedelta(days=1), fx.next_day_delta)):
+        params = PARAMS.with_(run_date=day, dedupe_feed=True)
+        inputs = inputs_from_store(feed(spark, sf_dir), fx.sales_txn(spark, sf_dir), store, params)
+        publish(plan(inputs, params), _targets(spark, store), params)
+    return store.read_all(spark)
+
+
 # ---- facts, errors, audit (A1-A5, O1, U1, N2, N3, M2-M4) -----------------------------------------
 
 @query("sales_fact_aggregate")

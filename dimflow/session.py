@@ -47,7 +47,7 @@ def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str
     decided by proven row bounds (``RunParams.broadcast_max_rows``), not by
     these settings.
     """
-    shuffle_partitions = max(200, min(200_000, input_bytes // partition_bytes))
+    shuffle_partitions = max(200, -(-input_bytes // partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -91,3 +91,11 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder: cuts lineage, survives lost executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove one path made by :func:`scratch_path`, once nothing reads it any more."""
+    if "/dimflow-scratch/" not in path:
+        raise ValueError(f"not a scratch path: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

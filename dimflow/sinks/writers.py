@@ -1,15 +1,18 @@
 """Writers for the three outputs, each written once per run.
 
-* Dimension — under a fresh attempt id: the new ``current`` rows beside the old
-  ones and the versions closed by this run into the append-only history, then
-  the commit marker naming the attempt. Nothing that is being read is
-  overwritten, and a run that dies before the marker leaves the previous
-  version live (its files are never read).
-* Fact — Parquet partitioned by ``LOAD_DATE``. ``append`` matches the original
-  (a re-run appends again); ``replace_run`` overwrites only this run's partition
-  (dynamic partition overwrite), which makes re-runs idempotent.
+* Dimension — under a fresh attempt id: the new versions (or, from time to time,
+  all current rows) and the versions closed by this run, then the commit marker.
+  Nothing that is being read is overwritten, and a run that dies before the
+  marker leaves the previous version live (its files are never read).
+* Fact — Parquet under ``LOAD_DATE`` and an attempt id, then a commit marker that
+  readers follow, so a run that dies in between leaves no fact rows behind.
+  ``append`` matches the original (a re-run appends again); ``replace_run`` puts
+  this run's rows in the place of the date's earlier ones.
 * Error log — CSV with a header at ``<err_dir>/sales_errors_<run_date>.dat``
   (a directory of part files), overwritten, written even when empty.
+
+An output without rows is not committed as data: zero new versions, closed
+versions or fact rows add no part for readers to open.
 """
 
 from __future__ import annotations
@@ -20,10 +23,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimflow import schemas as S
 from dimflow.operators.joins import row_bytes
-from dimflow.sources.dimension import MARKER_SCHEMA, DimensionStore
+from dimflow.sources.dimension import MARKER_SCHEMA, DimensionStore, read_if_present
 from dimflow.sources.feeds import read_feed
 
 LOAD_DATE = "LOAD_DATE"
@@ -46,24 +50,53 @@ class StagedVersion:
     current_rows: int
     current_bytes: int
     closed_rows: int
+    parts: tuple[str, ...]
+    minus: tuple[str, ...]
+
+
+def _stage_closed(store: DimensionStore, closed: DataFrame, tag: str, attempt: str) -> int:
+    # Closed versions are a few rows spread over every split of the dimension:
+    # rebalance them (AQE sizes the partitions) instead of writing one tiny file per split.
+    hist, obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)).hint("rebalance"), "dim_closed")
+    hist.write.mode("errorifexists").parquet(store.closed_path(tag, attempt))
+    return int(obs.get["rows"])
+
+
+def _stage_rows(store: DimensionStore, rows: DataFrame, tag: str, attempt: str) -> tuple[int, int]:
+    cur, obs = _counted(rows.select(*S.names(S.CUSTOMER_DIM)), "dim_current")
+    cur.write.mode("errorifexists").parquet(store.current_path(tag, attempt))
+    return int(obs.get["rows"]), int(obs.get["bytes"])
+
+
+def _attempt() -> str:
+    return "a" + uuid.uuid4().hex[:16]
 
 
 def stage_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
                             run_date: dt.date) -> StagedVersion:
-    """Write the new current rows and the versions this run closes under a fresh attempt id.
+    """Write all current rows and the versions this run closes under a fresh attempt id.
 
     Nothing reads them until :func:`commit_dimension_version` writes the marker.
     """
-    tag = run_date.isoformat()
-    attempt = "a" + uuid.uuid4().hex[:16]
-    cur, cur_obs = _counted(current.select(*S.names(S.CUSTOMER_DIM)), "dim_current")
-    cur.write.mode("errorifexists").parquet(store.current_path(tag, attempt))
-    # Closed versions are a few rows spread over every split of the dimension:
-    # rebalance them (AQE sizes the partitions) instead of writing one tiny file per split.
-    hist, hist_obs = _counted(closed.select(*S.names(S.CUSTOMER_DIM)).hint("rebalance"), "dim_closed")
-    hist.write.mode("errorifexists").parquet(f"{store.history_dir}/EXPIRED_ON={tag}/attempt={attempt}")
-    return StagedVersion(tag, attempt, int(cur_obs.get["rows"]), int(cur_obs.get["bytes"]),
-                         int(hist_obs.get["rows"]))
+    tag, attempt = run_date.isoformat(), _attempt()
+    rows, size = _stage_rows(store, current, tag, attempt)
+    n_closed = _stage_closed(store, closed, tag, attempt)
+    return StagedVersion(tag, attempt, rows, size, n_closed, (f"{tag}/{attempt}",) if rows else (), ())
+
+
+def stage_dimension_delta(store: DimensionStore, base: dict, new: DataFrame, closed: DataFrame, run_date: dt.date,
+                          has_new: bool, has_closed: bool) -> StagedVersion:
+    """Write only what this run changes: its new versions beside the parts of ``base``'s marker, and what it closes.
+
+    Without changes nothing is written at all. The recorded bytes are an upper
+    bound, the rows exact.
+    """
+    tag, attempt = run_date.isoformat(), _attempt()
+    part = f"{tag}/{attempt}"
+    rows, size = _stage_rows(store, new, tag, attempt) if has_new else (0, 0)
+    n_closed = _stage_closed(store, closed, tag, attempt) if has_closed else 0
+    return StagedVersion(tag, attempt, base["current_rows"] + rows - n_closed, base["current_bytes"] + size, n_closed,
+                         (*base["parts"], *([part] if rows else [])), (*base["minus"], *([part] if n_closed else [])))
 
 
 def commit_dimension_version(spark: SparkSession, store: DimensionStore, staged: StagedVersion,
@@ -76,7 +109,8 @@ def commit_dimension_version(spark: SparkSession, store: DimensionStore, staged:
     need no scan of the dimension either.
     """
     marker = spark.createDataFrame(
-        [(staged.version, staged.attempt, int(next_key), None, staged.current_rows, staged.current_bytes)],
+        [(staged.version, staged.attempt, int(next_key), None, staged.current_rows, staged.current_bytes,
+          staged.closed_rows, list(staged.parts), list(staged.minus))],
         MARKER_SCHEMA).withColumn("committed_at", F.current_timestamp()).select(*MARKER_SCHEMA.names)
     marker.coalesce(1).write.mode("errorifexists").parquet(store.marker_path(staged.version, staged.attempt))
     return {"dim_current": staged.current_rows, "dim_closed": staged.closed_rows}
@@ -84,28 +118,64 @@ def commit_dimension_version(spark: SparkSession, store: DimensionStore, staged:
 
 def write_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
                             run_date: dt.date, next_key: int) -> dict[str, int]:
-    """Publish one run's dimension: new current version, closed versions, then the marker."""
+    """Publish one run's dimension: all current rows, closed versions, then the marker."""
     staged = stage_dimension_version(store, current, closed, run_date)
     return commit_dimension_version(current.sparkSession, store, staged, next_key)
 
 
+FACT_MARKER = T.StructType([T.StructField("load_date", T.DateType()), T.StructField("attempt", T.StringType()),
+                            T.StructField("mode", T.StringType()), T.StructField("rows", T.LongType()),
+                            T.StructField("committed_at", T.TimestampType())])
+
+
+@dataclass(frozen=True)
+class StagedFact:
+    load_date: dt.date
+    attempt: str
+    rows: int
+
+
+def _fact_part(path: str, load_date: dt.date, attempt: str) -> str:
+    return f"{path.rstrip('/')}/{LOAD_DATE}={load_date.isoformat()}/attempt={attempt}"
+
+
+def stage_fact(fact: DataFrame, path: str, run_date: dt.date) -> StagedFact:
+    """Write the fact rows under a fresh attempt id; nothing reads them until :func:`commit_fact`."""
+    attempt = _attempt()
+    out, obs = _counted(fact.select(*S.names(S.SALES_FACT)), "fact")
+    out.write.mode("errorifexists").parquet(_fact_part(path, run_date, attempt))
+    return StagedFact(run_date, attempt, int(obs.get["rows"]))
+
+
+def commit_fact(spark: SparkSession, path: str, staged: StagedFact, mode: str = "append") -> int:
+    """Make a staged fact visible. An append without rows changes nothing and writes no marker."""
+    if mode not in FACT_MODES:
+        raise ValueError(f"fact mode must be one of {FACT_MODES}")
+    if staged.rows or mode == "replace_run":
+        marker = spark.createDataFrame([(staged.load_date, staged.attempt, mode, staged.rows, None)], FACT_MARKER)
+        marker = marker.withColumn("committed_at", F.current_timestamp()).select(*FACT_MARKER.names)
+        marker.coalesce(1).write.mode("errorifexists").parquet(f"{path.rstrip('/')}/_commits/a={staged.attempt}")
+    return staged.rows
+
+
 def write_fact(fact: DataFrame, path: str, run_date: dt.date, mode: str = "append") -> int:
     if mode not in FACT_MODES:
         raise ValueError(f"fact mode must be one of {FACT_MODES}")
-    out, obs = _counted(fact.select(*S.names(S.SALES_FACT)).withColumn(LOAD_DATE, F.lit(run_date)), "fact")
-    writer = out.write.partitionBy(LOAD_DATE)
-    if mode == "append":
-        writer.mode("append").parquet(path)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
-    return obs.get["rows"]
+    return commit_fact(fact.sparkSession, path, stage_fact(fact, path, run_date), mode)
 
 
 def read_fact(spark: SparkSession, path: str, run_date: dt.date | None = None) -> DataFrame:
-    fact = spark.read.parquet(path)
-    if run_date is not None:
-        fact = fact.filter(F.col(LOAD_DATE) == F.lit(run_date))
-    return fact.select(*S.names(S.SALES_FACT))
+    """Committed fact rows, of one run date or all; none if nothing has been committed."""
+    found = read_if_present(spark.read.schema(FACT_MARKER).option("recursiveFileLookup", "true"),
+                            f"{path.rstrip('/')}/_commits")
+    live: dict[dt.date, list] = {}
+    for m in sorted(found.collect() if found else [], key=lambda m: (m["committed_at"], m["attempt"])):
+        live[m["load_date"]] = ([] if m["mode"] == "replace_run" else live.get(m["load_date"], [])) + [m]
+    parts = [_fact_part(path, day, m["attempt"]) for day, markers in sorted(live.items()) for m in markers
+             if m["rows"] and run_date in (None, day)]
+    if not parts:
+        return spark.createDataFrame([], S.SALES_FACT)
+    return spark.read.schema(S.SALES_FACT).parquet(*parts)
 
 
 def error_log_path(err_dir: str, run_date: dt.date) -> str:

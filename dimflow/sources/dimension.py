@@ -4,17 +4,18 @@ A dimension kept on a file system uses a versioned layout so a run never
 overwrites files anyone reads, and a failed or retried run leaves the previous
 version live:
 
-* ``<root>/current/v=<run_date>/attempt=<id>/``      current rows (``CURR_FLAG='Y'``) after a run
+* ``<root>/current/v=<run_date>/attempt=<id>/``      rows a run made current: all of them, or only the new versions
 * ``<root>/history/EXPIRED_ON=<date>/attempt=<id>/`` versions closed by that run (append-only)
-* ``<root>/_versions/v=<run_date>/a=<id>/``          commit marker naming the attempt, written last
-
-Every run writes under a fresh attempt id; the marker is the switch. Markers are
-append-only too: a re-run of a date adds a newer marker instead of replacing
-the old one, so a re-run that dies mid-commit leaves the earlier commit live.
-Readers take the newest marker per date and only the attempts markers name, so
-files of a failed attempt are never read and a re-run deletes nothing.
-Scanning the current rows touches one ``current`` attempt only; closed history
-is never read for lookups.
+* ``<root>/_versions/v=<run_date>/a=<id>/``          commit marker, written last
+
+The marker is the switch. It names the ``parts`` that hold the current rows (one
+whole set and the new versions of the runs since) and the closed parts to take
+away from them, so a run writes in proportion to its changes, and a run without
+changes writes its marker alone. After some runs a whole set is written again.
+Markers are append-only too: a re-run of a date adds a newer marker instead of
+replacing the old one. Readers take the newest marker per date and read only the
+parts that markers name: files of a failed attempt are never listed or read, and
+a re-run deletes nothing.
 """
 
 from __future__ import annotations
@@ -31,14 +32,25 @@ from dimflow import schemas as S
 from dimflow.operators.joins import Size
 
 
-HISTORY_SCHEMA = T.StructType([*S.CUSTOMER_DIM.fields, T.StructField("EXPIRED_ON", T.DateType()),
-                               T.StructField("attempt", T.StringType())])
 MARKER_SCHEMA = T.StructType([T.StructField("version", T.StringType()),
                               T.StructField("attempt", T.StringType()),
                               T.StructField("next_key", T.LongType()),
                               T.StructField("committed_at", T.TimestampType()),
                               T.StructField("current_rows", T.LongType()),
-                              T.StructField("current_bytes", T.LongType())])
+                              T.StructField("current_bytes", T.LongType()),
+                              T.StructField("closed_rows", T.LongType()),
+                              T.StructField("parts", T.ArrayType(T.StringType())),
+                              T.StructField("minus", T.ArrayType(T.StringType()))])
+
+
+def read_if_present(reader, path: str) -> DataFrame | None:
+    """``reader.parquet(path)``, or None if there is no such path; any other failure is raised."""
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def current_rows(dim: DataFrame, flag_col: str = "CURR_FLAG", columns: list[str] | None = None) -> DataFrame:
@@ -77,18 +89,18 @@ class DimensionStore:
     def current_path(self, version: str, attempt: str) -> str:
         return f"{self.current_dir}/v={version}/attempt={attempt}"
 
+    def closed_path(self, version: str, attempt: str) -> str:
+        return f"{self.history_dir}/EXPIRED_ON={version}/attempt={attempt}"
+
     def marker_path(self, version: str, attempt: str) -> str:
         return f"{self.versions_dir}/v={version}/a={attempt}"
 
     def markers(self, spark: SparkSession) -> dict[str, dict]:
         """Committed ``{version: marker}``: the newest marker of each run date (a few tiny rows per date)."""
-        try:
-            rows = (spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true")
-                    .parquet(self.versions_dir).collect())
-        except AnalysisException:
-            return {}
+        found = read_if_present(spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true"),
+                                self.versions_dir)
         newest: dict[str, dict] = {}
-        for r in sorted(rows, key=lambda r: (r["committed_at"], r["attempt"])):
+        for r in sorted(found.collect() if found else [], key=lambda r: (r["committed_at"], r["attempt"])):
             newest[r["version"]] = r.asDict()
         return newest
 
@@ -136,26 +148,26 @@ class DimensionStore:
                      known: dict[str, dict] | None = None) -> DataFrame:
         if version is None:
             return empty_dimension(spark)
-        attempt = self.commits(spark, known)[version]
-        return current_rows(spark.read.schema(S.CUSTOMER_DIM).parquet(self.current_path(version, attempt)))
+        marker = self._markers(spark, known)[version]
+        if not marker["parts"]:
+            return empty_dimension(spark)
+        rows = spark.read.schema(S.CUSTOMER_DIM).parquet(*[self.current_path(*p.split("/")) for p in marker["parts"]])
+        rows = current_rows(rows)
+        if marker["minus"]:
+            closed = spark.read.schema(S.CUSTOMER_DIM).parquet(
+                *[self.closed_path(*p.split("/")) for p in marker["minus"]]).select(S.CUSTOMER_KEY)
+            rows = rows.join(closed, S.CUSTOMER_KEY, "left_anti")  # surrogate keys are unique
+        return rows.select(*S.names(S.CUSTOMER_DIM))
 
     def read_history(self, spark: SparkSession, before: dt.date | None = None,
                      known: dict[str, dict] | None = None) -> DataFrame:
         """Closed versions of committed runs, optionally only runs before ``before``."""
-        commits = self.commits(spark, known)
-        if before is not None:
-            commits = {v: a for v, a in commits.items() if v < before.isoformat()}
-        if not commits:
-            return empty_dimension(spark)
-        try:
-            hist = spark.read.schema(HISTORY_SCHEMA).parquet(self.history_dir)
-        except AnalysisException:
+        markers = self._markers(spark, known)
+        paths = [self.closed_path(v, m["attempt"]) for v, m in sorted(markers.items())
+                 if m["closed_rows"] and (before is None or v < before.isoformat())]
+        if not paths:
             return empty_dimension(spark)
-        # A partition filter (one IN set, however many runs): only committed
-        # (date, attempt) directories are listed and read.
-        directory = F.concat_ws("/", F.col("EXPIRED_ON").cast("string"), F.col("attempt"))
-        committed = [f"{v}/{a}" for v, a in sorted(commits.items())]
-        return hist.filter(directory.isin(committed)).select(*S.names(S.CUSTOMER_DIM))
+        return spark.read.schema(S.CUSTOMER_DIM).parquet(*paths).select(*S.names(S.CUSTOMER_DIM))
 
     def read_all(self, spark: SparkSession, version: str | None = None) -> DataFrame:
         """Full dimension (history + current) as of ``version`` (default: live)."""

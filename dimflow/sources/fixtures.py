@@ -1,11 +1,18 @@
 """Adapters that derive the mart's input feeds from the TPC-H-like test tables.
 
-Each adapter is a plain DataFrame plan over the given parquet tables, so its work
-grows with them. The same definitions, written in SQL, are the oracle's CTEs
-(:mod:`dimflow.plans.oracle_sql`). Row drops by modulus make every branch of the job
-non-empty: customers with ``c_custkey % 10 = 0`` are missing from the dimension,
-``% 4 = 1`` are absent from the feed, ``% 20 = 0`` absent everywhere, ``% 7 = 0``
-are edited, ``% 13`` / ``% 17`` carry NULL transitions.
+Each adapter is a plain DataFrame plan over the whole given parquet tables, so
+its work grows with them. Which customers are new, known or inactive follows from
+their orders:
+
+* the dimension holds the customers first seen before ``KNOWN_BEFORE``; those with
+  a negative balance have two current rows, those of one segment an expired
+  version as well;
+* the feed holds the customers seen since ``ACTIVE_SINCE`` and every customer the
+  dimension does not know; those with an urgent order since then come twice, from
+  two source systems; suppliers come as rows without a customer id.
+
+Every customer is in at least one of the two. Values (not rows) are varied by
+remainders of the keys: NULL transitions, edited segments, defects of sales.
 """
 
 from __future__ import annotations
@@ -14,50 +21,40 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from dimflow import schemas as S
 
+HISTORY_DATE = dt.date(2025, 1, 1)
 DIM_EFF_DATE = dt.date(2026, 1, 1)
 FEED_EFF_DATE = dt.date(2026, 7, 1)
 HIGH_DATE = dt.date(9999, 12, 31)
-
-
-_SCHEMAS: dict[str, T.StructType] = {}
+KNOWN_BEFORE = dt.date(1996, 1, 1)
+ACTIVE_SINCE = dt.date(2001, 1, 1)
+HISTORY_SEGMENT = "MACHINERY"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a test table; its schema is inferred once per path, then passed explicitly."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition a scan that yields fewer splits than the cluster has cores.
-
-    A single-row-group file is read by one task whatever the split size, and
-    everything fused with the scan runs there too. Input made of many files or
-    row groups already has enough splits, and then nothing changes. Hashing on
-    the row's key is deterministic on retry without the sort a round-robin
-    repartition needs for that.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _txt(c: Column | str) -> Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
 
-def _customer_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every customer with nation, region and the dates of the first and last order."""
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    day = F.col("o_orderdate").cast("date")
+    seen = (table(spark, sf_dir, "orders").groupBy("o_custkey")
+            .agg(F.min(day).alias("first_seen"), F.max(day).alias("last_seen"),
+                 F.max((F.col("o_orderpriority") == "1-URGENT") & (day >= F.lit(ACTIVE_SINCE))).alias("urgent")))
     return (
         customer.join(nation, customer.c_nationkey == nation.n_nationkey)
         .join(region, nation.n_regionkey == region.r_regionkey)
+        .join(seen, customer.c_custkey == seen.o_custkey, "left")
+        .withColumn("known", F.coalesce(F.col("first_seen") < F.lit(KNOWN_BEFORE), F.lit(True)))
     )
 
 
@@ -68,10 +65,11 @@ def _address(key: Column, null_every: int) -> Column:
 
 def sales_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales feed: one transaction per line item, with planted defects."""
-    l = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"),
-        "l_orderkey", "l_linenumber")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    l = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate",
+                                              "o_orderstatus")
+    unnamed = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
     ok = F.col("l_orderkey")
     amount = F.col("l_extendedprice").cast("decimal(14,2)")
@@ -81,7 +79,7 @@ def sales_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.concat(F.lit("TXN-"), _txt(ok), F.lit("-"), _txt("l_linenumber"), F.lit("-"),
                      _txt("l_partkey")).alias("TXN_ID"),
-            F.concat(F.lit("CUST"), _txt("o_custkey")).alias("CUST_ID"),
+            F.when(~unnamed, F.concat(F.lit("CUST"), _txt("o_custkey"))).alias("CUST_ID"),
             F.concat(F.lit("PROD-"), _txt(F.col("l_partkey") % 3)).alias("PRODUCT_ID"),
             F.when(F.col("l_suppkey") % 5 == 0, F.lit(None).cast("string"))
             .otherwise(F.concat(F.lit("STORE-"), _txt(F.col("l_suppkey") % 10))).alias("STORE_ID"),
@@ -99,43 +97,62 @@ def sales_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dim_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current customer dimension before the run (one current row per customer)."""
+def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension before the run: current rows and expired versions."""
     key = F.col("c_custkey")
-    return (
-        _customer_geo(spark, sf_dir)
-        .filter(key % 10 != 0)
-        .select(
-            (key + 1).cast("int").alias("CUST_KEY"),
-            F.concat(F.lit("CUST"), _txt(key)).alias("CUST_ID"),
-            F.col("c_name").alias("CUST_NAME"),
-            _address(key, 13).alias("ADDRESS"),
-            F.col("n_name").alias("CITY"),
-            F.col("r_name").alias("STATE"),
-            _txt(F.lit(10000) + key % 90000).alias("ZIP"),
-            F.col("c_mktsegment").alias("SEGMENT"),
-            F.lit(DIM_EFF_DATE).alias("EFF_DATE"),
-            F.lit(HIGH_DATE).alias("EXP_DATE"),
-            F.lit(S.CURRENT_FLAG).alias("CURR_FLAG"),
-        )
+    second = F.when(F.col("c_acctbal") < 0, F.lit(2))
+    expired = F.when(F.col("c_mktsegment") == F.lit(HISTORY_SEGMENT), F.lit(3))
+    version = F.explode(F.array_compact(F.array(F.lit(1), second, expired))).alias("version")
+    rows = _customers(spark, sf_dir).filter("known").select("*", version)
+    old = F.col("version") == 3
+    return rows.select(
+        (key * 3 + F.col("version")).cast("int").alias("CUST_KEY"),
+        F.concat(F.lit("CUST"), _txt(key)).alias("CUST_ID"),
+        F.when(F.col("version") == 2, F.concat("c_name", F.lit(" (2)"))).otherwise(F.col("c_name")).alias("CUST_NAME"),
+        _address(key, 13).alias("ADDRESS"),
+        F.col("n_name").alias("CITY"),
+        F.col("r_name").alias("STATE"),
+        _txt(F.lit(10000) + key % 90000).alias("ZIP"),
+        F.when(old, F.lit("FORMER")).otherwise(F.col("c_mktsegment")).alias("SEGMENT"),
+        F.when(old, F.lit(HISTORY_DATE)).otherwise(F.lit(DIM_EFF_DATE)).alias("EFF_DATE"),
+        F.when(old, F.date_sub(F.lit(DIM_EFF_DATE), 1)).otherwise(F.lit(HIGH_DATE)).alias("EXP_DATE"),
+        F.when(old, F.lit(S.EXPIRED_FLAG)).otherwise(F.lit(S.CURRENT_FLAG)).alias("CURR_FLAG"),
     )
 
 
+def dim_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows of the dimension before the run (some customers have two)."""
+    return dimension(spark, sf_dir).filter(F.col("CURR_FLAG") == F.lit(S.CURRENT_FLAG))
+
+
 def customer_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer feed of the run date: new, edited and unchanged customers."""
+    """Customer feed of the run date: new, edited and unchanged customers, some twice, and rows without a customer id."""
     key = F.col("c_custkey")
-    return (
-        _customer_geo(spark, sf_dir)
-        .filter((key % 4 != 1) & (key % 20 != 0))
-        .select(
-            F.concat(F.lit("CUST"), _txt(key)).alias("CUST_ID"),
-            F.col("c_name").alias("CUST_NAME"),
-            _address(key, 17).alias("ADDRESS"),
-            F.col("n_name").alias("CITY"),
-            F.col("r_name").alias("STATE"),
-            _txt(F.lit(10000) + key % 90000).alias("ZIP"),
-            F.when(key % 7 == 0, F.lit("CHANGED")).otherwise(F.col("c_mktsegment")).alias("SEGMENT"),
-            F.lit("CRM").alias("SOURCE_SYSTEM"),
-            F.lit(FEED_EFF_DATE).alias("EFF_DATE"),
-        )
+    active = F.coalesce(F.col("last_seen") >= F.lit(ACTIVE_SINCE), F.lit(False))
+    system = F.explode(F.array_compact(F.array(F.lit("CRM"), F.when(F.coalesce("urgent", F.lit(False)), F.lit("WEB")))))
+    rows = _customers(spark, sf_dir).filter(active | ~F.col("known")).select("*", system.alias("system"))
+    web = F.col("system") == "WEB"
+    customers = rows.select(
+        F.concat(F.lit("CUST"), _txt(key)).alias("CUST_ID"),
+        F.col("c_name").alias("CUST_NAME"),
+        _address(key, 17).alias("ADDRESS"),
+        F.col("n_name").alias("CITY"),
+        F.col("r_name").alias("STATE"),
+        _txt(F.lit(10000) + key % 90000).alias("ZIP"),
+        F.when(key % 7 == 0, F.lit("CHANGED")).when(web & (key % 5 == 0), F.lit("ONLINE"))
+        .otherwise(F.col("c_mktsegment")).alias("SEGMENT"),
+        F.col("system").alias("SOURCE_SYSTEM"),
+        F.when(web, F.date_sub(F.lit(FEED_EFF_DATE), 7)).otherwise(F.lit(FEED_EFF_DATE)).alias("EFF_DATE"),
     )
+    nobody = F.lit(None).cast("string")
+    suppliers = table(spark, sf_dir, "supplier").select(
+        nobody.alias("CUST_ID"), F.col("s_name").alias("CUST_NAME"), nobody.alias("ADDRESS"), nobody.alias("CITY"),
+        nobody.alias("STATE"), nobody.alias("ZIP"), F.lit("SUPPLIER").alias("SEGMENT"),
+        F.lit("ERP").alias("SOURCE_SYSTEM"), F.lit(FEED_EFF_DATE).alias("EFF_DATE"))
+    return customers.unionByName(suppliers)
+
+
+def next_day_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed of the following day: the same customers, some of them in another segment."""
+    raised = F.col("CUST_ID").endswith("5")
+    return customer_delta(spark, sf_dir).withColumn("SEGMENT", F.when(raised, F.lit("RAISED")).otherwise(F.col("SEGMENT")))

@@ -1,8 +1,10 @@
-"""JDBC option maps for a relational target (read of current rows, appends).
+"""A relational mart as source of the current rows and target of a run's outputs.
 
-Only option maps are built here; no connection is opened by this module. The
-current-row read can be split into parallel range partitions on the surrogate
-key, unlike a single-partition sub-select.
+The current-row read is split into range partitions on the surrogate key. A run
+appends its new versions and fact rows and writes the versions to close to a
+table of their own, from which the database applies ``CLOSE_VERSIONS`` in one
+statement; nothing goes through the driver. No connection is opened by building
+the option maps.
 """
 
 from __future__ import annotations
@@ -14,6 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from dimflow import schemas as S
 
 
+# The database's own step after a run: close the versions listed in the expire table, once, by key.
+CLOSE_VERSIONS = """UPDATE {dim} SET "CURR_FLAG" = e."CURR_FLAG", "EXP_DATE" = e."EXP_DATE"
+FROM (SELECT DISTINCT * FROM {expire}) e WHERE {dim}."CUST_KEY" = e."CUST_KEY"
+"""
+
+
 @dataclass(frozen=True)
 class JdbcTarget:
     url: str
@@ -28,21 +36,22 @@ class JdbcTarget:
     def write_options(self, table: str) -> dict[str, str]:
         return {**self.base_options(), "dbtable": table, "batchsize": str(self.batch_size)}
 
-    def current_dim_read_options(self, table: str, num_partitions: int = 1,
-                                 lower_key: int | None = None, upper_key: int | None = None) -> dict[str, str]:
-        """Options for reading the current rows; parallel when key bounds are given."""
+    def current_dim_read_options(self, table: str, lower_key: int, upper_key: int, num_partitions: int) -> dict[str, str]:
+        """Options for reading the current rows in ``num_partitions`` ranges of the surrogate key."""
+        if num_partitions < 1 or upper_key < lower_key:
+            raise ValueError("a partitioned read needs key bounds in order and at least one partition")
         cols = ", ".join(f'"{c}"' for c in S.names(S.CUSTOMER_DIM))
         query = f"(SELECT {cols} FROM {table} WHERE \"CURR_FLAG\" = '{S.CURRENT_FLAG}') AS dim_current"
-        opts = {**self.base_options(), "dbtable": query}
-        if num_partitions > 1:
-            if lower_key is None or upper_key is None:
-                raise ValueError("parallel JDBC reads need lower_key and upper_key")
-            opts.update({"partitionColumn": S.CUSTOMER_KEY, "lowerBound": str(lower_key),
-                         "upperBound": str(upper_key), "numPartitions": str(num_partitions)})
-        return opts
-
-    def read_current_dim(self, spark: SparkSession, table: str, **kw) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.current_dim_read_options(table, **kw)).load()
+        return {**self.base_options(), "dbtable": query, "partitionColumn": S.CUSTOMER_KEY,
+                "lowerBound": str(lower_key), "upperBound": str(upper_key), "numPartitions": str(num_partitions)}
+
+    def read_current_dim(self, spark: SparkSession, table: str, lower_key: int, upper_key: int,
+                         num_partitions: int) -> DataFrame:
+        return spark.read.format("jdbc").options(
+            **self.current_dim_read_options(table, lower_key, upper_key, num_partitions)).load()
+
+    def replace(self, df: DataFrame, table: str) -> None:
+        df.write.format("jdbc").options(**self.write_options(table)).mode("overwrite").save()
 
     def append(self, df: DataFrame, table: str) -> None:
         df.write.format("jdbc").options(**self.write_options(table)).mode("append").save()

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimflow import schemas as S
@@ -108,7 +109,7 @@ def test_lookup_same_result_on_every_join_path(spark, cap):
     data = [srow(f"t{i}", "hot" if i % 3 else f"c{i % 7}") for i in range(300)] + [srow("tn", None)]
     s = sales(spark, data)
     d = dim(spark, [drow(1, "hot"), drow(2, "c0"), drow(3, "c3")])
-    params = P.with_(broadcast_max_rows=cap, hot_key_share=0.05, skew_sample_fraction=1.0, salt_buckets=4)
+    params = P.with_(broadcast_max_rows=cap, hot_key_share=0.05, skew_sample_fraction=1.0)
     base = P.with_(broadcast_max_rows=10_000)
     assert rows(enrich(s, d, "CUST_ID", params)) == rows(enrich(s, d, "CUST_ID", base))
     assert rows(unmatched(s, d, "CUST_ID", "X", params, ["TXN_ID", "CUST_ID"])) == \
@@ -164,8 +165,9 @@ def test_distributed_keys_equal_window_keys(spark, partitions):
     data = [(f"c{i % 37:03d}", f"n{i % 5}", i % 4) for i in range(500)]  # many ties and exact duplicates
     df = spark.createDataFrame(data, "CUST_ID string, NAME string, X int").repartition(partitions)
     order = ["CUST_ID", "NAME", "X"]
-    w = assign_keys(df, order, 100, "K", P.with_(key_strategy="window"))
-    d = assign_keys(df, order, 100, "K", P.with_(key_strategy="distributed"))
+    position = F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order]))
+    w = df.withColumn("K", position + 99)
+    d = assign_keys(df, order, 100, "K")
     assert rows(w) == rows(d)
     keys = [r.K for r in d.select("K").collect()]
     assert sorted(keys) == list(range(100, 600))
@@ -176,7 +178,7 @@ def test_key_base_and_overflow(spark):
     assert key_base(dim(spark, [drow(7, "a", flag="N"), drow(3, "b")]), "CUST_KEY") == 8
     df = spark.createDataFrame([("a",), ("b",)], "CUST_ID string")
     with pytest.raises(Exception):
-        assign_keys(df, ["CUST_ID"], 2**31 - 1, "K", P.with_(key_strategy="window")).collect()
+        assign_keys(df, ["CUST_ID"], 2**31 - 1, "K").collect()
 
 
 # ---- SCD2 ----------------------------------------------------------------------------------------
@@ -262,8 +264,7 @@ def test_deletes_same_result_on_every_join_path(spark, cap):
     rows_in = [frow("hot", seg="X")] * 30 + [frow(f"c{i}", seg="A" if i % 2 else None) for i in range(60)]
     f = feed(spark, rows_in + [frow(None)])
     cur = dim(spark, [drow(1, "hot")] + [drow(10 + i, f"c{i}") for i in range(0, 80, 3)] + [drow(99, None)])
-    params = P.with_(detect_deletes=True, broadcast_max_rows=cap, hot_key_share=0.05, skew_sample_fraction=1.0,
-                     salt_buckets=4)
+    params = P.with_(detect_deletes=True, broadcast_max_rows=cap, hot_key_share=0.05, skew_sample_fraction=1.0)
     got = rows(capture_changes(f, cur, params))
     assert got == rows(capture_changes(f, cur, P.with_(detect_deletes=True, broadcast_max_rows=10_000)))
     codes = [r[0] for r in got]

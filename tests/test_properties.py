@@ -46,7 +46,7 @@ def test_join_paths_agree(spark, data, cap):
         [(1, "c1", "n", None, None, None, None, None, None, None, "Y"),
          (2, "c2", "n", None, None, None, None, None, None, None, "Y"),
          (3, "c2", "n", None, None, None, None, None, None, None, "Y")], S.CUSTOMER_DIM)
-    p = P.with_(broadcast_max_rows=cap, skew_sample_fraction=1.0, hot_key_share=0.2, salt_buckets=3)
+    p = P.with_(broadcast_max_rows=cap, skew_sample_fraction=1.0, hot_key_share=0.2)
     ref = P.with_(broadcast_max_rows=1000)
     ids = ["TXN_ID", "CUST_ID"]
     assert rows(enrich(s, d, "CUST_ID", p)) == rows(enrich(s, d, "CUST_ID", ref))

@@ -55,5 +55,5 @@ def test_cluster_conf_sizes_partitions_to_the_input():
 
     small, large = cluster_conf(1 << 30), cluster_conf(100 << 40)          # 1 GiB, 100 TiB
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert large["spark.sql.shuffle.partitions"] == "200000"               # 256 MiB each would be 409,600
+    assert large["spark.sql.shuffle.partitions"] == "409600"               # 256 MiB each, however large the input
     assert large["spark.sql.adaptive.enabled"] == "true" and large["spark.sql.adaptive.skewJoin.enabled"] == "true"

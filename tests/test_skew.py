@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from dimflow.operators import lookup_join, positions_distributed
@@ -13,9 +14,10 @@ def _share_of_largest_partition(df) -> float:
     return max(sizes) / sum(sizes)
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    # Keep the shuffle join as planned (a lookup this small would otherwise be broadcast
-    # at run time) and leave AQE's own skew handling out, to observe the salting itself.
+@pytest.fixture()
+def shuffle_joins(spark):
+    """Keep shuffle joins as planned (lookups this small would otherwise be broadcast at run time) and leave AQE's own
+    skew handling out, to observe the salting itself."""
     conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.sql.adaptive.skewJoin.enabled": "false",
             "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -23,26 +25,40 @@ def test_salted_join_spreads_a_hot_key(spark):
     before = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
-    try:
-        n = 30_000
-        big = spark.range(n).select(
-            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string")))
-            .alias("k"), F.col("id"))
-        small = spark.range(997).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"),
-                                        F.col("id").alias("w")).union(spark.createDataFrame([("HOT", -1)], "k string, w long"))
-        params = RunParams(broadcast_max_rows=0, hot_key_share=0.01, skew_sample_fraction=0.05, salt_buckets=16)
-        joined = lookup_join(big, small, "k", "inner", params)
-        assert joined.count() == n
-        assert joined.filter("k = 'HOT'").count() == n // 3
-        plain = big.join(small, "k", "inner")
-        assert _share_of_largest_partition(plain) > 0.3          # the hot key sits in one task
-        assert _share_of_largest_partition(joined) < 0.25        # salted: spread over the tasks
-    finally:
-        for k, v in before.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("share", [1 / 3, 0.6, 0.9])
+@pytest.mark.parametrize("equal_rows", [False, True])
+def test_salted_join_spreads_a_hot_key(spark, shuffle_joins, share, equal_rows):
+    """However large its share, and with all of its rows equal, a hot key gives no task twice the mean."""
+    n = 40_000
+    hot = F.col("id") < int(share * n)
+    big = spark.range(n).select(
+        F.when(hot, F.lit("HOT")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+        F.when(hot & F.lit(equal_rows), F.lit(0)).otherwise(F.col("id")).alias("v"))
+    small = spark.range(997).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"),
+                                    F.col("id").alias("w")).union(spark.createDataFrame([("HOT", -1)], "k string, w long"))
+    params = RunParams(broadcast_max_rows=0, hot_key_share=0.01, skew_sample_fraction=0.05)
+    joined = lookup_join(big, small, "k", "inner", params)
+    assert joined.count() == n
+    assert joined.filter("k = 'HOT'").count() == int(share * n)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _share_of_largest_partition(big.join(small, "k", "inner")) > share  # the hot key sits in one task
+    assert _share_of_largest_partition(joined) < 2 / partitions
+
+
+def test_salted_join_spreads_null_keys(spark, shuffle_joins):
+    big = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).alias("k"), "id")
+    small = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("w"))
+    joined = lookup_join(big, small, "k", "left", RunParams(broadcast_max_rows=0, skew_sample_fraction=0.1))
+    assert joined.count() == 20_000 and joined.filter("w is not null").count() == 50
+    assert _share_of_largest_partition(joined) < 2 / int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_distributed_keys_split_a_run_of_identical_rows(spark):

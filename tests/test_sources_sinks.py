@@ -17,23 +17,30 @@ from dimflow.sources import DimensionStore, JdbcTarget, feed_path, read_customer
 
 D = dt.date
 
+# One row per rule: a customer sent twice, one without an id, one without sales; two sales of one fact group, a
+# missing store, zero and negative measures, missing ids, dates and amounts, a customer nobody knows.
 CUSTOMERS = """CUST_ID,CUST_NAME,ADDRESS,CITY,STATE,ZIP,SEGMENT,SOURCE_SYSTEM,EFF_DATE
-K-10,Alder Works,1 River Rd,Springfield,OR,97477,ENTERPRISE,CRM,2026-07-01
-K-11,Birch & Co,22 Hill St,Salem,OR,97301,SMB,ERP,2026-07-03
-K-12,Cedar Labs,NULL,Eugene,OR,08544,STARTUP,NULL,2026-07-04
-K-13,Dogwood Inc,5 Bay Ave,Bend,OR,97701,SMB,CRM,2026-07-09
-K-14,Elm Partners,9 Pine Ct,Medford,OR,97501,ENTERPRISE,CRM,2026-07-11
+Q7,Harbour Tiles,Dock 4,Lindholm,NV,00501,RETAIL,WEBFORM,2026-05-02
+Q2,Mistral Sails,NULL,Aberg,ME,04401,RETAIL,NULL,2026-06-30
+Q9,Tern Optics,8 Glass Yard,Norrland,VT,05001,LAB,WEBFORM,2026-02-11
+Q9,Tern Optics AB,9 Glass Yard,Norrland,VT,05001,LAB,WEBFORM,2026-06-11
+NULL,Nameless,1 Void,Nowhere,NV,00000,LAB,WEBFORM,2026-06-01
+Q4,Quiet Quarry,Pit 1,Stenby,ME,04500,BULK,IMPORT,2026-01-15
 """
 
 SALES = """TXN_ID,CUST_ID,PRODUCT_ID,STORE_ID,CHANNEL,TXN_DATE,QTY,UNIT_PRICE,AMOUNT
-X-1,K-10,P-A,ST-1,WEB,2026-07-20,3,12.50,37.50
-X-2,K-10,P-B,ST-1,SHOP,2026-07-20,1,80.00,80.00
-X-3,K-11,P-A,ST-2,WEB,2026-07-20,2,12.50,25.00
-X-4,K-12,P-C,ST-3,APP,2026-07-21,4,7.25,29.00
-X-5,K-13,P-A,ST-2,SHOP,2026-07-21,6,12.50,75.00
-X-6,K-11,P-C,ST-1,WEB,2026-07-21,5,7.25,36.25
-X-7,K-14,P-B,ST-3,APP,2026-07-22,2,80.00,160.00
-X-8,K-10,P-C,NULL,WEB,2026-07-22,7,7.25,50.75
+S01,Q7,GLAZE,N1,FAIR,2026-07-01,2,10.00,20.00
+S02,Q7,GLAZE,N1,FAIR,2026-07-01,3,11.00,33.00
+S03,Q7,GLAZE,NULL,FAIR,2026-07-01,1,10.00,10.00
+S04,Q2,ROPE,N2,POST,2026-07-02,4,2.50,10.00
+S05,Q9,LENS,N1,POST,2026-07-03,1,99.00,99.00
+S06,Q2,ROPE,N2,POST,2026-07-02,0,2.50,10.00
+S07,Q2,ROPE,N2,POST,2026-07-02,1,2.50,0.00
+S08,Q7,GLAZE,N1,FAIR,2026-07-01,1,10.00,-10.00
+S09,NULL,ROPE,N2,POST,2026-07-02,1,2.50,2.50
+S10,Q5,ROPE,N2,POST,2026-07-02,1,2.50,2.50
+S11,Q7,GLAZE,N1,FAIR,NULL,1,10.00,10.00
+S12,Q2,ROPE,N2,POST,2026-07-02,1,2.50,NULL
 """
 
 RUN = D(2026, 7, 28)
@@ -74,12 +81,13 @@ def test_feed_scan_types_and_nulls(spark, workdir):
     cust = read_customer_delta(spark, src, RUN)
     assert cust.schema == S.CUSTOMER_DELTA
     got = {r.CUST_ID: r for r in cust.collect()}
-    assert got["K-12"].ADDRESS is None and got["K-12"].SOURCE_SYSTEM is None
-    assert got["K-12"].ZIP == "08544"  # leading zero kept
+    assert got["Q2"].ADDRESS is None and got["Q2"].SOURCE_SYSTEM is None
+    assert got["Q7"].ZIP == "00501"  # leading zeros kept
     sales = read_sales_txn(spark, src, RUN)
     assert sales.schema == S.SALES_TXN
     got = {r.TXN_ID: r for r in sales.collect()}
-    assert got["X-8"].STORE_ID is None and got["X-8"].AMOUNT == Decimal("50.75")
+    assert got["S03"].STORE_ID is None and got["S08"].AMOUNT == Decimal("-10.00")
+    assert got["S09"].CUST_ID is None and got["S11"].TXN_DATE is None and got["S12"].AMOUNT is None
 
 
 def test_feed_permissive_parsing(spark, workdir):
@@ -100,71 +108,148 @@ def test_feed_permissive_parsing(spark, workdir):
 def test_multi_date_scan(spark, workdir):
     src = _stage(workdir, RUN)
     _stage(workdir, D(2026, 7, 29))
-    assert read_sales_txn(spark, src, [RUN, D(2026, 7, 29)]).count() == 16
+    assert read_sales_txn(spark, src, [RUN, D(2026, 7, 29)]).count() == 24
 
 
 # ---- golden run ----------------------------------------------------------------------------------
 
+REJECTS = [("S06", "Q2", "NON_POSITIVE_QTY"), ("S07", "Q2", "NON_POSITIVE_AMOUNT"), ("S08", "Q7", "NON_POSITIVE_AMOUNT"),
+           ("S09", None, S.CUSTOMER_NOT_FOUND), ("S10", "Q5", S.CUSTOMER_NOT_FOUND), ("S11", "Q7", "MISSING_TXN_DATE")]
+
+
 def test_first_run_on_empty_target(spark, workdir):
     src = _stage(workdir, RUN)
     store, out, counts = _run_day(spark, workdir, src, P)
     assert out.key_base == 1
-    assert rows(out.changes, "CUST_ID", "CHANGE_CODE") == [(f"K-1{i}", 1) for i in range(5)]
+    # the row without an id is dropped, the customer sent twice gets two versions
+    assert rows(out.changes, "CUST_ID", "CHANGE_CODE") == [("Q2", 1), ("Q4", 1), ("Q7", 1), ("Q9", 1), ("Q9", 1)]
     dim = store.read_all(spark)
-    assert rows(dim, "CUST_KEY", "CUST_ID", "CURR_FLAG") == [(i + 1, f"K-1{i}", "Y") for i in range(5)]
+    assert rows(dim, "CUST_KEY", "CUST_ID", "CUST_NAME", "CURR_FLAG") == [
+        (1, "Q2", "Mistral Sails", "Y"), (2, "Q4", "Quiet Quarry", "Y"), (3, "Q7", "Harbour Tiles", "Y"),
+        (4, "Q9", "Tern Optics", "Y"), (5, "Q9", "Tern Optics AB", "Y")]
     fact = read_fact(spark, _targets(workdir).fact_path, RUN)
-    assert fact.count() == 8
-    totals = fact.selectExpr("sum(TOTAL_QTY) q", "sum(TOTAL_AMOUNT) a").first()
-    assert (totals.q, totals.a) == (30, Decimal("493.50"))
-    assert fact.filter("STORE_ID IS NULL").count() == 1
-    assert read_error_log(spark, _targets(workdir).error_dir, RUN).count() == 0  # written even when empty
-    assert counts == {"dim_current": 5, "dim_closed": 0, "fact": 8, "errors": 0}
+    assert rows(fact) == [
+        (1, "ROPE", "N2", D(2026, 7, 2), 4, Decimal("10.00"), 1, Decimal("2.50")),
+        (3, "GLAZE", "N1", D(2026, 7, 1), 5, Decimal("53.00"), 2, Decimal("10.50")),
+        (3, "GLAZE", None, D(2026, 7, 1), 1, Decimal("10.00"), 1, Decimal("10.00")),
+        (4, "LENS", "N1", D(2026, 7, 3), 1, Decimal("99.00"), 1, Decimal("99.00")),
+        (5, "LENS", "N1", D(2026, 7, 3), 1, Decimal("99.00"), 1, Decimal("99.00"))]
+    errors = read_error_log(spark, _targets(workdir).error_dir, RUN)
+    assert rows(errors, "TXN_ID", "CUST_ID", "ERROR_REASON") == REJECTS
+    assert rows(out.dq_unclassified, "TXN_ID") == [("S12",)]  # neither passed nor rejected
+    assert counts == {"dim_current": 5, "dim_closed": 0, "fact": 5, "errors": 6}
 
 
 def test_pre_load_snapshot_rejects_everything_on_first_run(spark, workdir):
     src = _stage(workdir, RUN)
-    _, out, _ = _run_day(spark, workdir, src, P.with_(snapshot="pre_load"))
-    assert out.fact.count() == 0
-    assert rows(out.errors, "ERROR_REASON") == [(S.CUSTOMER_NOT_FOUND,)] * 8
+    _, out, counts = _run_day(spark, workdir, src, P.with_(snapshot="pre_load"))
+    assert out.fact.count() == 0 and counts["fact"] == 0
+    assert rows(out.errors, "ERROR_REASON") == [(S.CUSTOMER_NOT_FOUND,)] * 12
+    assert read_fact(spark, _targets(workdir).fact_path).count() == 0  # an empty first fact reads as empty
 
 
 def test_two_day_replay_and_rerun(spark, workdir):
-    src = _stage(workdir, RUN)
-    _run_day(spark, workdir, src, P)
+    p1 = P.with_(dedupe_feed=True)
+    _run_day(spark, workdir, _stage(workdir, RUN), p1)
     day2 = D(2026, 8, 1)
-    customers2 = CUSTOMERS.replace("K-11,Birch & Co,22 Hill St", "K-11,Birch & Co,40 Lake St") \
-        + "K-15,Fir Group,3 Oak Ln,Ashland,OR,97520,SMB,CRM,2026-07-30\n"
+    customers2 = CUSTOMERS.replace("Dock 4", "Dock 5") \
+        + "Q8,Umber Press,3 Ink Ln,Stenby,ME,04500,BULK,IMPORT,2026-07-30\n"
     src2 = _stage(workdir, day2, customers2)
-    p2 = P.with_(run_date=day2)
+    p2 = p1.with_(run_date=day2)
     store, out, counts = _run_day(spark, workdir, src2, p2)
-    assert out.key_base == 6
+    assert out.key_base == 5
     # Day 2 planned from day 1's marker: the current dimension's size was recorded, not scanned.
     base = store.base_version(spark, day2)
     assert base == RUN.isoformat()
-    assert store.current_size(spark, base).rows == 5
-    assert rows(out.changes, "CUST_ID", "CHANGE_CODE") == [("K-11", 3), ("K-15", 1)]
+    assert store.current_size(spark, base).rows == 4
+    assert rows(out.changes, "CUST_ID", "CHANGE_CODE") == [("Q7", 3), ("Q8", 1)]
     dim = rows(store.read_all(spark))
     assert [(r[0], r[1], r[10], r[8], r[9]) for r in dim] == [
-        (1, "K-10", "Y", RUN, D(9999, 12, 31)),
-        (2, "K-11", "N", RUN, D(2026, 7, 31)),
-        (3, "K-12", "Y", RUN, D(9999, 12, 31)),
-        (4, "K-13", "Y", RUN, D(9999, 12, 31)),
-        (5, "K-14", "Y", RUN, D(9999, 12, 31)),
-        (6, "K-11", "Y", day2, D(9999, 12, 31)),
-        (7, "K-15", "Y", day2, D(9999, 12, 31)),
+        (1, "Q2", "Y", RUN, D(9999, 12, 31)),
+        (2, "Q4", "Y", RUN, D(9999, 12, 31)),
+        (3, "Q7", "N", RUN, D(2026, 7, 31)),
+        (4, "Q9", "Y", RUN, D(9999, 12, 31)),
+        (5, "Q7", "Y", day2, D(9999, 12, 31)),
+        (6, "Q8", "Y", day2, D(9999, 12, 31)),
     ]
+    # Only the two new versions and the closed one were written on day 2.
+    marker = store.markers(spark)[day2.isoformat()]
+    assert len(marker["parts"]) == 2 and len(marker["minus"]) == 1
+    assert spark.read.parquet(store.current_path(day2.isoformat(), marker["attempt"])).count() == 2
+    assert counts["dim_current"] == 5 and counts["dim_closed"] == 1
     # Re-running day 2 builds on day 1 again and gives the same dimension.
     store, out, _ = _run_day(spark, workdir, src2, p2)
     assert rows(store.read_all(spark)) == dim
-    # Same feed once more on a later day: nothing changes.
+    # Same feed once more on a later day: nothing changes, and no rows of the dimension are written.
     day3 = D(2026, 8, 2)
-    _, out3, _ = _run_day(spark, workdir, _stage(workdir, day3, customers2), P.with_(run_date=day3))
-    assert out3.changes.count() == 0
+    store, out3, _ = _run_day(spark, workdir, _stage(workdir, day3, customers2), p1.with_(run_date=day3))
+    assert out3.changes.count() == 0 and rows(store.read_all(spark)) == dim
+    marker = store.markers(spark)[day3.isoformat()]
+    assert not os.path.exists(store.current_path(day3.isoformat(), marker["attempt"]))
+    assert not os.path.exists(store.closed_path(day3.isoformat(), marker["attempt"]))
     # Running an older date after a newer one is refused.
     with pytest.raises(ValueError):
         store.base_version(spark, D(2026, 7, 30))
 
 
+def test_compaction_writes_a_whole_set_again(spark, workdir):
+    params = P.with_(dedupe_feed=True, compact_every=1)
+    expected = None
+    for i, street in enumerate(("Dock 4", "Dock 5", "Dock 6", "Dock 7")):
+        day = D(2026, 8, 1 + i)
+        src = _stage(workdir, day, CUSTOMERS.replace("Dock 4", street))
+        store, out, counts = _run_day(spark, workdir, src, params.with_(run_date=day))
+        marker = store.markers(spark)[day.isoformat()]
+        assert len(marker["parts"]) == (1, 2, 1, 2)[i] and counts["dim_current"] == 4
+        current = rows(store.read_current(spark, day.isoformat()), "CUST_ID", "ADDRESS")
+        assert current == [("Q2", None), ("Q4", "Pit 1"), ("Q7", street), ("Q9", "9 Glass Yard")]
+        assert store.read_all(spark).count() == 4 + i
+        expected = expected or current
+
+
+def test_a_run_that_fails_before_the_marker_leaves_nothing(spark, workdir, monkeypatch):
+    """The fact is not readable before the commit, and the retry does not double it."""
+    src = _stage(workdir, RUN)
+    from dimflow.plans import daily_run
+
+    def broken(*args):
+        raise RuntimeError("lost")
+    monkeypatch.setattr(daily_run.writers, "commit_dimension_version", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        _run_day(spark, workdir, src, P)
+    monkeypatch.undo()
+    fact_path = _targets(workdir).fact_path
+    assert read_fact(spark, fact_path).count() == 0
+    store, _, counts = _run_day(spark, workdir, src, P)
+    assert counts["fact"] == 5 and read_fact(spark, fact_path).count() == 5
+    assert store.read_all(spark).count() == 5
+
+
+def test_command_line_run(spark, workdir):
+    from dimflow.__main__ import main
+
+    src = _stage(workdir, RUN)
+    args = ["--run-date", "2026-07-28", "--src-dir", src, "--err-dir", os.path.join(workdir, "err"),
+            "--dim-root", os.path.join(workdir, "dim"), "--fact-path", os.path.join(workdir, "fact"), "--dedupe-feed"]
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        with pytest.raises(SystemExit, match="first-load"):
+            main(args)  # a mistyped folder is no silent first load
+        counts = main([*args, "--first-load"])
+        assert counts["fact"] == 4 and counts["dim_current"] == 4 and counts["errors"] == 6
+        _stage(workdir, D(2026, 7, 29))  # the same feeds again, filed under the next date
+        assert main(args[:1] + ["2026-07-29"] + args[2:])["changes"] == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def test_corrupt_marker_is_no_first_load(spark, workdir):
+    store = DimensionStore(os.path.join(workdir, "dim"))
+    _write(os.path.join(store.versions_dir, "v=2026-07-28", "a=x", "part-0.parquet"), "not parquet")
+    with pytest.raises(Exception):
+        store.markers(spark)
+
+
 # ---- sinks ---------------------------------------------------------------------------------------
 
 def test_fact_append_vs_replace_run(spark, workdir):
@@ -195,13 +280,37 @@ def test_jdbc_option_maps():
     assert t.write_options('"SALES_FACT"') == {
         "url": "jdbc:postgresql://db:5432/mart", "user": "u", "password": "p",
         "driver": "org.postgresql.Driver", "dbtable": '"SALES_FACT"', "batchsize": "10000"}
-    opts = t.current_dim_read_options('"CUSTOMER_DIM"', num_partitions=4, lower_key=1, upper_key=1000)
+    opts = t.current_dim_read_options('"CUSTOMER_DIM"', 1, 1000, 4)
     assert opts["partitionColumn"] == "CUST_KEY" and opts["numPartitions"] == "4"
     assert "\"CURR_FLAG\" = 'Y'" in opts["dbtable"]
     assert "password" not in repr(t)
     with pytest.raises(ValueError):
-        t.current_dim_read_options("T", num_partitions=2)
+        t.current_dim_read_options("T", 10, 1, 2)
+    with pytest.raises(ValueError):
+        t.current_dim_read_options("T", 1, 10, 0)
+
 
+def test_jdbc_run_writes_only_outputs_with_rows(spark, workdir, monkeypatch):
+    """The run's outputs reach the right tables; the database itself is not needed for that."""
+    from dimflow.plans.daily_run import JdbcTables, inputs_from_jdbc, publish_jdbc
+
+    src = _stage(workdir, RUN)
+    current = spark.createDataFrame(
+        [(7, "Q7", "Harbour Tiles", "Dock 1", "Lindholm", "NV", "00501", "RETAIL", D(2026, 1, 1), D(9999, 12, 31), "Y")],
+        S.CUSTOMER_DIM)
+    written = {}
+    monkeypatch.setattr(JdbcTarget, "read_current_dim", lambda self, spark, *read: written.update(read=read) or current)
+    monkeypatch.setattr(JdbcTarget, "append", lambda self, df, table: written.update({table: df.count()}))
+    monkeypatch.setattr(JdbcTarget, "replace", lambda self, df, table: written.update({table: df.count()}))
+    tables = JdbcTables(JdbcTarget("jdbc:x", "u", "p"), "DIM", "EXPIRE", "FACT", next_key=8, partitions=4)
+    feeds = (read_customer_delta(spark, src, RUN), read_sales_txn(spark, src, RUN))
+    counts = publish_jdbc(plan(inputs_from_jdbc(*feeds, tables), P), tables, os.path.join(workdir, "err"), P)
+    assert written == {"read": ("DIM", 1, 7, 4), "EXPIRE": 1, "DIM": 5, "FACT": 5}
+    assert counts == {"dim_new": 5, "dim_expire": 1, "fact": 5, "errors": 6, "next_key": 13}
+    written.clear()
+    nothing = (feeds[0].where("false"), feeds[1].where("false"))
+    publish_jdbc(plan(inputs_from_jdbc(*nothing, tables), P), tables, os.path.join(workdir, "err"), P)
+    assert set(written) == {"read"}
 
 def test_rerun_adds_a_marker_and_a_dead_attempt_is_never_read(spark, workdir):
     src = _stage(workdir, RUN)
