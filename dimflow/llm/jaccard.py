@@ -14,7 +14,10 @@ whole corpus, then by hash. Boilerplate is thus kept out of the prefixes.
 A shingle shared by many groups would make pairs by the square of their number.
 So the join runs twice. First every group meets one hub for each shingle, which
 settles most members of a large family of near copies. Then the pairs that are
-still in different components meet; none of these is left out.
+still in different components meet; none of these is left out. Shingles of more
+than ``HOT`` groups make no rows of pairs even then: their groups gather in
+families by hub, and blocks of at most two times ``BLOCK`` sets are compared in
+memory, which yields only links between components.
 """
 
 from __future__ import annotations
@@ -36,6 +39,7 @@ SHINGLE, THRESHOLD = 4, 85  # words; percent
 CELLS, CHUNKS = 1 << 22, 64
 FAN_IN = 64
 FILTER_BITS = 1 << 23
+HOT, BLOCK = 64, 512
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -136,45 +140,114 @@ def _may_link(n1: Column, n2: Column, before: Column, percent: int) -> Column:
     return ((F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent) & (before <= n1 + n2 - least_common * 2))
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of set keys whose whole sets link: ``100 * common >= percent * united``."""
-    spark = pairs.sparkSession
-    pairs = staged(pairs, "jaccard_pairs")
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b"))
+def _group_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``g1, g2`` of rows of common shingles (``g1, g2, n1, n2, p1, p2``) that may link.
+
+    In either prefix, what stands up to the last common shingle and is not common
+    is in one set only; so is the rest of the prefix that ends first.
+    """
+    def after(n: str, last: str) -> Column:
+        return F.col(n) - F.ceil(F.col(n) * percent / F.lit(100)) - F.col(last)
+    pairs = rows.groupBy("g1", "g2").agg(F.count(F.lit(1)).alias("c"), F.max("p1").alias("m1"), F.max("p2").alias("m2"),
+                                         F.first("n1").alias("n1"), F.first("n2").alias("n2"))
+    apart = F.col("m1") + F.col("m2") + 2 - F.col("c") * 2 + F.least(after("n1", "m1"), after("n2", "m2"))
+    return pairs.where(_may_link(F.col("n1"), F.col("n2"), apart, percent)).select("g1", "g2")
+
+
+def _sets(keys: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """``key, shingles`` (sorted, packed) of the wanted set keys (``key``) and perhaps a few more, from the texts."""
     bitmap = np.zeros(FILTER_BITS, bool)
-    for row in bitmap_of(wanted, FILTER_BITS).collect():  # at most FILTER_BITS / 8 bytes
+    for row in bitmap_of(keys, FILTER_BITS).collect():  # at most FILTER_BITS / 8 bytes
         bits = np.unpackbits(np.frombuffer(row["__bitmap"], np.uint8), bitorder="little").astype(bool)
         at = (row["__chunk"] - 1) * BITS_PER_CHUNK
         bitmap[at:at + BITS_PER_CHUNK] = bits
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap))
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
             for part in slices(batch, 0):
-                keys, packed = [], []
+                found_keys, packed = [], []
                 for found in shingle_sets(part.column(0), width):
                     if len(found) and member[(key := int(_key(found))) % FILTER_BITS]:
-                        keys.append(key)
+                        found_keys.append(key)
                         packed.append(found.tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())],
+                yield pa.RecordBatch.from_arrays([pa.array(found_keys, pa.int64()), pa.array(packed, pa.binary())],
                                                  names=["key", "shingles"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return staged(rows.select("text").mapInArrow(run, "key long, shingles binary").groupBy("key")
+                  .agg(F.first("shingles").alias("shingles")), "jaccard_sets")
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of set keys whose whole sets link: ``100 * common >= percent * united``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, keep = batch.column(0), batch.column(1), []
+            keep = []
             for x, y in zip(batch.column(2), batch.column(3)):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(keep), b.filter(keep)], names=["a", "b"])
-
-    found = staged(rows.select("text").mapInArrow(sets, "key long, shingles binary").groupBy("key")
-                   .agg(F.first("shingles").alias("shingles")), "jaccard_sets")
-    full = (pairs.join(found.select(F.col("key").alias("b"), F.col("shingles").alias("of_b")), "b")
-            .join(found.select(F.col("key").alias("a"), F.col("shingles").alias("of_a")), "a"))
-    return staged(full.select("a", "b", "of_a", "of_b").mapInArrow(compare, "a long, b long"), "jaccard_links")
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)],
+                                             names=["a", "b"])
+
+    full = (pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("of_b")), "b")
+            .join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("of_a")), "a"))
+    return staged(full.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long"), "jaccard_links")
+
+
+def link_block(keys: list[int], roots: list[int], sets: list[np.ndarray], first: np.ndarray, second: np.ndarray,
+               percent: int) -> list[tuple[int, int]]:
+    """Links between the sets marked ``first`` and those marked ``second`` that join components not joined before."""
+    sizes = np.array([len(x) for x in sets])
+    shingles = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    shingles, owner = shingles[order], owner[order]
+    up = {r: r for r in roots}
+
+    def find(r: int) -> int:
+        while up[r] != r:
+            up[r] = up[up[r]]
+            r = up[r]
+        return r
+
+    out = []
+    for i in np.flatnonzero(first):
+        starts = np.searchsorted(shingles, sets[i], "left")
+        lengths = np.searchsorted(shingles, sets[i], "right") - starts
+        places = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+        common = np.bincount(owner[places], minlength=len(sets))
+        linked = second & (100 * common >= percent * (sizes[i] + sizes - common))
+        for j in np.flatnonzero(linked):
+            a, b = find(roots[i]), find(roots[j])
+            if a != b:
+                up[a] = b
+                out.append((keys[i], keys[j]))
+    return out
+
+
+def _linked_families(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` within each family (``hub, set_key, root``) between components, block by block."""
+    sizes = staged(families.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks")),
+                   "jaccard_family_sizes")
+    own = F.pmod(F.xxhash64("set_key"), F.col("blocks"))
+    dealt = (families.join(sizes, "hub").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("hub", "set_key", "root", "own", F.least("own", "other").alias("one"),
+                     F.greatest("own", "other").alias("two")))
+    full = dealt.join(sets.withColumnRenamed("key", "set_key"), "set_key")
+
+    def run(group: pa.Table) -> pa.Table:
+        own, one = np.array(group.column("own")), group.column("one")[0].as_py()
+        two = group.column("two")[0].as_py()
+        found = link_block(group.column("set_key").to_pylist(), group.column("root").to_pylist(),
+                           [np.frombuffer(x.as_py(), np.uint64) for x in group.column("shingles")],
+                           own == one, own == two, percent)
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return staged(full.groupBy("hub", "one", "two").applyInArrow(run, "a long, b long"), "jaccard_family_links")
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
@@ -205,41 +278,51 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     postings = staged(entries.join(shared, "shingle").select("shingle", "group_key", "n", "pos").distinct(),
                       "jaccard_postings")
 
-    # Round 1: every group meets the hub of each of its shingles, every class the hub of its group.
-    draw = F.struct(F.xxhash64("group_key", "shingle").alias("draw"), F.col("group_key").alias("hub"),
+    # Round 1: every group meets the hub of each of its shingles, every class the hub of its group. The draw does not
+    # depend on the shingle, so a family of near copies has few hubs.
+    draw = F.struct(F.xxhash64("group_key").alias("draw"), F.col("group_key").alias("hub"),
                     F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
-    hubs = staged(postings.groupBy("shingle").agg(F.min(draw).alias("h")).select("shingle", "h.*"), "jaccard_hubs")
-    met = (postings.join(hubs, "shingle").where((F.col("group_key") != F.col("hub")) & _may_link(
-        F.col("n"), F.col("hub_n"), F.col("pos") + F.col("hub_pos"), percent))
-        .select(F.least("group_key", "hub").alias("g1"), F.greatest("group_key", "hub").alias("g2")).distinct())
+    hubs = staged(postings.groupBy("shingle").agg(F.min(draw).alias("h"), (F.count(F.lit(1)) > HOT).alias("hot"))
+                  .select("shingle", "h.*", "hot"), "jaccard_hubs")
+    met = _group_pairs(postings.join(hubs, "shingle").where("group_key <> hub").select(
+        F.col("group_key").alias("g1"), F.col("hub").alias("g2"), F.col("n").alias("n1"), F.col("hub_n").alias("n2"),
+        F.col("pos").alias("p1"), F.col("hub_pos").alias("p2")), percent)
     members = classes.select("group_key", "set_key")
     heads = members.groupBy("group_key").agg(F.min("set_key").alias("head"))
     across = (met.join(heads.withColumnsRenamed({"group_key": "g1", "head": "a"}), "g1")
               .join(heads.withColumnsRenamed({"group_key": "g2", "head": "b"}), "g2").select("a", "b"))
     within = (members.join(heads, "group_key").where("set_key <> head")
               .select(F.col("head").alias("a"), F.col("set_key").alias("b")))
-    first = _verified(across.unionByName(within), rows, width, percent)
+    pairs = staged(across.unionByName(within), "jaccard_pairs")
+    first = _linked(pairs, _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), rows, width), percent)
     roots = staged(components(first), "jaccard_roots")
 
     # Round 2: all pairs of groups that pass the filters and are not in one component, expanded to their classes.
     rooted = staged(members.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
                     .withColumn("root", F.coalesce("root", "set_key")), "jaccard_rooted")
     spread = rooted.groupBy("group_key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    open_groups = postings.join(spread, "group_key")
+    calm = postings.join(hubs.where("not hot").select("shingle"), "shingle")
+    open_groups = staged(calm.join(spread, "group_key"), "jaccard_open")
     left = open_groups.withColumnsRenamed({"group_key": "g1", "n": "n1", "pos": "p1", "lo": "lo1", "hi": "hi1"})
     right = open_groups.withColumnsRenamed({"group_key": "g2", "n": "n2", "pos": "p2", "lo": "lo2", "hi": "hi2"})
     settled = ((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2")))
-    meet = (left.join(right, "shingle").where((F.col("g1") < F.col("g2")) & ~settled & _may_link(
-        F.col("n1"), F.col("n2"), F.col("p1") + F.col("p2"), percent)).select("g1", "g2").distinct())
+    sized = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
+    meet = _group_pairs(left.join(right, "shingle").where((F.col("g1") < F.col("g2")) & ~settled & sized), percent)
     side = rooted.select("group_key", "set_key", "root")
     one = side.withColumnsRenamed({"group_key": "g1", "set_key": "a", "root": "r1"})
     two = side.withColumnsRenamed({"group_key": "g2", "set_key": "b", "root": "r2"})
     across = meet.join(one, "g1").join(two, "g2").where("r1 <> r2").select("a", "b")
-    mixed = spread.where("lo <> hi").select(F.col("group_key").alias("g1"))
-    within = (one.join(mixed, "g1").join(two, F.col("g1") == F.col("g2")).where("a < b and r1 <> r2")
-              .select("a", "b"))
-    tried = first.select("a", "b")
-    second = _verified(across.unionByName(within).join(tried, ["a", "b"], "left_anti"), rows, width, percent)
+    pairs = staged(across.join(first, ["a", "b"], "left_anti"), "jaccard_pairs")
+
+    # Hot shingles, and groups of several classes: families, the group's own key standing for its common prefix.
+    hot = (postings.join(hubs.where("hot").select("shingle", "hub"), "shingle").select("hub", "group_key").distinct()
+           .join(rooted, "group_key").select("hub", "set_key", "root"))
+    several = spread.where("lo <> hi").select("group_key")
+    families = staged(hot.unionByName(rooted.join(several, "group_key").select(
+        F.col("group_key").alias("hub"), "set_key", "root")).distinct(), "jaccard_families")
+    wanted = (pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(families.select("set_key")))
+    sets = _sets(wanted, rows, width)
+    second = _linked(pairs, sets, percent).unionByName(_linked_families(families, sets, percent))
     links = first.unionByName(second)
     roots = components(links).withColumnRenamed("node", "set_key")
 

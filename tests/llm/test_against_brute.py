@@ -15,6 +15,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from fixtures_llm import small_docs  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -111,8 +112,11 @@ def test_jaccard(small_docs):
     assert got == brute.components(documents(small_docs))
 
 
-def test_jaccard_family(spark):
+@pytest.mark.parametrize("hot, block", [(jaccard.HOT, jaccard.BLOCK), (2, 16)])
+def test_jaccard_family(spark, monkeypatch, hot, block):
     """A family of near copies at all distances around the threshold, some linked only through others."""
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     rng = random.Random(3)
     base = [f"w{i}" for i in range(80)]
     texts = []
