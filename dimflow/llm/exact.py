@@ -64,8 +64,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"),
         "digest")
     several = narrow.where("__candidate")
-    groups = several.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("top"),
-                                           F.count(F.lit(1)).alias("group_size"))
+    # Written first: the join then has a plain exchange on either side, and the partition of a hot text can be split.
+    groups = staged(several.groupBy("digest").agg(F.max(F.struct("id", "row")).alias("top"),
+                                                  F.count(F.lit(1)).alias("group_size")), "exact_groups")
     members = several.join(groups, "digest").select(
         "id", F.col("top.id").alias("keep_id"), "group_size", (F.col("row") == F.col("top.row")).alias("kept"),
         "digest")
