@@ -107,8 +107,9 @@ def scan(versions: DataFrame, path_col: str = "path", text_col: str = "text", le
     order = F.array_position(F.array(*[F.lit(r.name) for r in rules]), F.col("rule"))
     spans = F.transform("spans", lambda s: F.struct(s["start"].alias("start"), order.alias("rank"),
                                                     s["end"].alias("end"), F.col("rule").alias("kind")))
-    by_blob = (found.select("blob", spans.alias("spans")).groupBy("blob")
-               .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__spans")))
+    # Written first: the join then has a plain exchange on either side, and the partition of a hot blob can be split.
+    by_blob = staged(found.select("blob", spans.alias("spans")).groupBy("blob")
+                     .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("__spans")), "secret_findings")
     findings = rows.select("path", "blob").join(by_blob, "blob", "left").select(
         "path", "blob", F.transform(F.coalesce("__spans", F.array().cast(by_blob.schema["__spans"].dataType)),
                                     lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
