@@ -148,7 +148,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = staged(docs.select(F.col(id_col).alias("id"), word_count(text_of(text_col)).alias("size"),
                               F.col(source_col).alias("source"), unit.alias("unit")), "mix_sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    goals = targets(totals, weights, budget, most).drop("n_docs").withColumnRenamed("source", "__s")
+    # Small tables are written first: the joins then know their size, and a hot source is not shuffled by its name.
+    goals = staged(targets(totals, weights, budget, most).drop("n_docs").withColumnRenamed("source", "__s"),
+                   "mix_targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     joined = rows.join(goals, F.col("source").eqNullSafe(F.col("__s"))).select(
         "id", "size", "source", "source_size", "target", "unit",
@@ -156,7 +158,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         F.xxhash64("unit", F.lit(SEED)).alias("dice"))
     open_rows, done = staged(joined, "mix_units"), []
     while True:
-        blocks = open_rows.groupBy("source").agg(F.count(F.lit(1)).alias("open"))
+        blocks = staged(open_rows.groupBy("source").agg(F.count(F.lit(1)).alias("open")), "mix_open")
         largest = blocks.agg(F.max("open")).first()[0]
         if largest is None:
             break
