@@ -32,6 +32,7 @@ BUCKETS = 1 << 18
 WORD_GRAMS, CHAR_GRAMS = (1, 2), (2, 3, 4)
 SCALE = 20.0
 EPOCHS = 40
+TRAIN_BYTES = 1 << 19  # text whose entries are counted together in training
 KEEP_PROBABILITY = 0.3
 
 # The base rules.
@@ -108,16 +109,19 @@ def logits(texts: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
     return out
 
 
-def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same as sparse rows: row, bucket and value of every entry."""
-    rows, columns, values = [], [], []
-    for buckets, first in _families(texts):
-        sizes = np.diff(first)
-        key, count = np.unique(np.repeat(np.arange(len(texts)), sizes) * BUCKETS + buckets, return_counts=True)
-        rows.append(key // BUCKETS)
-        columns.append(key % BUCKETS)
-        values.append(SCALE * count / sizes[key // BUCKETS])
-    return np.concatenate(rows), np.concatenate(columns), np.concatenate(values)
+def _features(texts: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """The same as sparse rows, some texts at a time: which texts, and row, bucket and value of every entry."""
+    first = 0
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["t"]), 0, TRAIN_BYTES):
+        rows, columns, values = [], [], []
+        for buckets, starts in _families(part.column(0)):
+            sizes = np.diff(starts)
+            key, count = np.unique(np.repeat(np.arange(len(part)), sizes) * BUCKETS + buckets, return_counts=True)
+            rows.append((key // BUCKETS).astype(np.int32))
+            columns.append((key % BUCKETS).astype(np.int32))
+            values.append((SCALE * count / sizes[rows[-1]]).astype(np.float32))
+        yield (slice(first, first + len(part)), np.concatenate(rows), np.concatenate(columns), np.concatenate(values))
+        first += len(part)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -130,19 +134,28 @@ def fit(texts: pa.Array, good: np.ndarray) -> tuple[np.ndarray, float, float, fl
     Every fourth row is held out for the calibration. Both classes are weighted
     alike while training; the calibration restores their true shares.
     """
-    row, column, value = _features(texts)
+    blocks = list(_features(texts))  # twelve bytes an entry; all that is computed from them goes block by block
     held = np.arange(len(good)) % 4 == 3
     share = np.where(good, 1 / max(1, (good & ~held).sum()), 1 / max(1, (~good & ~held).sum())) * ~held / 2
     weights, bias, seen, seen_bias = np.zeros(BUCKETS), 0.0, np.full(BUCKETS, 1e-8), 1e-8
+    score = np.zeros(len(good))
+
+    def rate() -> None:
+        for at, row, column, value in blocks:
+            score[at] = np.bincount(row, weights[column] * value, at.stop - at.start) + bias
+
     for _ in range(EPOCHS):
-        score = np.bincount(row, weights[column] * value, len(good)) + bias
+        rate()
         error = (_sigmoid(score) - good) * share
-        slope = np.bincount(column, error[row] * value, BUCKETS) + 1e-6 * weights
+        slope = 1e-6 * weights
+        for at, row, column, value in blocks:
+            slope += np.bincount(column, error[at][row] * value, BUCKETS)
         seen += slope ** 2
         seen_bias += error.sum() ** 2
         weights -= 0.1 * slope / np.sqrt(seen)
         bias -= 0.1 * error.sum() / np.sqrt(seen_bias)
-    score = (np.bincount(row, weights[column] * value, len(good)) + bias)[held]
+    rate()
+    score = score[held]
     n_good, n_bad = good[held].sum(), (~good[held]).sum()
     goal = np.where(good[held], (n_good + 1) / (n_good + 2), 1 / (n_bad + 2))
     a, b = 1.0, 0.0
