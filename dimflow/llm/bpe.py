@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import ship_package, text_of
 
-CACHED_PIECES = 500_000  # pieces a Python worker remembers before it starts afresh
+CACHED_PIECES = 150_000  # pieces, and pairs of tokens, a Python worker remembers before it starts afresh
 CACHED_BYTES = 64  # longer pieces are encoded each time
 
 
