@@ -1,14 +1,10 @@
-from __future__ import annotations
+"""Tables that the tests of this folder share (imported by name: a second conftest would hide the first)."""
 
-import os
-import sys
+from __future__ import annotations
 
 import pytest
 from pyspark.sql import types as T
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from tests_llm_data import CLASHING, EDGE_ROWS, SMALL  # noqa: E402
+from tests_llm_data import CLASHING, EDGE_ROWS, SMALL
 
 
 @pytest.fixture(scope="session")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import pytest
+from fixtures_llm import edge_docs, no_docs, schema  # noqa: F401
 from tests_llm_data import EDGE_ROWS, LONG, PROSE
 from pyspark.sql import functions as F
 
