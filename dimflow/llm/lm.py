@@ -102,7 +102,8 @@ def gradient_steps(weights: list[np.ndarray], hashes: np.ndarray, first: np.ndar
             touched, starts = np.unique(flat[order], return_index=True)
             slope = np.add.reduceat(error[order // rows.shape[1]], starts)
             times = np.diff(np.append(starts, len(flat)))[:, None]
-            w[touched] -= rate * slope / np.sqrt(times)  / np.sqrt(np.float32(STEP / 64))
+            # A row that many positions touch moves by the root of their number, not by all of their slopes.
+            w[touched] -= rate * slope / np.sqrt(times * np.float32(STEP / 64))
 
 
 def log_probability(weights: list[np.ndarray], hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -255,8 +256,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     spark = docs.sparkSession
     ship_package(spark)
     weights = train(docs.where(training_row(id_col)), text_col, rounds)
-    words = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
-    shards = max(1, int(words // 40 // SHARD_ENTRIES))  # a block's distinct tokens are some 40 bytes of text apart
+    size = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
+    shards = max(1, int(size // 40 // SHARD_ENTRIES))  # a block has a distinct token for some 40 bytes of text
     table = staged(_blocks(docs, id_col, text_col, shards), "lm_blocks")
     totals = staged(_shard_totals(table.where("shard is not null")), "lm_totals")
     sums = {r["pos"]: (r["known"], r["summed"]) for r in
