@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20  # text handled at a time
+SLICE_BYTES = 1 << 20  # text handled at a time; a byte takes up to some 80 bytes of arrays meanwhile
 
 # Bytes that separate words, and A-Z to a-z.
 SEPARATOR = np.zeros(256, bool)
