@@ -42,10 +42,15 @@ CLOSED_BY = {"p": set("p h1 h2 h3 h4 h5 h6 ul ol dl table div section article as
              "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
              "th": {"td", "th", "tr"}, "option": {"option"}}
 BOILERPLATE = set("nav header footer aside form head title menu dialog".split())
-BOILERPLATE_NAME = re.compile(
-    r"(?:^|[^a-z])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|alert|comments?|replies|"
-    r"respond|sidebar|menu|nav\w*|breadcrumbs?|footer|header|share|sharing|social|related|newsletter|subscribe|popup|"
-    r"modal|widget|masthead|toolbar|login|signup)(?:[^a-z]|$)")
+# A class, id or role name counts as a whole: each of its parts is one of these words, or one of PLACE beside one of them.
+BOILERPLATE_NAME = set(
+    "ad ads advert adverts advertisement advertisements advertising banner banners sponsor sponsors sponsored promo "
+    "promos promotion promotions cookie cookies consent notice notices alert alerts comment comments replies respond "
+    "sidebar menu menus nav navs navbar navigation breadcrumb breadcrumbs footer header share sharing social related "
+    "newsletter subscribe popup modal widget widgets masthead toolbar login signup".split())
+PLACE = set("top bottom left right main site global primary secondary mobile desktop bar box block list area wrapper "
+            "container inner outer item items link links button buttons icon icons form panel slot unit overlay "
+            "message policy posts articles stories media tools tabs".split())
 CONTENT = set("article main".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
@@ -61,12 +66,21 @@ def host_of(url: str | None) -> str:
         return ""
 
 
+def _named_boilerplate(names: str) -> bool:
+    for name in names.split():
+        parts = set(re.split("[_-]+", name)) - {""}
+        if parts & BOILERPLATE_NAME and parts <= BOILERPLATE_NAME | PLACE:
+            return True
+    return False
+
+
 def _label(tag: str, attributes: str) -> str:
+    """Tag and names of an element; ``!`` ends the label of one whose names say that it is no main text."""
     if "=" not in attributes:
         return tag
     names = " ".join(x for found in NAME.findall(attributes) for x in found if x).lower()
     names = re.sub(r"[^a-z _-]+", "", names).strip()
-    return f"{tag}.{'_'.join(names.split())[:60]}" if names else tag
+    return f"{tag}.{'_'.join(names.split())[:60]}{'!' * _named_boilerplate(names)}" if names else tag
 
 
 def tokens(page: str) -> Iterator[tuple[str, str]]:
@@ -210,13 +224,45 @@ def unpack(packed: str) -> list:
     return literal_eval(packed)
 
 
-def is_boilerplate(path: str) -> bool:
-    """Does a slot's path lead through an element that is not main text?"""
-    for label in path.split("/")[1:]:
-        tag, _, names = label.partition(".")
-        if tag in BOILERPLATE or names and BOILERPLATE_NAME.search(names):
+def _prefixes(path: str) -> list[str]:
+    labels = path.split("/")
+    return ["/".join(labels[:i + 1]) for i in range(1, len(labels))]
+
+
+def _tag(path: str) -> str:
+    return re.split("[.!@]", path.rsplit("/", 1)[1], maxsplit=1)[0]
+
+
+def boilerplate(words: dict[str, tuple[int, int]]) -> set[str]:
+    """The slots, of these with their words and words in links, that lie in an element that is not main text.
+
+    Names do not exclude html, body, article or main elements, nor an element
+    (a form neither) with most of the words, unless a tenth of them are in an
+    article or main element beside it: an article with many comments.
+    """
+    steps = {p: _prefixes(p) for p in words}
+    mass: dict[str, int] = {}
+    total = 0
+    for path, (n, _) in words.items():
+        if not any(_tag(x) in BOILERPLATE - {"form"} for x in steps[path]):
+            total += n
+            for x in steps[path]:
+                mass[x] = mass.get(x, 0) + n
+    content = [x for x, n in mass.items() if _tag(x) in CONTENT and 10 * n >= total]
+
+    def beside(x: str) -> bool:
+        return any(not (c + "/").startswith(x + "/") and not (x + "/").startswith(c + "/") for c in content)
+
+    def excluded(x: str) -> bool:
+        tag = _tag(x)
+        if tag in BOILERPLATE - {"form"}:
             return True
-    return False
+        if tag != "form" and "!" not in x.rsplit("/", 1)[1] or tag in CONTENT or tag in ("html", "body"):
+            return False
+        return 2 * mass.get(x, 0) <= total or beside(x)
+
+    known = {x: excluded(x) for x in {x for xs in steps.values() for x in xs}}
+    return {p for p, xs in steps.items() if any(known[x] for x in xs)}
 
 
 def choose(words: dict[str, tuple[int, int]]) -> str:
@@ -226,16 +272,14 @@ def choose(words: dict[str, tuple[int, int]]) -> str:
     boilerplate; else the deepest element that holds nine tenths of them.
     """
     mass: dict[str, int] = {}
-    total = 0
+    total, out = 0, boilerplate(words)
     for path, (n, linked) in words.items():
-        if is_boilerplate(path):
+        if path in out:
             continue
         total += n - linked
-        labels = path.split("/")
-        for i in range(1, len(labels)):
-            prefix = "/".join(labels[:i + 1])
+        for prefix in _prefixes(path):
             mass[prefix] = mass.get(prefix, 0) + n - linked
-    named = [p for p, n in mass.items() if p.rsplit("/", 1)[1].partition(".")[0] in CONTENT and 2 * n >= total]
+    named = [p for p, n in mass.items() if _tag(p) in CONTENT and 2 * n >= total]
     if named:
         return min(named, key=lambda p: (p.count("/"), p))
     # A paragraph that happens to hold it all is no container.
@@ -259,11 +303,13 @@ def main_text(page: str, container: str) -> str:
             block += 1
         elif kind == "text":
             texts.append((path[-1], value, block))
+    words = {p: tuple(n) for p, n in skeleton(page)[1].items()}
     if container and not seen:
-        container = choose({p: tuple(n) for p, n in skeleton(page)[1].items()})
+        container = choose(words)
+    out = boilerplate(words)
     for where, value, number in texts:
         if where not in known:
-            known[where] = (where + "/").startswith(container + "/") and not is_boilerplate(where)
+            known[where] = (where + "/").startswith(container + "/") and where not in out
         if known[where]:
             if number != open_block:
                 blocks.append([])
