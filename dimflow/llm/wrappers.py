@@ -269,22 +269,23 @@ def choose(words: dict[str, tuple[int, int]]) -> str:
     """Path of the element that holds the main text, from words and words in links by slot path.
 
     An article or main element if one holds half the words that are not
-    boilerplate; else the deepest element that holds nine tenths of them.
+    boilerplate; else the smallest element that holds all of them. Words in links
+    count only where there are no others.
     """
+    out = boilerplate(words)
+    left = {p: n - linked for p, (n, linked) in words.items() if p not in out and n > linked}
+    left = left or {p: n for p, (n, _) in words.items() if p not in out}
     mass: dict[str, int] = {}
-    total, out = 0, boilerplate(words)
-    for path, (n, linked) in words.items():
-        if path in out:
-            continue
-        total += n - linked
+    for path, n in left.items():
         for prefix in _prefixes(path):
-            mass[prefix] = mass.get(prefix, 0) + n - linked
+            mass[prefix] = mass.get(prefix, 0) + n
+    total = sum(left.values())
     named = [p for p, n in mass.items() if _tag(p) in CONTENT and 2 * n >= total]
     if named:
         return min(named, key=lambda p: (p.count("/"), p))
     # A paragraph that happens to hold it all is no container.
-    holders = [p for p, n in mass.items() if 10 * n >= 9 * total and p not in words]
-    return max(holders, key=lambda p: (p.count("/"), p), default="")
+    holders = [p for p, n in mass.items() if n == total and (len(left) > 1 or p not in left)]
+    return max(holders, key=lambda p: p.count("/"), default="")
 
 
 def main_text(page: str, container: str) -> str:

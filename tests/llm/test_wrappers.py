@@ -31,3 +31,9 @@ def test_names_of_boilerplate(name):
 
 def test_many_comments_beside_an_article():
     assert own_text(f"<body><article>{TEXT}</article><div id=comments><p>{'reply ' * 50}</p></div>") == LINES
+
+
+def test_title_and_lead_outside_the_body():
+    page = f"<body><div class=post><h1>Title</h1><p class=lead>The lead.</p><div class=body><p>{'word ' * 200}</p>" \
+           "<p>end</p></div></div><ul class=c9><li><a href=/>Home</a></ul></body>"
+    assert own_text(page).split("\n") == ["Title", "The lead.", ("word " * 200).strip(), "end"]
