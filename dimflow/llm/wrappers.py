@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -31,6 +32,7 @@ from dimflow.llm.common import ship_package, staged, text_of
 
 BLOCKS = 64  # blocks of a host in the first alignment
 LONGEST_GROUP = 4  # siblings in one repeated group
+LONGEST_NAMES = 60  # characters of names in a label
 
 # Kinds of HTML elements, and names of what is not main text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,12 +77,18 @@ def _named_boilerplate(names: str) -> bool:
 
 
 def _label(tag: str, attributes: str) -> str:
-    """Tag and names of an element; ``!`` ends the label of one whose names say that it is no main text."""
+    """Tag and names of an element; ``!`` ends the label of one whose names say that it is no main text.
+
+    All names are judged; of long ones the label keeps the start and a hash of the whole.
+    """
     if "=" not in attributes:
         return tag
     names = " ".join(x for found in NAME.findall(attributes) for x in found if x).lower()
     names = re.sub(r"[^a-z _-]+", "", names).strip()
-    return f"{tag}.{'_'.join(names.split())[:60]}{'!' * _named_boilerplate(names)}" if names else tag
+    short = "_".join(names.split())
+    if len(short) > LONGEST_NAMES:
+        short = f"{short[:LONGEST_NAMES]}~{zlib.crc32(short.encode()):08x}"
+    return f"{tag}.{short}{'!' * _named_boilerplate(names)}" if names else tag
 
 
 def tokens(page: str) -> Iterator[tuple[str, str]]:

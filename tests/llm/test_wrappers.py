@@ -37,3 +37,11 @@ def test_title_and_lead_outside_the_body():
     page = f"<body><div class=post><h1>Title</h1><p class=lead>The lead.</p><div class=body><p>{'word ' * 200}</p>" \
            "<p>end</p></div></div><ul class=c9><li><a href=/>Home</a></ul></body>"
     assert own_text(page).split("\n") == ["Title", "The lead.", ("word " * 200).strip(), "end"]
+
+
+def test_names_after_a_long_class_list():
+    long = "flex flex-col items-start justify-between rounded-lg shadow-md transition-colors"
+    page = f"<body><div class='{long} cookie-banner'>Not this.</div>{TEXT}<div class='{long}' id='comments'>Nor this." \
+           "</div></body>"
+    assert own_text(page) == LINES
+    assert wrappers._label("div", f"class='{long} one'") != wrappers._label("div", f"class='{long} two'")
