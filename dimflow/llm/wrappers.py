@@ -6,21 +6,26 @@ pages share, optional elements (``?``) where a mismatch could only be resolved b
 leaving one out, repeated elements or groups (``+``) where a mismatch was one
 more round of what stands before it, and text slots (``#``).
 
-1. Each page becomes a skeleton: its element tree with repeated siblings folded.
-   Equal skeletons of a host collapse before anything moves.
+1. Each page becomes an outline (elements, words and hashes of texts) and a
+   skeleton: its element tree with repeated siblings folded. Equal skeletons of a
+   host collapse before anything moves.
 2. Skeletons of a host are aligned one after the other, first within blocks,
    then the blocks' wrappers with each other, so no host is one task's work.
-3. The words that fall in each slot of the wrapper, over all pages of the host,
-   decide which element holds the main text.
+3. Each page is mapped onto its host's wrapper. Words, links and distinct texts in
+   each slot of the wrapper, over all pages of the host, decide which slots are
+   template text (the same on all pages) and which hold more than links.
 4. Every page is read again with its host's decision, whole.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from hashlib import blake2b
 from urllib.parse import urlsplit
 
 import pandas as pd
@@ -33,6 +38,10 @@ from dimflow.llm.common import ship_package, staged, text_of
 BLOCKS = 64  # blocks of a host in the first alignment
 LONGEST_GROUP = 4  # siblings in one repeated group
 LONGEST_NAMES = 60  # characters of names in a label
+LEAST_PAGES = 3  # distinct pages before a text counts as the same on all of them
+MANY_PAGES = 10  # ... where such texts hold most of the words
+FEW = 10  # pages for each distinct text of a slot that counts as template text
+RARE = 20  # a slot is judged if one page in so many of the host has it
 
 # Kinds of HTML elements, and names of what is not main text.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -84,11 +93,12 @@ def _label(tag: str, attributes: str) -> str:
     if "=" not in attributes:
         return tag
     names = " ".join(x for found in NAME.findall(attributes) for x in found if x).lower()
-    names = re.sub(r"[^a-z _-]+", "", names).strip()
-    short = "_".join(names.split())
+    judged = re.sub(r"[^a-z _-]+", "", names)
+    # Numbers of their own and long ones are a page's (post-123); others belong to the name (c7).
+    short = "_".join(re.sub(r"(?<![a-z0-9])[0-9]+|[0-9]{4,}|[^a-z0-9 _-]+", "", names).split())
     if len(short) > LONGEST_NAMES:
         short = f"{short[:LONGEST_NAMES]}~{zlib.crc32(short.encode()):08x}"
-    return f"{tag}.{short}{'!' * _named_boilerplate(names)}" if names else tag
+    return f"{tag}.{short}{'!' * _named_boilerplate(judged)}" if short else tag
 
 
 def tokens(page: str) -> Iterator[tuple[str, str]]:
@@ -188,32 +198,133 @@ def fold(siblings: list) -> list:
     return siblings
 
 
-def skeleton(page: str) -> tuple[list, dict[str, list[int]]]:
-    """The folded element tree of a page, and words and words in links by slot path."""
-    root: list = ["", [], False, False]
-    stack, paths, links = [root], [""], 0
-    words: dict[str, list[int]] = {}
+def outline(page: str) -> str:
+    """A page without its text: lines ``+label``, ``-``, and for the text between them ``words linked hash``."""
+    lines: list[str] = []
+    run: list[str] = []
+    links = n = linked = 0
+
+    def flush() -> None:
+        if n:
+            lines.append(f"{n} {linked} {_hash(' '.join(''.join(run).split())):x}")
+
     for kind, value in tokens(page):
-        if kind == "open":
-            node = [value, [], False, False]
+        if kind == "text":
+            count = len(value.split())
+            n, linked = n + count, linked + count * bool(links)
+            run.append(value)
+        elif kind == "link":
+            links = max(0, links + (1 if value == "+" else -1))
+        else:
+            flush()
+            run, n, linked = [], 0, 0
+            lines.append("+" + value if kind == "open" else "-")
+    flush()
+    return "\n".join(lines)
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=False) >> 1
+
+
+def tree_of(lines: str) -> list:
+    """The folded element tree of a page from its outline."""
+    root: list = ["", [], False, False]
+    stack = [root]
+    for line in lines.split("\n") if lines else ():
+        if line[0] == "+":
+            node = [line[1:], [], False, False]
             stack[-1][1].append(node)
             stack.append(node)
-            paths.append(f"{paths[-1]}/{value}")
-        elif kind == "close":
+        elif line == "-":
             done = stack.pop()
             done[1] = fold(done[1])
-            paths.pop()
-        elif kind == "link":
-            links = max(0, links + (1 if value == "+" else -1))
+        elif not stack[-1][1] or stack[-1][1][-1][0] != "#":
+            stack[-1][1].append(["#", [], False, False])
+    return fold(root[1])
+
+
+class Slots:
+    """Places of a page's elements in a wrapper, read along its sibling lists.
+
+    A slot is a path of labels; of equal labels that a sibling list holds at
+    several places, the later ones get ``@2``, ``@3``. An element takes the next
+    place of its label, in a repeated element or group also the same or an
+    earlier one; what the wrapper does not hold keeps its own path.
+    """
+
+    def __init__(self, wrapper: list | None = None):
+        self.children: dict[str, tuple] = {}
+        if wrapper:
+            self._add("", wrapper)
+
+    def _add(self, path: str, nodes: list) -> None:
+        labels, inner, first, last = [], [], [], []
+
+        def flatten(nodes: list, outer: int | None) -> None:
+            for label, children, _, repeated in nodes:
+                at = len(labels)
+                if label.startswith("("):
+                    flatten(children, at if outer is None else outer)
+                    if outer is None:
+                        last[at:] = [len(labels) - 1] * (len(labels) - at)
+                elif label != "#":
+                    labels.append(label)
+                    inner.append(children)
+                    first.append(outer if outer is not None else at if repeated else at + 1)
+                    last.append(at)
+
+        flatten(nodes, None)
+        seen: dict[str, int] = {}
+        names = []
+        for label, children in zip(labels, inner):
+            seen[label] = seen.get(label, 0) + 1
+            names.append(f"{path}/{label}" + (f"@{seen[label]}" if seen[label] > 1 else ""))
+            self._add(names[-1], children)
+        if labels:
+            self.children[path] = labels, names, first, last
+
+    def step(self, path: str, at: int, label: str) -> tuple[str, int]:
+        """Slot path of the next child ``label`` and its place, after the one at place ``at`` (-1: none yet)."""
+        if path not in self.children:
+            return f"{path}/{label}", at
+        labels, names, first, last = self.children[path]
+        if at >= 0 and first[at] <= at:
+            order = (*((at,) if first[at] == at == last[at] else ()), *range(at + 1, last[at] + 1),
+                     *range(first[at], at + 1), *range(last[at] + 1, len(labels)), *range(at))
         else:
-            n = len(value.split())
-            if n:
-                count = words.setdefault(paths[-1], [0, 0])
-                count[0] += n
-                count[1] += n * bool(links)
-                if not stack[-1][1] or stack[-1][1][-1][0] != "#":
-                    stack[-1][1].append(["#", [], False, False])
-    return fold(root[1]), words
+            order = (*range(at + 1, len(labels)), *range(at + 1))
+        for i in order:
+            if labels[i] == label:
+                return names[i], i
+        return f"{path}/{label}", at
+
+
+def read_slots(lines: str, slots: Slots) -> dict[str, list]:
+    """Words, words in links and the hashes of the texts of each slot, from a page's outline."""
+    path, place = [""], [-1]
+    out: dict[str, list] = {}
+    for line in lines.split("\n") if lines else ():
+        if line[0] == "+":
+            slot, place[-1] = slots.step(path[-1], place[-1], line[1:])
+            path.append(slot)
+            place.append(-1)
+        elif line == "-":
+            path.pop()
+            place.pop()
+        else:
+            n, linked, value = line.split(" ")
+            found = out.setdefault(path[-1], [0, 0, []])
+            found[0] += int(n)
+            found[1] += int(linked)
+            found[2].append(value)
+    return out
+
+
+def skeleton(page: str) -> tuple[list, dict[str, list[int]]]:
+    """The folded element tree of a page, and words and words in links by slot path."""
+    lines = outline(page)
+    return tree_of(lines), {p: x[:2] for p, x in read_slots(lines, Slots()).items()}
 
 
 def to_text(nodes: list) -> str:
@@ -224,12 +335,16 @@ def to_text(nodes: list) -> str:
 
 def pack(nodes: list) -> str:
     """Nodes as a string, for grouping and moving."""
-    return repr(nodes)
+    return json.dumps(nodes, separators=(",", ":"))
 
 
 def unpack(packed: str) -> list:
-    from ast import literal_eval
-    return literal_eval(packed)
+    return json.loads(packed)
+
+
+@lru_cache(256)
+def slots_of(packed: str) -> Slots:
+    return Slots(unpack(packed))
 
 
 def _prefixes(path: str) -> list[str]:
@@ -273,15 +388,44 @@ def boilerplate(words: dict[str, tuple[int, int]]) -> set[str]:
     return {p for p, xs in steps.items() if any(known[x] for x in xs)}
 
 
-def choose(words: dict[str, tuple[int, int]]) -> str:
+def same_everywhere(slots: pd.DataFrame) -> list[str]:
+    """Slots of a host whose text is template text: the same on all its pages, or one of few.
+
+    ``slots`` has a row per slot: ``slot, words, linked, n_values, n_pages``, the
+    numbers of distinct texts and distinct pages, and a row of slot "" for the
+    host. Copies of a page count once. Where such slots hold most of the words the
+    pages may be near copies: then many pages must agree, and never on nearly all.
+    """
+    if slots.empty:
+        return []
+    pages = slots["n_pages"].max()
+    slots = slots[slots["slot"] != ""]
+    agreed = slots[(slots["n_pages"] >= LEAST_PAGES) & (slots["n_pages"] * RARE >= pages)
+                   & ((slots["n_values"] == 1) | (slots["n_values"] * FEW <= slots["n_pages"]))]
+    out = boilerplate({s: (n, l) for s, n, l in zip(slots["slot"], slots["words"], slots["linked"])})
+
+    def plain(rows: pd.DataFrame) -> int:
+        return int((rows["words"] - rows["linked"])[~rows["slot"].isin(out)].sum())
+
+    same, total = plain(agreed), plain(slots)
+    if 2 * same > total and (pages < MANY_PAGES or 10 * same > 9 * total):
+        agreed = agreed[agreed["words"] == agreed["linked"]]
+    return sorted(agreed["slot"])
+
+
+def choose(words: dict[str, tuple[int, int]], template: Iterable[str] = (), prose: Iterable[str] = ()) -> str:
     """Path of the element that holds the main text, from words and words in links by slot path.
 
+    ``template`` are slots of template text, ``prose`` those that hold more than
+    links on the host's pages.
+
     An article or main element if one holds half the words that are not
     boilerplate; else the smallest element that holds all of them. Words in links
     count only where there are no others.
     """
-    out = boilerplate(words)
-    left = {p: n - linked for p, (n, linked) in words.items() if p not in out and n > linked}
+    out = boilerplate(words).union(template)
+    left = {p: n if p in prose else n - linked for p, (n, linked) in words.items()
+            if p not in out and (n > linked or p in prose)}
     left = left or {p: n for p, (n, _) in words.items() if p not in out}
     mass: dict[str, int] = {}
     for path, n in left.items():
@@ -296,26 +440,37 @@ def choose(words: dict[str, tuple[int, int]]) -> str:
     return max(holders, key=lambda p: p.count("/"), default="")
 
 
-def main_text(page: str, container: str) -> str:
+def main_text(page: str, container: str, wrapper: Slots | None = None, template: Iterable[str] = (),
+              prose: Iterable[str] = ()) -> str:
     """Blocks inside ``container`` that are no boilerplate, one per line; of a page without it, by its own words."""
-    blocks: list[list[str]] = []
-    path, known, open_block, seen = [""], {}, None, False
-    texts: list[tuple[str, str]] = []
-    block = 0
+    slots = wrapper or Slots()
+    path, place, links, block, seen = [""], [-1], 0, 0, False
+    texts: list[tuple[str, str, int]] = []
+    words: dict[str, tuple[int, int]] = {}
     for kind, value in tokens(page):
         if kind == "open":
-            path.append(f"{path[-1]}/{value}")
+            slot, place[-1] = slots.step(path[-1], place[-1], value)
+            path.append(slot)
+            place.append(-1)
             block += 1
-            seen = seen or path[-1] == container
+            seen = seen or slot == container
         elif kind == "close":
             path.pop()
+            place.pop()
             block += 1
-        elif kind == "text":
+        elif kind == "link":
+            links = max(0, links + (1 if value == "+" else -1))
+        else:
             texts.append((path[-1], value, block))
-    words = {p: tuple(n) for p, n in skeleton(page)[1].items()}
+            n = len(value.split())
+            if n:
+                all_words, linked = words.get(path[-1], (0, 0))
+                words[path[-1]] = all_words + n, linked + n * bool(links)
     if container and not seen:
-        container = choose(words)
-    out = boilerplate(words)
+        container = choose(words, template, prose)
+    out = boilerplate(words).union(template)
+    blocks: list[list[str]] = []
+    known, open_block = {}, None
     for where, value, number in texts:
         if where not in known:
             known[where] = (where + "/").startswith(container + "/") and where not in out
@@ -329,29 +484,25 @@ def main_text(page: str, container: str) -> str:
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host: ``host, wrapper`` (the expression) and ``container``, from all its pages."""
+    """One row per host, from all its pages: ``host, wrapper`` (the expression), ``tree`` (packed), ``container``,
+    ``template`` and ``prose`` (slots)."""
     ship_package(pages.sparkSession)
     rows = pages.select(F.col(url_col).alias("url"), text_of(html_col).alias("html"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[tuple, list[int]] = {}
-            for url, page in zip(batch.column(0), batch.column(1)):
-                host = host_of(url.as_py())
-                tree, words = skeleton(page.as_py())
-                out.setdefault((host, pack(tree), None), [0, 0])
-                for path, (n, linked) in words.items():
-                    count = out.setdefault((host, None, path), [0, 0])
-                    count[0] += n
-                    count[1] += linked
+            lines = [outline(page.as_py()) for page in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[i] for k in out], pa.string()) for i in range(3)]
-                + [pa.array([n[i] for n in out.values()], pa.int64()) for i in range(2)],
-                names=["host", "tree", "path", "words", "linked"])
+                [pa.array([host_of(url.as_py()) for url in batch.column(0)], pa.string()), pa.array(lines, pa.string())],
+                names=["host", "outline"])
+
+    outlines = staged(rows.mapInArrow(read, "host string, outline string"), "page_outlines")
 
-    found = staged(rows.mapInArrow(read, "host string, tree string, path string, words long, linked long")
-                   .groupBy("host", "tree", "path").agg(F.sum("words").alias("words"), F.sum("linked").alias("linked")),
-                   "page_skeletons")
+    @F.arrow_udf("string")
+    def tree(outlines: pa.Array) -> pa.Array:
+        return pa.array([pack(tree_of(x)) for x in outlines.to_pylist()], pa.string())
+
+    found = outlines.select("host", tree("outline").alias("tree")).distinct()
 
     def together(group: pd.DataFrame) -> pd.DataFrame:
         wrapper = None
@@ -361,17 +512,41 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         return pd.DataFrame({"host": group["host"].iloc[:1], "tree": [pack(wrapper)]})
 
     schema = "host string, tree string"
-    trees = (found.where("tree is not null").select("host", "tree", F.pmod(F.xxhash64("tree"), F.lit(BLOCKS)).alias("b"))
-             .groupBy("host", "b").applyInPandas(together, schema).groupBy("host").applyInPandas(together, schema))
+    trees = staged(found.select("host", "tree", F.pmod(F.xxhash64("tree"), F.lit(BLOCKS)).alias("b"))
+                   .groupBy("host", "b").applyInPandas(together, schema)
+                   .groupBy("host").applyInPandas(together, schema), "page_trees")
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for host, lines, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                page = _hash(lines)
+                out.append((host, "", 0, 0, 0, page))
+                out += [(host, slot, n, linked, _hash(" ".join(values)), page)
+                        for slot, (n, linked, values) in read_slots(lines, slots_of(packed)).items() if slot]
+            columns = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[i], pa.string()) for i in range(2)]
+                + [pa.array(columns[i], pa.int64()) for i in range(2, 6)],
+                names=["host", "slot", "words", "linked", "value", "page"])
+
+    slots = (outlines.join(trees, "host").select("host", "outline", "tree")
+             .mapInArrow(gather, "host string, slot string, words long, linked long, value long, page long")
+             .groupBy("host", "slot").agg(
+                 F.sum("words").alias("words"), F.sum("linked").alias("linked"),
+                 F.approx_count_distinct("value").alias("n_values"), F.approx_count_distinct("page").alias("n_pages")))
 
     def decide(wrapper: pd.DataFrame, slots: pd.DataFrame) -> pd.DataFrame:
-        words = {p: (int(n), int(l)) for p, n, l in zip(slots["path"], slots["words"], slots["linked"])}
+        words = {p: (int(n), int(l)) for p, n, l in zip(slots["slot"], slots["words"], slots["linked"]) if p}
+        template = same_everywhere(slots)
+        prose = [p for p, (n, linked) in words.items() if 2 * linked <= n]
         return pd.DataFrame({"host": wrapper["host"], "wrapper": [to_text(unpack(t)) for t in wrapper["tree"]],
-                             "container": choose(words)})
+                             "tree": wrapper["tree"], "container": choose(words, template, prose),
+                             "template": [template], "prose": [prose]})
 
-    slots = found.where("tree is null").select("host", "path", "words", "linked")
     return staged(trees.groupBy("host").cogroup(slots.groupBy("host")).applyInPandas(
-        decide, "host string, wrapper string, container string"), "page_wrappers")
+        decide, "host string, wrapper string, tree string, container string, template array<string>, "
+                "prose array<string>"), "page_wrappers")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -380,7 +555,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     ``text`` is empty where nothing is left, also for a null or empty page. Pages
     without a host share one wrapper; repeated rows and null ids keep their rows.
     """
-    wrappers = infer_wrappers(pages, url_col, html_col).select("host", "container")
+    wrappers = infer_wrappers(pages, url_col, html_col).drop("wrapper")
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text_of(html_col).alias("html"))
 
     @F.arrow_udf("string")
@@ -388,9 +563,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         return pa.array([host_of(u) for u in urls.to_pylist()], pa.string())
 
     @F.arrow_udf("string")
-    def text(pages: pa.Array, containers: pa.Array) -> pa.Array:
-        return pa.array([main_text(p.as_py(), c) for p, c in zip(pages, containers.to_pylist())], pa.string())
-
-    decided = rows.withColumn("host", host("url")).join(wrappers, "host", "left")
-    return (decided.select("id", "url", text("html", F.coalesce("container", F.lit(""))).alias("text"))
+    def text(pages: pa.Array, trees: pa.Array, containers: pa.Array, templates: pa.Array, prose: pa.Array) -> pa.Array:
+        return pa.array([main_text(page.as_py(), container, slots_of(tree), set(template), set(slots))
+                         for page, tree, container, template, slots in zip(pages, *(
+                             c.to_pylist() for c in (trees, containers, templates, prose)))], pa.string())
+
+    # Every page has a host, be it the empty one, so the join loses none.
+    decided = rows.withColumn("host", host("url")).join(wrappers, "host")
+    return (decided.select("id", "url", text("html", "tree", "container", "template", "prose").alias("text"))
             .select("id", "url", "text", F.char_length("text").cast("long").alias("n_chars")))

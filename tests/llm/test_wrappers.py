@@ -45,3 +45,37 @@ def test_names_after_a_long_class_list():
            "</div></body>"
     assert own_text(page) == LINES
     assert wrappers._label("div", f"class='{long} one'") != wrappers._label("div", f"class='{long} two'")
+
+
+def host_pages(spark, pages):
+    return spark.createDataFrame([(i, "http://h.example/x", page) for i, page in enumerate(pages)],
+                                 "page_id long, url string, html string")
+
+
+def texts(spark, pages):
+    return {r["id"]: r["text"] for r in wrappers.extract(host_pages(spark, pages)).collect()}
+
+
+def test_slots_of_equal_labels():
+    """The same label before and after another one is two slots; rounds of a group share theirs."""
+    tree, _ = wrappers.skeleton("<div>a</div><p>b</p><div>c</div><dl><dt>a<dd>b<dt>c<dd>d</dl>")
+    found = wrappers.read_slots(wrappers.outline("<p>1</p><div>2</div><dl><dt>3<dd>4<dt>5<dd>6</dl>"),
+                                wrappers.Slots(tree))
+    assert {k: v[0] for k, v in found.items()} == {"/p": 1, "/div@2": 1, "/dl/dt": 2, "/dl/dd": 2}
+
+
+def test_template_text_in_unlisted_elements(spark):
+    """Menu, notice and advert in elements whose names say nothing, the same on every page, are no main text."""
+    page = ("<body><div class=c7><p>Buy our lovely hats and coats</p></div><div class=c8><a href=/>Home</a> "
+            "<a href=/n>News</a></div><div class=c1><h1>Title {0}</h1><p>Words of page {0} that are its own, {0} of "
+            "{0}, and so on.</p></div><div class=c9>All rights reserved by us</div></body>")
+    pages = [page.format(i) for i in range(5)]
+    expected = "Title {0}\nWords of page {0} that are its own, {0} of {0}, and so on."
+    assert texts(spark, pages) == {i: expected.format(i) for i in range(5)}
+
+
+def test_copies_of_a_page_are_not_template_text(spark):
+    page = "<body><div class=c1><p>One text, often.</p></div><div class=c2><p>{}</p></div></body>"
+    assert set(texts(spark, [page.format("end")] * 6).values()) == {"One text, often.\nend"}
+    found = texts(spark, [page.format(f"end{i}") for i in range(4)])  # near copies
+    assert found == {i: f"One text, often.\nend{i}" for i in range(4)}
