@@ -14,7 +14,9 @@ more round of what stands before it, and text slots (``#``).
 3. Each page is mapped onto its host's wrapper. Words, links and distinct texts in
    each slot of the wrapper, over all pages of the host, decide which slots are
    template text (the same on all pages) and which hold more than links.
-4. Every page is read again with its host's decision, whole.
+4. Every page is read again, whole, with its host's decision. Its own main-text
+   slots give the element that holds its text, so pages of a rarer template of the
+   host are not cut to the place where the others have theirs.
 """
 
 from __future__ import annotations
@@ -440,11 +442,15 @@ def choose(words: dict[str, tuple[int, int]], template: Iterable[str] = (), pros
     return max(holders, key=lambda p: p.count("/"), default="")
 
 
-def main_text(page: str, container: str, wrapper: Slots | None = None, template: Iterable[str] = (),
+def main_text(page: str, container: str | None = None, wrapper: Slots | None = None, template: Iterable[str] = (),
               prose: Iterable[str] = ()) -> str:
-    """Blocks inside ``container`` that are no boilerplate, one per line; of a page without it, by its own words."""
+    """Blocks inside the container that are no boilerplate, one per line.
+
+    The page's own words choose the container, also in place of one that is given
+    but does not hold most of the page's main words.
+    """
     slots = wrapper or Slots()
-    path, place, links, block, seen = [""], [-1], 0, 0, False
+    path, place, links, block = [""], [-1], 0, 0
     texts: list[tuple[str, str, int]] = []
     words: dict[str, tuple[int, int]] = {}
     for kind, value in tokens(page):
@@ -453,7 +459,6 @@ def main_text(page: str, container: str, wrapper: Slots | None = None, template:
             path.append(slot)
             place.append(-1)
             block += 1
-            seen = seen or slot == container
         elif kind == "close":
             path.pop()
             place.pop()
@@ -466,9 +471,11 @@ def main_text(page: str, container: str, wrapper: Slots | None = None, template:
             if n:
                 all_words, linked = words.get(path[-1], (0, 0))
                 words[path[-1]] = all_words + n, linked + n * bool(links)
-    if container and not seen:
-        container = choose(words, template, prose)
     out = boilerplate(words).union(template)
+    main = {p: n for p, (n, _) in words.items() if p not in out}
+    held = sum(n for p, n in main.items() if container is not None and (p + "/").startswith(container + "/"))
+    if container is None or 2 * held <= sum(main.values()):
+        container = choose(words, template, prose)
     blocks: list[list[str]] = []
     known, open_block = {}, None
     for where, value, number in texts:
@@ -484,8 +491,8 @@ def main_text(page: str, container: str, wrapper: Slots | None = None, template:
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host, from all its pages: ``host, wrapper`` (the expression), ``tree`` (packed), ``container``,
-    ``template`` and ``prose`` (slots)."""
+    """One row per host, from all its pages: ``host, wrapper`` (the expression), ``tree`` (packed), ``template`` and
+    ``prose`` (slots of template text, and those that hold more than links)."""
     ship_package(pages.sparkSession)
     rows = pages.select(F.col(url_col).alias("url"), text_of(html_col).alias("html"))
 
@@ -541,12 +548,11 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         template = same_everywhere(slots)
         prose = [p for p, (n, linked) in words.items() if 2 * linked <= n]
         return pd.DataFrame({"host": wrapper["host"], "wrapper": [to_text(unpack(t)) for t in wrapper["tree"]],
-                             "tree": wrapper["tree"], "container": choose(words, template, prose),
-                             "template": [template], "prose": [prose]})
+                             "tree": wrapper["tree"], "template": [template], "prose": [prose]})
 
     return staged(trees.groupBy("host").cogroup(slots.groupBy("host")).applyInPandas(
-        decide, "host string, wrapper string, tree string, container string, template array<string>, "
-                "prose array<string>"), "page_wrappers")
+        decide, "host string, wrapper string, tree string, template array<string>, prose array<string>"),
+        "page_wrappers")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -563,12 +569,12 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         return pa.array([host_of(u) for u in urls.to_pylist()], pa.string())
 
     @F.arrow_udf("string")
-    def text(pages: pa.Array, trees: pa.Array, containers: pa.Array, templates: pa.Array, prose: pa.Array) -> pa.Array:
-        return pa.array([main_text(page.as_py(), container, slots_of(tree), set(template), set(slots))
-                         for page, tree, container, template, slots in zip(pages, *(
-                             c.to_pylist() for c in (trees, containers, templates, prose)))], pa.string())
+    def text(pages: pa.Array, trees: pa.Array, templates: pa.Array, prose: pa.Array) -> pa.Array:
+        return pa.array([main_text(page.as_py(), None, slots_of(tree), set(template), set(slots))
+                         for page, tree, template, slots in zip(pages, *(
+                             c.to_pylist() for c in (trees, templates, prose)))], pa.string())
 
     # Every page has a host, be it the empty one, so the join loses none.
     decided = rows.withColumn("host", host("url")).join(wrappers, "host")
-    return (decided.select("id", "url", text("html", "tree", "container", "template", "prose").alias("text"))
+    return (decided.select("id", "url", text("html", "tree", "template", "prose").alias("text"))
             .select("id", "url", "text", F.char_length("text").cast("long").alias("n_chars")))

@@ -79,3 +79,15 @@ def test_copies_of_a_page_are_not_template_text(spark):
     assert set(texts(spark, [page.format("end")] * 6).values()) == {"One text, often.\nend"}
     found = texts(spark, [page.format(f"end{i}") for i in range(4)])  # near copies
     assert found == {i: f"One text, often.\nend{i}" for i in range(4)}
+
+
+def test_pages_of_a_rarer_template(spark):
+    common = "<body><div class=intro></div><article class=content><p>Text {0} of the page {0}, its own.</p></article>"
+    rare = "<body><div class=intro><p>Text {0} in the other place.</p><p>More {0}.</p></div><article class=content>{1}" \
+           "</article>"
+    pages = [common.format(i) for i in range(19)] + [rare.format(19, ""), rare.format(20, "<p>Teaser</p>")]
+    found = texts(spark, pages)
+    assert found[0] == "Text 0 of the page 0, its own."
+    assert found[19] == "Text 19 in the other place.\nMore 19."
+    assert found[20] == "Text 20 in the other place.\nMore 20.\nTeaser"
+    assert wrappers.main_text(rare.format(21, "<p>x</p>"), "/body/article.content").startswith("Text 21")
