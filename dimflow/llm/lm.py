@@ -9,9 +9,10 @@ tokens share the probability by their smoothed counts. All probabilities of a
 context sum to one, a share of every member being left for unseen tokens.
 
 Training is distributed: in every round each task starts from the shared
-weights, makes gradient steps over its documents in numpy, and the results are
-averaged, weighted by tokens, over fixed numbers of tasks at a time. The weights
-have a fixed size, whatever the corpus.
+weights, makes gradient steps over its documents in numpy, and what it changed is
+averaged, weighted by tokens, shard by shard of the feature rows and over fixed
+numbers of tasks at a time. The number of feature rows grows with the training
+text: a shard of ``FEATURES`` rows for each ``SHARD_BYTES``.
 
 Counts cover all training tokens. The vocabulary grows with the corpus, so it is
 never broadcast: one pass turns the documents into blocks, each with its own
@@ -34,7 +35,8 @@ from pyspark.sql import functions as F
 from dimflow.llm.common import ship_package, staged, text_of
 from dimflow.llm.hashing import mix, slices, word_hashes
 
-FEATURES = 1 << 14
+FEATURES = 1 << 14  # feature rows in a shard of the weights
+SHARD_BYTES = 2 << 30  # training text for each shard
 CLASSES = MEMBERS = 16
 ROUNDS = 2
 STEP = 4096  # positions in a gradient step
@@ -82,10 +84,10 @@ def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return z / z.sum(1, keepdims=True)
 
 
-def _factors(contexts: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the class weights and of the member weights that each position adds up."""
+def _factors(contexts: np.ndarray, classes: np.ndarray, features: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
+    """Rows, of so many, of the class weights and of the member weights that each position adds up."""
     by_class = mix(contexts + (classes.astype(np.uint64)[:, None] + np.uint64(1)) * END)
-    return ((contexts % np.uint64(FEATURES)).astype(np.int64), (by_class % np.uint64(FEATURES)).astype(np.int64))
+    return (contexts % np.uint64(features)).astype(np.int64), (by_class % np.uint64(features)).astype(np.int64)
 
 
 def gradient_steps(weights: list[np.ndarray], hashes: np.ndarray, first: np.ndarray, rate: float) -> None:
@@ -94,7 +96,8 @@ def gradient_steps(weights: list[np.ndarray], hashes: np.ndarray, first: np.ndar
     classes, members = _columns(hashes)
     for at in range(0, len(hashes), STEP):
         cut = slice(at, at + STEP)
-        for w, rows, goal in zip(weights, _factors(contexts[cut], classes[cut]), (classes[cut], members[cut])):
+        for w, rows, goal in zip(weights, _factors(contexts[cut], classes[cut], len(weights[0])),
+                                 (classes[cut], members[cut])):
             error = _softmax(w, rows)
             error[np.arange(len(goal)), goal] -= 1
             flat = rows.ravel()
@@ -113,25 +116,34 @@ def log_probability(weights: list[np.ndarray], hashes: np.ndarray, first: np.nda
     out = np.empty(len(hashes))
     for at in range(0, len(hashes), STEP):
         cut = slice(at, at + STEP)
-        by_class, by_member = _factors(contexts[cut], classes[cut])
+        by_class, by_member = _factors(contexts[cut], classes[cut], len(weights[0]))
         here = np.arange(len(by_class))
         out[cut] = np.log10(np.maximum(_softmax(weights[0], by_class)[here, classes[cut]].astype(np.float64)
                                        * _softmax(weights[1], by_member)[here, members[cut]], 1e-300))
     return out
 
 
+def feature_shards(size: int) -> int:
+    """Shards of feature rows for ``size`` bytes of training text."""
+    return max(1, -(-size // SHARD_BYTES))
+
+
 def _unpack(packed: bytes) -> list[np.ndarray]:
-    flat = np.frombuffer(packed, np.float32)
-    return [w.copy() for w in (flat[:FEATURES * CLASSES].reshape(FEATURES, CLASSES),
-                               flat[FEATURES * CLASSES:].reshape(FEATURES, MEMBERS))]
+    """Class and member weights (one row per feature) from shards, each with its class rows before its member rows."""
+    flat = np.frombuffer(packed, np.float32).reshape(-1, FEATURES * (CLASSES + MEMBERS))
+    return [flat[:, :FEATURES * CLASSES].reshape(-1, CLASSES).copy(),
+            flat[:, FEATURES * CLASSES:].reshape(-1, MEMBERS).copy()]
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = RATE) -> bytes:
-    """The weights (float32, a fixed number) after ``rounds`` rounds, each over its share of the documents."""
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: float = RATE,
+          shards: int | None = None) -> bytes:
+    """The weights (float32, ``shards`` shards) after ``rounds`` rounds, each over its share of the documents."""
     spark = docs.sparkSession
     ship_package(spark)
-    weights = bytes(4 * FEATURES * (CLASSES + MEMBERS))
     rows = docs.select(text_of(text_col).alias("text"))
+    if shards is None:
+        shards = feature_shards(rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
+    weights = bytes(4 * FEATURES * (CLASSES + MEMBERS) * shards)
     for i in range(rounds):
         shared = spark.sparkContext.broadcast(weights)
 
@@ -143,28 +155,41 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, rate: f
                     gradient_steps(own, hashes, first, rate)
                     seen += len(hashes)
             if seen:
-                packed = np.concatenate([w.ravel() for w in own]).tobytes()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]),
-                     pa.array([packed], pa.binary())], names=["task", "tokens", "weights"])
+                before = np.frombuffer(shared.value, np.float32).reshape(shards, -1)
+                for shard in range(shards):
+                    cut = slice(shard * FEATURES, (shard + 1) * FEATURES)
+                    change = np.concatenate([w[cut].ravel() for w in own]) - before[shard]
+                    change = change.reshape(-1, CLASSES)  # CLASSES and MEMBERS are equal
+                    touched = np.flatnonzero(change.any(1)).astype(np.uint16)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard], pa.int64()), pa.array([TaskContext.get().partitionId()], pa.int64()),
+                         pa.array([float(seen)]), pa.array([touched.tobytes()], pa.binary()),
+                         pa.array([change[touched].tobytes()], pa.binary())],
+                        names=["shard", "task", "tokens", "rows", "changes"])
 
         def average(group: pa.Table) -> pa.Table:
             shares = group.column("tokens").to_pylist()
-            total = np.zeros(FEATURES * (CLASSES + MEMBERS))
-            for share, packed in zip(shares, group.column("weights")):
-                total += share * np.frombuffer(packed.as_py(), np.float32)
-            return pa.table({"task": pa.array([group.column("task")[0].as_py()], pa.int64()),
-                             "tokens": [float(sum(shares))],
-                             "weights": pa.array([(total / sum(shares)).astype(np.float32).tobytes()], pa.binary())})
-
-        schema = "task long, tokens double, weights binary"
+            total = np.zeros((2 * FEATURES, CLASSES))
+            for share, at, changes in zip(shares, group.column("rows"), group.column("changes")):
+                total[np.frombuffer(at.as_py(), np.uint16)] += share * np.frombuffer(
+                    changes.as_py(), np.float32).reshape(-1, CLASSES)
+            total = (total / sum(shares)).astype(np.float32)
+            touched = np.flatnonzero(total.any(1)).astype(np.uint16)
+            return pa.table({"shard": group.column("shard")[:1], "task": group.column("task")[:1],
+                             "tokens": [float(sum(shares))], "rows": pa.array([touched.tobytes()], pa.binary()),
+                             "changes": pa.array([total[touched].tobytes()], pa.binary())})
+
+        schema = "shard long, task long, tokens double, rows binary, changes binary"
         result = rows.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == i).mapInArrow(run, schema)
         for _ in range(3):  # FAN_IN at a time
-            result = (result.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("task")
+            result = (result.withColumn("task", F.floor(F.col("task") / FAN_IN)).groupBy("shard", "task")
                       .applyInArrow(average, schema))
-        result = result.withColumn("task", F.lit(0).cast("long")).groupBy("task").applyInArrow(average, schema)
-        found = result.collect()  # one row of a fixed size
-        weights = bytes(found[0]["weights"]) if found else weights
+        result = result.withColumn("task", F.lit(0).cast("long")).groupBy("shard", "task").applyInArrow(average, schema)
+        flat = np.frombuffer(weights, np.float32).reshape(shards, -1, CLASSES).copy()
+        for r in result.select("shard", "rows", "changes").toLocalIterator():  # a shard at a time
+            flat[r["shard"], np.frombuffer(r["rows"], np.uint16)] += np.frombuffer(
+                r["changes"], np.float32).reshape(-1, CLASSES)
+        weights = flat.tobytes()
     return weights
 
 
@@ -255,8 +280,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
     """
     spark = docs.sparkSession
     ship_package(spark)
-    weights = train(docs.where(training_row(id_col)), text_col, rounds)
-    size = docs.agg(F.sum(F.octet_length(text_of(text_col)))).first()[0] or 0
+    length = F.octet_length(text_of(text_col))
+    size, training = docs.agg(F.sum(length), F.sum(F.when(training_row(id_col), length))).first()
+    size = size or 0
+    weights = train(docs.where(training_row(id_col)), text_col, rounds, shards=feature_shards(training or 0))
     shards = max(1, int(size // 40 // SHARD_ENTRIES))  # a block has a distinct token for some 40 bytes of text
     table = staged(_blocks(docs, id_col, text_col, shards), "lm_blocks")
     totals = staged(_shard_totals(table.where("shard is not null")), "lm_totals")
