@@ -97,4 +97,65 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
-ORACLE: dict[str, str] = {"op2_exact_dedup": EXACT, "op5_secret_scan": _secrets(), "op8_pii": _pii()}
+# Dense: every source of a language meets every kept term, as the contract words it.
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+tok AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM tok GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+langs AS (SELECT lang, sum(n) AS total, count(*) AS v FROM kept GROUP BY lang),
+found AS (SELECT lang, source, term, count(*) AS n FROM tok SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+held AS (SELECT g.lang, g.source, coalesce(sum(f.n), 0) AS total FROM groups g LEFT JOIN found f USING (lang, source)
+         GROUP BY ALL),
+p AS (
+  SELECT h.lang, h.source, k.term, coalesce(f.n, 0) AS n,
+         (1 + (1000000000::HUGEINT * (coalesce(f.n, 0) + 1)) // (h.total + l.v))::HUGEINT AS p,
+         (1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v))::HUGEINT AS q
+  FROM held h JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN found f ON f.lang = h.lang AND f.source = h.source AND f.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT lang, source, part, item, value,
+         row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM every UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+def _clusters(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Lloyd's rounds one after the other, all distances of all vectors."""
+    ctes = [f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims}),
+x AS MATERIALIZED (SELECT rid, unnest(v) AS x, unnest(range(1, {dims + 1})) AS i FROM kept),
+chosen AS MATERIALIZED (
+  SELECT rid, row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR)) - 1 AS cl FROM kept
+  ORDER BY sha256('3:' || vec_id::VARCHAR) LIMIT {k}),
+c0 AS MATERIALIZED (SELECT cl, i, x AS c FROM chosen JOIN x USING (rid))"""]
+    for r in range(rounds + 1):
+        ctes.append(f"""d{r} AS (SELECT rid, cl, sum((x - c) * (x - c)) AS d FROM x JOIN c{r} USING (i) GROUP BY rid, cl),
+a{r} AS MATERIALIZED (SELECT rid, cl, d FROM d{r} QUALIFY row_number() OVER (PARTITION BY rid ORDER BY d, cl) = 1)""")
+        if r < rounds:
+            ctes.append(f"""s{r} AS (SELECT cl, i, sum(x) AS s, count(*) AS n FROM a{r} JOIN x USING (rid) GROUP BY cl, i),
+c{r + 1} AS MATERIALIZED (
+  SELECT cl, i, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM c{r} LEFT JOIN s{r} USING (cl, i))""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, cl::INTEGER AS cluster, d::BIGINT AS distance, (sum(d) OVER (PARTITION BY cl))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, h AS centroid_sha256
+FROM a{rounds} JOIN kept USING (rid)
+JOIN (SELECT cl, sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY i)) AS h FROM c{rounds} GROUP BY cl) USING (cl)
+"""
+
+
+ORACLE: dict[str, str] = {"op2_exact_dedup": EXACT, "op5_secret_scan": _secrets(), "op8_pii": _pii(),
+                          "op12_source_divergence": DIVERGENCE, "op13_centroid_clustering": _clusters()}

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm import bpe, exact, jaccard, lm, mixing, pii, quality, secret_scan, suffixes, wrappers
+from dimflow.llm import bpe, clustering, divergence, exact, jaccard, lm, mixing, pii, quality, secret_scan, suffixes
+from dimflow.llm import wrappers
 from dimflow.llm.common import read_table
 from dimflow.llm.spans import as_text
 
@@ -81,6 +82,15 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.withColumnRenamed("id", "doc_id")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centres = clustering.cluster(read_table(spark, sf_dir, "embeddings"))
+    return clustering.with_inertia(assigned, centres).withColumnRenamed("id", "vec_id")
+
+
 REGISTRY: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_exact_dedup": op2_exact_dedup,
@@ -92,4 +102,6 @@ REGISTRY: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_byte_bpe": op10_byte_bpe,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }
