@@ -97,6 +97,25 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
+# Every window as its words; only words of repeated windows go.
+SUPERKMERS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+t AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, len(w) AS n FROM d),
+win AS (
+  SELECT rid, i, n, string_agg(word, ' ') OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING) AS s
+  FROM t),
+full_win AS (SELECT rid, i, s FROM win WHERE i + 34 <= n),
+rep AS (SELECT s FROM full_win GROUP BY s HAVING count(*) >= 2),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS i FROM full_win SEMI JOIN rep USING (s)),
+kept AS (SELECT rid, string_agg(word, ' ' ORDER BY i) AS left_words, count(*) AS n FROM t ANTI JOIN gone USING (rid, i)
+         GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(left_words, '')) AS kept_sha256, len(w) > coalesce(n, 0) AS has_repeat
+FROM d LEFT JOIN kept USING (rid)
+"""
+
 # Dense: every source of a language meets every kept term, as the contract words it.
 DIVERGENCE = f"""
 WITH d AS (
@@ -158,4 +177,4 @@ JOIN (SELECT cl, sha256(string_agg(c::BIGINT::VARCHAR, ',' ORDER BY i)) AS h FRO
 
 
 ORACLE: dict[str, str] = {"op2_exact_dedup": EXACT, "op5_secret_scan": _secrets(), "op8_pii": _pii(),
-                          "op12_source_divergence": DIVERGENCE, "op13_centroid_clustering": _clusters()}
+                          "op11_superkmer_dedup": SUPERKMERS, "op12_source_divergence": DIVERGENCE, "op13_centroid_clustering": _clusters()}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.llm import bpe, clustering, divergence, exact, jaccard, lm, mixing, pii, quality, secret_scan, suffixes
-from dimflow.llm import wrappers
+from dimflow.llm import superkmers, wrappers
 from dimflow.llm.common import read_table
 from dimflow.llm.spans import as_text
 
@@ -82,6 +82,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.withColumnRenamed("id", "doc_id")
 
 
+def op11_superkmer_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = superkmers.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return left.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256",
+                       (F.col("n_removed") > 0).alias("has_repeat"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read_table(spark, sf_dir, "documents"))
 
@@ -102,6 +108,7 @@ REGISTRY: dict[str, Query] = {
     "op8_pii": op8_pii,
     "op9_mixing": op9_mixing,
     "op10_byte_bpe": op10_byte_bpe,
+    "op11_superkmer_dedup": op11_superkmer_dedup,
     "op12_source_divergence": op12_source_divergence,
     "op13_centroid_clustering": op13_centroid_clustering,
 }
