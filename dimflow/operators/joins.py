@@ -160,29 +160,36 @@ def _any_null(on: list[str]) -> Column:
     return any_of(*[F.col(c).isNull() for c in on])
 
 
+def salted_rows(big: DataFrame, on: list[str], hot: DataFrame, null_buckets: int) -> DataFrame:
+    """``big`` with its salt: rows of hot keys are spread over their buckets, NULL keys over ``null_buckets``.
+
+    The salt must not depend on the order in which a task sees its rows, since a
+    task that reads a shuffle may see another order when it is repeated, and a row
+    whose salt changed would be lost or doubled. The rows to spread are therefore
+    sorted by all of their values inside their partition first and salted by their
+    place in that order: only rows equal in every column can change places. Other
+    rows take no part in that order; theirs is salt 0.
+    """
+    columns = big.columns
+    buckets = F.coalesce(F.col(BUCKETS), F.when(_any_null(on), F.lit(null_buckets)))
+    spread = big.join(F.broadcast(hot), on, "left").select(*columns, buckets.alias(BUCKETS))
+    is_spread = F.col(BUCKETS).isNotNull()
+    first = F.when(is_spread, F.xxhash64(*columns)).asc_nulls_last()  # mostly decides alone
+    place = F.xxhash64(F.monotonically_increasing_id())
+    return (spread.sortWithinPartitions(first, *[F.when(is_spread, F.col(c)) for c in columns])
+            .withColumn(SALT, F.when(is_spread, F.pmod(place, F.col(BUCKETS)).cast("int")).otherwise(F.lit(0)))
+            .drop(BUCKETS))
+
+
 def salted_join(big: DataFrame, lookup: DataFrame, on: list[str], how: str, hot: DataFrame,
                 null_buckets: int) -> DataFrame:
-    """Shuffle join on ``on`` + salt; hot keys of ``big`` are spread over their buckets, NULL keys over ``null_buckets``.
-
-    The salt takes a row's place in its input as well as its values, so rows that
-    are equal in every column are spread too. The place is stable when a task is
-    retried: it is taken where the row is scanned or read from its shuffle, before
-    this join's own shuffle.
-    """
-    flags = F.broadcast(hot)
-    place = F.xxhash64(F.monotonically_increasing_id(), *[F.col(c) for c in big.columns])
-    buckets = F.coalesce(F.col(BUCKETS), F.when(_any_null(on), F.lit(null_buckets)), F.lit(1))
-    big_salted = (
-        big.withColumn(SALT, place).join(flags, on, "left")
-        .withColumn(SALT, F.pmod(F.col(SALT), buckets).cast("int"))
-        .drop(BUCKETS)
-    )
+    """Shuffle join on ``on`` + salt (:func:`salted_rows`); the lookup rows of a hot key go to each of its buckets."""
     lookup_salted = (
-        lookup.join(flags, on, "left")
+        lookup.join(F.broadcast(hot), on, "left")
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(BUCKETS), F.lit(1)) - 1)))
         .drop(BUCKETS)
     )
-    return big_salted.join(lookup_salted, [*on, SALT], how).drop(SALT)
+    return salted_rows(big, on, hot, null_buckets).join(lookup_salted, [*on, SALT], how).drop(SALT)
 
 
 @dataclass(frozen=True)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimflow.operators import lookup_join, positions_distributed
+from dimflow.operators.joins import BUCKETS, SALT, salted_join, salted_rows
 from dimflow.params import RunParams
 
 
@@ -72,3 +73,44 @@ def test_distributed_keys_split_a_run_of_identical_rows(spark):
         assert _share_of_largest_partition(ranged) > 0.3         # range on the key alone: one partition
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def _sales_after_a_shuffle(spark, *order):
+    """Sales that come out of a shuffle, many equal in every column; a repeated task may read its rows in any ``order``."""
+    sales = spark.range(6_000).select(
+        F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 7 == 0, None).otherwise(
+            F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), (F.col("id") % 11).alias("v"),
+        F.when(F.col("id") % 5 == 0, F.lit(1.5)).alias("w"))
+    return sales.repartition(6, "v").sortWithinPartitions(*order)
+
+
+def _orders():
+    return [("k", "v", "w"), (F.desc("w"), F.desc("v"), F.desc("k")), (F.xxhash64("k", "w"), F.asc_nulls_last("k"))]
+
+
+def test_salts_do_not_depend_on_the_order_a_task_reads(spark):
+    """Task by task, the same rows get the same salts: what another attempt writes can take the place of the first's."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = spark.createDataFrame([("HOT", 16)], f"k string, {BUCKETS} int")
+        seen = []
+        for order in _orders():
+            salted = salted_rows(_sales_after_a_shuffle(spark, *order), ["k"], hot, 8)
+            seen.append(sorted(map(str, salted.withColumn("task", F.spark_partition_id()).collect())))
+            salts = {r[0]: r[1] for r in salted.groupBy("k").agg(F.countDistinct(SALT)).collect()}
+            assert salts.pop("HOT") == 16 and salts.pop(None) == 8 and set(salts.values()) == {1}
+        assert seen[0] == seen[1] == seen[2] and len(seen[0]) == 6_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
+def test_a_join_of_mixed_attempts_keeps_every_row(spark, shuffle_joins, how):
+    """Half of the join's tasks read the first attempt's output, half that of an attempt with another row order."""
+    hot = spark.createDataFrame([("HOT", 16)], f"k string, {BUCKETS} int")
+    lookup = spark.createDataFrame([("HOT", 1), ("HOT", 2), ("k3", 3), ("k9", 4)], "k string, x int")
+    attempts = [salted_join(_sales_after_a_shuffle(spark, *order), lookup, ["k"], how, hot, 8)
+                .withColumn("task", F.spark_partition_id()) for order in _orders()[:2]]
+    mixed = attempts[0].where("task % 2 = 0").union(attempts[1].where("task % 2 = 1")).drop("task")
+    plain = _sales_after_a_shuffle(spark, "k").join(lookup, "k", how)
+    assert sorted(map(str, mixed.collect())) == sorted(map(str, plain.collect()))
