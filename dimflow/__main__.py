@@ -5,7 +5,9 @@
 
 The first run on an empty store needs ``--first-load``: a mistyped ``--dim-root`` is
 then refused instead of numbering from key 1. With ``--jdbc-url`` the dimension and
-the fact are tables of a database instead (``JDBC_PASSWORD`` names the password).
+the fact are tables of a database instead (``JDBC_PASSWORD`` names the password);
+``--jdbc-create`` makes the tables that are not there. With ``--catalog-database``
+they are Parquet tables of the session's catalog.
 
 Every path option falls back to an environment variable (``RUN_DATE``, ``HIGH_DATE``,
 ``SRC_DIR``, ``ERR_DIR``, ``DIM_ROOT``, ``FACT_PATH``); the run date defaults to
@@ -26,9 +28,10 @@ from pyspark.sql import SparkSession
 
 from dimflow.params import RunParams
 from dimflow.plans import Targets, inputs_from_store, plan, publish
-from dimflow.plans.daily_run import JdbcTables, inputs_from_jdbc, publish_jdbc
+from dimflow.plans.daily_run import JdbcTables, inputs_from_catalog, inputs_from_jdbc, publish_catalog, publish_jdbc
 from dimflow.session import cluster_conf
-from dimflow.sources import DimensionStore, JdbcTarget, read_customer_delta, read_sales_txn
+from dimflow.sources import CatalogMart, DimensionStore, JdbcTarget, read_customer_delta, read_sales_txn
+from dimflow.sources.jdbc import create_statements
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -53,13 +56,14 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--jdbc-url", default=env("JDBC_URL"))
     ap.add_argument("--jdbc-user", default=env("JDBC_USER", ""))
     ap.add_argument("--jdbc-dim-table", default='"CUSTOMER_DIM"')
-    ap.add_argument("--jdbc-expire-table", default='"CUSTOMER_DIM_EXPIRE"')
     ap.add_argument("--jdbc-fact-table", default='"SALES_FACT"')
+    ap.add_argument("--jdbc-commit-table", default='"LOAD_COMMIT"')
     ap.add_argument("--jdbc-partitions", type=int, default=32)
-    ap.add_argument("--jdbc-next-key", type=int, default=1)
+    ap.add_argument("--jdbc-create", action="store_true")
+    ap.add_argument("--catalog-database", default=env("CATALOG_DATABASE"))
     args = ap.parse_args(argv)
-    if not args.jdbc_url and not (args.dim_root and args.fact_path):
-        ap.error("--dim-root and --fact-path are needed (or --jdbc-url)")
+    if not (args.jdbc_url or args.catalog_database) and not (args.dim_root and args.fact_path):
+        ap.error("--dim-root and --fact-path are needed (or --jdbc-url, or --catalog-database)")
     return args
 
 
@@ -82,10 +86,16 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
              read_sales_txn(spark, args.src_dir, params.run_date))
     if args.jdbc_url:
         target = JdbcTarget(args.jdbc_url, args.jdbc_user, os.environ.get("JDBC_PASSWORD", ""))
-        tables = JdbcTables(target, args.jdbc_dim_table, args.jdbc_expire_table, args.jdbc_fact_table,
-                            args.jdbc_next_key, args.jdbc_partitions)
+        tables = JdbcTables(target, args.jdbc_dim_table, args.jdbc_fact_table, args.jdbc_commit_table,
+                            args.jdbc_partitions)
+        if args.jdbc_create:
+            target.apply(spark, ((sql, -1) for sql in create_statements(tables.dimension, tables.fact, tables.commits)))
         outputs = plan(inputs_from_jdbc(*feeds, tables), params)
         counts = publish_jdbc(outputs, tables, args.err_dir, params)
+    elif args.catalog_database:
+        mart = CatalogMart(args.catalog_database)
+        outputs = plan(inputs_from_catalog(*feeds, mart, params), params)
+        counts = publish_catalog(outputs, mart, params)
     else:
         store = DimensionStore(args.dim_root)
         if not args.first_load and not store.markers(spark):

@@ -12,11 +12,12 @@ writes each output once.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from dimflow import schemas as S
@@ -25,8 +26,9 @@ from dimflow.operators.joins import LookupPlan, Size, materialize_measured, meas
 from dimflow.params import RunParams
 from dimflow.session import drop_scratch, materialize, scratch_path
 from dimflow.sinks import writers
+from dimflow.sources.catalog import CatalogMart
 from dimflow.sources.dimension import DimensionStore, current_rows
-from dimflow.sources.jdbc import JdbcTarget
+from dimflow.sources.jdbc import ATTEMPT, JdbcTarget, load_statements, staging
 
 
 # Helper columns of the plan and the audit.
@@ -49,6 +51,8 @@ class Inputs:
     key_base: int | None = None          # next free surrogate key, when the store records it
     current_size: Size | None = None     # measured size of the current rows, when the store records it
     base_version: str | None = None      # the store's version these inputs were read from
+    history_rows: int | None = None      # rows of the dimension beside the current ones, when the store records it
+    seen: int | None = None              # the store's last commit when these inputs were read
 
 
 @dataclass(frozen=True)
@@ -56,6 +60,10 @@ class Outputs:
     key_base: int
     next_key: int
     base_version: str | None
+    seen: int | None
+    sales_txn: DataFrame
+    customer_delta: DataFrame
+    rows_before: tuple[int, int]  # current and all rows of the dimension before the run
     change_rows: int             # observed while the change set was written
     expired_rows: int
     new_rows: int
@@ -86,26 +94,32 @@ class Outputs:
     closing_size: Size | None = None
 
 
-def dimension_facts(inputs: Inputs, dim_current: DataFrame) -> tuple[Size, int]:
-    """Size of the current rows and the next free surrogate key.
+def dimension_facts(inputs: Inputs, dim_current: DataFrame) -> tuple[Size, int, int]:
+    """Size of the current rows, the next free surrogate key and the number of all rows.
 
-    Taken from the store when it records them (no scan at all); otherwise both
+    Taken from the store when it records them (no scan at all); otherwise all
     come from one aggregate pass over the dimension (partial per task).
     """
-    if inputs.current_size is not None and inputs.key_base is not None:
-        return inputs.current_size, inputs.key_base
-    if inputs.dimension_current is not None:
-        size = inputs.current_size or measure(dim_current)
-        base = inputs.key_base if inputs.key_base is not None else keys.key_base(inputs.dimension, S.CUSTOMER_KEY)
-        return size, base
+    size, base, history = inputs.current_size, inputs.key_base, inputs.history_rows
+    if size is not None and base is not None and history is not None:
+        return size, base, size.rows + history
     dim = inputs.dimension.select(*S.names(S.CUSTOMER_DIM))
     current = F.col("CURR_FLAG") == F.lit(S.CURRENT_FLAG)
-    row = dim.agg(F.count_if(current).alias("rows"),
+    row = dim.agg(F.count_if(current).alias("rows"), F.count(F.lit(1)).alias("all"),
                   F.sum(F.when(current, row_bytes(dim))).alias("bytes"),
                   F.max(S.CUSTOMER_KEY).alias("top")).first()
-    size = Size(int(row["rows"]), int(row["bytes"] or 0))
-    base = inputs.key_base if inputs.key_base is not None else (1 if row["top"] is None else int(row["top"]) + 1)
-    return size, base
+    if size is None and inputs.dimension_current is not None:
+        size = measure(dim_current)
+    size = size or Size(int(row["rows"]), int(row["bytes"] or 0))
+    if base is None:
+        base = 1 if row["top"] is None else int(row["top"]) + 1
+    return size, base, int(row["all"])
+
+
+def tag_sales(sales: DataFrame, lookup: LookupPlan, columns: tuple[str, ...] = ()) -> DataFrame:
+    """One left join of the sales with the lookup side: their columns, the surrogate key, a match flag, ``columns``."""
+    flagged = replace(lookup, lookup=lookup.lookup.withColumn(MATCHED, F.lit(True)))
+    return flagged.join(sales, "left", [S.CUSTOMER_KEY, MATCHED, *columns])
 
 
 def plan(inputs: Inputs, params: RunParams) -> Outputs:
@@ -116,7 +130,7 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
         feed = changes.latest_per_key(feed, S.CUSTOMER_ID, "EFF_DATE")
 
     # Size facts proven once and reused by every broadcast decision below.
-    current_size, base = dimension_facts(inputs, dim_current)
+    current_size, base, all_rows = dimension_facts(inputs, dim_current)
 
     # The change set and its keyed versions are small (one business day) and feed
     # several outputs: checkpoint them once so keys are computed exactly once.
@@ -144,8 +158,7 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     # The enriched stream (every dimension attribute) is its own inner join.
     lookup_plan = plan_lookup(inputs.sales_txn, lookup_dim, S.CUSTOMER_ID, params, lookup_size)
     dim_columns = [c for c in lookup_dim.columns if c != S.CUSTOMER_ID]
-    flagged = replace(lookup_plan, lookup=lookup_plan.lookup.withColumn(MATCHED, F.lit(True)))
-    tagged = flagged.join(inputs.sales_txn, "left", [S.CUSTOMER_KEY, MATCHED])
+    tagged = tag_sales(inputs.sales_txn, lookup_plan)
     matched = F.col(MATCHED).isNotNull()
     enriched = lookup_plan.join(inputs.sales_txn, "inner", dim_columns).select(*inputs.sales_txn.columns,
                                                                                  *dim_columns)
@@ -154,9 +167,11 @@ def plan(inputs: Inputs, params: RunParams) -> Outputs:
     rules = quality.sales_rules()
     dq_pass, dq_rejects = quality.split(enriched, rules, ["TXN_ID", "CUST_ID"])
     return Outputs(
-        key_base=base, next_key=next_key, base_version=inputs.base_version, change_rows=change_size.rows,
-        expired_rows=closing_size.rows, new_rows=new_size.rows, changes=change_set, expired=expired, new_versions=new,
-        dimension_before=inputs.dimension, closing_size=closing_size, params=params, dimension_closed=closed, current_after=cur_after,
+        key_base=base, next_key=next_key, base_version=inputs.base_version, seen=inputs.seen,
+        sales_txn=inputs.sales_txn, customer_delta=inputs.customer_delta, rows_before=(current_size.rows, all_rows),
+        change_rows=change_size.rows, expired_rows=closing_size.rows, new_rows=new_size.rows, changes=change_set, expired=expired, new_versions=new,
+        dimension_before=inputs.dimension, closing_size=closing_size, params=params, dimension_closed=closed,
+        current_after=cur_after,
         lookup_dimension=lookup_dim, lookup_plan=lookup_plan, tagged_sales=tagged, enriched=enriched,
         lookup_rejects=lookup_rejects,
         dq_pass=dq_pass, dq_rejects=dq_rejects, dq_unclassified=quality.unclassified(enriched, rules),
@@ -177,10 +192,20 @@ def errors_of(tagged: DataFrame, params: RunParams) -> DataFrame:
 
 AUDITED = ("customer_delta", "sales_txn", "dimension_current", "changes", "expired", "new_versions",
            "dimension_after", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
+SALES_CLASSES = ("lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified")
 # Counts that all come from one scan and one join of the sales.
 SALES_SIDE = ("sales_txn", "lookup_rejects", "dq_pass", "dq_rejects", "dq_unclassified", "fact", "errors")
 
 
+def sales_class() -> Column:
+    """The class of a tagged sales row: lookup reject, pass, reject or unclassified."""
+    rules = quality.sales_rules()
+    return (F.when(F.col(MATCHED).isNull(), F.lit("lookup_rejects"))
+            .when(F.coalesce(quality.pass_predicate(rules), F.lit(False)), F.lit("dq_pass"))
+            .when(F.coalesce(quality.reject_predicate(rules), F.lit(False)), F.lit("dq_rejects"))
+            .otherwise(F.lit("dq_unclassified")))
+
+
 def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
     """Rows of the sales feed and of every output derived from it, from one scan and join of the sales.
 
@@ -195,7 +220,6 @@ def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
     one group each — yields the fact's row count as the number of passing
     groups, at the cost of the fact's own partial aggregate.
     """
-    rules = quality.sales_rules()
     plan = outputs.lookup_plan
     on = list(plan.on)
     pairs = plan.side([S.CUSTOMER_KEY]).groupBy(*on, S.CUSTOMER_KEY).agg(F.count(F.lit(1)).alias(MULT))
@@ -206,12 +230,9 @@ def sales_side_counts(sales: DataFrame, outputs: Outputs) -> DataFrame:
                .withColumn(FIRST, F.col(S.CUSTOMER_KEY).eqNullSafe(F.col(LEAST))).drop(LEAST))
     joined = replace(plan, lookup=flagged).join(sales, "left", [S.CUSTOMER_KEY, MULT, FIRST])
     matched = F.col(MULT).isNotNull()
-    klass = (F.when(~matched, F.lit("lookup_rejects"))
-             .when(F.coalesce(quality.pass_predicate(rules), F.lit(False)), F.lit("dq_pass"))
-             .when(F.coalesce(quality.reject_predicate(rules), F.lit(False)), F.lit("dq_rejects"))
-             .otherwise(F.lit("dq_unclassified")))
+    joined = joined.withColumn(MATCHED, F.when(matched, F.lit(True)))
     grain = [F.when(F.col(CLASS) == "dq_pass", F.col(c)).alias(c) for c in S.FACT_GRAIN]
-    groups = (joined.withColumn(CLASS, klass)
+    groups = (joined.withColumn(CLASS, sales_class())
               .groupBy(F.col(CLASS), *grain)
               .agg(F.sum(F.coalesce(F.col(MULT), F.lit(1).cast("long"))).alias("_rows"),
                    F.count_if(~matched | F.col(FIRST)).alias("_sales")))
@@ -269,18 +290,73 @@ def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: Di
     return Inputs(customer_delta=customer_delta, sales_txn=sales_txn,
                   dimension=history.unionByName(current), dimension_current=current,
                   key_base=store.next_key(spark, base, known), current_size=store.current_size(spark, base, known),
-                  base_version=base)
+                  base_version=base, seen=store.last_number(known),
+                  history_rows=sum(m["closed_rows"] for v, m in known.items() if v < params.run_tag))
 
 
-def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:
-    """Write dimension, fact and error log once each; return the observed row counts.
+def _first_of_key(lookup: LookupPlan) -> LookupPlan:
+    """The lookup side with the row of each key's least surrogate flagged: a sales row is counted through it once."""
+    on = list(lookup.on)
+    side = lookup.side([S.CUSTOMER_KEY])
+    least = side.groupBy(*on).agg(F.min(S.CUSTOMER_KEY).alias(LEAST))
+    return replace(lookup, lookup=side.join(least, on, "left").withColumn(
+        FIRST, F.col(S.CUSTOMER_KEY) == F.col(LEAST)).drop(LEAST))
+
+
+@dataclass(frozen=True)
+class TaggedSales:
+    """The narrow joined sales of one run, written once, and the counts observed by that write."""
+
+    rows: DataFrame
+    path: str
+    counts: dict[str, int]
+
+    @staticmethod
+    def write(outputs: Outputs) -> TaggedSales:
+        """Write the one scan and join of the feed to the shared folder; fact, error log and audit are made from there.
+
+        Rows are counted in the tasks that write them, which count once however
+        often a task before them is repeated. Where the sales are not shuffled
+        that holds for their scan, too; behind a shuffle each is counted through
+        its match with the least surrogate.
+        """
+        spark = outputs.sales_txn.sparkSession
+        path = scratch_path(spark, "tagged_sales")
+        scanned = Observation(f"sales_{uuid.uuid4().hex}")
+        if outputs.lookup_plan.strategy == "salted":
+            tagged = tag_sales(outputs.sales_txn, _first_of_key(outputs.lookup_plan), (FIRST,))
+            of_sales = [F.count_if(F.col(MATCHED).isNull() | F.col(FIRST)).alias("sales_txn")]
+        else:
+            tagged, of_sales = tag_sales(outputs.sales_txn.observe(scanned, F.count(F.lit(1)).alias("sales_txn")),
+                                         outputs.lookup_plan), []
+        classed = Observation(f"classes_{uuid.uuid4().hex}")
+        counts = [F.count_if(sales_class() == name).alias(name) for name in SALES_CLASSES]
+        narrow = tagged.observe(classed, *counts, *of_sales).select(*TAGGED_COLUMNS)
+        narrow.write.parquet(path)
+        seen = {**classed.get, **({} if of_sales else scanned.get)}
+        return TaggedSales(spark.read.schema(narrow.schema).parquet(path), path, {k: int(n) for k, n in seen.items()})
+
+    def audit(self, outputs: Outputs, fact_rows: int, error_rows: int) -> DataFrame:
+        """The run's verification counts (as :func:`audit`), from what its writes observed: no input is read but the feed."""
+        current, everything = outputs.rows_before
+        counts = {"customer_delta": outputs.customer_delta.count(), "dimension_current": current,
+                  "changes": outputs.change_rows, "expired": outputs.expired_rows, "new_versions": outputs.new_rows,
+                  "dimension_after": everything + outputs.new_rows, "fact": fact_rows, "errors": error_rows, **self.counts}
+        return self.rows.sparkSession.createDataFrame([(name, counts[name]) for name in AUDITED],
+                                                      "OUTPUT string, ROW_COUNT long")
+
+
+def publish_audited(outputs: Outputs, targets: Targets, params: RunParams) -> tuple[dict[str, int], DataFrame]:
+    """Write dimension, fact and error log once each; the observed row counts and the audit made from them.
 
     The narrow tagged sales (the one scan and join of the feed) are written once
     to the shared folder; fact and error log are both made from there, so the
     feed's text is parsed once and a lost executor repeats neither. The writes
     are independent jobs and overlap. The dimension version is committed only
-    after all writes succeeded, then the fact: a run that fails anywhere leaves
-    the previous dimension live and no fact rows of its own, and its date can be
+    after all writes succeeded, then the fact, then the error log: a run that
+    fails, or finds that another one has committed since it read its inputs
+    (:class:`~dimflow.sinks.writers.CommitConflict`), leaves the previous
+    dimension and error log live and no fact rows of its own, and its date can be
     run again.
     """
     spark = outputs.fact.sparkSession
@@ -293,52 +369,92 @@ def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str,
                                                  params.run_date, bool(outputs.new_rows), bool(outputs.expired_rows))
         return writers.stage_dimension_version(store, outputs.current_after, outputs.dimension_closed, params.run_date)
 
-    path = scratch_path(spark, "tagged_sales")
     with ThreadPoolExecutor(max_workers=3, thread_name_prefix="dimflow-publish") as pool:
         staged = pool.submit(dimension)
-        narrow = outputs.tagged_sales.select(*TAGGED_COLUMNS)
-        narrow.write.parquet(path)
-        tagged = spark.read.schema(narrow.schema).parquet(path)
-        fact = pool.submit(writers.stage_fact, fact_of(tagged), targets.fact_path, params.run_date)
-        error_log = pool.submit(writers.write_error_log, errors_of(tagged, params), targets.error_dir, params.run_date)
-        staged_version, staged_fact, n_errors = staged.result(), fact.result(), error_log.result()
-    counts = writers.commit_dimension_version(spark, store, staged_version, outputs.next_key)
+        tagged = TaggedSales.write(outputs)
+        fact = pool.submit(writers.stage_fact, fact_of(tagged.rows), targets.fact_path, params.run_date)
+        log = pool.submit(writers.stage_error_log, errors_of(tagged.rows, params), targets.error_dir, params.run_date)
+        staged_version, staged_fact, staged_log = staged.result(), fact.result(), log.result()
+    counts = writers.commit_dimension_version(spark, store, staged_version, outputs.next_key, outputs.seen)
     counts.update({"fact": writers.commit_fact(spark, targets.fact_path, staged_fact, targets.fact_mode),
-                   "errors": n_errors})
-    drop_scratch(spark, path)
-    return counts
+                   "errors": writers.commit_error_log(spark, targets.error_dir, staged_log)})
+    audited = tagged.audit(outputs, staged_fact.rows, staged_log.rows)
+    drop_scratch(spark, tagged.path)
+    return counts, audited
+
+
+def publish(outputs: Outputs, targets: Targets, params: RunParams) -> dict[str, int]:
+    """:func:`publish_audited` without the audit."""
+    return publish_audited(outputs, targets, params)[0]
+
+
+def inputs_from_catalog(customer_delta: DataFrame, sales_txn: DataFrame, mart: CatalogMart, params: RunParams) -> Inputs:
+    """Inputs of a run against tables of the catalog, which are made if they are not there."""
+    spark = sales_txn.sparkSession
+    mart.ensure(spark)
+    return Inputs(customer_delta=customer_delta, sales_txn=sales_txn,
+                  dimension=mart.read_dimension(spark, params.run_date))
+
+
+def publish_catalog(outputs: Outputs, mart: CatalogMart, params: RunParams) -> dict[str, int]:
+    """Insert fact, error log and, last, the versions opened and closed, each in the place of the date's earlier rows."""
+    spark = outputs.fact.sparkSession
+    tagged = TaggedSales.write(outputs)
+    closed = materialize(outputs.dimension_closed)  # read from the table that is about to change
+    mart.overwrite(fact_of(tagged.rows), mart.fact, S.SALES_FACT, params.run_date)
+    mart.overwrite(errors_of(tagged.rows, params), mart.errors, S.ERROR_LOG, params.run_date)
+    opened = outputs.new_versions.select(*S.names(S.CUSTOMER_DIM))
+    mart.overwrite(opened.unionByName(closed.select(*opened.columns)), mart.dimension_rows, S.CUSTOMER_DIM, params.run_date)
+    drop_scratch(spark, tagged.path)
+    return {"dim_new": outputs.new_rows, "dim_closed": outputs.expired_rows, **tagged.counts}
 
 
 @dataclass(frozen=True)
 class JdbcTables:
-    """Tables of a relational mart; ``next_key`` is the first free surrogate key, kept by the caller."""
+    """Tables of a relational mart; staging tables and the table of commits are beside them."""
 
     target: JdbcTarget
     dimension: str
-    expire: str
     fact: str
-    next_key: int
+    commits: str
     partitions: int
 
 
 def inputs_from_jdbc(customer_delta: DataFrame, sales_txn: DataFrame, tables: JdbcTables) -> Inputs:
-    """Inputs of a run against a relational dimension, read in ranges of the keys given out so far."""
-    current = tables.target.read_current_dim(sales_txn.sparkSession, tables.dimension, 1, max(1, tables.next_key - 1),
-                                             tables.partitions)
+    """Inputs of a run against a relational dimension, read in ranges of its keys; the next key is asked of the database."""
+    spark = sales_txn.sparkSession
+    next_key = tables.target.next_key(spark, tables.dimension)
+    current = tables.target.read_current_dim(spark, tables.dimension, 1, max(1, next_key - 1), tables.partitions)
     return Inputs(customer_delta=customer_delta, sales_txn=sales_txn, dimension=current, dimension_current=current,
-                  key_base=tables.next_key)
+                  key_base=next_key)
 
 
 def publish_jdbc(outputs: Outputs, tables: JdbcTables, error_dir: str, params: RunParams) -> dict[str, int]:
-    """Append the new versions and the fact, replace the expire table, write the error log; nothing for zero rows."""
-    target, fact = tables.target, materialize(outputs.fact)
-    n_fact = fact.count()
-    if outputs.expired_rows:
-        target.replace(outputs.expired, tables.expire)
-    if outputs.new_rows:
-        target.append(outputs.new_versions.select(*S.names(S.CUSTOMER_DIM)), tables.dimension)
-    if n_fact:
-        target.append(fact, tables.fact)
-    return {"dim_new": outputs.new_rows, "dim_expire": outputs.expired_rows, "fact": n_fact,
-            "errors": writers.write_error_log(outputs.errors, error_dir, params.run_date),
-            "next_key": outputs.next_key}
+    """Stage the outputs under an attempt id, then apply them in one transaction, then commit the error log.
+
+    The transaction takes the run date in the table of commits, which the
+    database allows once, and checks that no other run has used the keys since.
+    A date that is already committed is not loaded again (``already_loaded``),
+    and staged rows of failed or repeated tasks count once: rows are told apart
+    by value, and dimension rows by key. Nothing is staged for zero rows.
+    """
+    spark, target = outputs.fact.sparkSession, tables.target
+    if target.is_committed(spark, tables.commits, params.run_tag):
+        return {"already_loaded": 1}
+    attempt = uuid.uuid4().hex
+    tagged = TaggedSales.write(outputs)
+    fact = materialize(fact_of(tagged.rows))
+    log = writers.stage_error_log(errors_of(tagged.rows, params), error_dir, params.run_date)
+    staged = {"dimension": outputs.new_rows, "expire": outputs.expired_rows, "fact": fact.count()}
+    frames = {"dimension": outputs.new_versions.select(*S.names(S.CUSTOMER_DIM)), "expire": outputs.expired, "fact": fact}
+    names = {"dimension": staging(tables.dimension), "expire": staging(tables.dimension, "EXPIRE"),
+             "fact": staging(tables.fact)}
+    for part, rows in staged.items():
+        if rows:
+            target.append(frames[part].withColumn(ATTEMPT, F.lit(attempt)), names[part])
+    target.apply(spark, load_statements(tables.dimension, tables.fact, tables.commits, attempt, params.run_tag,
+                                        outputs.key_base, staged))
+    writers.commit_error_log(spark, error_dir, log)
+    drop_scratch(spark, tagged.path)
+    return {"dim_new": outputs.new_rows, "dim_expire": outputs.expired_rows, "fact": staged["fact"],
+            "errors": log.rows, "next_key": outputs.next_key}

@@ -230,7 +230,7 @@ day{day} AS (
               THEN 'N' ELSE CURR_FLAG END AS CURR_FLAG
   FROM {before}
   UNION ALL
-  SELECT CAST((SELECT max(CUST_KEY) FROM {before}) + row_number() OVER (ORDER BY {KEY_ORDER}) AS INTEGER),
+  SELECT CAST(coalesce((SELECT max(CUST_KEY) FROM {before}), 0) + row_number() OVER (ORDER BY {KEY_ORDER}) AS INTEGER),
          CUST_ID, {", ".join(ATTRS)}, {run_date}, {HIGH_DATE}, 'Y' FROM edit{day}
 )"""
 
@@ -239,6 +239,11 @@ TWO_DAYS = _with(ADAPTERS, _replay_day(1, RUN_DATE, EXPIRY_DATE, "SEGMENT", "dim
                  _replay_day(2, "DATE '2026-07-29'", RUN_DATE, "CASE WHEN CUST_ID LIKE '%5' THEN 'RAISED' ELSE SEGMENT END",
                              "day1")) + "\nSELECT * FROM day2"
 
+FIRST_DAYS = _with(ADAPTERS, "\nempty_dim AS (SELECT * FROM dimension WHERE FALSE)",
+                   _replay_day(1, RUN_DATE, EXPIRY_DATE, "SEGMENT", "empty_dim"),
+                   _replay_day(2, "DATE '2026-07-29'", RUN_DATE,
+                               "CASE WHEN CUST_ID LIKE '%5' THEN 'RAISED' ELSE SEGMENT END", "day1")) + "\nSELECT * FROM day2"
+
 ORACLE: dict[str, str] = {
     "scan_customer_delta_csv": _with(ADAPTERS) + "\nSELECT * FROM customer_delta",
     "scan_sales_csv": _with(ADAPTERS) + "\nSELECT * FROM sales_txn",
@@ -267,6 +272,7 @@ FROM sales_txn WHERE CUST_ID IS NULL OR AMOUNT <= 0 OR QTY <= 0 OR TXN_DATE IS N
     "scd2_new_versions": _on_full("SELECT * FROM new_versions"),
     "dim_after_load": _on_full("SELECT * FROM dim_after"),
     "dim_two_day": TWO_DAYS,
+    "dim_catalog_two_day": FIRST_DAYS,
     "dim_versioned_roundtrip": _on_full("SELECT * FROM dim_after"),
     "sales_fact_aggregate": _on_full("SELECT * FROM fact_pre"),
     "sales_sorted": _on_full("SELECT * FROM dq_pass_pre ORDER BY CUST_KEY, PRODUCT_ID, STORE_ID"),
@@ -275,4 +281,5 @@ FROM sales_txn WHERE CUST_ID IS NULL OR AMOUNT <= 0 OR QTY <= 0 OR TXN_DATE IS N
     "fact_append_roundtrip": _on_full("SELECT * FROM fact_post"),
     "error_log_roundtrip": _on_full("SELECT * FROM errors_post"),
     "load_audit": _on_full(AUDIT),
+    "load_audit_observed": _on_full(AUDIT),
 }

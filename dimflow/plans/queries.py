@@ -16,12 +16,24 @@ from pyspark.sql import DataFrame, SparkSession
 from dimflow import schemas as S
 from dimflow.operators import changes, facts, keys, lookup, quality, scd2
 from dimflow.params import RunParams
-from dimflow.plans.daily_run import Inputs, Outputs, Targets, audit, inputs_from_store, plan, publish
+from dimflow.plans.daily_run import (
+    Inputs,
+    Outputs,
+    Targets,
+    audit,
+    inputs_from_catalog,
+    inputs_from_store,
+    plan,
+    publish,
+    publish_audited,
+    publish_catalog,
+)
 from dimflow.session import materialize, scratch_path
 from dimflow.sinks import writers
 from dimflow.sources import feeds
 from dimflow.sources import fixtures as fx
-from dimflow.sources.dimension import DimensionStore, current_rows, empty_dimension
+from dimflow.sources.catalog import CatalogMart
+from dimflow.sources.dimension import DimensionStore, current_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -230,6 +242,23 @@ def dim_two_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_all(spark)
 
 
+def _catalog_days(spark: SparkSession, sf_dir: str) -> CatalogMart:
+    """Two days in a row from an empty catalog."""
+    folder = scratch_path(spark, "catalog")
+    mart = CatalogMart("dimflow_" + folder.rsplit("-", 1)[1], folder)
+    for day, feed in ((PARAMS.run_date, fx.customer_delta), (PARAMS.run_date + dt.timedelta(days=1), fx.next_day_delta)):
+        params = PARAMS.with_(run_date=day, dedupe_feed=True)
+        inputs = inputs_from_catalog(feed(spark, sf_dir), fx.sales_txn(spark, sf_dir), mart, params)
+        publish_catalog(plan(inputs, params), mart, params)
+    return mart
+
+
+@query("dim_catalog_two_day")
+def dim_catalog_two_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dimension's view after a first load into an empty catalog and a day on top of it."""
+    return spark.table(_catalog_days(spark, sf_dir).dimension)
+
+
 # ---- facts, errors, audit (A1-A5, O1, U1, N2, N3, M2-M4) -----------------------------------------
 
 @query("sales_fact_aggregate")
@@ -270,3 +299,10 @@ def error_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = fixture_inputs(spark, sf_dir)
     return audit(inputs, plan(inputs, PARAMS))
+
+
+@query("load_audit_observed")
+def load_audit_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of a whole run from the counts its writes observed: the sales are read once, by the run itself."""
+    targets = _targets(spark, DimensionStore(scratch_path(spark, "dim_store")))
+    return publish_audited(run(spark, sf_dir), targets, PARAMS)[1]

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
@@ -97,5 +98,46 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove one path made by :func:`scratch_path`, once nothing reads it any more."""
     if "/dimflow-scratch/" not in path:
         raise ValueError(f"not a scratch path: {path}")
+    remove(spark, path)
+
+
+def claim(spark: SparkSession, folder: str, number: int, owner: str) -> bool:
+    """Put ``owner`` under ``number`` in ``folder`` unless the number is taken: of several runs one gets it.
+
+    The file is written aside and renamed without overwriting, so it appears
+    whole or not at all; that step is as atomic as the file system's rename.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    rename = getattr(fs, "Options$Rename")
+    folder = folder.rstrip("/")
+    target, aside = fs.Path(f"{folder}/{number:012d}"), fs.Path(f"{folder}/.{owner}-{uuid.uuid4().hex}")
+    conf = spark._jsc.hadoopConfiguration()
+    out = target.getFileSystem(conf).create(aside, False)
+    try:
+        out.write(f"{number} {owner}\n".encode())
+    finally:
+        out.close()
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.NONE
+    try:
+        fs.FileContext.getFileContext(target.getFileSystem(conf).getUri(), conf).rename(aside, target, options)
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in str(e.java_exception.getClass().getName()):
+            raise
+        aside.getFileSystem(conf).delete(aside, False)
+        return False
+
+
+def claims(spark: SparkSession, folder: str) -> dict[str, int]:
+    """``{owner: number}`` of all numbers taken in ``folder`` (a line each; none if there is no such folder)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return {}
+    lines = [r["value"].split(" ", 1) for r in spark.read.text(folder).collect()]
+    return {owner: int(number) for number, owner in lines}
+
+
+def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

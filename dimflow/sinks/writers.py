@@ -1,15 +1,18 @@
 """Writers for the three outputs, each written once per run.
 
 * Dimension — under a fresh attempt id: the new versions (or, from time to time,
-  all current rows) and the versions closed by this run, then the commit marker.
-  Nothing that is being read is overwritten, and a run that dies before the
-  marker leaves the previous version live (its files are never read).
+  all current rows) and the versions closed by this run, then the marker, then the
+  commit, which only one of several runs that read the same state can make.
+  Nothing that is being read is overwritten, and a run that dies or loses before
+  its commit leaves the previous version live (its files are never read).
 * Fact — Parquet under ``LOAD_DATE`` and an attempt id, then a commit marker that
   readers follow, so a run that dies in between leaves no fact rows behind.
   ``append`` matches the original (a re-run appends again); ``replace_run`` puts
   this run's rows in the place of the date's earlier ones.
-* Error log — CSV with a header at ``<err_dir>/sales_errors_<run_date>.dat``
-  (a directory of part files), overwritten, written even when empty.
+* Error log — CSV with a header at ``<err_dir>/sales_errors_<run_date>.dat``, a
+  directory of part files in a folder by attempt, written even when empty. The
+  commit names the attempt that readers follow and then removes the ones before
+  it, so a run that fails leaves the date's earlier log.
 
 An output without rows is not committed as data: zero new versions, closed
 versions or fact rows add no part for readers to open.
@@ -28,12 +31,17 @@ from pyspark.sql import types as T
 from dimflow import schemas as S
 from dimflow.operators.joins import row_bytes
 from dimflow.sources.dimension import MARKER_SCHEMA, DimensionStore, read_if_present
+from dimflow.session import claim, claims, remove
 from dimflow.sources.feeds import read_feed
 
 LOAD_DATE = "LOAD_DATE"
 FACT_MODES = ("append", "replace_run")
 
 
+class CommitConflict(RuntimeError):
+    """Another run has committed since this one read its inputs; run the date again."""
+
+
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Attach row and byte counters that are filled while the write runs (no extra pass)."""
     obs = Observation(name)
@@ -100,25 +108,30 @@ def stage_dimension_delta(store: DimensionStore, base: dict, new: DataFrame, clo
 
 
 def commit_dimension_version(spark: SparkSession, store: DimensionStore, staged: StagedVersion,
-                             next_key: int) -> dict[str, int]:
-    """Write the commit marker: from now on readers see the staged version.
+                             next_key: int, seen: int | None = None) -> dict[str, int]:
+    """Commit the staged version: from now on readers see it.
 
     ``next_key`` — first surrogate key the next run may use; kept in the marker so
     later runs need not scan the dimension for its maximum key. The measured
     size of the current rows goes there too: the next run's broadcast decisions
-    need no scan of the dimension either.
+    need no scan of the dimension either. ``seen`` — the last commit number when
+    the run read its inputs (default: the last one now); if it is no longer the
+    last, :class:`CommitConflict` is raised and nothing changes.
     """
     marker = spark.createDataFrame(
         [(staged.version, staged.attempt, int(next_key), None, staged.current_rows, staged.current_bytes,
           staged.closed_rows, list(staged.parts), list(staged.minus))],
         MARKER_SCHEMA).withColumn("committed_at", F.current_timestamp()).select(*MARKER_SCHEMA.names)
     marker.coalesce(1).write.mode("errorifexists").parquet(store.marker_path(staged.version, staged.attempt))
+    seen = store.last_number(store.markers(spark)) if seen is None else seen
+    if not claim(spark, store.claims_dir, seen + 1, staged.attempt):
+        raise CommitConflict(f"{store.root}: another run committed after number {seen}; run {staged.version} again")
     return {"dim_current": staged.current_rows, "dim_closed": staged.closed_rows}
 
 
 def write_dimension_version(store: DimensionStore, current: DataFrame, closed: DataFrame,
                             run_date: dt.date, next_key: int) -> dict[str, int]:
-    """Publish one run's dimension: all current rows, closed versions, then the marker."""
+    """Publish one run's dimension: all current rows, closed versions, the marker, the commit."""
     staged = stage_dimension_version(store, current, closed, run_date)
     return commit_dimension_version(current.sparkSession, store, staged, next_key)
 
@@ -182,15 +195,49 @@ def error_log_path(err_dir: str, run_date: dt.date) -> str:
     return f"{err_dir.rstrip('/')}/sales_errors_{run_date.isoformat()}.dat"
 
 
-def write_error_log(errors: DataFrame, err_dir: str, run_date: dt.date) -> int:
+@dataclass(frozen=True)
+class StagedErrors:
+    run_date: dt.date
+    attempt: str
+    rows: int
+
+
+def stage_error_log(errors: DataFrame, err_dir: str, run_date: dt.date) -> StagedErrors:
+    """Write the error log under a fresh attempt id; nothing reads it until :func:`commit_error_log`."""
     # Rejects are a thin filter over every split of the sales: only they are
     # rebalanced, so the log is a few files of the advisory size, not one per split.
+    attempt = _attempt()
     out, obs = _counted(errors.select(*S.names(S.ERROR_LOG)).hint("rebalance"), "errors")
-    (out.write.mode("overwrite")
+    (out.write.mode("errorifexists")
      .option("header", "true").option("nullValue", "NULL").option("dateFormat", "yyyy-MM-dd")
-     .csv(error_log_path(err_dir, run_date)))
-    return obs.get["rows"]
+     .csv(f"{error_log_path(err_dir, run_date)}/attempt={attempt}"))
+    return StagedErrors(run_date, attempt, int(obs.get["rows"]))
+
+
+def _log_commits(spark: SparkSession, path: str) -> dict[str, int]:
+    return claims(spark, f"{path}/_commits")
+
+
+def commit_error_log(spark: SparkSession, err_dir: str, staged: StagedErrors) -> int:
+    """Make a staged log the date's log, in the place of an earlier one."""
+    path = error_log_path(err_dir, staged.run_date)
+    earlier = _log_commits(spark, path)
+    number = max(earlier.values(), default=0) + 1
+    while not claim(spark, f"{path}/_commits", number, staged.attempt):
+        number += 1
+    for attempt in earlier:
+        remove(spark, f"{path}/attempt={attempt}")
+    return staged.rows
+
+
+def write_error_log(errors: DataFrame, err_dir: str, run_date: dt.date) -> int:
+    return commit_error_log(errors.sparkSession, err_dir, stage_error_log(errors, err_dir, run_date))
 
 
 def read_error_log(spark: SparkSession, err_dir: str, run_date: dt.date) -> DataFrame:
-    return read_feed(spark, error_log_path(err_dir, run_date), S.ERROR_LOG)
+    """The date's committed error log; none if nothing has been committed."""
+    path = error_log_path(err_dir, run_date)
+    commits = _log_commits(spark, path)
+    if not commits:
+        return spark.createDataFrame([], S.ERROR_LOG)
+    return read_feed(spark, f"{path}/attempt={max(commits, key=commits.get)}", S.ERROR_LOG)

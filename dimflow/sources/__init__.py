@@ -1,5 +1,6 @@
 """Sources: dated CSV feeds, the versioned dimension, JDBC options, test adapters."""
 
+from dimflow.sources.catalog import CatalogMart
 from dimflow.sources.dimension import DimensionStore, current_rows, empty_dimension
 from dimflow.sources.feeds import (
     FEED_OPTIONS,
@@ -12,6 +13,7 @@ from dimflow.sources.feeds import (
 from dimflow.sources.jdbc import JdbcTarget
 
 __all__ = [
+    "CatalogMart",
     "DimensionStore",
     "FEED_OPTIONS",
     "JdbcTarget",

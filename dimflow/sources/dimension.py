@@ -6,15 +6,21 @@ version live:
 
 * ``<root>/current/v=<run_date>/attempt=<id>/``      rows a run made current: all of them, or only the new versions
 * ``<root>/history/EXPIRED_ON=<date>/attempt=<id>/`` versions closed by that run (append-only)
-* ``<root>/_versions/v=<run_date>/a=<id>/``          commit marker, written last
+* ``<root>/_versions/v=<run_date>/a=<id>/``          marker: what the version consists of
+* ``<root>/_claims/<number>``                        the commit: the attempt that took the number
 
-The marker is the switch. It names the ``parts`` that hold the current rows (one
+A run commits by taking the number after the last one it saw when it read its
+inputs, which only one run can do (:func:`dimflow.session.claim`). Of two runs
+that read the same state, of one date or of two, the loser fails and none of its
+surrogate keys is ever read. Markers without a number are not read.
+
+The marker names the ``parts`` that hold the current rows (one
 whole set and the new versions of the runs since) and the closed parts to take
 away from them, so a run writes in proportion to its changes, and a run without
 changes writes its marker alone. After some runs a whole set is written again.
 Markers are append-only too: a re-run of a date adds a newer marker instead of
-replacing the old one. Readers take the newest marker per date and read only the
-parts that markers name: files of a failed attempt are never listed or read, and
+replacing the old one. Readers take each date's marker of the highest number and
+read only the parts that markers name: files of a failed attempt are never listed or read, and
 a re-run deletes nothing.
 """
 
@@ -30,7 +36,7 @@ from pyspark.sql import types as T
 
 from dimflow import schemas as S
 from dimflow.operators.joins import Size
-
+from dimflow.session import claims
 
 MARKER_SCHEMA = T.StructType([T.StructField("version", T.StringType()),
                               T.StructField("attempt", T.StringType()),
@@ -92,17 +98,28 @@ class DimensionStore:
     def closed_path(self, version: str, attempt: str) -> str:
         return f"{self.history_dir}/EXPIRED_ON={version}/attempt={attempt}"
 
+    @property
+    def claims_dir(self) -> str:
+        return f"{self.root.rstrip('/')}/_claims"
+
     def marker_path(self, version: str, attempt: str) -> str:
         return f"{self.versions_dir}/v={version}/a={attempt}"
 
     def markers(self, spark: SparkSession) -> dict[str, dict]:
-        """Committed ``{version: marker}``: the newest marker of each run date (a few tiny rows per date)."""
+        """Committed ``{version: marker}``: the newest marker of each run date (a few tiny rows per date).
+
+        Each holds its ``number`` besides; the highest is the state that was read.
+        """
+        taken = claims(spark, self.claims_dir)  # first: a marker is there before its number is taken
         found = read_if_present(spark.read.schema(MARKER_SCHEMA).option("recursiveFileLookup", "true"),
                                 self.versions_dir)
-        newest: dict[str, dict] = {}
-        for r in sorted(found.collect() if found else [], key=lambda r: (r["committed_at"], r["attempt"])):
-            newest[r["version"]] = r.asDict()
-        return newest
+        committed = [r.asDict() | {"number": taken[r["attempt"]]} for r in (found.collect() if found else [])
+                     if r["attempt"] in taken]
+        return {m["version"]: m for m in sorted(committed, key=lambda m: m["number"])}
+
+    @staticmethod
+    def last_number(known: dict[str, dict]) -> int:
+        return max((m["number"] for m in known.values()), default=0)
 
     def _markers(self, spark: SparkSession, known: dict[str, dict] | None) -> dict[str, dict]:
         """``known`` — markers already read in this run (one read serves every lookup below)."""

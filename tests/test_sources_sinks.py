@@ -13,7 +13,7 @@ from dimflow import schemas as S
 from dimflow.params import RunParams
 from dimflow.plans import Targets, inputs_from_store, plan, publish
 from dimflow.sinks import read_error_log, read_fact, write_error_log, write_fact
-from dimflow.sources import DimensionStore, JdbcTarget, feed_path, read_customer_delta, read_sales_txn
+from dimflow.sources import DimensionStore, feed_path, read_customer_delta, read_sales_txn
 
 D = dt.date
 
@@ -275,43 +275,6 @@ def test_error_log_round_trip(spark, workdir):
     assert rows(read_error_log(spark, workdir, RUN)) == rows(errors)
 
 
-def test_jdbc_option_maps():
-    t = JdbcTarget(url="jdbc:postgresql://db:5432/mart", user="u", password="p")
-    assert t.write_options('"SALES_FACT"') == {
-        "url": "jdbc:postgresql://db:5432/mart", "user": "u", "password": "p",
-        "driver": "org.postgresql.Driver", "dbtable": '"SALES_FACT"', "batchsize": "10000"}
-    opts = t.current_dim_read_options('"CUSTOMER_DIM"', 1, 1000, 4)
-    assert opts["partitionColumn"] == "CUST_KEY" and opts["numPartitions"] == "4"
-    assert "\"CURR_FLAG\" = 'Y'" in opts["dbtable"]
-    assert "password" not in repr(t)
-    with pytest.raises(ValueError):
-        t.current_dim_read_options("T", 10, 1, 2)
-    with pytest.raises(ValueError):
-        t.current_dim_read_options("T", 1, 10, 0)
-
-
-def test_jdbc_run_writes_only_outputs_with_rows(spark, workdir, monkeypatch):
-    """The run's outputs reach the right tables; the database itself is not needed for that."""
-    from dimflow.plans.daily_run import JdbcTables, inputs_from_jdbc, publish_jdbc
-
-    src = _stage(workdir, RUN)
-    current = spark.createDataFrame(
-        [(7, "Q7", "Harbour Tiles", "Dock 1", "Lindholm", "NV", "00501", "RETAIL", D(2026, 1, 1), D(9999, 12, 31), "Y")],
-        S.CUSTOMER_DIM)
-    written = {}
-    monkeypatch.setattr(JdbcTarget, "read_current_dim", lambda self, spark, *read: written.update(read=read) or current)
-    monkeypatch.setattr(JdbcTarget, "append", lambda self, df, table: written.update({table: df.count()}))
-    monkeypatch.setattr(JdbcTarget, "replace", lambda self, df, table: written.update({table: df.count()}))
-    tables = JdbcTables(JdbcTarget("jdbc:x", "u", "p"), "DIM", "EXPIRE", "FACT", next_key=8, partitions=4)
-    feeds = (read_customer_delta(spark, src, RUN), read_sales_txn(spark, src, RUN))
-    counts = publish_jdbc(plan(inputs_from_jdbc(*feeds, tables), P), tables, os.path.join(workdir, "err"), P)
-    assert written == {"read": ("DIM", 1, 7, 4), "EXPIRE": 1, "DIM": 5, "FACT": 5}
-    assert counts == {"dim_new": 5, "dim_expire": 1, "fact": 5, "errors": 6, "next_key": 13}
-    written.clear()
-    nothing = (feeds[0].where("false"), feeds[1].where("false"))
-    publish_jdbc(plan(inputs_from_jdbc(*nothing, tables), P), tables, os.path.join(workdir, "err"), P)
-    assert set(written) == {"read"}
-
 def test_rerun_adds_a_marker_and_a_dead_attempt_is_never_read(spark, workdir):
     src = _stage(workdir, RUN)
     store, _, _ = _run_day(spark, workdir, src, P)
