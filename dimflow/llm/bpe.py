@@ -11,7 +11,8 @@ can be appended exactly (:meth:`PrefixTable.append`) and an edit re-encodes only
 what follows it (:meth:`PrefixTable.replace`).
 
 Texts are cut into pieces by the tokenizer's pattern first; each piece is
-encoded by itself.
+encoded by itself. The tokens that end at each byte come from one walk of an
+automaton of all tokens over the piece.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 
+import ahocorasick
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import ship_package, text_of
 
-CACHED_PIECES = 150_000  # pieces, and pairs of tokens, a Python worker remembers before it starts afresh
+CACHED = 150_000  # pieces, and pairs of tokens, in each of the two generations that a task remembers
 CACHED_BYTES = 64  # longer pieces are encoded each time
 
 
@@ -38,18 +40,42 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+class Recent:
+    """What was found for recent keys: up to ``CACHED`` of the newest and, of the same number before, those still used."""
+
+    def __init__(self):
+        self.new, self.old = {}, {}
+
+    def put(self, key, value):
+        if len(self.new) >= CACHED:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+        return value
+
+
 class Vocabulary:
     """Token tables and the test which two tokens may stand side by side."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], halves: list[tuple[int, int] | None] | None = None):
         self.ranks = ranks
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        # Every ending of a token: the token it is itself, or -1.
-        self.endings = {token[i:]: -1 for token in ranks for i in range(len(token))} | ranks
-        self.known: dict[tuple[int | None, int], bool] = {}  # pairs tested before
-        self._halves: dict[int, tuple[int, int] | None] = {}
+        self.lengths = list(map(len, self.bytes_of))
+        self.longest = max(self.lengths, default=0)
+        self.pairs = Recent()
+        self._ending = ahocorasick.Automaton()
+        for token, rank in ranks.items():
+            self._ending.add_word(token.decode("latin-1"), rank)  # a character for each byte
+        if ranks:
+            self._ending.make_automaton()
+        # The two tokens whose merge made each token; none for a single byte.
+        self.halves = halves if halves is not None else [
+            tuple(self.merge(token, until=2)) if len(token) > 1 else None for token in self.bytes_of]
+
+    def tokens_in(self, data: bytes) -> Iterator[tuple[int, int]]:
+        """``(last byte, token)`` of every token found in ``data``, by last byte, longest first."""
+        return self._ending.iter(data.decode("latin-1"))
 
     def merge(self, data: bytes, until: int = 1) -> list[int]:
         """Ids by merging neighbours of the lowest rank first, until ``until`` are left: the definition, for a token."""
@@ -62,35 +88,23 @@ class Vocabulary:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
-    def halves(self, token: int) -> tuple[int, int] | None:
-        """The two tokens whose merge made ``token``; none for a single byte."""
-        if token not in self._halves:
-            data = self.bytes_of[token]
-            self._halves[token] = tuple(self.merge(data, until=2)) if len(data) > 1 else None
-        return self._halves[token]
-
-    def beside(self, pair: tuple[int | None, int]) -> bool:
-        """May the second token follow the first (None: may it be the first)?"""
-        if len(self.known) >= CACHED_PIECES:
-            self.known.clear()
-        left, right = pair
-        fits = self.merge(self.bytes_of[right]) == [right] if left is None else self._apart(left, right)
-        self.known[pair] = fits
-        return fits
-
-    def _apart(self, left: int, right: int) -> bool:
-        """Would merging never have joined bytes across the border of the two?
-
-        The merges that made them are undone, latest first. Whenever the tokens
-        then at the border could merge, they would have done so before the merge
-        just undone if theirs has the lower rank (on equal ranks the leftmost goes
-        first).
+    def beside(self, left: int, right: int) -> bool:
+        """May the second token follow the first (-1: may it be the first)?
+
+        It may if merging would never have joined bytes across the border of the
+        two. The merges that made them are undone, latest first. Whenever the
+        tokens then at the border could merge, they would have done so before the
+        merge just undone if theirs has the lower rank (on equal ranks the
+        leftmost goes first).
         """
-        next_merge = len(self.bytes_of)
+        bytes_of, rank_of, halves = self.bytes_of, self.ranks.get, self.halves
+        if left < 0:
+            return self.merge(bytes_of[right]) == [right]
+        next_merge = len(bytes_of)
         while True:
-            if self.ranks.get(self.bytes_of[left] + self.bytes_of[right], next_merge) < next_merge:
+            if rank_of(bytes_of[left] + bytes_of[right], next_merge) < next_merge:
                 return False
-            made_left, made_right = self.halves(left), self.halves(right)
+            made_left, made_right = halves[left], halves[right]
             if made_left and (left > right or not made_right):
                 next_merge, left = left, made_left[1]
             elif made_right:
@@ -108,25 +122,24 @@ class PrefixTable:
 
     def append(self, more: bytes) -> PrefixTable:
         """Extend by ``more``; nothing before it is looked at again but the tokens that end there."""
-        vocabulary, start = self.vocabulary, len(self.data)
+        vocabulary, last = self.vocabulary, self.last
+        lengths, pairs, many = vocabulary.lengths, vocabulary.pairs, len(vocabulary.bytes_of)
+        base = max(0, len(self.data) - vocabulary.longest + 1)  # no token that ends in ``more`` starts before
+        done = len(self.data)  # prefixes up to here are known
         self.data += more
-        data, last, ending, known = self.data, self.last, vocabulary.endings.get, vocabulary.known.get
-        for end in range(start + 1, len(data) + 1):
-            ends_here, at = [], end
-            while at:
-                at -= 1
-                token = ending(data[at:end])
-                if token is None:
-                    break
-                if token >= 0:
-                    ends_here.append((at, token))
-            while True:  # longest first
-                at, token = ends_here.pop()
-                pair = (last[at - 1] if at else None, token)
-                fits = known(pair)
-                if vocabulary.beside(pair) if fits is None else fits:
-                    break
-            last.append(token)
+        for end, token in vocabulary.tokens_in(self.data[base:] if base else self.data):
+            end += base
+            if end >= done:
+                at = end - lengths[token]
+                left = last[at] if at >= 0 else -1
+                pair = left * many + token
+                fits = pairs.new.get(pair)
+                if fits is None:
+                    fits = pairs.old.get(pair)
+                    fits = pairs.put(pair, vocabulary.beside(left, token) if fits is None else fits)
+                if fits:
+                    last.append(token)
+                    done += 1
         return self
 
     def replace(self, at: int, length: int, new: bytes) -> PrefixTable:
@@ -137,51 +150,42 @@ class PrefixTable:
         return self.append(after)
 
     def ids(self) -> list[int]:
-        out, end = [], len(self.data)
-        while end:
-            token = self.last[end - 1]
+        out, at, last, lengths = [], len(self.data) - 1, self.last, self.vocabulary.lengths
+        while at >= 0:
+            token = last[at]
             out.append(token)
-            end -= len(self.vocabulary.bytes_of[token])
-        return out[::-1]
+            at -= lengths[token]
+        out.reverse()
+        return out
 
 
 class Encoder:
     """Encodes texts piece by piece, and decodes ids; remembers pieces seen before."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.vocabulary = Vocabulary(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, halves: list | None = None):
+        self.vocabulary = Vocabulary(ranks, halves)
         self.pieces = regex.compile(pattern).findall
-        self._known: dict[str, bytes] = {}
+        self._known = Recent()
 
     def _packed(self, piece: str) -> bytes:
-        ids = PrefixTable(self.vocabulary, piece.encode()).ids()
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= CACHED_BYTES:
-            if len(self._known) >= CACHED_PIECES:
-                self._known.clear()
-            self._known[piece] = packed
-        return packed
+        known = self._known
+        packed = known.old.get(piece)
+        if packed is None:
+            ids = PrefixTable(self.vocabulary, piece.encode()).ids()
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        return known.put(piece, packed) if len(piece) <= CACHED_BYTES else packed
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
-        known, packed = self._known.get, self._packed
-        return b"".join([known(piece) or packed(piece) for piece in self.pieces(text)])
+        out, known, packed = [], self._known, self._packed
+        for piece in self.pieces(text):
+            out.append(known.new.get(piece) or packed(piece))
+        return b"".join(out)
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, memoryview(packed).cast("I")))
 
 
-_encoders: dict[tuple, Encoder] = {}
-
-
-def _encoder(key: tuple, ranks, pattern: str) -> Encoder:
-    """One encoder per Python worker and vocabulary: what it remembers serves the worker's later tasks too."""
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(ranks.value, pattern)
-    return _encoders[key]
-
-
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            with_ids: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id, n_tokens, ids_sha256, decoded_sha256`` and, on request, ``ids``
@@ -193,13 +197,14 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     """
     spark: SparkSession = docs.sparkSession
     ship_package(spark)
-    ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
-    key = (vocabulary, pattern)
+    ranks = read_ranks(vocabulary)
+    shared = spark.sparkContext.broadcast((ranks, Vocabulary(ranks).halves))
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
     kinds = [pa.int64(), pa.string(), pa.string()] + [pa.binary()] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(key, ranks, pattern)
+        ranks, halves = shared.value
+        encoder = Encoder(ranks, pattern, halves)  # for this task only
         for batch in batches:
             columns: list[list] = [[] for _ in names]
             for text in batch.column(1):
