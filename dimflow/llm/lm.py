@@ -78,10 +78,13 @@ def _columns(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows].sum(1)
+    z = weights.take(rows[:, 0], 0)
+    for j in range(1, rows.shape[1]):
+        z += weights.take(rows[:, j], 0)
     z -= z.max(1, keepdims=True)
     np.exp(z, out=z)
-    return z / z.sum(1, keepdims=True)
+    z /= z.sum(1, keepdims=True)
+    return z
 
 
 def _factors(contexts: np.ndarray, classes: np.ndarray, features: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
@@ -94,19 +97,24 @@ def gradient_steps(weights: list[np.ndarray], hashes: np.ndarray, first: np.ndar
     """Steps over all positions, ``STEP`` at a time, in place."""
     contexts = _contexts(hashes, first)
     classes, members = _columns(hashes)
+    place = np.zeros(len(weights[0]), np.int64)  # where a touched feature row's slopes are added up
     for at in range(0, len(hashes), STEP):
         cut = slice(at, at + STEP)
         for w, rows, goal in zip(weights, _factors(contexts[cut], classes[cut], len(weights[0])),
                                  (classes[cut], members[cut])):
             error = _softmax(w, rows)
             error[np.arange(len(goal)), goal] -= 1
-            flat = rows.ravel()
-            order = np.argsort(flat, kind="stable")
-            touched, starts = np.unique(flat[order], return_index=True)
-            slope = np.add.reduceat(error[order // rows.shape[1]], starts)
-            times = np.diff(np.append(starts, len(flat)))[:, None]
+            flat, width = rows.ravel(), error.shape[1]
+            place[flat] = 1
+            touched = np.flatnonzero(place)
+            place[touched] = np.arange(len(touched))
+            cells = (place[flat] * width).reshape(rows.shape)[:, :, None] + np.arange(width)
+            slopes = np.broadcast_to(error[:, None, :], cells.shape)
+            slope = np.bincount(cells.ravel(), slopes.ravel(), len(touched) * width).reshape(-1, width)
+            times = np.bincount(place[flat], minlength=len(touched))[:, None]
+            place[touched] = 0
             # A row that many positions touch moves by the root of their number, not by all of their slopes.
-            w[touched] -= rate * slope / np.sqrt(times * np.float32(STEP / 64))
+            w[touched] -= (rate * slope / np.sqrt(times * (STEP / 64))).astype(w.dtype)
 
 
 def log_probability(weights: list[np.ndarray], hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
