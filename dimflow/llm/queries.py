@@ -32,7 +32,8 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = suffixes.remove_repeats(read_table(spark, sf_dir, "documents"))
-    return left.drop("kept").withColumnRenamed("id", "doc_id")
+    return left.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256",
+                       (F.col("n_removed") > 0).alias("has_repeat"))
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,11 +29,13 @@ fixed number of bits.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import bitmap_of, flag_members, ship_package, staged, text_of
@@ -103,6 +105,56 @@ def _all_runs(texts: DataFrame) -> DataFrame:
     return texts.select("text_key", "text").where(F.octet_length("text") >= LENGTH).mapInArrow(run, RUN_ROW)
 
 
+def _cut(rows: DataFrame) -> DataFrame:
+    """``core, span, distance, times, bytes`` of the spans listed beside each text (``text, spans``)."""
+    names = ["core", "span", "distance", "times"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0):
+                texts, lists = part.column(0), part.column(1)
+                at, raw = offsets(texts), texts.buffers()[2].to_pybytes()
+                owner, found = pc.list_parent_indices(lists).to_numpy(), pc.list_flatten(lists)
+                first = at[owner] + found.field("at").to_numpy()
+                last = first + found.field("n").to_numpy() + LENGTH - 1
+                pieces = [raw[a:b] for a, b in zip(first.tolist(), last.tolist())]
+                yield pa.RecordBatch.from_arrays([*[found.field(x) for x in names], pa.array(pieces, pa.binary())],
+                                                 names=[*names, "bytes"])
+
+    return rows.mapInArrow(run, "core long, span long, distance int, times long, bytes binary")
+
+
+def _without(rows: DataFrame) -> DataFrame:
+    """Rows ``id, text, ranges`` (sorted, may overlap) as ``id, n_bytes, n_removed, n_spans, kept_sha256, kept``."""
+    id_type = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                at, buffer = offsets(part.column(1)), part.column(1).buffers()[2]
+                raw = buffer.to_pybytes() if buffer is not None else b""
+                sizes, removed, runs, left = [], [], [], []
+                for a, b, ranges in zip(at.tolist(), at[1:].tolist(), part.column(2).to_pylist()):
+                    pieces, to, gone, n = [], a, 0, 0
+                    for r in ranges or ():
+                        start, end = a + r["start"], a + r["end"]
+                        n += not n or start > to  # a range that touches the one before belongs to its run
+                        if start > to or not gone:
+                            pieces.append(raw[to:start])
+                        gone += max(0, end - max(start, to))
+                        to = max(to, end)
+                    kept = b"".join([*pieces, raw[to:b]])
+                    for column, value in zip((sizes, removed, runs, left), (b - a, gone, n, kept)):
+                        column.append(value)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *[pa.array(c, pa.int64()) for c in (sizes, removed, runs)],
+                     pa.array([hashlib.sha256(k).hexdigest() for k in left], pa.string()), pa.array(left, pa.binary())],
+                    names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return rows.select("id", "text", "ranges").mapInArrow(
+        run, f"id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+
+
 def _windows(data: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """``data[i:i + width]`` of every ``i``, as values that compare like the bytes."""
     rows = np.lib.stride_tricks.sliding_window_view(data, width)[at]
@@ -217,9 +269,10 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     wanted = bitmap_of(spans.select(F.col("text_key").alias("key")), FILTER_BITS)
     sources = (flag_members(texts.select("text_key", "text"), F.col("text_key"), wanted, FILTER_BITS, "__in")
                .where("__in").select("text_key", "text").dropDuplicates(["text_key"]))
-    cut = F.substring(F.encode("text", "UTF-8"), F.col("at").cast("int") + 1, F.col("n") + LENGTH - 1)
-    full = staged(spans.join(sources, "text_key").select("core", "span", "distance", "times", cut.alias("bytes")),
-                  "suffix_bytes")
+    # All spans of a text are cut from one copy of it.
+    lists = spans.groupBy("text_key").agg(F.collect_list(F.struct("core", "span", "distance", "times", "at", "n"))
+                                          .alias("spans"))
+    full = staged(_cut(lists.join(sources, "text_key").select("text", "spans")), "suffix_bytes")
     sizes = staged(full.groupBy("core").agg((F.count(F.lit(1)) > MOST_SPANS).alias("large")), "suffix_sizes")
     sized = full.join(sizes, "core")
     settled = _sorted_buckets(sized.where("not large")).unionByName(_counted_buckets(sized.where("large")))
@@ -245,26 +298,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ranges = staged(repeated_ranges(rows), "suffix_ranges")
     touched = bitmap_of(ranges.select(F.col("text_key").alias("key")), FILTER_BITS)
     flagged = flag_members(rows, F.col("text_key"), touched, FILTER_BITS, "__in")
-    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    clean = flagged.where("not __in").select("id", F.encode("text", "UTF-8").alias("bytes"), none.alias("ranges"))
-    hit = (flagged.where("__in").join(ranges, "text_key", "left")
-           .select("id", F.encode("text", "UTF-8").alias("bytes"), F.coalesce("ranges", none).alias("ranges")))
-    merged = hit.withColumn("ranges", F.aggregate("ranges", none, lambda done, r: F.when(
-        (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= r["start"]),
-        F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-            F.element_at(done, -1)["start"].alias("start"),
-            F.greatest(F.element_at(done, -1)["end"], r["end"]).alias("end")))))
-        .otherwise(F.concat(done, F.array(r)))))
-
-    def left(bytes_: Column, ranges_: Column) -> Column:
-        """The bytes between the removed ranges."""
-        edges = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(ranges_, lambda r: r["end"]))
-        until = F.concat(F.transform(ranges_, lambda r: r["start"]), F.array(F.octet_length(bytes_).cast("bigint")))
-        keep = F.zip_with(edges, until, lambda a, b: F.substring(bytes_, (a + 1).cast("int"), (b - a).cast("int")))
-        return F.aggregate(keep, F.lit(b"").cast("binary"), lambda x, y: F.concat(x, y))
-
-    removed = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda n, r: n + r["end"] - r["start"])
-    done = clean.select("id", "bytes", "ranges", F.col("bytes").alias("kept")).unionByName(
-        merged.select("id", "bytes", "ranges", left(F.col("bytes"), F.col("ranges")).alias("kept")))
-    return done.select("id", F.octet_length("bytes").cast("long").alias("n_bytes"), removed.alias("n_removed"),
-                       F.size("ranges").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "kept")
+    clean = flagged.where("not __in").select("id", F.encode("text", "UTF-8").alias("kept"))
+    zero = F.lit(0).cast("long")
+    clean = clean.select("id", F.octet_length("kept").cast("long").alias("n_bytes"), zero.alias("n_removed"),
+                         zero.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "kept")
+    return clean.unionByName(_without(flagged.where("__in").join(ranges, "text_key", "left")))
