@@ -92,11 +92,10 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("__text"))
     for kind in KINDS:
-        rows = with_matches(rows, "__text", PATTERNS[kind], HINTS[kind](F.col("__text")), kind)
+        rows = with_matches(rows, "__text", PATTERNS[kind], HINTS[kind](F.col("__text")), kind, lead=CONTEXT)
 
     def score(kind: str, span: Column) -> Column:
-        first = F.greatest(span["start"] - CONTEXT, F.lit(0))
-        before = ascii_lower(F.substring(F.col("__text"), first + 1, span["start"] - first))
+        before = ascii_lower(F.right(span["lead"], F.lit(CONTEXT)))
         return F.lit(SCORES[kind]) + F.when(before.rlike(CONTEXT_WORDS), F.lit(CONTEXT_ADDS)).otherwise(F.lit(0))
 
     def scored(kind: str) -> Column:

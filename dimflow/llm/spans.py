@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 
 def with_matches(rows: DataFrame, text: str, pattern: str, may_match: Column, out: str,
-                 group: int | None = None) -> DataFrame:
-    """``rows`` plus ``out``: an array of structs (start, end, hit[, part]), leftmost and non-overlapping.
+                 group: int | None = None, lead: int | None = None) -> DataFrame:
+    """``rows`` plus ``out``: an array of structs (start, end, hit[, part][, lead]), leftmost and non-overlapping.
 
     ``may_match`` is a cheap test that holds for every text with a wanted match;
-    the pattern runs over no other text. ``part`` is capture ``group``.
+    the pattern runs over no other text. ``part`` is capture ``group``; ``lead`` ends
+    with the ``lead`` characters before the match, or with all there are. It is put
+    together from the pieces and matches just before, each of at least a character,
+    so what a match costs does not depend on the length of its text.
     """
     none = F.array().cast("array<string>")
     hits, pieces, parts = f"__{out}_hits", f"__{out}_pieces", f"__{out}_parts"
@@ -42,7 +45,14 @@ def with_matches(rows: DataFrame, text: str, pattern: str, may_match: Column, ou
     def span(hit: Column, i: Column) -> Column:
         at = F.get(f"__{out}_starts", i)
         fields = [at.alias("start"), (at + F.length(hit)).alias("end"), hit.alias("hit")]
-        return F.struct(*fields, *([F.get(parts, i).alias("part")] if group is not None else []))
+        if group is not None:
+            fields.append(F.get(parts, i).alias("part"))
+        if lead is not None:
+            first = F.greatest(i - lead, F.lit(0))
+            around = F.zip_with(F.slice(pieces, first + 1, i - first + 1), F.slice(hits, first + 1, i - first),
+                                lambda piece, before: F.concat(piece, F.coalesce(before, F.lit(""))))
+            fields.append(F.array_join(around, "").alias("lead"))
+        return F.struct(*fields)
 
     rows = rows.withColumn(out, F.transform(hits, span))
     return rows.drop(hits, pieces, f"__{out}_may", f"__{out}_starts", *([parts] if group is not None else []))
