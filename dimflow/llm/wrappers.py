@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from dimflow.llm.common import ship_package, staged, text_of
 
+DEEPEST = 150  # levels of elements; what is nested deeper is part of the one at this level, its blocks stay blocks
 BLOCKS = 64  # blocks of a host in the first alignment
 LONGEST_GROUP = 4  # siblings in one repeated group
 LONGEST_NAMES = 60  # characters of names in a label
@@ -107,9 +108,14 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
     """``("open", label)``, ``("close", tag)`` of block elements, ``("text", raw)``, ``("link", "+" or "-")``.
 
     Scripts, styles, comments and their like vanish here; end tags that HTML lets
-    a page omit are supplied.
+    a page omit are supplied. Elements below ``DEEPEST`` levels come as ``("break", "")``
+    where they open and close.
     """
     stack: list[str] = []
+
+    def closing_of(tag: str) -> tuple[str, str]:
+        return ("close", tag) if len(stack) < DEEPEST else ("break", "")
+
     at = 0
     found = TOKEN.search(page)
     while found:
@@ -128,21 +134,21 @@ def tokens(page: str) -> Iterator[tuple[str, str]]:
                 if tag in stack:
                     while stack:
                         top = stack.pop()
-                        yield "close", top
+                        yield closing_of(top)
                         if top == tag:
                             break
             else:
                 while stack and tag in CLOSED_BY.get(stack[-1], ()):
-                    yield "close", stack.pop()
+                    yield closing_of(stack.pop())
                 stack.append(tag)
-                yield "open", _label(tag, found.group(3) or "")
+                yield ("open", _label(tag, found.group(3) or "")) if len(stack) <= DEEPEST else ("break", "")
         elif tag in ("br", "hr"):
             yield "text", " "
         found = TOKEN.search(page, at)
     if at < len(page):
         yield "text", page[at:]
     while stack:
-        yield "close", stack.pop()
+        yield closing_of(stack.pop())
 
 
 # A node of a skeleton or wrapper: [label, children, optional, repeated]; a text slot is the label "#".
@@ -220,7 +226,8 @@ def outline(page: str) -> str:
         else:
             flush()
             run, n, linked = [], 0, 0
-            lines.append("+" + value if kind == "open" else "-")
+            if kind != "break":
+                lines.append("+" + value if kind == "open" else "-")
     flush()
     return "\n".join(lines)
 
@@ -449,6 +456,8 @@ def main_text(page: str, container: str | None = None, wrapper: Slots | None = N
     The page's own words choose the container, also in place of one that is given
     but does not hold most of the page's main words.
     """
+    # Template text inside an article or main element is the page's own: shared headings, a byline.
+    template = [t for t in template if not any(_tag(x) in CONTENT for x in _prefixes(t))]
     slots = wrapper or Slots()
     path, place, links, block = [""], [-1], 0, 0
     texts: list[tuple[str, str, int]] = []
@@ -463,6 +472,8 @@ def main_text(page: str, container: str | None = None, wrapper: Slots | None = N
             path.pop()
             place.pop()
             block += 1
+        elif kind == "break":
+            block += 1
         elif kind == "link":
             links = max(0, links + (1 if value == "+" else -1))
         else:
@@ -476,6 +487,8 @@ def main_text(page: str, container: str | None = None, wrapper: Slots | None = N
     held = sum(n for p, n in main.items() if container is not None and (p + "/").startswith(container + "/"))
     if container is None or 2 * held <= sum(main.values()):
         container = choose(words, template, prose)
+    if container and _tag(container) not in ("html", "body"):  # nor is it taken out of the chosen element
+        out = boilerplate(words) | {t for t in template if not (t + "/").startswith(container + "/")}
     blocks: list[list[str]] = []
     known, open_block = {}, None
     for where, value, number in texts:

@@ -91,3 +91,26 @@ def test_pages_of_a_rarer_template(spark):
     assert found[19] == "Text 19 in the other place.\nMore 19."
     assert found[20] == "Text 20 in the other place.\nMore 20.\nTeaser"
     assert wrappers.main_text(rare.format(21, "<p>x</p>"), "/body/article.content").startswith("Text 21")
+
+
+@pytest.mark.parametrize("depth", [100, 600, 5000])
+def test_deep_pages(spark, depth):
+    """Deep nesting, on one page among others or on all: no crash, every word, blocks stay blocks."""
+    deep = "<body><main>" + "<div>" * depth + "<p>One</p>two" + "</div>three<div>" * 2 + "</div>" * depth + "</main></body>"
+    plain = f"<body><main>{TEXT}</main></body>"
+    found = texts(spark, [deep, plain, deep.replace("One", "Uno"), plain.replace("Title", "Name")])
+    assert found[0] == "One\ntwo\nthree\nthree" and found[2] == "Uno\ntwo\nthree\nthree"
+    assert found[1] == LINES
+
+
+@pytest.mark.parametrize("pages", [2, 3, 10, 100])
+@pytest.mark.parametrize("body", ["<body><article>{}</article></body>", "<body><div class=c1><main>{}</main></div></body>",
+                                  "<body><div class=c2><div class=c3>{}</div></div></body>"])
+def test_shared_headings_and_bylines_stay(spark, pages, body):
+    """What all articles of a host have in common is theirs; the menu and footer around them still go."""
+    article = "<h2>Summary</h2><p>By the editors</p><p>{0} words of page {0} only.</p><h2>Method</h2><p>More of {0}.</p>"
+    around = body.replace("<body>", "<body><nav><a href=/>Home</a></nav>").replace(
+        "</body>", "<footer>All rights reserved</footer></body>")
+    found = texts(spark, [around.format(article.format(f"p{i}")) for i in range(pages)])
+    assert found == {i: f"Summary\nBy the editors\np{i} words of page p{i} only.\nMethod\nMore of p{i}."
+                     for i in range(pages)}
