@@ -29,12 +29,16 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_STEPS[0]) < n:
-        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _STEPS[i] = np.multiply.accumulate(steps)
-    return _STEPS[0], _STEPS[1]
+    if len(_STEPS[0]) >= n:
+        return _STEPS[0], _STEPS[1]
+    made = []
+    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        made.append(np.multiply.accumulate(steps))
+    if n <= 2 * SLICE_BYTES:  # a worker does not keep those of a very long text
+        _STEPS[:] = made
+    return made[0], made[1]
 
 
 def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
