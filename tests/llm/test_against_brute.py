@@ -245,14 +245,47 @@ def test_bpe_query(small_docs):
 def test_oracles(spark, name):
     got = queries.REGISTRY[name](spark, SMALL).toPandas()
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     expected = con.execute(oracle_sql.ORACLE[name]).df()
     order = sorted(got.columns)
     assert order == sorted(expected.columns)
-    by_id = lambda df: df[order].sort_values("doc_id").reset_index(drop=True)
+    keys = [c for c in ("doc_id", "vec_id", "lang", "source", "part", "rank") if c in order]
+    by_id = lambda df: df[order].sort_values(keys).reset_index(drop=True)
     pd.testing.assert_frame_equal(by_id(got), by_id(expected), check_dtype=False)
 
 
+def test_personal_data_in_a_text_of_many_matches(spark):
+    """Positions and contexts of thousands of matches, other characters between them."""
+    rng = random.Random(6)
+    text = "".join(f"{'mail ' if i % 7 == 0 else '\U0001F600' * rng.randrange(3) + 'x ' * rng.randrange(30)}u{i}@ex.org "
+                   for i in range(4000))
+    spans = pii.find_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]["spans"]
+    words = re.compile(pii.CONTEXT_WORDS)
+    expected = [(m.start(), m.end(), 70 + 20 * bool(words.search(text[max(0, m.start() - pii.CONTEXT):m.start()].lower())))
+                for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    assert [(s["start"], s["end"], s["score"]) for s in spans] == expected and len(expected) == 4000
+
+
+def test_suffixes_of_a_long_text_of_repeats(spark):
+    rng = random.Random(8)
+    noise = lambda n: "".join(rng.choices("abcdefgh é", k=n))
+    passages = [noise(450) for _ in range(20)]
+    text = "".join(rng.choice(passages) + noise(rng.randrange(50)) for _ in range(250))
+    rows = [(1, text), (2, noise(2000)), (3, text[5000:5600])]
+    got = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} \
+        == brute.without_repeats(rows)
+
+
+def test_encoder_forgets_without_harm(monkeypatch):
+    """With room for a few pieces and pairs only, the ids stay the same."""
+    monkeypatch.setattr(bpe, "CACHED", 3)
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN, ENCODER.vocabulary.halves)
+    for text in ["the quick brown fox " * 3 + "zzqxj vvbnm1234 the quick", "quick quickly, ünïcode \U0001F600 the"] * 2:
+        assert list(memoryview(encoder.encode(text)).cast("I")) == REFERENCE.encode_ordinary(text)
+
+
 def test_ledger_scans_only_what_is_new(spark):
     history = spark.createDataFrame(
         [("a", "token = abcdefghijkl01"), ("b", "token = abcdefghijkl01"), ("c", "nothing")], "path string, text string")
