@@ -52,6 +52,11 @@ def ascii_lower(text: Column) -> Column:
         F.translate(text, UPPER, LOWER))
 
 
+def filter_bits(keys: int) -> int:
+    """Bits of a bitmap for so many keys: some eight a key, between 1 MB and 64 MB in all."""
+    return min(1 << 29, max(1 << 23, 1 << (8 * keys).bit_length()))
+
+
 def bitmap_of(keys: DataFrame, bits: int) -> DataFrame:
     """A set of 64-bit keys (column ``key``) as at most ``bits / 32768`` rows of 4 KB.
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import WORD, ship_package, staged, text_of
+from dimflow.llm.common import WORD, bitmap_of, filter_bits, flag_members, ship_package, staged, text_of
 
 WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
@@ -184,10 +184,26 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def repeat_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 **options) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as :func:`mix` takes it (rows that agree in id, source and
-    text are taken alike)."""
-    columns = docs.columns
-    copies = (mix(docs, id_col, text_col, source_col, **options).groupBy("unit").agg(F.max("copies").alias("__n"))
-              .where("__n > 0").withColumnRenamed("unit", "__unit"))
-    rows = docs.withColumn("__unit", F.xxhash64(id_col, source_col, text_of(text_col))).join(copies, "__unit")
-    return (rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__n")))
-            .select(*[F.col(f"`{c}`") for c in columns]))
+    text are taken alike).
+
+    A bitmap for each number of copies tells most rows theirs where they are
+    read. Rows that more than one bitmap may hold are joined with their number;
+    only these are shuffled with their text.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    copies = staged(mix(docs, id_col, text_col, source_col, **options).groupBy("unit").agg(F.max("copies").alias("__n"))
+                    .withColumnRenamed("unit", "__key"), "mix_copies")
+    counted = {r["__n"]: r["keys"] for r in copies.groupBy("__n").agg(F.count(F.lit(1)).alias("keys")).collect()}
+    rows, maybe = docs.withColumn("__unit", F.xxhash64(id_col, source_col, text_of(text_col))), []
+    for n, keys in sorted(counted.items()):  # 0 to ``most``
+        bits, maybe = filter_bits(keys), [*maybe, (n, F.col(f"__copies_{n}"))]
+        held = bitmap_of(copies.where(F.col("__n") == n).select(F.col("__key").alias("key")), bits)
+        rows = flag_members(rows, F.col("__unit"), held, bits, f"__copies_{n}")
+    if not counted:
+        return docs.limit(0)
+    sure = sum((flag.cast("int") for _, flag in maybe), F.lit(0)) == 1
+    own = F.coalesce(*[F.when(flag, F.lit(n)) for n, flag in maybe])
+    read = rows.where(sure).withColumn("__n", own)
+    doubtful = rows.where(~sure).join(copies, F.col("__unit") == F.col("__key")).select(*read.columns)
+    taken = read.unionByName(doubtful).where("__n > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), "__n"))).select(*columns)

@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import bitmap_of, flag_members, ship_package, staged, text_of
+from dimflow.llm.common import bitmap_of, filter_bits, flag_members, ship_package, staged, text_of
 from dimflow.llm.hashing import hash_spans, rolling, slices, text_bytes, words
 from dimflow.operators.joins import BUCKETS, BUCKETS_PER_TASK, salted_join
 
@@ -46,7 +46,6 @@ PLACES = WINDOW - GRAM + 1  # places of a minimiser in its window
 CHUNK = 1 << 18  # windows looked at together
 BUCKET_BYTES = 4 << 20
 HOT_SHARE = 1e-4  # at most 1 / HOT_SHARE hot keys exist
-LEAST_BITS, MOST_BITS = 1 << 23, 1 << 29  # a bitmap of 1 to 64 MB, by the number of keys
 
 FOUND = "key long, {id} text_key long, at long, n int"
 PIECE = "key long, span binary, packed binary"
@@ -118,10 +117,6 @@ def _spread(big: DataFrame, lookup: DataFrame, on: list[str], counts: DataFrame)
     return salted_join(big, lookup, on, "inner", spark.createDataFrame(hot.collect(), hot.schema), tasks)
 
 
-def _bits(keys: int) -> int:
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (8 * keys).bit_length()))
-
-
 def _pieces(subjects: DataFrame, packed: bool) -> DataFrame:
     """Super-k-mers of ``subjects`` (``id, text_key, text, found``) as packed strings or as references to them."""
     id_type = subjects.schema["id"].dataType.simpleString()
@@ -253,7 +248,7 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
 
 def _with_text(texts: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """Texts whose key may be among those of ``lists``, joined with their list; only those are shuffled."""
-    bits = _bits(lists.count())
+    bits = filter_bits(lists.count())
     flagged = flag_members(texts, F.col("text_key"), bitmap_of(lists.select(F.col("text_key").alias("key")), bits), bits,
                            "__in")
     named = lists.withColumnsRenamed({"id": "__id", "text_key": "__key"})
@@ -304,7 +299,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_of(f"`{text_col}`").alias("text"))
     rows = rows.select("id", F.xxhash64("text", F.octet_length("text")).alias("text_key"), "text")
     ranges = staged(repeated_ranges(rows), "superkmer_ranges")
-    bits = _bits(ranges.count())
+    bits = filter_bits(ranges.count())
     touched = bitmap_of(ranges.select(F.col("text_key").alias("key")), bits)
     none = F.lit(None).cast(ranges.schema["ranges"].dataType)
     clean = flag_members(rows, F.col("text_key"), touched, bits, "__in").where("not __in")
