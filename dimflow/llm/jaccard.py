@@ -16,8 +16,16 @@ So the join runs twice. First every group meets one hub for each shingle, which
 settles most members of a large family of near copies. Then the pairs that are
 still in different components meet; none of these is left out. Shingles of more
 than ``HOT`` groups make no rows of pairs even then: their groups gather in
-families by hub, and blocks of at most two times ``BLOCK`` sets are compared in
-memory, which yields only links between components.
+families by hub, as do the classes of two groups of many.
+
+* A family whose sets are all in one component is done. In any other, the sets
+  outside its largest component are its rest; only pairs with one of the rest
+  can make a new link.
+* While a rest has more than ``BLOCK`` sets, one of it meets the whole family, up
+  to ``HUB_ROUNDS`` times, and components are formed anew.
+* Blocks of the rest are then compared with the blocks of the family in memory,
+  at most two times ``BLOCK`` sets at a time. A rest of one block copies each set
+  of its family once or twice, however large the family is.
 """
 
 from __future__ import annotations
@@ -40,6 +48,7 @@ CELLS, CHUNKS = 1 << 22, 64
 FAN_IN = 64
 FILTER_BITS = 1 << 23
 HOT, BLOCK = 64, 512
+HUB_ROUNDS = 4
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -228,16 +237,49 @@ def link_block(keys: list[int], roots: list[int], sets: list[np.ndarray], first:
     return out
 
 
+def _with_rest(families: DataFrame) -> DataFrame:
+    """``hub, set_key, root, rest, n_rest, n_major`` of the families (``hub, set_key, root``) of several components.
+
+    The rest of a family are its sets outside its largest component. Sizes are counted before they move.
+    """
+    counted = families.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("c"))
+    sizes = staged(counted.groupBy("hub").agg(F.max(F.struct("c", "root")).alias("major"), F.sum("c").alias("size"))
+                   .where(F.col("major.c") < F.col("size"))
+                   .select("hub", F.col("major.root").alias("major"), F.col("major.c").alias("n_major"),
+                           (F.col("size") - F.col("major.c")).alias("n_rest")), "jaccard_family_sizes")
+    return staged(families.join(sizes, "hub").select("hub", "set_key", "root", (F.col("root") != F.col("major"))
+                                                     .alias("rest"), "n_rest", "n_major"), "jaccard_open_families")
+
+
+def _next_hubs(families: DataFrame) -> DataFrame:
+    """Pairs ``a, b``: one set of each rest of more than ``BLOCK``, and every set of its family in another component."""
+    draw = F.struct(F.xxhash64("set_key").alias("draw"), F.col("set_key").alias("b"), F.col("root").alias("of"))
+    wide = families.where(F.col("n_rest") > BLOCK)
+    hubs = staged(wide.where("rest").groupBy("hub").agg(F.min(draw).alias("h")).select("hub", "h.b", "h.of"),
+                  "jaccard_next_hubs")
+    return wide.join(hubs, "hub").where("root <> of").select(F.col("set_key").alias("a"), "b").distinct()
+
+
+def _dealt(families: DataFrame) -> DataFrame:
+    """``hub, set_key, root, own, one, two``: every set of a family for each pair of blocks (one, two) that it meets in.
+
+    The rest's blocks come first; a pair has one of them at least.
+    """
+    def blocks(size: str) -> Column:
+        return F.ceil(F.col(size) / F.lit(BLOCK))
+    deal = F.xxhash64("set_key")
+    own = F.when(F.col("rest"), F.pmod(deal, blocks("n_rest"))).otherwise(
+        blocks("n_rest") + F.pmod(deal, blocks("n_major")))
+    last = F.when(F.col("rest"), blocks("n_rest") + blocks("n_major")).otherwise(blocks("n_rest")) - 1
+    return (families.withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+            .select("hub", "set_key", "root", "own", F.least("own", "other").alias("one"),
+                    F.greatest("own", "other").alias("two")))
+
+
 def _linked_families(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` within each family (``hub, set_key, root``) between components, block by block."""
-    sizes = staged(families.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks")),
-                   "jaccard_family_sizes")
-    own = F.pmod(F.xxhash64("set_key"), F.col("blocks"))
-    dealt = (families.join(sizes, "hub").withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-             .select("hub", "set_key", "root", "own", F.least("own", "other").alias("one"),
-                     F.greatest("own", "other").alias("two")))
-    full = dealt.join(sets.withColumnRenamed("key", "set_key"), "set_key")
+    """Links ``a, b`` that join components, of the rest of each family (see :func:`_with_rest`) and the family."""
+    full = _dealt(families).join(sets.withColumnRenamed("key", "set_key"), "set_key")
 
     def run(group: pa.Table) -> pa.Table:
         own, one = np.array(group.column("own")), group.column("one")[0].as_py()
@@ -311,19 +353,35 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     side = rooted.select("group_key", "set_key", "root")
     one = side.withColumnsRenamed({"group_key": "g1", "set_key": "a", "root": "r1"})
     two = side.withColumnsRenamed({"group_key": "g2", "set_key": "b", "root": "r2"})
-    across = meet.join(one, "g1").join(two, "g2").where("r1 <> r2").select("a", "b")
+    held = members.groupBy("group_key").agg(F.count(F.lit(1)).alias("k"))
+    meet = staged(meet.join(held.withColumnsRenamed({"group_key": "g1", "k": "k1"}), "g1")
+                  .join(held.withColumnsRenamed({"group_key": "g2", "k": "k2"}), "g2")
+                  .select("g1", "g2", (F.col("k1") * F.col("k2") > BLOCK).alias("many")), "jaccard_meet")
+    across = meet.where("not many").join(one, "g1").join(two, "g2").where("r1 <> r2").select("a", "b")
     pairs = staged(across.join(first, ["a", "b"], "left_anti"), "jaccard_pairs")
 
-    # Hot shingles, and groups of several classes: families, the group's own key standing for its common prefix.
+    # Hot shingles, groups of several classes, and pairs of groups of many: families, a group's own key standing for
+    # its common prefix.
     hot = (postings.join(hubs.where("hot").select("shingle", "hub"), "shingle").select("hub", "group_key").distinct()
            .join(rooted, "group_key").select("hub", "set_key", "root"))
     several = spread.where("lo <> hi").select("group_key")
+    both = meet.where("many").select(F.xxhash64("g1", "g2").alias("hub"), F.explode(F.array("g1", "g2"))
+                                     .alias("group_key"))
     families = staged(hot.unionByName(rooted.join(several, "group_key").select(
-        F.col("group_key").alias("hub"), "set_key", "root")).distinct(), "jaccard_families")
-    wanted = (pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(families.select("set_key")))
+        F.col("group_key").alias("hub"), "set_key", "root"))
+        .unionByName(both.join(rooted, "group_key").select("hub", "set_key", "root")).distinct(), "jaccard_families")
+    rests = _with_rest(families)
+    wanted = (pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(rests.select("set_key")))
     sets = _sets(wanted, rows, width)
-    second = _linked(pairs, sets, percent).unionByName(_linked_families(families, sets, percent))
-    links = first.unionByName(second)
+    links = first.unionByName(_linked(pairs, sets, percent))
+    for _ in range(HUB_ROUNDS):
+        if rests.where(F.col("n_rest") > BLOCK).isEmpty():
+            break
+        links = links.unionByName(_linked(_next_hubs(rests), sets, percent))
+        roots = staged(components(links), "jaccard_roots").withColumnRenamed("node", "set_key")
+        rests = _with_rest(rests.select("hub", "set_key").join(roots, "set_key", "left")
+                           .select("hub", "set_key", F.coalesce("root", "set_key").alias("root")))
+    links = links.unionByName(_linked_families(rests, sets, percent))
     roots = components(links).withColumnRenamed("node", "set_key")
 
     rooted = classes.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))

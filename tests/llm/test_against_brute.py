@@ -112,7 +112,7 @@ def test_jaccard(small_docs):
     assert got == brute.components(documents(small_docs))
 
 
-@pytest.mark.parametrize("hot, block", [(jaccard.HOT, jaccard.BLOCK), (2, 16)])
+@pytest.mark.parametrize("hot, block", [(jaccard.HOT, jaccard.BLOCK), (2, 16), (2, 2)])
 def test_jaccard_family(spark, monkeypatch, hot, block):
     """A family of near copies at all distances around the threshold, some linked only through others."""
     monkeypatch.setattr(jaccard, "HOT", hot)
@@ -133,6 +133,29 @@ def test_jaccard_family(spark, monkeypatch, hot, block):
         assert got == brute.components(docs, width, percent)
 
 
+def test_families_of_several_components(spark, monkeypatch):
+    """Settled families go, the others meet in every pair that can join components, with copies linear in their size."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rows = [(1, i, 0) for i in range(500)]  # one component: done
+    rows += [(2, i, 0) for i in range(1000)] + [(2, 1000 + i, 1 + i % 3) for i in range(12)]  # a rest of one block
+    rows += [(3, i, i) for i in range(60)]  # no two alike
+    rests = jaccard._with_rest(spark.createDataFrame(rows, "hub long, set_key long, root long"))
+    assert {(r["hub"], r["n_rest"], r["n_major"]) for r in rests.select("hub", "n_rest", "n_major").distinct().collect()
+            } == {(2, 12, 1000), (3, 59, 1)}
+    met, copies = set(), {2: 0, 3: 0}
+    blocks = {}
+    for r in jaccard._dealt(rests).collect():
+        copies[r["hub"]] += 1
+        blocks.setdefault((r["hub"], r["one"], r["two"]), []).append((r["set_key"], r["root"], r["own"]))
+    for (hub, one, two), found in blocks.items():
+        met |= {(hub, min(a, b), max(a, b)) for a, ra, oa in found for b, rb, ob in found
+                if oa == one and ob == two and ra != rb}
+    assert met == {(h, min(a, b), max(a, b)) for h, a, ra in rows for k, b, rb in rows if h == k and ra != rb}
+    assert copies[2] <= 2 * 1012
+    assert {(r["b"], r["a"] in range(60)) for r in jaccard._next_hubs(rests).collect()
+            } == {(jaccard._next_hubs(rests).first()["b"], True)}  # one set of family 3 alone meets the others
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
