@@ -4,13 +4,18 @@ Every historical version of a path is addressed by its content (SHA-256). The
 ledger holds one row per blob, rule and rule version that has been scanned, with
 the spans found. A scan
 
-1. reduces the given versions to their distinct blobs,
+1. reduces the given versions to their distinct blobs, in a narrow table without
+   texts, and chooses one path of each,
 2. leaves out the (blob, rule, rule version) triples the ledger already holds,
-3. runs the rules over the rest and writes them to a new ledger table,
+3. runs the rules over the chosen rows of the rest and writes a new ledger table,
 4. joins the findings back to every path whose version is that blob.
 
 A blob that many paths share is scanned once, and a later run over a grown
 history scans only what is new; a rule whose version changes is run again.
+
+No text is shuffled: a row learns from bitmaps of bounded size, broadcast,
+whether it is to be scanned. A bitmap may name a row too many, never one too
+few; what such a row finds is left out by the narrow table.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import staged, text_of
+from dimflow.llm.common import bitmap_of, filter_bits, flag_members, staged, text_of
 from dimflow.llm.spans import with_matches
 
 LEDGER_SCHEMA = ("blob binary, rule string, version int, "
@@ -53,24 +58,50 @@ RULES = (
 )
 
 
-def _blobs(versions: DataFrame) -> DataFrame:
-    """Distinct blobs: equal texts collapse in each task before the shuffle."""
-    return versions.groupBy("blob").agg(F.first("__text").alias("__text"))
+def _wanted(versions: DataFrame, ledger: DataFrame | None, rules: Sequence[Rule]) -> DataFrame:
+    """``blob, key, many, rules`` of every blob with unseen rules: the key of its chosen row, whether others share it."""
+    blobs = versions.groupBy("blob").agg(F.min("path").alias("path"), (F.count(F.lit(1)) > 1).alias("many"))
+    current = F.array(*[F.lit(f"{rule.name}:{rule.version}") for rule in rules])
+    if ledger is None:
+        unseen = current
+    else:
+        done = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "rule", "version")).alias("seen"))
+        blobs = blobs.join(done, "blob", "left")
+        unseen = F.array_except(current, F.coalesce("seen", F.array().cast("array<string>")))
+    wanted = blobs.select("blob", F.xxhash64("blob", "path").alias("key"), "many", unseen.alias("rules"))
+    return staged(wanted.where(F.size("rules") > 0), "secret_wanted")
+
+
+def _flagged(rows: DataFrame, keys: DataFrame, key: Column, flag: str) -> DataFrame:
+    """``rows`` with a boolean column: may ``key`` be among ``keys``? No row moves."""
+    bits = filter_bits(keys.count())
+    return flag_members(rows, key, bitmap_of(keys, bits), bits, flag)
 
 
 def scan_blobs(versions: DataFrame, ledger: DataFrame | None, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """New ledger rows for the unseen (blob, rule, version) triples of ``versions`` (``blob, __text``)."""
-    blobs = _blobs(versions)
-    if ledger is None:
-        blobs = blobs.withColumn("__seen", F.array().cast("array<string>"))
+    """New ledger rows for the unseen (blob, rule, version) triples of ``versions`` (``path, blob, __text``)."""
+    wanted = _wanted(versions, ledger, rules)
+    chosen = F.xxhash64("blob", "path")
+    blobs = versions
+    if ledger is None:  # every blob: only those of several rows need a choice
+        several = wanted.where("many")
+        blobs = _flagged(blobs, several.select(F.xxhash64("blob").alias("key")), F.xxhash64("blob"), "__many")
+        blobs = _flagged(blobs, several.select("key"), chosen, "__chosen")
+        blobs = blobs.withColumn("__scan", ~F.col("__many") | F.col("__chosen"))
+        for rule in rules:
+            blobs = blobs.withColumn(f"__new_{rule.name}", F.col("__scan"))
     else:
-        done = ledger.groupBy("blob").agg(F.collect_set(F.concat_ws(":", "rule", "version")).alias("__seen"))
-        blobs = (blobs.join(done, "blob", "left")
-                 .withColumn("__seen", F.coalesce("__seen", F.array().cast("array<string>"))))
+        for rule in rules:
+            keys = wanted.where(F.array_contains("rules", f"{rule.name}:{rule.version}")).select("key")
+            blobs = _flagged(blobs, keys, chosen, f"__new_{rule.name}")
 
     def unseen(rule: Rule) -> Column:
-        return ~F.array_contains("__seen", f"{rule.name}:{rule.version}")
+        return F.col(f"__new_{rule.name}")
 
+    any_unseen = unseen(rules[0])
+    for rule in rules[1:]:
+        any_unseen = any_unseen | unseen(rule)
+    blobs = blobs.where(any_unseen)
     for rule in rules:
         blobs = with_matches(blobs, "__text", rule.pattern, unseen(rule) & F.col("__text").rlike(rule.hint),
                              rule.name, group=rule.group or None)
@@ -84,8 +115,18 @@ def scan_blobs(versions: DataFrame, ledger: DataFrame | None, rules: Sequence[Ru
                  F.transform(long_enough(rule), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
                  .alias("spans"))
         for rule in rules])
-    return (blobs.select("blob", F.explode(entries).alias("e")).where("e.new")
-            .select("blob", "e.rule", "e.version", "e.spans"))
+    triple = F.concat_ws(":", "e.rule", "e.version")
+    found = (blobs.select("blob", F.explode(F.filter(entries, lambda e: e["new"] & (F.size(e["spans"]) > 0))).alias("e"))
+             .groupBy("blob", triple.alias("triple")).agg(F.first("e.spans").alias("spans"))
+             .groupBy("blob").agg(F.map_from_entries(F.collect_list(F.struct("triple", "spans"))).alias("found")))
+    # Written first: a row that a bitmap named too many finds nothing that the narrow table does not ask for.
+    found = staged(found, "secret_found")
+    asked = wanted.join(found, "blob", "left").select("blob", "found", F.explode("rules").alias("triple"))
+    version = F.substring_index("triple", ":", -1)
+    none = F.array().cast(found.schema["found"].dataType.valueType)
+    return asked.select(
+        "blob", F.expr("left(triple, length(triple) - length(substring_index(triple, ':', -1)) - 1)").alias("rule"),
+        version.cast("int").alias("version"), F.coalesce(F.try_element_at("found", F.col("triple")), none).alias("spans"))
 
 
 def scan(versions: DataFrame, path_col: str = "path", text_col: str = "text", ledger: DataFrame | None = None,

@@ -309,6 +309,35 @@ def test_encoder_forgets_without_harm(monkeypatch):
         assert list(memoryview(encoder.encode(text)).cast("I")) == REFERENCE.encode_ordinary(text)
 
 
+def test_secret_scan_with_full_bitmaps(spark, monkeypatch):
+    """Bitmaps that name nearly every row cost scans, not findings or doubled ledger rows."""
+    rows = [(i % 37 if i % 5 else None, f"token = {'k' * 12}{i % 50} and {i % 50:016x}" if i % 3 else "plain")
+            for i in range(300)]
+    history = spark.createDataFrame(rows, "path long, text string")
+    findings, ledger = secret_scan.scan(history)
+    expected = sorted(map(str, findings.collect()))
+    first = secret_scan.scan(history.where("path < 20"))[1]
+    grown = secret_scan.scan(history, ledger=first)
+    monkeypatch.setattr(secret_scan, "filter_bits", lambda keys: 8)
+    full, again = secret_scan.scan(history)
+    more, new = secret_scan.scan(history, ledger=first)
+    assert sorted(map(str, full.collect())) == expected == sorted(map(str, more.collect()))
+    assert sorted(map(str, grown[0].collect())) == expected
+    blobs = len({text for _, text in rows})
+    assert ledger.count() == again.count() == first.count() + new.count() == 3 * blobs
+    assert grown[1].count() == new.count() > 0
+
+
+def test_wanted_blobs_are_a_narrow_table(spark):
+    rows = spark.range(10).select(F.col("id").alias("path"), F.col("id").cast("string").alias("__text"))
+    rows = rows.withColumn("blob", F.unhex(F.sha2("__text", 256)))
+    plans = []
+    for ledger in (None, secret_scan.scan(rows.withColumnRenamed("__text", "text").where("path < 4"))[1]):
+        plans.append(secret_scan._wanted(rows, ledger, secret_scan.RULES))
+        assert plans[-1].columns == ["blob", "key", "many", "rules"]
+    assert [p.count() for p in plans] == [10, 6]
+
+
 def test_ledger_scans_only_what_is_new(spark):
     history = spark.createDataFrame(
         [("a", "token = abcdefghijkl01"), ("b", "token = abcdefghijkl01"), ("c", "nothing")], "path string, text string")
