@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+LONG_SPAN = 256  # bytes; the sums of longer spans can be made to collide whatever the table of bytes
 SLICE_BYTES = 1 << 20  # text handled at a time; a byte takes up to some 80 bytes of arrays meanwhile
 
 # Bytes that separate words, and A-Z to a-z.
@@ -68,7 +70,10 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: int = SLICE_BYTES) -> np.ndarray:
-    """64-bit hashes of ``data[start:end]`` for spans in order, in blocks of about ``limit`` bytes."""
+    """64-bit hashes of ``data[start:end]`` for spans in order, in blocks of about ``limit`` bytes.
+
+    Spans of more than ``LONG_SPAN`` bytes, which are few, are hashed one by one with BLAKE2.
+    """
     out = np.empty(len(starts), np.uint64)
     first = 0
     while first < len(starts):
@@ -77,6 +82,9 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, limit: in
         sums = prefix_sums(data[base:ends[last - 1]])
         out[first:last] = hash_of(sums, starts[first:last] - base, ends[first:last] - base)
         first = last
+    for i in np.flatnonzero(ends - starts > LONG_SPAN):
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+        out[i] = np.frombuffer(digest, np.uint64)[0]
     return out
 
 
@@ -92,6 +100,19 @@ def hash_of(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return mix((sums[ends] - sums[starts]) * _powers(len(sums))[1][starts])
 
 
+def characters(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character (its UTF-8 bytes), and the index of each text's first character (with the end)."""
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    values = data[starts].astype(np.uint64)
+    if len(starts) == len(data):
+        return values, at
+    ends = np.append(starts[1:], len(data))
+    for i in range(1, 4):
+        longer = np.flatnonzero(ends - starts > i)
+        values[longer] = values[longer] * np.uint64(256) + data[starts[longer] + i]
+    return values, np.searchsorted(starts, at)
+
+
 def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and the index of each text's first word (with the end)."""
     inside = ~SEPARATOR[data]

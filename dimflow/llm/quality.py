@@ -1,7 +1,7 @@
 """Quality rules: fixed measures of a text and a learned verdict.
 
 The verdict is a logistic regression over hashed word n-grams (1 and 2 words)
-and hashed character n-grams (2 to 4 bytes), trained on labelled rows, with its
+and hashed character n-grams (2 to 4 characters), trained on labelled rows, with its
 output calibrated to a probability on rows it was not trained on (Platt's
 method). Texts are scored in Arrow batches against a fixed threshold.
 
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import ship_package, text_of
-from dimflow.llm.hashing import LOWERED, hash_spans, rolling, slices, text_bytes, words
+from dimflow.llm.hashing import LOWERED, characters, hash_spans, rolling, slices, text_bytes, words
 
 MAX_LABELLED = 4000
 BUCKETS = 1 << 18
@@ -87,7 +87,7 @@ def _families(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     starts, ends, first = words(data_lower, at)
     hashes = hash_spans(data_lower, starts, ends)
     for salt, (values, edges, sizes) in enumerate(((hashes, first, WORD_GRAMS),
-                                                   (data.astype(np.uint64), at, CHAR_GRAMS))):
+                                                   (*characters(data, at), CHAR_GRAMS))):
         for size in sizes:
             grams = rolling(values + np.uint64(1000 * salt + size), size)
             buckets = (grams % np.uint64(BUCKETS)).astype(np.int64)
