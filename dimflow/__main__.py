@@ -44,6 +44,7 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--dim-root", default=env("DIM_ROOT"))
     ap.add_argument("--fact-path", default=env("FACT_PATH"))
     ap.add_argument("--fact-mode", choices=["append", "replace_run"], default="append")
+    ap.add_argument("--fact-order", default="", help="columns, comma separated, whose order the fact's files keep")
     ap.add_argument("--first-load", action="store_true", help="the store is expected to be empty")
     ap.add_argument("--snapshot", choices=["post_load", "pre_load"], default="post_load")
     ap.add_argument("--dedupe-feed", action="store_true")
@@ -102,7 +103,7 @@ def main(argv: list[str] | None = None) -> dict[str, int]:
             raise SystemExit(f"no dimension at {args.dim_root}; pass --first-load to start one")
         outputs = plan(inputs_from_store(*feeds, store, params), params)
         targets = Targets(dimension_root=args.dim_root, fact_path=args.fact_path, error_dir=args.err_dir,
-                          fact_mode=args.fact_mode)
+                          fact_mode=args.fact_mode, fact_order=tuple(filter(None, args.fact_order.split(","))))
         counts = publish(outputs, targets, params)
     counts.update({"changes": outputs.change_rows, "key_base": outputs.key_base, "run_date": params.run_tag})
     print(json.dumps(counts))

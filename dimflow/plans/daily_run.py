@@ -277,6 +277,7 @@ class Targets:
     fact_path: str
     error_dir: str
     fact_mode: str = "append"
+    fact_order: tuple[str, ...] = ()  # columns whose order the fact's files keep
 
 
 def inputs_from_store(customer_delta: DataFrame, sales_txn: DataFrame, store: DimensionStore,
@@ -372,7 +373,8 @@ def publish_audited(outputs: Outputs, targets: Targets, params: RunParams) -> tu
     with ThreadPoolExecutor(max_workers=3, thread_name_prefix="dimflow-publish") as pool:
         staged = pool.submit(dimension)
         tagged = TaggedSales.write(outputs)
-        fact = pool.submit(writers.stage_fact, fact_of(tagged.rows), targets.fact_path, params.run_date)
+        fact = pool.submit(writers.stage_fact, fact_of(tagged.rows), targets.fact_path, params.run_date,
+                           targets.fact_order)
         log = pool.submit(writers.stage_error_log, errors_of(tagged.rows, params), targets.error_dir, params.run_date)
         staged_version, staged_fact, staged_log = staged.result(), fact.result(), log.result()
     counts = writers.commit_dimension_version(spark, store, staged_version, outputs.next_key, outputs.seen)

@@ -235,6 +235,14 @@ day{day} AS (
 )"""
 
 
+SORT_KEYS = ["CUST_KEY", "PRODUCT_ID", "STORE_ID"]
+SALES_COLS = ["TXN_ID", "CUST_ID", "PRODUCT_ID", "STORE_ID", "CHANNEL", "TXN_DATE", "QTY", "UNIT_PRICE", "AMOUNT"]
+DIM_COLS = ["CUST_KEY", *ATTRS, "EFF_DATE", "EXP_DATE", "CURR_FLAG"]
+TIE_BREAK = [c for c in [*SALES_COLS, *DIM_COLS] if c not in SORT_KEYS]
+SORTED = f"""
+SELECT *, row_number() OVER (ORDER BY {", ".join(f"{c} NULLS FIRST" for c in [*SORT_KEYS, *TIE_BREAK])}) AS POSITION
+FROM dq_pass_pre"""
+
 TWO_DAYS = _with(ADAPTERS, _replay_day(1, RUN_DATE, EXPIRY_DATE, "SEGMENT", "dimension"),
                  _replay_day(2, "DATE '2026-07-29'", RUN_DATE, "CASE WHEN CUST_ID LIKE '%5' THEN 'RAISED' ELSE SEGMENT END",
                              "day1")) + "\nSELECT * FROM day2"
@@ -276,6 +284,7 @@ FROM sales_txn WHERE CUST_ID IS NULL OR AMOUNT <= 0 OR QTY <= 0 OR TXN_DATE IS N
     "dim_versioned_roundtrip": _on_full("SELECT * FROM dim_after"),
     "sales_fact_aggregate": _on_full("SELECT * FROM fact_pre"),
     "sales_sorted": _on_full("SELECT * FROM dq_pass_pre ORDER BY CUST_KEY, PRODUCT_ID, STORE_ID"),
+    "sales_sorted_files": _on_full(SORTED),
     "sales_fact_post_load": _on_full("SELECT * FROM fact_post"),
     "error_funnel": _on_full("SELECT * FROM errors_post"),
     "fact_append_roundtrip": _on_full("SELECT * FROM fact_post"),

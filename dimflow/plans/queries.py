@@ -29,7 +29,7 @@ from dimflow.plans.daily_run import (
     publish_catalog,
 )
 from dimflow.session import materialize, scratch_path
-from dimflow.sinks import writers
+from dimflow.sinks import ordered, writers
 from dimflow.sources import feeds
 from dimflow.sources import fixtures as fx
 from dimflow.sources.catalog import CatalogMart
@@ -271,6 +271,15 @@ def sales_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.sort_for_output(quality.passed(_enriched_pre_load(spark, sf_dir), quality.sales_rules()))
 
 
+@query("sales_sorted_files")
+def sales_sorted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sorted sales as a table of files in order, with the position at which a reader finds each row."""
+    path = scratch_path(spark, "sales_sorted")
+    passed = quality.passed(_enriched_pre_load(spark, sf_dir), quality.sales_rules())
+    ordered.write_sorted(passed, path, S.FACT_SORT)
+    return ordered.read_sorted(spark, path, passed.schema)
+
+
 @query("sales_fact_post_load")
 def sales_fact_post_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir).fact

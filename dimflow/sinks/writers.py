@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -32,6 +33,7 @@ from dimflow import schemas as S
 from dimflow.operators.joins import row_bytes
 from dimflow.sources.dimension import MARKER_SCHEMA, DimensionStore, read_if_present
 from dimflow.session import claim, claims, remove
+from dimflow.sinks.ordered import in_ranges
 from dimflow.sources.feeds import read_feed
 
 LOAD_DATE = "LOAD_DATE"
@@ -152,10 +154,14 @@ def _fact_part(path: str, load_date: dt.date, attempt: str) -> str:
     return f"{path.rstrip('/')}/{LOAD_DATE}={load_date.isoformat()}/attempt={attempt}"
 
 
-def stage_fact(fact: DataFrame, path: str, run_date: dt.date) -> StagedFact:
-    """Write the fact rows under a fresh attempt id; nothing reads them until :func:`commit_fact`."""
+def stage_fact(fact: DataFrame, path: str, run_date: dt.date, order: Sequence[str] = ()) -> StagedFact:
+    """Write the fact rows under a fresh attempt id; nothing reads them until :func:`commit_fact`.
+
+    ``order`` — columns to keep the attempt's files in order of (:mod:`dimflow.sinks.ordered`).
+    """
     attempt = _attempt()
-    out, obs = _counted(fact.select(*S.names(S.SALES_FACT)), "fact")
+    rows = fact.select(*S.names(S.SALES_FACT))
+    out, obs = _counted(in_ranges(rows, list(order)) if order else rows, "fact")
     out.write.mode("errorifexists").parquet(_fact_part(path, run_date, attempt))
     return StagedFact(run_date, attempt, int(obs.get["rows"]))
 
