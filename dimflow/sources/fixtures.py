@@ -18,6 +18,8 @@ remainders of the keys: NULL transitions, edited segments, defects of sales.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +35,29 @@ ACTIVE_SINCE = dt.date(2001, 1, 1)
 HISTORY_SEGMENT = "MACHINERY"
 
 
+_prepared: set[str] = set()  # folders that hold the adapters' output
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _adapter(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """``make``, or its output read back where ``sf_dir`` is a folder that :func:`prepare` wrote."""
+    @wraps(make)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return table(spark, sf_dir, make.__name__) if sf_dir in _prepared else make(spark, sf_dir)
+    return read
+
+
+def prepare(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Write the three inputs made from ``sf_dir`` to ``folder``, which may then stand for ``sf_dir``."""
+    for make in (customer_delta, sales_txn, dimension):
+        make(spark, sf_dir).write.mode("errorifexists").parquet(f"{folder.rstrip('/')}/{make.__name__}.parquet")
+    _prepared.add(folder)
+    return folder
+
+
 def _txt(c: Column | str) -> Column:
     return F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 
@@ -63,6 +84,7 @@ def _address(key: Column, null_every: int) -> Column:
         F.concat(_txt(key), F.lit(" Main St")))
 
 
+@_adapter
 def sales_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales feed: one transaction per line item, with planted defects."""
     l = table(spark, sf_dir, "lineitem").select(
@@ -97,6 +119,7 @@ def sales_txn(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_adapter
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer dimension before the run: current rows and expired versions."""
     key = F.col("c_custkey")
@@ -125,6 +148,7 @@ def dim_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension(spark, sf_dir).filter(F.col("CURR_FLAG") == F.lit(S.CURRENT_FLAG))
 
 
+@_adapter
 def customer_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer feed of the run date: new, edited and unchanged customers, some twice, and rows without a customer id."""
     key = F.col("c_custkey")

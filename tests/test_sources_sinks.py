@@ -7,13 +7,14 @@ import os
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from conftest import SF_SMALL, rows
 
 from dimflow import schemas as S
 from dimflow.params import RunParams
 from dimflow.plans import Targets, inputs_from_store, plan, publish
 from dimflow.sinks import read_error_log, read_fact, write_error_log, write_fact
 from dimflow.sources import DimensionStore, feed_path, read_customer_delta, read_sales_txn
+from dimflow.sources import fixtures as fx
 
 D = dt.date
 
@@ -304,3 +305,11 @@ def test_empty_day_publishes_empty_outputs(spark, workdir, cap):
     assert out.changes.count() == 0 and out.next_key == out.key_base == 6
     assert store.committed_versions(spark) == [RUN.isoformat(), day2.isoformat()]
     assert read_error_log(spark, _targets(workdir).error_dir, day2).count() == 0
+
+
+def test_prepared_inputs_are_the_adapters(spark, workdir):
+    """Written inputs give the rows that the adapters make."""
+    folder = fx.prepare(spark, SF_SMALL, f"{workdir}/inputs")
+    for make in (fx.customer_delta, fx.sales_txn, fx.dimension, fx.dim_current, fx.next_day_delta):
+        assert rows(make(spark, folder)) == rows(make(spark, SF_SMALL))
+    assert all("inputs" in f for f in fx.sales_txn(spark, folder).inputFiles())
