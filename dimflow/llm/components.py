@@ -3,7 +3,9 @@
 Each step is a grouped minimum and a join, so no neighbourhood is collected and
 a node of any degree is no task of its own. The number of steps grows with the
 logarithm of the longest path; each step's edges are written to the shared
-folder, and only a count and a checksum reach the driver.
+folder, and only counts reach the driver. A graph is held in as many partitions
+as its edges need (``EDGES`` in each), so that small ones are not dealt into
+hundreds of tasks step by step.
 """
 
 from __future__ import annotations
@@ -14,27 +16,42 @@ from pyspark.sql import functions as F
 from dimflow.llm.common import staged
 
 
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
+EDGES = 1 << 20  # in a partition: 16 MB
+
+
+def _both_ways(edges: DataFrame) -> DataFrame:
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
+    return edges.select(F.explode(F.array(F.struct("a", "b"), turned)).alias("e")).select("e.a", "e.b")
+
+
+def _star(edges: DataFrame, larger: bool, tasks: int) -> DataFrame:
     """Point nodes at the smallest neighbour of a node: its larger neighbours, or the node and its smaller ones."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _both_ways(edges)
     near = both if larger else both.where("b < a")
     least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     moved = near.where("b > a") if larger else near
     linked = moved.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     if not larger:
         linked = linked.unionByName(least.withColumnRenamed("m", "b"))
-    return linked.where("a <> b").distinct()
+    return linked.coalesce(tasks).where("a <> b").distinct()
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Does every node with a smaller neighbour have just one, and that one none (``b < a`` in every edge)?"""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up")),
+                                          F.struct(F.col("b").alias("node"), F.lit(0).alias("up")))).alias("e"))
+    nodes = ends.groupBy("e.node").agg(F.sum("e.up").alias("ups"), F.count(F.lit(1)).alias("all"))
+    return nodes.where("ups > 1 or (ups = 1 and all > 1)").count() == 0
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, root`` of every node of ``edges`` (``a, b``): ``root`` is the smallest node of its component."""
-    current = staged(edges.select("a", "b").where("a <> b").distinct(), "cc_edges")
-    before = None
+    current = staged(edges.select("a", "b").where("a <> b"), "cc_edges")
+    tasks = max(1, -(-current.count() // EDGES))
     while True:
-        current = staged(_star(_star(current, larger=True), larger=False), "cc_step")
-        state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1000000007)).first()
-        if state == before:
+        current = current.coalesce(tasks)
+        current = staged(_star(_star(current, True, tasks), False, tasks), "cc_step", tasks)
+        if _settled(current.coalesce(tasks)):
             break
-        before = state
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

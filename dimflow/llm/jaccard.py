@@ -22,10 +22,13 @@ families by hub, as do the classes of two groups of many.
   outside its largest component are its rest; only pairs with one of the rest
   can make a new link.
 * While a rest has more than ``BLOCK`` sets, one of it meets the whole family, up
-  to ``HUB_ROUNDS`` times, and components are formed anew.
+  to ``HUB_ROUNDS`` times and for as long as that finds links, and the components
+  that the links name are joined.
 * Blocks of the rest are then compared with the blocks of the family in memory,
   at most two times ``BLOCK`` sets at a time. A rest of one block copies each set
   of its family once or twice, however large the family is.
+
+Intermediate tables are written by one task for each ``DOCS`` documents at most.
 """
 
 from __future__ import annotations
@@ -49,6 +52,7 @@ FAN_IN = 64
 FILTER_BITS = 1 << 23
 HOT, BLOCK = 64, 512
 HUB_ROUNDS = 4
+DOCS = 1 << 14
 
 
 def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
@@ -97,7 +101,7 @@ def frequencies(texts: DataFrame, width: int) -> np.ndarray:
 
     schema = "task long, chunk long, cells binary"
     parts = texts.mapInArrow(count, schema)
-    for task in [F.floor(F.col("task") / FAN_IN)] * 3 + [F.lit(0).cast("long")]:  # FAN_IN at a time
+    for task in [F.floor(F.col("task") / FAN_IN)] * 2 + [F.lit(0).cast("long")]:  # FAN_IN at a time
         parts = parts.withColumn("task", task).groupBy("task", "chunk").applyInArrow(add, schema)
     cells = np.zeros(CELLS, np.uint32)
     for row in parts.collect():  # CHUNKS rows of a fixed size
@@ -163,7 +167,7 @@ def _group_pairs(rows: DataFrame, percent: int) -> DataFrame:
     return pairs.where(_may_link(F.col("n1"), F.col("n2"), apart, percent)).select("g1", "g2")
 
 
-def _sets(keys: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+def _sets(keys: DataFrame, rows: DataFrame, width: int, tasks: int) -> DataFrame:
     """``key, shingles`` (sorted, packed) of the wanted set keys (``key``) and perhaps a few more, from the texts."""
     bitmap = np.zeros(FILTER_BITS, bool)
     for row in bitmap_of(keys, FILTER_BITS).collect():  # at most FILTER_BITS / 8 bytes
@@ -185,10 +189,10 @@ def _sets(keys: DataFrame, rows: DataFrame, width: int) -> DataFrame:
                                                  names=["key", "shingles"])
 
     return staged(rows.select("text").mapInArrow(run, "key long, shingles binary").groupBy("key")
-                  .agg(F.first("shingles").alias("shingles")), "jaccard_sets")
+                  .agg(F.first("shingles").alias("shingles")), "jaccard_sets", tasks)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, tasks: int) -> DataFrame:
     """Pairs ``a, b`` of set keys whose whole sets link: ``100 * common >= percent * united``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +207,21 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     full = (pairs.join(sets.select(F.col("key").alias("b"), F.col("shingles").alias("of_b")), "b")
             .join(sets.select(F.col("key").alias("a"), F.col("shingles").alias("of_a")), "a"))
-    return staged(full.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long"), "jaccard_links")
+    return staged(full.select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long"), "jaccard_links", tasks)
+
+
+def _between(links: DataFrame, rooted: DataFrame, tasks: int) -> DataFrame:
+    """Links ``a, b`` of sets as edges between the components (``set_key, root``) that they join."""
+    one, two = (rooted.select(F.col("set_key").alias(end), F.col("root").alias(f"root_{end}")) for end in "ab")
+    ends = links.join(one, "a").join(two, "b").where("root_a <> root_b")
+    return staged(ends.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")).distinct(), "jaccard_joins", tasks)
+
+
+def _joined(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the new ``root`` of each old one (``node, root``; the same where it has none)."""
+    new = roots.select(F.col("node").alias("root"), F.col("root").alias("new_root"))
+    columns = [F.coalesce("new_root", "root").alias("root") if c == "root" else F.col(c) for c in rows.columns]
+    return rows.join(new, "root", "left").select(*columns)
 
 
 def link_block(keys: list[int], roots: list[int], sets: list[np.ndarray], first: np.ndarray, second: np.ndarray,
@@ -237,7 +255,7 @@ def link_block(keys: list[int], roots: list[int], sets: list[np.ndarray], first:
     return out
 
 
-def _with_rest(families: DataFrame) -> DataFrame:
+def _with_rest(families: DataFrame, tasks: int | None = None) -> DataFrame:
     """``hub, set_key, root, rest, n_rest, n_major`` of the families (``hub, set_key, root``) of several components.
 
     The rest of a family are its sets outside its largest component. Sizes are counted before they move.
@@ -246,17 +264,17 @@ def _with_rest(families: DataFrame) -> DataFrame:
     sizes = staged(counted.groupBy("hub").agg(F.max(F.struct("c", "root")).alias("major"), F.sum("c").alias("size"))
                    .where(F.col("major.c") < F.col("size"))
                    .select("hub", F.col("major.root").alias("major"), F.col("major.c").alias("n_major"),
-                           (F.col("size") - F.col("major.c")).alias("n_rest")), "jaccard_family_sizes")
+                           (F.col("size") - F.col("major.c")).alias("n_rest")), "jaccard_family_sizes", tasks)
     return staged(families.join(sizes, "hub").select("hub", "set_key", "root", (F.col("root") != F.col("major"))
-                                                     .alias("rest"), "n_rest", "n_major"), "jaccard_open_families")
+                                                     .alias("rest"), "n_rest", "n_major"), "jaccard_open_families", tasks)
 
 
-def _next_hubs(families: DataFrame) -> DataFrame:
+def _next_hubs(families: DataFrame, turn: int = 0, tasks: int | None = None) -> DataFrame:
     """Pairs ``a, b``: one set of each rest of more than ``BLOCK``, and every set of its family in another component."""
-    draw = F.struct(F.xxhash64("set_key").alias("draw"), F.col("set_key").alias("b"), F.col("root").alias("of"))
+    draw = F.struct(F.xxhash64("set_key", F.lit(turn)).alias("draw"), F.col("set_key").alias("b"), F.col("root").alias("of"))
     wide = families.where(F.col("n_rest") > BLOCK)
     hubs = staged(wide.where("rest").groupBy("hub").agg(F.min(draw).alias("h")).select("hub", "h.b", "h.of"),
-                  "jaccard_next_hubs")
+                  "jaccard_next_hubs", tasks)
     return wide.join(hubs, "hub").where("root <> of").select(F.col("set_key").alias("a"), "b").distinct()
 
 
@@ -277,7 +295,7 @@ def _dealt(families: DataFrame) -> DataFrame:
                     F.greatest("own", "other").alias("two")))
 
 
-def _linked_families(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked_families(families: DataFrame, sets: DataFrame, percent: int, tasks: int) -> DataFrame:
     """Links ``a, b`` that join components, of the rest of each family (see :func:`_with_rest`) and the family."""
     full = _dealt(families).join(sets.withColumnRenamed("key", "set_key"), "set_key")
 
@@ -289,7 +307,8 @@ def _linked_families(families: DataFrame, sets: DataFrame, percent: int) -> Data
                            own == one, own == two, percent)
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return staged(full.groupBy("hub", "one", "two").applyInArrow(run, "a long, b long"), "jaccard_family_links")
+    found = full.groupBy("hub", "one", "two").applyInArrow(run, "a long, b long")
+    return staged(found, "jaccard_family_links", tasks)
 
 
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
@@ -308,43 +327,45 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     cells = frequencies(rows.select("text"), width)
     signed = staged(_signatures(rows.withColumn("text_key", F.xxhash64("text")), cells, width, percent),
                     "jaccard_rows")
+    tasks = max(1, -(-signed.count() // DOCS))
     first_row = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")
     classes = staged(signed.where("n > 0").groupBy("set_key").agg(
         F.min(first_row).alias("least"), F.first("n").alias("n"), F.first("group_key").alias("group_key")),
-        "jaccard_classes")
+        "jaccard_classes", tasks)
 
     # Shingles in the prefixes of two groups or more.
     entries = signed.where("n > 0").select("group_key", "n", F.posexplode("prefix").alias("pos", "shingle"))
     shared = staged(entries.groupBy("shingle").agg(F.min("group_key").alias("lo"), F.max("group_key").alias("hi"))
-                    .where("lo < hi").select("shingle"), "jaccard_shared")
+                    .where("lo < hi").select("shingle"), "jaccard_shared", tasks)
     postings = staged(entries.join(shared, "shingle").select("shingle", "group_key", "n", "pos").distinct(),
-                      "jaccard_postings")
+                      "jaccard_postings", tasks)
 
     # Round 1: every group meets the hub of each of its shingles, every class the hub of its group. The draw does not
     # depend on the shingle, so a family of near copies has few hubs.
     draw = F.struct(F.xxhash64("group_key").alias("draw"), F.col("group_key").alias("hub"),
                     F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
     hubs = staged(postings.groupBy("shingle").agg(F.min(draw).alias("h"), (F.count(F.lit(1)) > HOT).alias("hot"))
-                  .select("shingle", "h.*", "hot"), "jaccard_hubs")
+                  .select("shingle", "h.*", "hot"), "jaccard_hubs", tasks)
     met = _group_pairs(postings.join(hubs, "shingle").where("group_key <> hub").select(
         F.col("group_key").alias("g1"), F.col("hub").alias("g2"), F.col("n").alias("n1"), F.col("hub_n").alias("n2"),
         F.col("pos").alias("p1"), F.col("hub_pos").alias("p2")), percent)
-    members = classes.select("group_key", "set_key")
-    heads = members.groupBy("group_key").agg(F.min("set_key").alias("head"))
+    members = classes.select("group_key", "set_key", "least")
+    heads = classes.groupBy("group_key").agg(F.min("set_key").alias("head"))
     across = (met.join(heads.withColumnsRenamed({"group_key": "g1", "head": "a"}), "g1")
               .join(heads.withColumnsRenamed({"group_key": "g2", "head": "b"}), "g2").select("a", "b"))
-    within = (members.join(heads, "group_key").where("set_key <> head")
+    within = (classes.join(heads, "group_key").where("set_key <> head")
               .select(F.col("head").alias("a"), F.col("set_key").alias("b")))
-    pairs = staged(across.unionByName(within), "jaccard_pairs")
-    first = _linked(pairs, _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), rows, width), percent)
-    roots = staged(components(first), "jaccard_roots")
+    pairs = staged(across.unionByName(within), "jaccard_pairs", tasks)
+    sets = _sets(pairs.select(F.col("a").alias("key")).union(pairs.select("b")), rows, width, tasks)
+    first = _linked(pairs, sets, percent, tasks)
+    roots = staged(components(first), "jaccard_roots", tasks)
 
     # Round 2: all pairs of groups that pass the filters and are not in one component, expanded to their classes.
     rooted = staged(members.join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
-                    .withColumn("root", F.coalesce("root", "set_key")), "jaccard_rooted")
+                    .withColumn("root", F.coalesce("root", "set_key")), "jaccard_rooted", tasks)
     spread = rooted.groupBy("group_key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     calm = postings.join(hubs.where("not hot").select("shingle"), "shingle")
-    open_groups = staged(calm.join(spread, "group_key"), "jaccard_open")
+    open_groups = staged(calm.join(spread, "group_key"), "jaccard_open", tasks)
     left = open_groups.withColumnsRenamed({"group_key": "g1", "n": "n1", "pos": "p1", "lo": "lo1", "hi": "hi1"})
     right = open_groups.withColumnsRenamed({"group_key": "g2", "n": "n2", "pos": "p2", "lo": "lo2", "hi": "hi2"})
     settled = ((F.col("lo1") == F.col("hi1")) & (F.col("lo2") == F.col("hi2")) & (F.col("lo1") == F.col("lo2")))
@@ -353,12 +374,12 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     side = rooted.select("group_key", "set_key", "root")
     one = side.withColumnsRenamed({"group_key": "g1", "set_key": "a", "root": "r1"})
     two = side.withColumnsRenamed({"group_key": "g2", "set_key": "b", "root": "r2"})
-    held = members.groupBy("group_key").agg(F.count(F.lit(1)).alias("k"))
+    held = classes.groupBy("group_key").agg(F.count(F.lit(1)).alias("k"))
     meet = staged(meet.join(held.withColumnsRenamed({"group_key": "g1", "k": "k1"}), "g1")
                   .join(held.withColumnsRenamed({"group_key": "g2", "k": "k2"}), "g2")
-                  .select("g1", "g2", (F.col("k1") * F.col("k2") > BLOCK).alias("many")), "jaccard_meet")
+                  .select("g1", "g2", (F.col("k1") * F.col("k2") > BLOCK).alias("many")), "jaccard_meet", tasks)
     across = meet.where("not many").join(one, "g1").join(two, "g2").where("r1 <> r2").select("a", "b")
-    pairs = staged(across.join(first, ["a", "b"], "left_anti"), "jaccard_pairs")
+    pairs = staged(across.join(first, ["a", "b"], "left_anti"), "jaccard_pairs", tasks)
 
     # Hot shingles, groups of several classes, and pairs of groups of many: families, a group's own key standing for
     # its common prefix.
@@ -369,24 +390,25 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                      .alias("group_key"))
     families = staged(hot.unionByName(rooted.join(several, "group_key").select(
         F.col("group_key").alias("hub"), "set_key", "root"))
-        .unionByName(both.join(rooted, "group_key").select("hub", "set_key", "root")).distinct(), "jaccard_families")
-    rests = _with_rest(families)
+        .unionByName(both.join(rooted, "group_key").select("hub", "set_key", "root")).distinct(), "jaccard_families", tasks)
+    rests = _with_rest(families, tasks)
     wanted = (pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(rests.select("set_key")))
-    sets = _sets(wanted, rows, width)
-    links = first.unionByName(_linked(pairs, sets, percent))
-    for _ in range(HUB_ROUNDS):
+    sets = _sets(wanted, rows, width, tasks)
+    joins = _between(_linked(pairs, sets, percent, tasks), rooted, tasks)
+    for turn in range(HUB_ROUNDS):
         if rests.where(F.col("n_rest") > BLOCK).isEmpty():
             break
-        links = links.unionByName(_linked(_next_hubs(rests), sets, percent))
-        roots = staged(components(links), "jaccard_roots").withColumnRenamed("node", "set_key")
-        rests = _with_rest(rests.select("hub", "set_key").join(roots, "set_key", "left")
-                           .select("hub", "set_key", F.coalesce("root", "set_key").alias("root")))
-    links = links.unionByName(_linked_families(rests, sets, percent))
-    roots = components(links).withColumnRenamed("node", "set_key")
-
-    rooted = classes.join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    least = staged(rooted.groupBy("root").agg(F.min("least").alias("first")), "jaccard_least")
-    named = staged(rooted.join(least, "root").select("set_key", "first"), "jaccard_named")
+        found = _between(_linked(_next_hubs(rests, turn, tasks), sets, percent, tasks), rooted, tasks)
+        if found.isEmpty():
+            break
+        joins = joins.unionByName(found)
+        rests = _with_rest(_joined(rests.select("hub", "set_key", "root"),
+                                   staged(components(joins), "jaccard_roots", tasks)), tasks)
+    joins = joins.unionByName(_between(_linked_families(rests, sets, percent, tasks), rooted, tasks))
+
+    whole = _joined(rooted.select("set_key", "least", "root"), staged(components(joins), "jaccard_roots", tasks))
+    least = staged(whole.groupBy("root").agg(F.min("least").alias("first")), "jaccard_least", tasks)
+    named = staged(whole.join(least, "root").select("set_key", "first"), "jaccard_named", tasks)
     plain = signed.select("id", F.col("n").alias("n_shingles"), "set_key", "text_key")
     linked = plain.where("n_shingles > 0").join(named, "set_key").select(
         "id", "n_shingles", F.col("first.id").alias("component_id"), "text_key",
