@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimflow.llm.common import ship_package, text_of
+from dimflow.llm.hashing import slices
 
 CACHED = 150_000  # pieces, and pairs of tokens, in each of the two generations that a task remembers
 CACHED_BYTES = 64  # longer pieces are encoded each time
@@ -186,6 +187,24 @@ class Encoder:
         return b"".join(map(self.vocabulary.bytes_of.__getitem__, memoryview(packed).cast("I")))
 
 
+KINDS = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string(), "ids": pa.binary()}
+
+
+def encoded(encoder: Encoder, batch: pa.RecordBatch, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """``id`` and ``names`` (of ``KINDS``) of a batch ``id, text``, part by part: its results are never held together."""
+    for part in slices(batch, 1):
+        found: dict[str, list] = {name: [] for name in KINDS}
+        for text in part.column(1):
+            packed = encoder.encode(text.as_py())
+            found["n_tokens"].append(len(packed) // 4)
+            found["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
+            found["decoded_sha256"].append(hashlib.sha256(encoder.decode(packed)).hexdigest())
+            if "ids" in names:
+                found["ids"].append(packed)
+        yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(found[n], KINDS[n]) for n in names]],
+                                         names=["id", *names])
+
+
 def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            with_ids: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id, n_tokens, ids_sha256, decoded_sha256`` and, on request, ``ids``
@@ -200,23 +219,12 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     ranks = read_ranks(vocabulary)
     shared = spark.sparkContext.broadcast((ranks, Vocabulary(ranks).halves))
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
-    kinds = [pa.int64(), pa.string(), pa.string()] + [pa.binary()] * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, halves = shared.value
         encoder = Encoder(ranks, pattern, halves)  # for this task only
         for batch in batches:
-            columns: list[list] = [[] for _ in names]
-            for text in batch.column(1):
-                packed = encoder.encode(text.as_py())
-                values = [len(packed) // 4, hashlib.sha256(packed).hexdigest(),
-                          hashlib.sha256(encoder.decode(packed)).hexdigest()]
-                if with_ids:
-                    values.append(packed)
-                for column, value in zip(columns, values):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["id", *names])
+            yield from encoded(encoder, batch, names)
 
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     sql_kinds = ["long", "string", "string"] + ["binary"] * with_ids
