@@ -47,3 +47,12 @@ def test_a_task_holds_so_many_sales(spark, tables, monkeypatch):
     files = [pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows for f in out.inputFiles()]
     positions = sorted(r["POSITION"] for r in out.collect())
     assert positions == list(range(1, sum(files) + 1)) and len(files) >= 4 and max(files) <= 1500
+
+
+@pytest.mark.parametrize("name", ["dim_two_day"])
+def test_two_days_make_their_feed_once(spark, tables, monkeypatch, name):
+    read = []
+    real = fx.table
+    monkeypatch.setattr(fx, "table", lambda s, d, t: read.append(t) or real(s, d, t))
+    assert queries.REGISTRY[name](spark, tables).count() > 0
+    assert read.count("part") == 1 and not fx._prepared & {tables}
