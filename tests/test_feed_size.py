@@ -49,7 +49,7 @@ def test_a_task_holds_so_many_sales(spark, tables, monkeypatch):
     assert positions == list(range(1, sum(files) + 1)) and len(files) >= 4 and max(files) <= 1500
 
 
-@pytest.mark.parametrize("name", ["dim_two_day"])
+@pytest.mark.parametrize("name", ["dim_two_day", "dim_catalog_two_day"])
 def test_two_days_make_their_feed_once(spark, tables, monkeypatch, name):
     read = []
     real = fx.table
