@@ -27,6 +27,11 @@ families by hub, as do the classes of two groups of many.
 * Blocks of the rest are then compared with the blocks of the family in memory,
   at most two times ``BLOCK`` sets at a time. A rest of one block copies each set
   of its family once or twice, however large the family is.
+* Pairs of blocks meet in turns: a block with ``BAND`` others first, then with
+  ``BAND`` times as many in each turn, until it has met all. A pair of blocks
+  reports only links between components that were apart before its turn, so
+  their number grows with the family, not with the number of pairs of blocks.
+  Pairs whose sets are all of the family's largest component are left out.
 
 Intermediate tables are written by one task for each ``DOCS`` documents at most.
 """
@@ -52,6 +57,7 @@ FAN_IN = 64
 FILTER_BITS = 1 << 23
 HOT, BLOCK = 64, 512
 HUB_ROUNDS = 4
+BAND = 4
 DOCS = 1 << 14
 
 
@@ -278,26 +284,58 @@ def _next_hubs(families: DataFrame, turn: int = 0, tasks: int | None = None) ->
     return wide.join(hubs, "hub").where("root <> of").select(F.col("set_key").alias("a"), "b").distinct()
 
 
+def _blocks(size: str) -> Column:
+    return F.ceil(F.col(size) / F.lit(BLOCK))
+
+
+def _numbered(families: DataFrame) -> DataFrame:
+    """``families`` with the number ``own`` of each set's block: the rest's blocks come first."""
+    deal = F.xxhash64("set_key")
+    return families.withColumn("own", F.when(F.col("rest"), F.pmod(deal, _blocks("n_rest"))).otherwise(
+        _blocks("n_rest") + F.pmod(deal, _blocks("n_major"))))
+
+
 def _dealt(families: DataFrame) -> DataFrame:
     """``hub, set_key, root, own, one, two``: every set of a family for each pair of blocks (one, two) that it meets in.
 
     The rest's blocks come first; a pair has one of them at least.
     """
-    def blocks(size: str) -> Column:
-        return F.ceil(F.col(size) / F.lit(BLOCK))
-    deal = F.xxhash64("set_key")
-    own = F.when(F.col("rest"), F.pmod(deal, blocks("n_rest"))).otherwise(
-        blocks("n_rest") + F.pmod(deal, blocks("n_major")))
-    last = F.when(F.col("rest"), blocks("n_rest") + blocks("n_major")).otherwise(blocks("n_rest")) - 1
-    return (families.withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-            .select("hub", "set_key", "root", "own", F.least("own", "other").alias("one"),
-                    F.greatest("own", "other").alias("two")))
+    numbered = _numbered(families)
+    return _met(numbered, _block_pairs(numbered))
+
+
+def _block_pairs(numbered: DataFrame, start: int = 0, end: int | None = None, still: DataFrame | None = None) -> DataFrame:
+    """Pairs ``hub, one, two`` (one <= two) of blocks, one of the rest's at least, that are ``start`` to ``end`` - 1 apart.
 
+    Blocks of the rest are as far apart as their numbers. From one of the rest to those of the largest component it is
+    counted around the circle of the latter, so that each turn has as many for every block. ``still``: the blocks
+    (``hub, own``) one of which is in each pair.
+    """
+    sizes = numbered.select("hub", _blocks("n_rest").alias("r"), _blocks("n_major").alias("m")).distinct()
+    ones = sizes.withColumn("one", F.explode(F.sequence(F.lit(0).cast("long"), F.col("r") - 1)))
+
+    def steps(most: Column) -> Column:
+        last = most - 1 if end is None else F.least(most - 1, F.lit(end - 1).cast("long"))
+        return F.when(last >= start, F.sequence(F.lit(start).cast("long"), last)).otherwise(F.array().cast("array<long>"))
+    among = F.transform(steps(F.col("r") - F.col("one")), lambda d: F.col("one") + d)
+    beyond = F.transform(steps(F.col("m")), lambda d: F.col("r") + F.pmod(F.col("one") + d, F.col("m")))
+    pairs = ones.select("hub", "one", F.explode(F.concat(among, beyond)).alias("two"))
+    if still is None:
+        return pairs
+    marks = [still.select("hub", F.col("own").alias(x), F.lit(True).alias(f"open_{x}")) for x in ("one", "two")]
+    return (pairs.join(marks[0], ["hub", "one"], "left").join(marks[1], ["hub", "two"], "left")
+            .where("open_one or open_two").select("hub", "one", "two"))
+
+
+def _met(numbered: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``hub, set_key, root, own, one, two``: every set for each of the pairs that its block is in."""
+    own = pairs.select("hub", "one", "two", F.explode(F.array_distinct(F.array("one", "two"))).alias("own"))
+    return numbered.join(own, ["hub", "own"]).select("hub", "set_key", "root", "own", "one", "two")
 
-def _linked_families(families: DataFrame, sets: DataFrame, percent: int, tasks: int) -> DataFrame:
-    """Links ``a, b`` that join components, of the rest of each family (see :func:`_with_rest`) and the family."""
-    full = _dealt(families).join(sets.withColumnRenamed("key", "set_key"), "set_key")
+
+def _linked_families(met: DataFrame, sets: DataFrame, percent: int, tasks: int) -> DataFrame:
+    """Links ``a, b`` that join components, of the sets that meet in pairs of blocks (see :func:`_dealt`)."""
+    full = met.join(sets.withColumnRenamed("key", "set_key"), "set_key")
 
     def run(group: pa.Table) -> pa.Table:
         own, one = np.array(group.column("own")), group.column("one")[0].as_py()
@@ -311,6 +349,32 @@ def _linked_families(families: DataFrame, sets: DataFrame, percent: int, tasks:
     return staged(found, "jaccard_family_links", tasks)
 
 
+def _family_joins(rests: DataFrame, joins: DataFrame, sets: DataFrame, percent: int, rooted: DataFrame, tasks: int
+                  ) -> DataFrame:
+    """``joins`` with the edges between components that the blocks of the rests (:func:`_with_rest`) find, turn by turn."""
+    start, end = 0, BAND
+    most = rests.agg(F.max(F.greatest(_blocks("n_rest"), _blocks("n_major")))).first()[0] or 0  # blocks in a circle
+    numbered = staged(_numbered(rests), "jaccard_blocks", tasks) if most else rests
+    still = None
+    while start < most:
+        pairs = _block_pairs(numbered, start, end, still)
+        links = _linked_families(_met(numbered, pairs), sets, percent, tasks)
+        found = _between(links, rooted, tasks)
+        start, end = end, end * BAND
+        joins = joins.unionByName(found)
+        if start < most:
+            roots = staged(components(joins), "jaccard_roots", tasks)
+            joins = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).where("a <> b")
+            numbered = staged(_joined(numbered, roots), "jaccard_blocks", tasks)
+            counted = numbered.groupBy("hub", "root").agg(F.count(F.lit(1)).alias("c"))
+            largest = counted.groupBy("hub").agg(F.max(F.struct("c", "root")).alias("most")).select("hub", "most.root")
+            still = staged(numbered.join(largest.withColumnRenamed("root", "largest"), "hub")
+                           .where("root <> largest").select("hub", "own").distinct(), "jaccard_still", tasks)
+            if still.isEmpty():
+                break
+    return joins
+
+
 def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE,
                  percent: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: ``id, n_shingles, component_id, text_key, kept``.
@@ -404,7 +468,7 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         joins = joins.unionByName(found)
         rests = _with_rest(_joined(rests.select("hub", "set_key", "root"),
                                    staged(components(joins), "jaccard_roots", tasks)), tasks)
-    joins = joins.unionByName(_between(_linked_families(rests, sets, percent, tasks), rooted, tasks))
+    joins = _family_joins(rests, joins, sets, percent, rooted, tasks)
 
     whole = _joined(rooted.select("set_key", "least", "root"), staged(components(joins), "jaccard_roots", tasks))
     least = staged(whole.groupBy("root").agg(F.min("least").alias("first")), "jaccard_least", tasks)
