@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -28,10 +29,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import ship_package, text_of
+from dimflow.llm.common import bound_batches, ship_package, text_of
 from dimflow.llm.hashing import slices
 
-CACHED = 150_000  # pieces, and pairs of tokens, in each of the two generations that a task remembers
+CACHED = 150_000  # pieces in each of the two generations that a task remembers
+PAIRS = (1 << 19) - 1  # places for pairs of tokens that it remembers, nine bytes each
 CACHED_BYTES = 64  # longer pieces are encoded each time
 
 
@@ -64,7 +66,7 @@ class Vocabulary:
             self.bytes_of[rank] = token
         self.lengths = list(map(len, self.bytes_of))
         self.longest = max(self.lengths, default=0)
-        self.pairs = Recent()
+        self.pairs, self.fits = array("q", [-1 << 62]) * PAIRS, bytearray(PAIRS)  # the last pair of each place
         self._ending = ahocorasick.Automaton()
         for token, rank in ranks.items():
             self._ending.add_word(token.decode("latin-1"), rank)  # a character for each byte
@@ -124,7 +126,7 @@ class PrefixTable:
     def append(self, more: bytes) -> PrefixTable:
         """Extend by ``more``; nothing before it is looked at again but the tokens that end there."""
         vocabulary, last = self.vocabulary, self.last
-        lengths, pairs, many = vocabulary.lengths, vocabulary.pairs, len(vocabulary.bytes_of)
+        lengths, pairs, fits, many = vocabulary.lengths, vocabulary.pairs, vocabulary.fits, len(vocabulary.bytes_of)
         base = max(0, len(self.data) - vocabulary.longest + 1)  # no token that ends in ``more`` starts before
         done = len(self.data)  # prefixes up to here are known
         self.data += more
@@ -134,11 +136,10 @@ class PrefixTable:
                 at = end - lengths[token]
                 left = last[at] if at >= 0 else -1
                 pair = left * many + token
-                fits = pairs.new.get(pair)
-                if fits is None:
-                    fits = pairs.old.get(pair)
-                    fits = pairs.put(pair, vocabulary.beside(left, token) if fits is None else fits)
-                if fits:
+                place = pair % PAIRS
+                if pairs[place] != pair:
+                    pairs[place], fits[place] = pair, vocabulary.beside(left, token)
+                if fits[place]:
                     last.append(token)
                     done += 1
         return self
@@ -216,6 +217,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     """
     spark: SparkSession = docs.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     ranks = read_ranks(vocabulary)
     shared = spark.sparkContext.broadcast((ranks, Vocabulary(ranks).halves))
     names = ["n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids

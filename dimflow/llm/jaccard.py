@@ -47,9 +47,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import BITS_PER_CHUNK, bitmap_of, flag_members, ship_package, staged, text_of
+from dimflow.llm.common import BITS_PER_CHUNK, bitmap_of, bound_batches, flag_members, ship_package, staged, text_of
 from dimflow.llm.components import components
-from dimflow.llm.hashing import mix, rolling, slices, word_hashes
+from dimflow.llm.hashing import PART_BYTES, mix, rolling, slices, word_hashes
 
 SHINGLE, THRESHOLD = 4, 85  # words; percent
 CELLS, CHUNKS = 1 << 22, 64
@@ -82,14 +82,18 @@ def _cell(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(20)) % np.uint64(CELLS)
 
 
+def add_sets(cells: np.ndarray, sets: list[np.ndarray]) -> None:
+    """Count the shingles of ``sets`` in ``cells``, in place: no second table of ``CELLS``."""
+    np.add.at(cells, _cell(np.concatenate(sets)), np.uint32(1))
+
+
 def frequencies(texts: DataFrame, width: int) -> np.ndarray:
     """How many sets of the whole corpus fall in each of ``CELLS`` cells by their shingles."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(CELLS, np.uint32)
         for batch in batches:
-            for part in slices(batch, 0):
-                found = list(shingle_sets(part.column(0), width))
-                cells += np.bincount(_cell(np.concatenate(found)).astype(np.int64), minlength=CELLS).astype(np.uint32)
+            for part in slices(batch, 0, PART_BYTES):
+                add_sets(cells, list(shingle_sets(part.column(0), width)))
         if cells.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId()] * CHUNKS, pa.int64()),
@@ -124,7 +128,7 @@ def _signatures(rows: DataFrame, cells: np.ndarray, width: int, percent: int) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, PART_BYTES):
                 sizes, set_keys, group_keys, prefixes = [], [], [], []
                 for found in shingle_sets(part.column(1), width):
                     n = len(found)
@@ -185,7 +189,7 @@ def _sets(keys: DataFrame, rows: DataFrame, width: int, tasks: int) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         member = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            for part in slices(batch, 0):
+            for part in slices(batch, 0, PART_BYTES):
                 found_keys, packed = [], []
                 for found in shingle_sets(part.column(0), width):
                     if len(found) and member[(key := int(_key(found))) % FILTER_BITS]:
@@ -387,6 +391,7 @@ def link_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by ``text_key``, a hash of the text), and every row without shingles.
     """
     ship_package(docs.sparkSession)
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     cells = frequencies(rows.select("text"), width)
     signed = staged(_signatures(rows.withColumn("text_key", F.xxhash64("text")), cells, width, percent),

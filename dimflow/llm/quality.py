@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimflow.llm.common import ship_package, text_of
-from dimflow.llm.hashing import LOWERED, characters, hash_spans, rolling, slices, text_bytes, words
+from dimflow.llm.common import bound_batches, ship_package, text_of
+from dimflow.llm.hashing import LOWERED, PART_BYTES, characters, hash_spans, rolling, slices, text_bytes, words
 
 MAX_LABELLED = 4000
 BUCKETS = 1 << 18
@@ -209,6 +209,7 @@ def score(docs: DataFrame, model: tuple | None, text_col: str = "text",
     """
     spark = docs.sparkSession
     ship_package(spark)
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # a fixed number of weights
 
     @F.arrow_udf(f"struct<{re.sub(r'(\w+) (\w+)', r'\1:\2', SCORED)}>")
@@ -219,7 +220,7 @@ def score(docs: DataFrame, model: tuple | None, text_col: str = "text",
         for texts in parts:
             texts = texts.fill_null("")
             columns: list[list] = [[] for _ in range(8)]
-            for part in slices(pa.RecordBatch.from_arrays([texts], names=["t"]), 0):
+            for part in slices(pa.RecordBatch.from_arrays([texts], names=["t"]), 0, PART_BYTES):
                 odds = a * logits(part.column(0), weights, bias) + b if fitted else [None] * len(part)
                 for text, x in zip(part.column(0), odds):
                     measures = measure(text.as_py())
